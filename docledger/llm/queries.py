@@ -17,8 +17,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import suffix_dedup
+
+    out = suffix_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}
