@@ -24,9 +24,23 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: The public vocabularies; queries use these, operators take any path.
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import token_files
+
+    return token_files(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), end_id=1)
+
+
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLES: dict[str, str] = {}
