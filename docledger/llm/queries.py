@@ -24,6 +24,20 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import decontaminate
+
+    out = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 #: The public vocabularies; queries use these, operators take any path.
 def _vocabulary(name: str) -> str:
     import public_tokenizers
@@ -40,6 +54,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_decontaminate": op6_decontaminate,
     "op10_token_files": op10_token_files,
 }
 
