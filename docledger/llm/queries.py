@@ -52,6 +52,19 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepiece_codec import encode_documents
+
+    return encode_documents(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), keep=("doc_id",), check=True)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import license_scan
+
+    out = license_scan(_table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import token_files
 
@@ -63,6 +76,8 @@ QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_license_scan": op8_license_scan,
     "op10_token_files": op10_token_files,
 }
 
