@@ -55,6 +55,17 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of documents that are labelled as good."""
+    return _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import quality_rules
+
+    return quality_rules(_table(spark, sf_dir, "documents"), trusted_documents(spark, sf_dir))
+
+
 #: The public vocabularies; queries use these, operators take any path.
 def _vocabulary(name: str) -> str:
     import public_tokenizers
@@ -89,6 +100,7 @@ QUERIES = {
     "op6_decontaminate": op6_decontaminate,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_license_scan": op8_license_scan,
+    "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
 }
 
