@@ -34,6 +34,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import url_filter
+
+    return url_filter(_table(spark, sf_dir, "pages"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import suffix_dedup
 
@@ -96,6 +102,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_url_filter": op4_url_filter,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_sentencepiece": op7_sentencepiece,
