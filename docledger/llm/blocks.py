@@ -34,10 +34,10 @@ def parts(docs: DataFrame, total: int, each: int) -> int:
     return max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(total / each))
 
 
-def in_blocks(docs: DataFrame, n_blocks: int, text: str = "text") -> DataFrame:
-    """Columns block, doc_id and text. Rows of one doc_id share a block; a null doc_id counts as smaller than any other."""
+def in_blocks(docs: DataFrame, n_blocks: int, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Columns block, doc_id, text and those in ``keep``. Rows of one doc_id share a block; a null doc_id counts as smaller than any other."""
     block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int")
-    return docs.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).repartition(n_blocks, "block")
+    return docs.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), *keep).repartition(n_blocks, "block")
 
 
 def by_doc_id(table: pa.Table) -> tuple[pa.Table, np.ndarray]:

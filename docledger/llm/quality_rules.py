@@ -140,4 +140,8 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, keep: tuple[str, ...] = (
     rows = rows.withColumn("model", model.scalar())
     score = F.when(F.size("places") > 0, total / F.size("places")).otherwise(F.lit(0.0))
     rows = rows.withColumn("score", score)
-    return rows.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"))
+    passed = ~F.col("base_failed") & (F.col("score") >= threshold)
+    # Always true, but not deterministic to the optimiser: a filter on ``kept`` stays above this projection. Pushed below, it
+    # would hold a copy of every expression above for each of its uses.
+    kept = F.when(F.monotonically_increasing_id() >= 0, passed).otherwise(F.lit(False))
+    return rows.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", kept.alias("kept"))

@@ -72,6 +72,7 @@ class _Block:
 
     def __init__(self, table: pa.Table, n_buckets: int):
         table, self.ids = B.by_doc_id(table)
+        self.table = table
         self.texts, self.doc_ids = texts_of(table.column("text")), table.column("doc_id")
         got = []
         for a, b in slices(self.texts, B.CHUNK_BYTES):
@@ -142,11 +143,14 @@ def _later_windows(lens: np.ndarray, docs: np.ndarray, starts: np.ndarray, piece
     return out
 
 
-def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
-    """One row for each input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (binary)."""
+def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """One row for each input row: doc_id, the columns in ``keep``, n_bytes, n_removed, n_spans (maximal removed runs), kept.
+
+    ``kept`` is binary. With ``as_text`` it is a string, without the rest of a character of which bytes were removed.
+    """
     total = B.text_bytes(docs)
     n_blocks, n_buckets = B.parts(docs, total, block_bytes), B.parts(docs, total, block_bytes)
-    blocks = B.in_blocks(docs, n_blocks)
+    blocks = B.in_blocks(docs, n_blocks, keep=keep)
 
     def minimisers(table: pa.Table) -> pa.Table:
         block, b = table.column("block")[0].as_py(), _Block(table, n_buckets)
@@ -182,11 +186,12 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES) -> DataFrame
         upto = np.concatenate([[0], np.cumsum(lens - WINDOW + 1)])[np.concatenate([[0], np.cumsum(ns)])]
         return _rows(_FLAGS, [(k, 2, bucket, int(b - a), B.pack_bits(later[a:b])) for k, a, b in zip(col["block"], upto[:-1], upto[1:], strict=True)])
 
-    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    out = ", ".join(["doc_id long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), "n_bytes long, n_removed long, n_spans long", "kept string" if as_text else "kept binary"])
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _rows(out, [])
+            fields = {"doc_id": pa.int64(), **{c: table.schema.field(c).type for c in keep}, **dict.fromkeys(("n_bytes", "n_removed", "n_spans"), pa.int64()), "kept": pa.string() if as_text else pa.binary()}
+            return pa.schema(list(fields.items())).empty_table()
         b = _Block(table, n_buckets)
         own, _ = b.sent(answers)
         n_windows = b.len[own] - WINDOW + 1
@@ -215,7 +220,8 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES) -> DataFrame
         n_gone, n_rises = (np.concatenate([[0], np.cumsum(x)])[off] for x in (gone, rises))
         n_gone, n_rises = np.diff(n_gone).astype(np.int64), np.diff(n_rises).astype(np.int64)
         kept = [np.frombuffer(t, np.uint8)[~gone[a : a + len(t)]].tobytes() if g else t for t, a, g in zip(b.texts, off[:-1].tolist(), n_gone.tolist(), strict=True)]
-        return pa.table([b.doc_ids.combine_chunks(), pa.array(size), pa.array(n_gone), pa.array(n_rises), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        last = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+        return pa.table([b.doc_ids, *(b.table.column(c) for c in keep), pa.array(size), pa.array(n_gone), pa.array(n_rises), last], names=["doc_id", *keep, "n_bytes", "n_removed", "n_spans", "kept"])
 
     shared = blocks.groupBy("block").applyInArrow(minimisers, _MINIMISERS).groupBy("bucket").applyInArrow(meet_minimisers, _FLAGS).repartition(n_blocks, "block")
     late = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(segments, _SEGMENTS).groupBy("bucket").applyInArrow(meet_segments, _FLAGS).repartition(n_blocks, "block")

@@ -26,12 +26,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import texts_of
+from .kernel import batches
 
 LENGTH = 2048
 BATCH = 256
-#: Words whose ids a worker keeps.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker keeps, and words that are encoded at once.
+CACHE_WORDS = 200_000
+ENCODE_WORDS = 2048
+#: Bytes of text that are split into words at once.
+CHUNK_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -57,15 +60,16 @@ class WordEncoder:
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, as the bytes of an array."""
-        split = [t.encode("utf-8").split() for t in texts]
+        split = [t.split() for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
         new = list({w for words in split for w in words if w not in known})
-        if new:
-            for w, e in zip(new, self.tokenizer.encode_batch([x.decode("utf-8") for x in new], add_special_tokens=False), strict=True):
+        for k in range(0, len(new), ENCODE_WORDS):
+            some = new[k : k + ENCODE_WORDS]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast([x.decode("utf-8") for x in some], add_special_tokens=False), strict=True):
                 known[w] = np.array(e.ids, self.dtype).tobytes()
         return [b"".join([known[w] for w in words]) + self.end for words in split]
 
@@ -130,11 +134,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         encode = WordEncoder(tokenizer_path, end_id, dtype)
 
         def documents():
-            for batch in stream:
-                for a in range(0, batch.num_rows, 512):
-                    rows = batch.slice(a, 512)
-                    texts = [x or "" for x in rows.column(1).to_pylist()]
-                    yield from zip(rows.column(0).to_pylist(), encode(texts), strict=True)
+            for rows, texts in batches(stream, CHUNK_BYTES):
+                yield from zip(rows.column(0).to_pylist(), encode(texts), strict=True)
 
         name, own = f"part-{part:06d}", uuid.uuid4().hex
         paths = [(f"{base}/.{own}-{k}", f"{base}/{name}.{k}") for k in ("ids.arrow", "index.arrow")]
