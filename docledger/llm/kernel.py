@@ -123,6 +123,47 @@ def cover(mask_starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(delta[:n]) > 0
 
 
+class IdCache:
+    """The ids of pieces of text under 64-bit hashes, as arrays: about 30 bytes a piece. Full, it starts anew."""
+
+    def __init__(self, dtype, most: int):
+        self.dtype, self.most = np.dtype(dtype), most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.begin, self.size, self.ids, self.n_ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 16, self.dtype), 0
+
+    def _learn(self, hashes: np.ndarray, got: list[list[int]]) -> None:
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        total = self.n_ids + int(size.sum())
+        if total > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.n_ids], np.zeros(total, self.dtype)])
+        self.ids[self.n_ids : total] = [i for ids in got for i in ids]
+        slots = len(self.begin) + np.arange(len(got))
+        self.begin = np.concatenate([self.begin, self.n_ids + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.n_ids = total
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
+
+    def __call__(self, hashed: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where each piece's ids begin (one more entry). ``encode`` gets the numbers of pieces to encode."""
+        distinct, where, which = np.unique(hashed, return_index=True, return_inverse=True)
+        new = np.arange(len(distinct))
+        if len(self.hashes):
+            new = new[self.hashes[np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)] != distinct]
+        if len(new):
+            if len(self.hashes) + len(new) > self.most and len(self.hashes):
+                self._forget()
+                new = np.arange(len(distinct))
+            self._learn(distinct[new], encode(where[new]))
+        slot = self.slots[np.searchsorted(self.hashes, distinct)][which]
+        size = self.size[slot]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        return self.ids[np.repeat(self.begin[slot] - upto[:-1], size) + np.arange(int(upto[-1]))], upto
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """A string or binary column as bytes; null is empty."""
     if isinstance(column, pa.ChunkedArray):

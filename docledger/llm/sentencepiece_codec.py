@@ -16,7 +16,6 @@ has seen.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,17 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import batches
+from .kernel import Chunk, IdCache, RangeHash, batches
 
 MARK = "▁"
 #: Stretches whose ids a worker keeps.
-CACHE = 400_000
-#: Characters of one stretch that is kept; longer ones are encoded anew.
-CACHE_CHARS = 64
+CACHE = 1_500_000
 #: What an unknown character costs, below the lowest score.
 UNKNOWN_PENALTY = 10.0
-#: Characters at which a text may fall apart, if the vocabulary allows it.
-_EDGES = "\n\t\r!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~0123456789"
 
 
 class Vocabulary:
@@ -64,51 +59,38 @@ class Vocabulary:
             self.automaton.add_word(piece, (len(piece), i, score))
         self.automaton.make_automaton()
         self.floor = min((s for *_, s in usable), default=0.0) - UNKNOWN_PENALTY
-        self.stretch = self._stretches([p for p, *_ in usable])
+        self.alone = self._alone([p for p, *_ in usable])
         self.is_byte = {i: b for b, i in self.byte_id.items()}
 
-    @staticmethod
-    def _stretches(pieces: list[str]) -> re.Pattern | None:
-        """Matches the stretches of a text, or None if pieces span the places before marks."""
+    def _alone(self, pieces: list[str]) -> np.ndarray | None:
+        """Which ASCII bytes stand beside no other character in any piece; None if pieces go on across marks."""
         if any(MARK in p.lstrip(MARK) for p in pieces):
             return None
-        inside = {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
-        after, before = {x[0] for x in inside}, {x[1] for x in inside}
-        alone = "".join(re.escape(c) for c in _EDGES if c not in after and c not in before)
-        # Characters that no piece has behind a character of another kind: a stretch may start with them.
-        first = [c for c in _EDGES if c in before or c in after]
-        while bad := [c for c in first if any(x[1] == c and x[0] != MARK and x[0] not in first for x in inside)]:
-            first = [c for c in first if c not in bad]
-        edge = "".join(re.escape(c) for c in first)
-        runs = f"[{edge}]*" if edge else ""
-        parts = ([f"[{alone}]"] if alone else []) + [f"{MARK}+{runs}[^{MARK}{edge}{alone}]*"] + ([f"[{edge}]+[^{MARK}{edge}{alone}]*"] if edge else []) + [f"[^{MARK}{edge}{alone}]+"]
-        return re.compile("|".join(parts))
+        inside = {c for p in pieces if len(p) > 1 for c in p}
+        return np.array([b < 0x80 and b != 0x20 and chr(b) not in inside for b in range(256)])
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the best segmentation of a text in which spaces are marks already."""
-        n = len(text)
+        n, floor = len(text), self.floor
         best = [float("-inf")] * (n + 1)
         best[0] = 0.0
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-        done = 0  # positions up to here are final
-
-        def settle(upto: int) -> None:
-            """A character that no piece ends at is bridged by an unknown one."""
-            nonlocal done
-            while done < upto:
-                bridged = best[done] + self.floor
-                if bridged > best[done + 1]:
-                    best[done + 1], back[done + 1] = bridged, (done, -1)
+        back: list[tuple[int, int] | None] = [None] * (n + 1)
+        done = 0  # the best scores up to here are final
+        for last, (size, i, score) in self.automaton.iter(text):
+            while done < last:  # a character at which no piece ends is bridged by an unknown one
+                bridged = best[done] + floor
                 done += 1
-
-        for end, (size, i, score) in self.automaton.iter(text):
-            end += 1
-            settle(end - 1)
-            start = end - size
+                if bridged > best[done]:
+                    best[done], back[done] = bridged, (done - 1, -1)
+            start = last + 1 - size
             got = best[start] + score
-            if got > best[end]:
-                best[end], back[end] = got, (start, i)
-        settle(n)
+            if got > best[last + 1]:
+                best[last + 1], back[last + 1] = got, (start, i)
+        while done < n:
+            bridged = best[done] + floor
+            done += 1
+            if bridged > best[done]:
+                best[done], back[done] = bridged, (done - 1, -1)
         out: list[list[int]] = []
         at = n
         while at:
@@ -125,31 +107,44 @@ class Vocabulary:
 
 class Codec:
     def __init__(self, path: str, prefix_space: bool = True):
-        self.vocabulary = Vocabulary(path)
-        self.prefix = MARK if prefix_space else ""
-        self.dtype = np.dtype(np.uint16 if self.vocabulary.size <= 1 << 16 else np.uint32)
-        self.known: dict[str, bytes] = {}
-        v = self.vocabulary
+        self.vocabulary = v = Vocabulary(path)
+        self.prefix = b" " if prefix_space else b""
+        self.dtype = np.dtype(np.uint16 if v.size <= 1 << 16 else np.uint32)
+        self.cache = IdCache(self.dtype, CACHE)
         self.shown = [bytes([v.is_byte[i]]) if i in v.is_byte else (" \u2047 " if i == v.unknown else p).encode("utf-8") for i, p in enumerate(v.pieces)]
 
-    def _ids(self, stretch: str) -> bytes:
-        return np.array(self.vocabulary.viterbi(stretch), self.dtype).tobytes()
+    def _starts(self, chunk: Chunk) -> np.ndarray:
+        """Where stretches begin: at each text, at runs of spaces, at and after characters that stand alone."""
+        first = np.zeros(len(chunk.buf), bool)
+        if self.vocabulary.alone is not None:
+            space, alone = chunk.buf == 0x20, self.vocabulary.alone[chunk.buf]
+            first[1:] = (space[1:] & ~space[:-1]) | alone[1:] | alone[:-1]
+            # A mark in the text itself runs on into spaces.
+            mark = np.flatnonzero((chunk.buf[:-3] == 0xE2) & (chunk.buf[1:-2] == 0x96) & (chunk.buf[2:-1] == 0x81) & space[3:])
+            first[mark + 3] = False
+        first[chunk.off[:-1]] = True
+        ends = chunk.off[1:] - 1  # the separators
+        first[ends] = False
+        return np.flatnonzero(first)
+
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (UTF-8) in one array, and where each text's begin (one more entry than texts)."""
+        chunk = Chunk([self.prefix + t if t else t for t in texts])
+        if not len(chunk.buf):
+            return np.zeros(0, self.dtype), np.zeros(1, np.int64)
+        start = self._starts(chunk)
+        first = np.searchsorted(start, chunk.off)
+        end = np.minimum(np.append(start[1:], len(chunk.buf)), (chunk.off[1:] - 1)[np.repeat(np.arange(chunk.n), np.diff(first))])
+        viterbi = self.vocabulary.viterbi
+
+        def encode(which: np.ndarray) -> list[list[int]]:
+            return [viterbi(chunk.raw[a:b].decode("utf-8", "replace").replace(" ", MARK)) for a, b in zip(start[which].tolist(), end[which].tolist(), strict=True)]
+
+        ids, upto = self.cache(RangeHash(chunk.buf)(start, end), encode)
+        return ids, upto[first]
 
     def encode(self, text: str) -> np.ndarray:
-        marked = self.prefix + text.replace(" ", MARK) if text else ""
-        if self.vocabulary.stretch is None:
-            return np.frombuffer(self._ids(marked), self.dtype)
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known, out = self.known, []
-        for s in self.vocabulary.stretch.findall(marked):
-            ids = known.get(s)
-            if ids is None:
-                ids = self._ids(s)
-                if len(s) <= CACHE_CHARS:
-                    known[s] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), self.dtype)
+        return self.encode_all([text.encode("utf-8")])[0]
 
     def decode(self, ids) -> str:
         table = self.shown
@@ -158,6 +153,16 @@ class Codec:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+_codecs: dict[str, Codec] = {}
+
+
+def codec_of(path: str) -> Codec:
+    """The codec of this worker process, which keeps what it knows from one task to the next."""
+    if path not in _codecs:
+        _codecs[path] = Codec(path)
+    return _codecs[path]
+
+
 def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = (), with_ids: bool = True, check: bool = False) -> DataFrame:
     """Columns of ``keep``, then ids (array<int>, if asked for), n_tokens, ids_crc32 and, with ``check``, round_trip.
 
@@ -169,21 +174,20 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = (), wit
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["ids array<int>"] * with_ids + ["n_tokens long", "ids_crc32 long"] + ["round_trip boolean"] * check)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
-        for batch, texts in batches(stream, 2 << 20):
-            decoded = [t.decode("utf-8", "replace") for t in texts]
-            ids = [codec.encode(t) for t in decoded]
+        codec = codec_of(path)
+        for batch, texts in batches(stream, 1 << 20):
+            ids, at = codec.encode_all(texts)
+            cut = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
             columns = [batch.column(k) for k in range(len(kept))]
             names = list(kept.names)
             if with_ids:
-                flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+                columns.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32))))
                 names.append("ids")
-            columns += [pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").data) for x in ids], pa.int64())]
+            wide = ids.astype("<u4")
+            columns += [pa.array(np.diff(at)), pa.array([zlib.crc32(wide[a:b].data) for a, b in cut], pa.int64())]
             names += ["n_tokens", "ids_crc32"]
             if check:
-                columns.append(pa.array([codec.decode(x) == t.replace(MARK, " ") for x, t in zip(ids, decoded, strict=True)]))
+                columns.append(pa.array([codec.decode(ids[a:b]) == t.decode("utf-8", "replace").replace(MARK, " ") for (a, b), t in zip(cut, texts, strict=True)]))
                 names.append("round_trip")
             yield pa.record_batch(columns, names=names)
 
@@ -197,7 +201,7 @@ def decode_documents(tokens: DataFrame, path: str, keep: tuple[str, ...] = ()) -
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["text string"])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for batch in stream:
             texts = [codec.decode([i for i in ids if i is not None]) if ids else "" for ids in batch.column(len(kept)).to_pylist()]
             yield pa.record_batch([*(batch.column(k) for k in range(len(kept))), pa.array(texts, pa.string())], names=[*kept.names, "text"])
