@@ -9,12 +9,17 @@ second one with doc_id, start (within the file) and n_tokens of each document.
 A task writes under a name of its own and renames when done, so a task that runs twice leaves one whole file.  Files go
 to a folder that all executors share, through a file system found from its URI.
 
-Encoding: a word never changes its ids with its neighbours, because the vocabulary's pre-tokenizer splits at white space,
-so each worker keeps the ids of words it has seen; the tokenizers library encodes the others in batches.
+Encoding: the vocabulary's pre-tokenizer splits a text at white space and between letters, single digits and other
+characters, and lower-cases it, so pieces of a text never change their ids with their neighbours.  Pieces of ASCII and of
+Latin-1 letters are found as array operations; the library's model encodes each distinct one.  A word with any other
+character, with an apostrophe (contractions) or with ``<|`` (special tokens) goes through the whole library.  Each worker
+keeps the ids of pieces under a 64-bit hash, as arrays.  ``PieceEncoder`` checks the vocabulary's description and refuses
+one with other rules.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -26,14 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import batches
+from .kernel import LOWER, Chunk, IdCache, RangeHash, batches
 
 LENGTH = 2048
 BATCH = 256
-#: Words whose ids a worker keeps, and words that are encoded at once.
-CACHE_WORDS = 200_000
-ENCODE_WORDS = 2048
-#: Bytes of text that are split into words at once.
+#: Pieces whose ids a worker keeps: about 30 bytes each.
+CACHE_PIECES = 1_500_000
+#: Bytes of text that are encoded at once.
 CHUNK_BYTES = 1 << 20
 
 
@@ -49,42 +53,113 @@ def _files(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
 
 
-class WordEncoder:
-    """Encodes texts word by word; words are what ASCII white space separates."""
+_SPACE, _LETTER, _DIGIT, _OTHER, _ODD = range(5)
+_CLASS = np.array(
+    [
+        _SPACE if b == 0x20 or 0x09 <= b <= 0x0D else _DIGIT if 0x30 <= b <= 0x39 else _LETTER if 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A else _OTHER if 0x21 <= b <= 0x7E and b != 0x27 else _ODD
+        for b in range(256)
+    ],
+    np.uint8,
+)
+_LOWER = np.frombuffer(LOWER, np.uint8)
+#: How a byte-level vocabulary writes a byte: printable Latin-1 as itself, the others in order from U+0100.
+_shown = {b: b for b in [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]}
+_BYTE = [chr(_shown.get(b, 0x100 + sum(x not in _shown for x in range(b)))) for b in range(256)]
+
+
+class PieceEncoder:
+    """Encodes texts piece by piece. A piece is bytes ``start`` .. ``end`` of the lower-cased text."""
 
     def __init__(self, path: str, end_id: int | None, dtype):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype(dtype)
-        self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text, as the bytes of an array."""
-        split = [t.split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for k in range(0, len(new), ENCODE_WORDS):
-            some = new[k : k + ENCODE_WORDS]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([x.decode("utf-8") for x in some], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, self.dtype).tobytes()
-        return [b"".join([known[w] for w in words]) + self.end for words in split]
+        with _files(path)[0].open_input_stream(_files(path)[1]) as f:
+            text = f.read().decode("utf-8")
+        rules = json.loads(text)
+        kinds = [x["type"] for x in rules["normalizer"]["normalizers"]], [x["type"] for x in rules["pre_tokenizer"]["pretokenizers"]]
+        if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) or not rules["pre_tokenizer"]["pretokenizers"][0]["invert"]:
+            raise ValueError(f"{path}: a vocabulary with other rules")
+        self.tokenizer = Tokenizer.from_str(text)
+        self.model = self.tokenizer.model
+        self.dtype, self.end_id = np.dtype(dtype), end_id
+        self.cache = IdCache(self.dtype, CACHE_PIECES)
+
+    @staticmethod
+    def _pieces(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The lower-cased buffer, and of each piece the start, the end and whether it needs the whole library."""
+        kind = _CLASS[buf]
+        lower = _LOWER[buf]
+        lead = np.flatnonzero(buf[:-1] == 0xC3)
+        second = buf[lead + 1]
+        good = (second >= 0x80) & (second <= 0xBF) & (second != 0x97) & (second != 0xB7)
+        lead, second = lead[good], second[good]
+        kind[lead] = kind[lead + 1] = _LETTER
+        lower[lead + 1] = np.where(second <= 0x9E, second + 0x20, second)
+        kind[np.flatnonzero((buf[:-1] == 0x3C) & (buf[1:] == 0x7C))] = _ODD
+        inside = kind != _SPACE
+        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        if inside[0]:
+            edge = np.concatenate([np.zeros(1, edge.dtype), edge])
+        w_start, w_end = edge[0::2], edge[1::2]
+        if not len(w_start):
+            return lower, w_start, w_end, np.zeros(0, bool)
+        odd_at = np.flatnonzero(kind == _ODD)
+        odd_word = np.searchsorted(odd_at, w_start) != np.searchsorted(odd_at, w_end)
+        for a, b in zip(w_start[odd_word].tolist(), w_end[odd_word].tolist(), strict=True):
+            kind[a:b] = _ODD
+            lower[a:b] = buf[a:b]
+        first = np.zeros(len(buf), bool)
+        first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        first[0] = True
+        start = np.flatnonzero(first & inside)
+        stop = np.flatnonzero(first)
+        end = stop[np.searchsorted(stop, start, side="right")]  # the buffer ends with a separator
+        return lower, start, end, kind[start] == _ODD
+
+    def _encode(self, piece: bytes, odd: bool) -> list[int]:
+        if odd:
+            return self.tokenizer.encode(piece.decode("utf-8"), add_special_tokens=False).ids
+        return [t.id for t in self.model.tokenize("".join([_BYTE[b] for b in piece]))]
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and how many each has."""
+        chunk = Chunk(texts)
+        if not len(chunk.buf):
+            return np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
+        lower, start, end, odd = self._pieces(chunk.buf)
+        hashed = RangeHash(lower)(start, end) ^ np.where(odd, np.uint64(0xA5A5A5A55A5A5A5A), np.uint64(0))
+        raw = lower.tobytes()
+        ids, upto = self.cache(hashed, lambda w: [self._encode(raw[a:b], o) for a, b, o in zip(start[w].tolist(), end[w].tolist(), odd[w].tolist(), strict=True)])
+        first = np.searchsorted(start, chunk.off)
+        count = np.diff(upto[first])
+        if self.end_id is not None:
+            ids = np.insert(ids, upto[first[1:]], self.end_id)
+            count = count + 1
+        return ids, count
+
+
+_encoders: dict[tuple, PieceEncoder] = {}
+
+
+def piece_encoder(path: str, end_id: int | None, dtype: str) -> PieceEncoder:
+    """The encoder of this worker process, which keeps what it knows from one task to the next."""
+    key = (path, end_id, dtype)
+    if key not in _encoders:
+        _encoders[key] = PieceEncoder(path, end_id, dtype)
+    return _encoders[key]
 
 
 def _id_type(vocabulary: int):
     return np.uint16 if vocabulary <= 1 << 16 else np.uint32
 
 
-def _write_file(fs, path: str, documents: Iterator[tuple[int | None, bytes]], dtype, index_path: str) -> tuple[int, int]:
-    """Returns the numbers of documents and ids."""
+def _write_file(fs, path: str, documents: Iterator[tuple[list, np.ndarray, np.ndarray]], dtype, index_path: str) -> tuple[int, int]:
+    """From batches of doc_ids, ids and counts. Returns the numbers of documents and ids."""
     kind = pa.from_numpy_dtype(dtype)
     schema = pa.schema([("ids", pa.list_(kind, LENGTH)), ("mask", pa.list_(pa.bool_(), LENGTH))])
-    size, most = np.dtype(dtype).itemsize, LENGTH * BATCH
+    most = LENGTH * BATCH
     doc_ids: list[int | None] = []
-    counts: list[int] = []
+    counts: list[np.ndarray] = [np.zeros(0, np.int64)]
     with fs.open_output_stream(path) as sink, pa.ipc.new_file(sink, schema) as writer:
 
         def write(ids: np.ndarray) -> None:
@@ -94,25 +169,22 @@ def _write_file(fs, path: str, documents: Iterator[tuple[int | None, bytes]], dt
             arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x), LENGTH) for x in (flat, mask)]
             writer.write_batch(pa.record_batch(arrays, schema=schema))
 
-        pending, held = [], 0
-        for doc_id, data in documents:
-            doc_ids.append(doc_id)
-            counts.append(len(data) // size)
-            pending.append(data)
-            held += counts[-1]
-            if held >= most:
-                ids = np.frombuffer(b"".join(pending), dtype)
-                whole = held // most * most
-                for a in range(0, whole, most):
-                    write(ids[a : a + most])
-                pending, held = [ids[whole:].tobytes()], held - whole
-        if held:
-            write(np.frombuffer(b"".join(pending), dtype))
-    n = np.array(counts, np.int64)
+        held = np.zeros(0, dtype)
+        for names, ids, count in documents:
+            doc_ids += names
+            counts.append(count)
+            held = np.concatenate([held, ids])
+            whole = len(held) // most * most
+            for a in range(0, whole, most):
+                write(held[a : a + most])
+            held = held[whole:]
+        if len(held):
+            write(held)
+    n = np.concatenate(counts)
     index = pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "start": np.cumsum(n) - n, "n_tokens": n})
     with fs.open_output_stream(index_path) as sink, pa.ipc.new_file(sink, index.schema) as writer:
         writer.write_table(index)
-    return len(counts), int(n.sum())
+    return len(n), int(n.sum())
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int | None, n_files: int | None = None) -> DataFrame:
@@ -131,11 +203,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         part = TaskContext.get().partitionId()
         fs, base = _files(folder)
         fs.create_dir(base, recursive=True)
-        encode = WordEncoder(tokenizer_path, end_id, dtype)
+        encode = piece_encoder(tokenizer_path, end_id, dtype)
 
         def documents():
             for rows, texts in batches(stream, CHUNK_BYTES):
-                yield from zip(rows.column(0).to_pylist(), encode(texts), strict=True)
+                yield rows.column(0).to_pylist(), *encode(texts)
 
         name, own = f"part-{part:06d}", uuid.uuid4().hex
         paths = [(f"{base}/.{own}-{k}", f"{base}/{name}.{k}") for k in ("ids.arrow", "index.arrow")]
