@@ -72,19 +72,24 @@ def run(files: DataFrame, store: merge.Store, batch: str, now: Column | None = N
         return False
     now = F.current_timestamp() if now is None else now
     documents = store.table("invoice_documents")
-    decided = intake.decide(examined(files), documents)
+
+    def once(rows: DataFrame, name: str) -> DataFrame:
+        """Written and read back: used several times below, recognised and parsed once."""
+        path = f"{store.root}/_work/{batch}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return store.spark.read.schema(rows.schema).parquet(path)
+
+    decided = once(intake.decide(examined(files), documents), "decided")
     ready = intake.last_of_name(intake.ready(decided)).select("path", F.col("target_name").alias("file_name"), "file_hash")
-    texts = ocr(files.select("path", F.col("file_name").alias("read_as"), "content").join(ready, "path").withColumn("file_name", F.col("file_name")), backend)
-    good = texts.where("ocr.success").select("file_name", "file_hash", F.col("ocr.text").alias("text"))
-    new = to_documents(validate(extract(good)), parity)
-    unread = texts.where("not ocr.success").select("file_name", "file_hash", F.lit("failed").alias("status"), F.col("ocr.error").alias("failure_reason"))
+    texts = ocr(files.select("path", "content").join(ready, "path"), backend)
+    read = once(texts.select("file_name", "file_hash", "ocr.success", "ocr.text", "ocr.error"), "texts")
+    new = once(to_documents(validate(extract(read.where("success").select("file_name", "file_hash", "text"))), parity), "new")
+    unread = read.where("not success").select("file_name", "file_hash", F.lit("failed").alias("status"), F.col("error").alias("failure_reason"))
     refused = decided.where("status = 'failed'").groupBy("file_name").agg(F.max_by(F.struct("file_hash", "reason"), "path").alias("r"))
     refused = refused.select("file_name", F.col("r.file_hash").alias("file_hash"), F.lit("failed").alias("status"), F.col("r.reason").alias("failure_reason"))
-    merged = merge.upsert_success(documents, new.drop("line_items"), now)
-    merged = merge.upsert_failed(merged, unread.unionByName(refused).dropDuplicates(["file_name"]), now)
-    number = f"{store.root}/_work/{batch}"
-    merged.write.mode("overwrite").parquet(number)
-    merged = store.spark.read.schema(documents.schema).parquet(number)
+    merged = once(merge.upsert_success(documents, new.drop("line_items"), now), "succeeded")
+    failed = unread.unionByName(refused).groupBy("file_name").agg(F.max(F.struct("file_hash", "status", "failure_reason")).alias("r")).select("file_name", "r.*")
+    merged = once(merge.upsert_failed(merged, failed, now), "merged")
     found = merge.matches(merged, new.select("file_name", "file_hash"))
     items = new.select("file_name", F.explode("line_items").alias("x")).join(found, F.col("file_name") == F.col("new_name"))
     items = items.select("document_id", "x.description", F.col("x.quantity").try_cast("decimal(18,4)").alias("quantity"), *(F.col(f"x.{c}").try_cast("decimal(10,2)").alias(c) for c in ("unit_price", "line_total")))

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.basic import suffix
+
 PREPARATION = ("to_grayscale", "denoise", "enhance_contrast", "deskew", "threshold")
 RESULT = "struct<success:boolean,text:string,error:string>"
 
@@ -61,7 +63,5 @@ def ocr(files: DataFrame, backend: Backend | None = None) -> DataFrame:
         for content, extension in batches:
             yield pd.DataFrame([recognise(backend, c, e) for c, e in zip(content, extension, strict=True)], columns=["success", "text", "error"])
 
-    udf = F.pandas_udf(run, RESULT, F.PandasUDFType.SCALAR_ITER)
-    from ..functions.basic import suffix
-
+    udf = F.pandas_udf(run, RESULT)
     return files.withColumn("ocr", udf("content", F.lower(suffix(F.col("file_name"))))).drop("content")
