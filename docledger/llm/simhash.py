@@ -211,9 +211,10 @@ def links(fps: DataFrame, budget: int = BUDGET, trie_rows: int = TRIE_ROWS) -> D
     dealt = keyed.repartition(n, "k", "v", "k2", "v2")
 
     def join(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(stream))
-        if not table.num_rows:
+        got = [b for b in stream if b.num_rows]
+        if not got:
             return
+        table = pa.Table.from_batches(got)
         fp, k, v, k2, v2 = (table.column(c).to_numpy() for c in ("fp", "k", "v", "k2", "v2"))
         fp = fp.astype(np.int64).view(np.uint64)
         for kind in np.unique(k).tolist():
