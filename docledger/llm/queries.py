@@ -111,4 +111,35 @@ QUERIES = {
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words_sql(table: str, key: str) -> str:
+    return rf"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM {table}"
+
+
+#: SQL for the operators whose whole result SQL can state. The others hold models, fingerprints or tokenizers.
+ORACLES: dict[str, str] = {
+    "op3_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13),
+g AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS h FROM p),
+f AS (SELECT h, min(doc_id) AS d FROM g GROUP BY h),
+gone AS (SELECT DISTINCT g.doc_id, g.i + t.k AS j FROM g JOIN f ON g.h = f.h AND f.d < g.doc_id, (SELECT unnest(range(13)) AS k) t),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (SELECT words.doc_id, count(gone.j) AS n_removed, string_agg(word, ' ' ORDER BY words.j) FILTER (WHERE gone.j IS NULL) AS rest
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.j = gone.j GROUP BY words.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op6_decontaminate": f"""
+WITH w AS ({_words_sql("documents", "doc_id")}), b AS ({_words_sql("benchmark", "item_id")}),
+bp AS (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0),
+win AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(len(ws), 10) AS n, md5(array_to_string(ws[i:i + 9], ' ')) AS h FROM bp),
+dp AS (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, (SELECT DISTINCT n FROM win) WHERE len(ws) >= n),
+dh AS (SELECT doc_id, n, i, md5(array_to_string(ws[i:i + n - 1], ' ')) AS h FROM dp),
+hit AS (SELECT doc_id, dh.n, i, item FROM dh JOIN win ON dh.h = win.h AND dh.n = win.n),
+covered AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, i + t.k AS j FROM hit, (SELECT unnest(range(10)) AS k) t WHERE t.k < hit.n) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN covered ON w.doc_id = covered.doc_id LEFT JOIN named ON w.doc_id = named.doc_id""",
+}

@@ -81,10 +81,10 @@ class _Words:
         return bucket[first].astype(np.int64), a[first], b[first].astype(np.uint32), self.ids[self.doc[where[first]]], which
 
 
-def _flags(table: pa.Table, stage: int, total: int) -> np.ndarray:
-    """The answers of one stage as one array, in bucket order."""
+def _flags(table: pa.Table, stage: int, total: int, each: int = 1) -> np.ndarray:
+    """The answers of one stage as one array, in bucket order; ``each`` bits a key."""
     rows = sorted((b, n, f) for s, b, n, f in zip(*(table.column(c).to_pylist() for c in ("stage", "bucket", "n", "flags")), strict=True) if s == stage)
-    got = np.concatenate([np.zeros(0, bool), *(B.unpack_bits(f, n) for _, n, f in rows)])
+    got = np.concatenate([np.zeros(0, bool), *(B.unpack_bits(f, each * n) for _, n, f in rows)])
     if len(got) != total:
         raise RuntimeError(f"a block got {len(got)} answers for {total} keys")
     return got

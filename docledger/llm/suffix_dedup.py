@@ -8,6 +8,10 @@ that occur in one place only are set aside in a first exchange; the segments of
 the distinct ones with one suffix array.  Neighbours in the array with a common prefix of a whole window are equal
 windows, and the earliest stays.
 
+A minimiser that stands in more than ``HOT`` distinct segments, such as a line that very many documents hold amid text of
+their own, would gather a shard that grows with the corpus.  The windows of its segments are dealt by their own hashes
+instead, one window at a time, after equal windows of a block have become one; equal means 96 bits of hash.
+
 Definition.  Texts are UTF-8 bytes, null is empty, matches never cross documents.  A byte is removed if a string of
 ``WINDOW`` bytes covers it that also starts earlier: in a row with a smaller doc_id, or in one with the same doc_id at an
 earlier start.  Strings are judged on the input.  A null doc_id is smaller than every other.
@@ -27,10 +31,14 @@ from .suffix_array import permuted_common_prefixes, suffix_array
 WINDOW = 100
 KMER = 28
 _SPAN = WINDOW - KMER + 1
+#: Distinct segments that one minimiser may bring to a shard: about 3 MB of text.
+HOT = 20_000
 _LOW40 = np.uint64((1 << 40) - 1)
+_OTHER = np.random.default_rng(7).permutation(256).astype(np.uint8)
 
-_MINIMISERS = "bucket int, block int, n int, keys binary"
-_SEGMENTS = "bucket int, block int, n int, lens binary, docs binary, starts binary, bytes binary"
+_MINIMISERS = "bucket int, block int, n int, keys binary, counts binary"
+#: Kind 2: segments with their lengths and bytes; kind 3: single windows with their hashes in place of the bytes.
+_PIECES = "kind int, bucket int, block int, n int, lens binary, docs binary, starts binary, bytes binary"
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -96,14 +104,43 @@ class _Block:
         self.keys = key[heads]
         size = np.diff(np.append(heads, len(key)))
         self.which = np.repeat(np.arange(len(heads)), size)
-        self.alone = size == 1
+        self.count = size
+
+    def _pick(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Which distinct segments have a minimiser that occurs elsewhere too, and which of those a hot one."""
+        told = _flags(answers, 1, 2 * len(self.keys), 2).reshape(-1, 2)
+        return (told[:, 0] | (self.count > 1))[self.which], told[:, 1][self.which]
 
     def sent(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct segments whose minimiser occurs elsewhere too, and their buckets."""
-        shared = _flags(answers, 1, len(self.keys)) | ~self.alone
-        pick = np.flatnonzero(shared[self.which])
+        """The segments that go to shards, and their buckets."""
+        shared, hot = self._pick(answers)
+        pick = np.flatnonzero(shared & ~hot)
         return self.own[pick], (self.keys[self.which[pick]] >> np.uint64(40)).astype(np.int64)
 
+    def hot_windows(self, answers: pa.Table, n_buckets: int):
+        """The windows of segments with hot minimisers.
+
+        Of each: its segment and its place there. Of distinct ones in bucket order: the bucket, two hashes and the first
+        window with them; and the number of each window's distinct one.
+        """
+        shared, hot = self._pick(answers)
+        own = self.own[shared & hot]
+        count = self.len[own] - WINDOW + 1
+        seg = np.repeat(own, count)
+        inside = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        chunk = Chunk([self.texts[d][a : a + n] for d, a, n in zip(self.doc[own].tolist(), self.start[own].tolist(), self.len[own].tolist(), strict=True)])
+        at = np.repeat(chunk.off[:-1], count) + inside
+        a = RangeHash(chunk.buf)(at, at + WINDOW) if len(at) else np.zeros(0, np.uint64)
+        # A second hash, of the same bytes through another table.
+        b = RangeHash(_OTHER[chunk.buf])(at, at + WINDOW) >> np.uint64(32) if len(at) else np.zeros(0, np.uint64)
+        bucket = (a >> np.uint64(40)) % np.uint64(n_buckets)
+        order = np.lexsort((self.start[seg] + inside, self.ids[self.doc[seg]], b, a, bucket))
+        heads = B.group_starts(a[order], b[order])
+        which = np.empty(len(order), np.int64)
+        which[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(order))))
+        first = order[heads]
+        return seg, inside, bucket[first].astype(np.int64), a[first], b[first].astype(np.uint32), first, which
+
 
 def _later_windows(lens: np.ndarray, docs: np.ndarray, starts: np.ndarray, pieces: list[bytes]) -> np.ndarray:
     """For all windows of these segments one after the other: does the window also start earlier?"""
@@ -143,37 +180,46 @@ def _later_windows(lens: np.ndarray, docs: np.ndarray, starts: np.ndarray, piece
     return out
 
 
-def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[str, ...] = (), as_text: bool = False, hot_segments: int = HOT) -> DataFrame:
     """One row for each input row: doc_id, the columns in ``keep``, n_bytes, n_removed, n_spans (maximal removed runs), kept.
 
     ``kept`` is binary. With ``as_text`` it is a string, without the rest of a character of which bytes were removed.
     """
     total = B.text_bytes(docs)
-    n_blocks, n_buckets = B.parts(docs, total, block_bytes), B.parts(docs, total, block_bytes)
+    n_blocks, n_buckets = B.parts(docs, total, block_bytes), B.parts(docs, total, block_bytes // 2)
     blocks = B.in_blocks(docs, n_blocks, keep=keep)
 
     def minimisers(table: pa.Table) -> pa.Table:
         block, b = table.column("block")[0].as_py(), _Block(table, n_buckets)
         low = (b.keys & _LOW40).view(np.uint8).reshape(-1, 8)[:, :5]
-        return _rows(_MINIMISERS, [(k, block, t - f, np.ascontiguousarray(low[f:t].T).tobytes()) for k, f, t in B.bucket_runs((b.keys >> np.uint64(40)).astype(np.int64))])
+        return _rows(_MINIMISERS, [(k, block, t - f, np.ascontiguousarray(low[f:t].T).tobytes(), B.planes(b.count[f:t].astype(np.uint32))) for k, f, t in B.bucket_runs((b.keys >> np.uint64(40)).astype(np.int64))])
 
     def meet_minimisers(table: pa.Table) -> pa.Table:
         bucket, ns = table.column("bucket")[0].as_py(), table.column("n").to_pylist()
         parts = [np.ascontiguousarray(np.vstack([np.frombuffer(x, np.uint8).reshape(5, -1), np.zeros((3, n), np.uint8)]).T).view(np.uint64).ravel() for x, n in zip(table.column("keys").to_pylist(), ns, strict=True)]
-        _, which, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        return _rows(_FLAGS, [(b, 1, bucket, n, B.pack_bits(f)) for b, n, f in zip(table.column("block").to_pylist(), ns, np.split((count > 1)[which], np.cumsum(ns)[:-1]), strict=True)])
+        own = np.concatenate([B.unplanes(x, np.uint32) for x in table.column("counts").to_pylist()])
+        keys, which, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        hot = np.bincount(which, own, len(keys)) > hot_segments
+        told = np.split(np.stack([(count > 1)[which], hot[which]], axis=1), np.cumsum(ns)[:-1])
+        return _rows(_FLAGS, [(b, 1, bucket, n, B.pack_bits(f.ravel())) for b, n, f in zip(table.column("block").to_pylist(), ns, told, strict=True)])
 
-    def segments(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def pieces(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _rows(_SEGMENTS, [])
+            return _rows(_PIECES, [])
         block, b = table.column("block")[0].as_py(), _Block(table, n_buckets)
         own, bucket = b.sent(answers)
         rows = []
         for k, f, t in B.bucket_runs(bucket):
             s = own[f:t]
             text = b"".join([b.texts[d][a : a + n] for d, a, n in zip(b.doc[s].tolist(), b.start[s].tolist(), b.len[s].tolist(), strict=True)])
-            rows.append((k, block, t - f, b.len[s].astype(np.uint8).tobytes(), B.planes(b.ids[b.doc[s]]), B.planes(b.start[s]), text))
-        return _rows(_SEGMENTS, rows)
+            rows.append((2, k, block, t - f, b.len[s].astype(np.uint8).tobytes(), B.planes(b.ids[b.doc[s]]), B.planes(b.start[s]), text))
+        seg, inside, bucket, x, y, first, _ = b.hot_windows(answers, n_buckets)
+        docs_of, starts = b.ids[b.doc[seg[first]]], b.start[seg[first]] + inside[first]
+        rows += [(3, k, block, t - f, b"", B.planes(docs_of[f:t]), B.planes(starts[f:t]), x[f:t].tobytes() + y[f:t].tobytes()) for k, f, t in B.bucket_runs(bucket)]
+        return _rows(_PIECES, rows)
+
+    def meet_pieces(table: pa.Table) -> pa.Table:
+        return meet_segments(table) if table.column("kind")[0].as_py() == 2 else meet_windows(table)
 
     def meet_segments(table: pa.Table) -> pa.Table:
         bucket, ns = table.column("bucket")[0].as_py(), table.column("n").to_pylist()
@@ -186,6 +232,18 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
         upto = np.concatenate([[0], np.cumsum(lens - WINDOW + 1)])[np.concatenate([[0], np.cumsum(ns)])]
         return _rows(_FLAGS, [(k, 2, bucket, int(b - a), B.pack_bits(later[a:b])) for k, a, b in zip(col["block"], upto[:-1], upto[1:], strict=True)])
 
+    def meet_windows(table: pa.Table) -> pa.Table:
+        bucket, ns, keys = table.column("bucket")[0].as_py(), table.column("n").to_pylist(), table.column("bytes").to_pylist()
+        x = np.concatenate([np.frombuffer(k, np.uint64, n) for k, n in zip(keys, ns, strict=True)])
+        y = np.concatenate([np.frombuffer(k, np.uint32, n, 8 * n) for k, n in zip(keys, ns, strict=True)])
+        ids, starts = (np.concatenate([B.unplanes(k, np.int64) for k in table.column(c).to_pylist()]) for c in ("docs", "starts"))
+        order = np.lexsort((starts, ids, y, x))
+        heads = B.group_starts(x[order], y[order])
+        least = np.repeat(order[heads], np.diff(np.append(heads, len(order))))
+        later = np.empty(len(x), bool)
+        later[order] = (ids[order] != ids[least]) | (starts[order] != starts[least])
+        return _rows(_FLAGS, [(k, 3, bucket, n, B.pack_bits(f)) for k, n, f in zip(table.column("block").to_pylist(), ns, np.split(later, np.cumsum(ns)[:-1]), strict=True)])
+
     out = ", ".join(["doc_id long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), "n_bytes long, n_removed long, n_spans long", "kept string" if as_text else "kept binary"])
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -212,6 +270,20 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
         at = (np.repeat(place[told], count) + inside)[hit]
         np.add.at(delta, at, 1)
         np.add.at(delta, at + WINDOW, -1)
+        seg, inside, _, x, _, first, which = b.hot_windows(answers, n_buckets)
+        if len(seg):
+            # A window is late if its first like in the block is, or if it stands later than that one.
+            start, doc = b.start[seg] + inside, b.ids[b.doc[seg]]
+            late = _flags(answers, 3, len(x))[which] | (doc != doc[first[which]]) | (start != start[first[which]])
+            back = np.full(len(b.doc), -1, np.int64)
+            heads = np.flatnonzero(inside == 0)
+            back[seg[heads]] = heads
+            told = np.flatnonzero(~b.later & (back[b.rep] >= 0))
+            count = b.len[told] - WINDOW + 1
+            step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            at = (np.repeat(place[told], count) + step)[late[np.repeat(back[b.rep[told]], count) + step]]
+            np.add.at(delta, at, 1)
+            np.add.at(delta, at + WINDOW, -1)
         gone = np.cumsum(delta[:-1]) > 0
         rises = gone.copy()
         rises[1:] &= ~gone[:-1]
@@ -224,5 +296,5 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
         return pa.table([b.doc_ids, *(b.table.column(c) for c in keep), pa.array(size), pa.array(n_gone), pa.array(n_rises), last], names=["doc_id", *keep, "n_bytes", "n_removed", "n_spans", "kept"])
 
     shared = blocks.groupBy("block").applyInArrow(minimisers, _MINIMISERS).groupBy("bucket").applyInArrow(meet_minimisers, _FLAGS).repartition(n_blocks, "block")
-    late = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(segments, _SEGMENTS).groupBy("bucket").applyInArrow(meet_segments, _FLAGS).repartition(n_blocks, "block")
+    late = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(pieces, _PIECES).groupBy("kind", "bucket").applyInArrow(meet_pieces, _FLAGS).repartition(n_blocks, "block")
     return blocks.groupBy("block").cogroup(shared.unionByName(late).groupBy("block")).applyInArrow(cut, out)

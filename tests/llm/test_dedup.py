@@ -46,8 +46,8 @@ def test_substring(docs, texts, block_bytes):
     assert sum(g[2] for g in got) > 500
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 4000])
-def test_suffix(docs, texts, block_bytes):
+@pytest.mark.parametrize(("block_bytes", "hot"), [(1 << 20, 20_000), (4000, 20_000), (4000, 2), (1 << 20, 0)])
+def test_suffix(docs, texts, block_bytes, hot):
     rows = sorted(((rank(i), (t or "").encode()) for i, t in texts), key=lambda r: r[0])
     first: dict[bytes, tuple[int, int]] = {}
     for i, t in rows:
@@ -61,9 +61,9 @@ def test_suffix(docs, texts, block_bytes):
                 gone[k : k + 100] = True
         spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
         expected.append((i, len(t), int(gone.sum()), spans, np.frombuffer(t, np.uint8)[~gone].tobytes()))
-    got = [(rank(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup(docs, block_bytes, keep=("label", "block")[:1]).collect()]
+    got = [(rank(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup(docs, block_bytes, keep=("label",), hot_segments=hot).collect()]
     assert sorted(got) == sorted(expected)
-    text = {(rank(r.doc_id), r.n_removed, r.kept) for r in suffix_dedup(docs, block_bytes, as_text=True).collect()}
+    text = {(rank(r.doc_id), r.n_removed, r.kept) for r in suffix_dedup(docs, block_bytes, as_text=True, hot_segments=hot).collect()}
     assert text == {(i, n, k.decode("utf-8", "ignore")) for i, _, n, _, k in expected}
 
 
