@@ -351,7 +351,12 @@ def _merge_inputs(spark, sf_dir):
     return stored, new.withColumn("file_name", name).drop("document_id", "processed_at")
 
 
-_NOW = F.lit("2030-01-01 00:00:00").cast("timestamp")
+
+
+def _now():
+    return F.lit("2030-01-01 00:00:00").cast("timestamp")
+
+
 _MERGE_SQL = f"""WITH i AS ({INVOICES}), top AS (SELECT max(document_id) AS t FROM i WHERE document_id % 3 <> 0),
 n AS (SELECT *, CASE WHEN document_id % 10 = 4 AND file_hash IS NOT NULL THEN 'copy_' || file_name ELSE file_name END AS new_name FROM i WHERE document_id % 2 = 0),
 fresh AS (SELECT *, t + row_number() OVER (ORDER BY md5(new_name), new_name) AS new_id FROM n, top WHERE document_id % 3 = 0)
@@ -365,7 +370,7 @@ UNION ALL SELECT new_id, new_name, file_hash, 'merged', status, failure_reason,
 )
 def upsert_docs(spark, sf_dir):
     stored, new = _merge_inputs(spark, sf_dir)
-    out = merge.upsert_success(stored, new.withColumn("invoice_number", F.lit("merged")), _NOW)
+    out = merge.upsert_success(stored, new.withColumn("invoice_number", F.lit("merged")), _now())
     return out.select("document_id", "file_name", "file_hash", "invoice_number", "status", "failure_reason", F.year("processed_at").cast("long").alias("processed_year"))
 
 
@@ -376,7 +381,7 @@ def upsert_docs(spark, sf_dir):
 def upsert_failed(spark, sf_dir):
     stored, new = _merge_inputs(spark, sf_dir)
     new = new.select("file_name", F.concat(F.lit("x"), "file_hash").alias("file_hash"), F.lit("failed").alias("status"), F.lit("gone").alias("failure_reason"))
-    out = merge.upsert_failed(stored, new, _NOW).where("processed_at < '2030-01-01' and not (document_id % 10 = 4 and file_hash is not null)")
+    out = merge.upsert_failed(stored, new, _now()).where("processed_at < '2030-01-01' and not (document_id % 10 = 4 and file_hash is not null)")
     return out.select("document_id", "file_name", "file_hash", "invoice_number", "status", "failure_reason")
 
 
