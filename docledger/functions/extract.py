@@ -53,8 +53,7 @@ def _month_number(name: Column) -> Column:
 
 
 def parse_date(raw: Column) -> Column:
-    """YYYY-MM-DD from one of four shapes; day first if the first number cannot be a month."""
-    raw = F.regexp_replace(strip(raw), r"\.+\z", "")
+    """YYYY-MM-DD from a stripped string of one of four shapes; day first if the first number cannot be a month."""
 
     def part(shape: str, group: int) -> Column:
         return first_match(raw, shape, group)
@@ -73,10 +72,14 @@ def parse_date(raw: Column) -> Column:
 
 
 def invoice_date(text: Column) -> Column:
-    """The first labelled date if it parses, else the first of each bare shape near the top."""
+    """The first labelled date if it parses, else the first of each bare shape near the top.
+
+    The candidates are cut out of the text once, into an array; everything after works on these short strings.
+    """
     head = F.left(text, F.lit(DATE_HEAD))
-    bare = (parse_date(first_match(head, "(?Ud)" + shape)) for shape in DATE_SHAPES)
-    return F.coalesce(parse_date(first_match(text, FLAGS + DATE_ANCHOR)), *bare)
+    found = F.array(first_match(text, FLAGS + DATE_ANCHOR), *(first_match(head, "(?Ud)" + shape) for shape in DATE_SHAPES))
+    short = F.transform(F.array_compact(found), lambda x: F.regexp_replace(strip(x), r"\.+\z", ""))
+    return F.get(F.array_compact(F.transform(short, parse_date)), F.lit(0))
 
 
 def vendor_name(text: Column) -> Column:
