@@ -262,7 +262,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, budget: int = BUDGET)
     placed = components(edges)
     # The smallest doc_id of a component, then of each fingerprint.
     least = fps.join(placed.withColumnRenamed("id", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    of_component = least.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Read back, so that the join below deals its sides itself and adaptive execution can split a component of very many
+    # fingerprints; the sums of the aggregation would tie it to their own partitions.
+    of_component = saved(least.groupBy("component").agg(F.min("least").alias("component_id")), "components")
     of_fp = least.select("fp", "component").join(of_component, "component").select("fp", "component_id")
     # A fingerprint that very many documents share is a skewed key of this join, which adaptive execution splits.
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
