@@ -49,15 +49,19 @@ PERMISSIVE = ("mit", "apache", "bsd", "isc", "cc0", "unlicense", "zlib", "0bsd",
 _TO_WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
+_COLON = re.compile(rb"\s*:?")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
-def to_postfix(expression: str) -> list[str] | None:
-    """The longest well-formed start of an expression in postfix form, lower-cased; None if there is none."""
+def to_postfix(expression: str, at: int = 0) -> list[str] | None:
+    """The longest well-formed start of an expression in postfix form, lower-cased; None if there is none.
+
+    The expression begins at a place of a text and ends at the first token that does not fit, or with the line.
+    """
     output: list[str] = []
     stack: list[str] = []
-    best: list[str] | None = None
-    operand, at = True, 0  # an operand is due next
+    best: tuple[int, list[str]] | None = None  # how much of the output, and what follows it
+    operand = True  # an operand is due next
     while m := _TOKEN.match(expression, at):
         token = m[1].lower().rstrip(".:") or "."
         at = m.end()
@@ -83,8 +87,8 @@ def to_postfix(expression: str) -> list[str] | None:
             output.append(token)
             operand = False
         if not operand and "(" not in stack:
-            best = output + stack[::-1]
-    return best
+            best = len(output), stack[::-1]
+    return None if best is None else output[: best[0]] + best[1]
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
@@ -129,10 +133,9 @@ class Scanner:
             verdicts.append(label.startswith(PERMISSIVE))
         if tags:
             spans = [m.span() for m in _WORD.finditer(text.translate(LOWER))]
+            whole = text.decode("latin-1")
             for w in tags:
-                after = spans[w - 1][1]
-                line = re.sub(rb"\A\s*:?", b"", text[after : after + 4096]).split(b"\n", 1)[0].decode("latin-1")
-                postfix = to_postfix(line)
+                postfix = to_postfix(whole, _COLON.match(text, spans[w - 1][1]).end())
                 if postfix:
                     named, allowed = evaluate(postfix)
                     labels |= named
