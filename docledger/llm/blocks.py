@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import numbered
+
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 8 << 20
 #: Bytes of text handled at once inside a block.
@@ -35,9 +37,9 @@ def parts(docs: DataFrame, total: int, each: int) -> int:
 
 
 def in_blocks(docs: DataFrame, n_blocks: int, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns block, doc_id, text and those in ``keep``. Rows of one doc_id share a block; a null doc_id counts as smaller than any other."""
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int")
-    return docs.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), *keep).repartition(n_blocks, "block")
+    """Columns block, doc_id, text and those in ``keep``. Rows that share a doc_id, or have none, are spread by their texts."""
+    block = F.pmod(F.xxhash64("doc_id", F.col(text)), F.lit(n_blocks)).cast("int")
+    return numbered(docs, keep, block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).repartition(n_blocks, "block")
 
 
 def by_doc_id(table: pa.Table) -> tuple[pa.Table, np.ndarray]:

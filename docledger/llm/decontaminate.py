@@ -1,24 +1,24 @@
 """Finds benchmark passages in documents with suffix arrays of the documents.
 
 Method: each shard of documents gets a suffix array over its words.  Every suffix of every benchmark item is looked up by
-binary search in each shard; its neighbours in the array give the longest verbatim match and where it stands.  Documents
-that hold a window are contaminated and can be removed.
+binary search in each shard; its neighbours in the array give the longest verbatim match.  Where that is a window or more,
+the places of the window are read off the array and each is followed to the end of the match.  Documents with a match are
+contaminated and can be removed.
 
-Words that no benchmark item has end every match, and a match that matters is at least as long as the shortest window, so
-a shard's array has only the suffixes whose first words occur in this order in some item.  The array is sparse, but no
-benchmark suffix has a match outside it.
+Words are numbered by the benchmark; a word that no item has ends every match, as does the end of a document or of an item,
+so the array holds the suffixes that start with a word of the benchmark.
 
-Documents are read once, in the order they are stored, with no shuffle.  The benchmark is broadcast in blocks of
-``BLOCK_BYTES`` at most; a larger one takes several passes, and the passes are added up for each document.
+Documents are read in the order they are stored, with no shuffle.  The benchmark is broadcast in blocks of ``BLOCK_BYTES`` at
+most, one at a time; a larger one takes several passes over the documents, whose matches are joined by doc_id and text.
 
 Definition.  Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased.  A window is ``WINDOW``
 consecutive words of an item; an item of fewer words, but not none, is one window.  A document word inside any occurrence
-of a window is hit.  Null texts have no words; an item with a null id counts under an empty id.
+of a window is hit.  Null and empty texts have no words; texts of any length are read whole.  An item with a null id counts under
+an empty id; items with one id count as one.  Documents that are equal, or share a doc_id, are judged each for itself.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +26,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import ALNUM_WORD, LOWER, Chunk, batches, cover, segment_ids
+from .columns import numbered, renamed
+from .components import saved
+from .kernel import ALNUM_WORD, LOWER, Chunk, batches, segment_ids
 
 WINDOW = 10
 #: Bytes of benchmark text in one broadcast.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of text in one shard.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 2 << 20
+MATCHES = "array<struct<item_id:string,item_word:int,doc_word:int,words:int>>"
+_MATCH = pa.struct([("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("words", pa.int32())])
+
+
+def _word_text(numbers: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers with a 0 after each text, and where each word stands."""
+    text = segment_ids(first, len(numbers))
+    place = np.arange(len(numbers)) + text
+    out = np.zeros(len(numbers) + len(first), np.int32)
+    out[place] = numbers
+    return out, place
+
+
+def _packed(text: np.ndarray, at: np.ndarray, bits: int, width: int) -> np.ndarray:
+    """The first words of each suffix as one number; words after a 0 count as 0."""
+    key, alive = np.zeros(len(at), np.int64), np.ones(len(at), bool)
+    for k in range(width):
+        word = text[np.minimum(at + k, len(text) - 1)].astype(np.int64)
+        alive &= word > 0
+        key = (key << bits) | np.where(alive, word, 0)
+    return key
 
 
 class Benchmark:
@@ -42,162 +65,165 @@ class Benchmark:
         self.ids, self.window = ids, window
         chunk = Chunk([t.translate(LOWER) for t in texts])
         start, end, first = chunk.words(ALNUM_WORD)
-        hashed = chunk.word_hashes(start, end)
-        #: Word number 0 is any word that no item has.
-        self.vocabulary, number = np.unique(hashed, return_inverse=True)
-        self.words = (number + 1).astype(np.int32)
-        item = segment_ids(first, len(start))
-        left = first[item + 1] - np.arange(len(start)) if len(start) else np.zeros(0, np.int64)
-        size = np.diff(first)[item] if len(start) else np.zeros(0, np.int64)
-        #: Every suffix is looked up, to the end of its item or a window, whichever comes first.
-        self.suffix_len = np.minimum(left, window)
-        self.item = item
-        at_start = np.arange(len(start)) == first[item] if len(start) else np.zeros(0, bool)
-        self.is_window = (left >= window) | (at_start & (size < window))
-        # One lookup for equal windows and suffixes: rows of word numbers, padded with -1 past their end.
-        rows = np.full((len(start), window), -1, np.int32)
-        for k in range(window):
-            ok = self.suffix_len > k
-            rows[ok, k] = self.words[np.flatnonzero(ok) + k]
-        self.rows, self.row_of = np.unique(rows, axis=0, return_inverse=True) if len(start) else (rows, np.zeros(0, np.int64))
-        self.row_of = self.row_of.ravel()
-        self.row_len = (self.rows >= 0).sum(axis=1)
-        self.row_is_window = np.zeros(len(self.rows), bool)
-        self.row_is_window[self.row_of[self.is_window]] = True
-        order = np.argsort(self.row_of[self.is_window], kind="stable")
-        self._items = self.item[self.is_window][order]
-        self._items_from = np.searchsorted(self.row_of[self.is_window][order], np.arange(len(self.rows) + 1))
-        #: Words that a window of its length may start with, and pairs of them.
-        windows = self.rows[self.row_is_window]
-        two = windows[windows[:, 1] >= 0] if window > 1 else windows[:0]
-        n = np.int64(len(self.vocabulary) + 1)
-        self.pairs = np.unique(two[:, 0].astype(np.int64) * n + two[:, 1]) if len(two) else np.zeros(0, np.int64)
-        self.singles = np.unique(windows[(self.rows[self.row_is_window] >= 0).sum(axis=1) == 1][:, 0]) if len(windows) else np.zeros(0, np.int32)
-
-    def items_of(self, row: int) -> np.ndarray:
-        """The items that have this window."""
-        return self._items[self._items_from[row] : self._items_from[row + 1]]
+        hashed, check = chunk.word_hashes(start, end, 2)
+        self.vocabulary, at, number = np.unique(hashed, return_index=True, return_inverse=True)
+        self.check = check[at]
+        if (self.check[number] != check).any():
+            raise RuntimeError("two words of the benchmark have one hash")
+        #: Word 0 is any word that no item has.
+        self.text, self.place = _word_text((number + 1).astype(np.int32), first)
+        n = len(start)
+        self.item = segment_ids(first, n)
+        self.word = np.arange(n) - first[self.item] if n else np.zeros(0, np.int64)
+        left = first[self.item + 1] - np.arange(n) if n else np.zeros(0, np.int64)
+        #: How many words the window has that starts here; 0 where none does.
+        self.window_len = np.where(left >= window, window, np.where(self.word == 0, left, 0))
+        self.bits = max(1, int(len(self.vocabulary)).bit_length())
+        self.width = max(1, 62 // self.bits)
+        self.key = _packed(self.text, self.place, self.bits, self.width)
+
+    def numbers(self, hashed: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The numbers of words by their hashes."""
+        if not len(self.vocabulary):
+            return np.zeros(len(hashed), np.int32)
+        slot = np.minimum(np.searchsorted(self.vocabulary, hashed), len(self.vocabulary) - 1)
+        return np.where((self.vocabulary[slot] == hashed) & (self.check[slot] == check), slot + 1, 0).astype(np.int32)
 
 
 class Shard:
-    """The sparse suffix array of some documents over the word numbers of a benchmark."""
+    """The suffix array of some documents over the word numbers of a benchmark."""
 
     def __init__(self, texts: list[bytes], bench: Benchmark):
         self.bench = bench
         chunk = Chunk([t.translate(LOWER) for t in texts])
         start, end, self.first = chunk.words(ALNUM_WORD)
-        hashed = chunk.word_hashes(start, end)
-        n = len(hashed)
-        if len(bench.vocabulary):
-            slot = np.minimum(np.searchsorted(bench.vocabulary, hashed), len(bench.vocabulary) - 1)
-            known = bench.vocabulary[slot] == hashed
-            words = np.where(known, slot + 1, 0).astype(np.int32)
-        else:
-            words = np.zeros(n, np.int32)
-        # Word 0 also stands between documents, so that no match runs into the next one.
-        self.doc = segment_ids(self.first, n)
-        self.place = np.arange(n) + self.doc
-        self.text = np.zeros(n + chunk.n + bench.window, np.int32)
-        self.text[self.place] = words
-        v = np.int64(len(bench.vocabulary) + 1)
-        a, b = self.text[self.place].astype(np.int64), self.text[self.place + 1].astype(np.int64)
-        starts = np.zeros(n, bool)
-        if len(bench.pairs):
-            pair = a * v + b
-            maybe = np.flatnonzero((a > 0) & (b > 0))
-            got = np.minimum(np.searchsorted(bench.pairs, pair[maybe]), len(bench.pairs) - 1)
-            starts[maybe] = bench.pairs[got] == pair[maybe]
-        if len(bench.singles):
-            starts |= np.isin(a, bench.singles)
-        self.suffixes = np.flatnonzero(starts)
-        self._sort()
-
-    def _sort(self) -> None:
-        """Orders the suffixes by their first ``window`` words, refining only those still tied."""
-        at = self.place[self.suffixes]
-        order = np.arange(len(at))
-        open_ = np.arange(len(at)) if len(at) > 1 else np.zeros(0, np.int64)
-        group = np.zeros(len(at), np.int64)
-        for k in range(self.bench.window):
-            if not len(open_):
-                break
-            items = order[open_]
-            word = self.text[at[items] + k]
-            by = np.lexsort((word, group[open_]))
-            order[open_] = items[by]
-            g, w = group[open_], word[by]
-            new = np.concatenate([[True], (g[1:] != g[:-1]) | (w[1:] != w[:-1])])
-            heads = np.flatnonzero(new)
-            size = np.diff(np.append(heads, len(open_)))
-            group[open_] = np.repeat(open_[heads], size)
+        self.text, place = _word_text(bench.numbers(*chunk.word_hashes(start, end, 2)), self.first)
+        self.doc = np.repeat(np.arange(chunk.n), np.diff(self.first) + 1)
+        self._sort(place[self.text[place] > 0])
+
+    def _sort(self, at: np.ndarray) -> None:
+        """Orders all suffixes that start at ``at``, by doubling the length that is known to be equal where they are still tied."""
+        bits, width = self.bench.bits, self.bench.width
+        key = _packed(self.text, at, bits, width)
+        order = np.argsort(key, kind="stable")
+        self.array, self.key = at[order], key[order]
+        n = len(at)
+        if n < 2:
+            return
+        # Where a suffix ends; one that has ended is different from all others.
+        zeros = np.flatnonzero(self.text == 0)
+        heads = np.flatnonzero(np.concatenate([[True], self.key[1:] != self.key[:-1]]))
+        size = np.diff(np.append(heads, n))
+        rank = np.zeros(len(self.text), np.int64)
+        rank[self.array] = np.repeat(heads, size)
+        open_ = np.flatnonzero(np.repeat(size > 1, size))
+        while len(open_):
+            items = self.array[open_]
+            stop = zeros[np.searchsorted(zeros, items)]
+            second = np.where(stop <= items + width, -1 - stop, rank[np.minimum(items + width, len(self.text) - 1)])
+            group = rank[items]
+            by = np.lexsort((second, group))
+            items, group, second = items[by], group[by], second[by]
+            self.array[open_] = items
+            heads = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (second[1:] != second[:-1])]))
+            size = np.diff(np.append(heads, len(items)))
+            rank[items] = np.repeat(open_[heads], size)
             open_ = open_[np.repeat(size > 1, size)]
-        self.array = self.suffixes[order]
+            width *= 2
 
-    def _side(self, right: bool) -> np.ndarray:
-        """For each benchmark row, where in the array the suffixes that start with it begin, or end."""
-        rows, lens = self.bench.rows, self.bench.row_len
-        lo, hi = np.zeros(len(rows), np.int64), np.full(len(rows), len(self.array), np.int64)
-        at = self.place[self.array]
+    def _search(self, which: np.ndarray, length: np.ndarray | None, right: bool) -> np.ndarray:
+        """Where in the array the benchmark's suffixes ``which`` belong; with a length, before or behind those that start alike."""
+        bench = self.bench
+        begin = bench.place[which]
+        if length is None:
+            lo = np.searchsorted(self.key, bench.key[which])
+            hi = np.searchsorted(self.key, bench.key[which], side="right")
+        else:
+            lo, hi = np.zeros(len(which), np.int64), np.full(len(which), len(self.array))
         while True:
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
                 return lo
             mid = (lo[open_] + hi[open_]) // 2
-            base = at[mid]
-            sign = np.zeros(len(open_), np.int8)
-            for k in range(self.bench.window):
-                tied = np.flatnonzero((sign == 0) & (lens[open_] > k))
-                if not len(tied):
-                    break
-                a, b = self.text[base[tied] + k], rows[open_[tied], k]
-                sign[tied] = (a > b).astype(np.int8) - (a < b).astype(np.int8)
-            down = sign < 0 if not right else sign <= 0
+            sign = self._compare(self.array[mid], begin[open_], None if length is None else length[open_])
+            down = sign <= 0 if right else sign < 0
             lo[open_[down]] = mid[down] + 1
             hi[open_[~down]] = mid[~down]
 
-    def occurrences(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row, word position) of each place where a window of the benchmark stands."""
-        if not len(self.array) or not len(self.bench.rows):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        lo, hi = self._side(False), self._side(True)
-        pick = np.flatnonzero((hi > lo) & self.bench.row_is_window)
-        count = (hi - lo)[pick]
-        inside = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        return np.repeat(pick, count), self.array[np.repeat(lo[pick], count) + inside]
+    def _compare(self, doc_at: np.ndarray, item_at: np.ndarray, length: np.ndarray | None) -> np.ndarray:
+        """-1, 0 or 1 as the document's suffix is smaller, equal or larger; with a length, as far as that."""
+        sign, open_, k = np.zeros(len(doc_at), np.int8), np.arange(len(doc_at)), 0
+        while True:
+            if length is not None:
+                open_ = open_[length[open_] > k]
+            if not len(open_):
+                return sign
+            a, b = self.text[doc_at[open_] + k], self.bench.text[item_at[open_] + k]
+            sign[open_] = (a > b).astype(np.int8) - (a < b).astype(np.int8)
+            open_ = open_[(a == b) & (a > 0)]
+            k += 1
+
+    def _common(self, doc_at: np.ndarray, item_at: np.ndarray) -> np.ndarray:
+        """How many words two suffixes have in common."""
+        got, open_ = np.zeros(len(doc_at), np.int64), np.arange(len(doc_at))
+        while len(open_):
+            a, b = self.text[doc_at[open_] + got[open_]], self.bench.text[item_at[open_] + got[open_]]
+            open_ = open_[(a == b) & (a > 0)]
+            got[open_] += 1
+        return got
 
     def longest_matches(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each suffix of the benchmark: its longest match in the shard in words, up to a window, and one place of it.
-
-        A match shorter than two words, or than an item of one word, is reported as 0 at -1.
-        """
-        rows, lens = self.bench.rows, self.bench.row_len
-        best, where = np.zeros(len(rows), np.int64), np.full(len(rows), -1, np.int64)
-        if len(self.array) and len(rows):
-            spot = self._side(False)
+        """For each suffix of the benchmark: its longest match in the shard in words, and one place of it (-1 without one)."""
+        n = len(self.bench.place)
+        best, where = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+        if len(self.array):
+            spot = self._search(np.arange(n), None, False)
             for near in (spot - 1, spot):
                 ok = np.flatnonzero((near >= 0) & (near < len(self.array)))
                 at = self.array[near[ok]]
-                got, alive = np.zeros(len(ok), np.int64), np.ones(len(ok), bool)
-                for k in range(self.bench.window):
-                    alive &= (lens[ok] > k) & (self.text[self.place[at] + k] == rows[ok, k])
-                    got += alive
+                got = self._common(at, self.bench.place[ok])
                 better = got > best[ok]
                 best[ok[better]], where[ok[better]] = got[better], at[better]
-        return best[self.bench.row_of], where[self.bench.row_of]
-
-    def report(self):
-        """For each document: words, words hit, the item numbers whose windows occur."""
-        rows, at = self.occurrences()
-        n = len(self.doc)
-        delta = np.zeros(n + 1, np.int32)
-        np.add.at(delta, at, 1)
-        np.add.at(delta, at + self.bench.row_len[rows], -1)
-        hit = np.concatenate([[0], np.cumsum(np.cumsum(delta[:n]) > 0)])[self.first]
-        items: dict[int, set[int]] = {}
-        if len(at):
-            for doc, row in np.unique(np.stack([self.doc[at], rows], axis=1), axis=0).tolist():
-                items.setdefault(doc, set()).update(self.bench.items_of(row).tolist())
-        return np.diff(self.first), np.diff(hit), items
+        return best, where
+
+    def matches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All maximal matches of a window or more: place in the shard, word of the benchmark, length in words."""
+        bench = self.bench
+        best, _ = self.longest_matches()
+        hit = np.flatnonzero((bench.window_len > 0) & (best >= bench.window_len))
+        length = bench.window_len[hit]
+        lo, hi = self._search(hit, length, False), self._search(hit, length, True)
+        count = hi - lo
+        item = np.repeat(hit, count)
+        at = self.array[np.repeat(lo, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)]
+        # The first window of each match; a word 0 stands before every document and item.
+        b = bench.place[item]
+        before, behind = self.text[np.maximum(at - 1, 0)], bench.text[np.maximum(b - 1, 0)]
+        starts = (at == 0) | (b == 0) | (before == 0) | (before != behind)
+        at, item = at[starts], item[starts]
+        return at, item, self._common(at, bench.place[item])
+
+    def by_document(self) -> list[list[dict]]:
+        """The matches of each document."""
+        found: list[list[dict]] = [[] for _ in range(len(self.first) - 1)]
+        at, item, words = self.matches()
+        doc = self.doc[at]
+        # Places count the zeros between documents, words of a document do not.
+        word = at - self.first[doc] - doc
+        for d, i, w, q, n in zip(doc.tolist(), self.bench.item[item].tolist(), self.bench.word[item].tolist(), word.tolist(), words.tolist(), strict=True):
+            found[d].append({"item_id": self.bench.ids[i], "item_word": w, "doc_word": q, "words": n})
+        for x in found:
+            x.sort(key=lambda m: (m["doc_word"], m["item_id"], m["item_word"]))
+        return found
+
+
+def hit_words(matches: list[dict] | None) -> int:
+    """How many words the matches cover."""
+    total, done = 0, 0
+    for a, b in sorted((m["doc_word"], m["doc_word"] + m["words"]) for m in matches or ()):
+        total += max(0, b - max(a, done))
+        done = max(done, b)
+    return total
 
 
 def _blocks(benchmark: DataFrame, most: int) -> Iterator[tuple[list[str], list[bytes]]]:
@@ -216,42 +242,67 @@ def _blocks(benchmark: DataFrame, most: int) -> Iterator[tuple[list[str], list[b
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each document: doc_id, n_words, n_hit, item_ids (sorted strings), and the columns in ``keep``.
+    """One row for each document: doc_id, the columns in ``keep``, n_words, n_hit, item_ids (sorted strings) and matches.
 
-    With several blocks of benchmark, n_hit is a word count and a word may be hit by items of two blocks, so the hit words
-    of all blocks are united before they are counted: each block passes on its hit ranges in a column of its own.
+    ``matches`` has the maximal verbatim matches of a window or more: item_id, item_word, doc_word (both from 0) and words.
+    A column of ``keep`` may have the name of a result; both are then in the table.
     """
-    spark = docs.sparkSession
-    base = docs.select(F.col("doc_id"), F.col("text"), *keep)
-    names = ["doc_id", *keep]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.select(*names).schema) + ", n_words long, n_hit long, item_ids array<string>"
-    parts = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, block_bytes)]
-
-    def search(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = Benchmark(*parts[0].value, window) if len(parts) == 1 else None
+    context = docs.sparkSession.sparkContext
+    base = numbered(docs, keep, "doc_id", "text")
+    kept = [f for f in base.schema if f.name.startswith("__keep")]
+    doc_id = f"doc_id {base.schema['doc_id'].dataType.simpleString()}"
+
+    def searched(part, every: bool):
+        """Rows of all documents, or of those with a match."""
+
+        def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bench = Benchmark(*part.value, window)
+            for batch, texts in batches(stream, SHARD_BYTES):
+                shard = Shard(texts, bench)
+                found = shard.by_document()
+                if every:
+                    yield result(batch, np.diff(shard.first), found)
+                elif rows := [k for k, x in enumerate(found) if x]:
+                    some = batch.take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([found[k] for k in rows], pa.list_(_MATCH))], names=["doc_id", "digest", "matches"])
+
+        return run
+
+    def result(batch: pa.RecordBatch, n_words, found: list[list[dict]]) -> pa.RecordBatch:
+        own = [
+            pa.array(n_words, pa.int64()),
+            pa.array([hit_words(x) for x in found], pa.int64()),
+            pa.array([sorted({m["item_id"] for m in x}) for x in found], pa.list_(pa.string())),
+            pa.array(found, pa.list_(_MATCH)),
+        ]
+        passed = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+        return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), *passed, *own], names=["doc_id", *(f.name for f in kept), "n_words", "n_hit", "item_ids", "matches"])
+
+    out = ", ".join([doc_id, *(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"n_words long, n_hit long, item_ids array<string>, matches {MATCHES}"])
+    parts = _blocks(benchmark, block_bytes)
+    part, after = next(parts), next(parts, None)
+    if after is None:
+        return renamed(base.mapInArrow(searched(context.broadcast(part), True), out), keep)
+
+    # Several passes: each writes the matches it finds; then they meet their documents by doc_id and text.
+    keyed = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text")
+    every = None
+    while part is not None:
+        sent = context.broadcast(part)
+        found = saved(keyed.mapInArrow(searched(sent, False), f"{doc_id}, digest string, matches {MATCHES}"), "matches")
+        sent.destroy()
+        every = found if every is None else every.unionByName(found)
+        part, after = after, next(parts, None)
+    # Rows with one doc_id and text found the same matches.
+    every = every.groupBy("doc_id", "digest").agg(F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"))
+    every = every.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "matches")
+    rows = base.withColumn("digest", F.md5(F.col("text").cast("binary")))
+    rows = rows.join(every, rows["doc_id"].eqNullSafe(every["__id"]) & (rows["digest"] == every["__digest"]), "left")
+
+    def counted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(stream, SHARD_BYTES):
-            if one is not None:
-                n_words, n_hit, items = Shard(texts, one).report()
-                found = [sorted({one.ids[k] for k in items[d]}) if d in items else [] for d in range(len(texts))]
-            else:
-                n_words, hit, sets = None, None, [set() for _ in texts]
-                for part in parts:
-                    bench = Benchmark(*part.value, window)
-                    shard = Shard(texts, bench)
-                    rows, at = shard.occurrences()
-                    if hit is None:
-                        hit, n_words = np.zeros(len(shard.doc), bool), np.diff(shard.first)
-                    for size in np.unique(bench.row_len[rows]).tolist():
-                        hit |= cover(at[bench.row_len[rows] == size], size, len(hit))
-                    for d, ks in shard.report()[2].items():
-                        sets[d] |= {bench.ids[k] for k in ks}
-                n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[shard.first])
-                found = [sorted(s) for s in sets]
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            yield pa.record_batch([*columns, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=[*names, "n_words", "n_hit", "item_ids"])
-
-    return base.mapInArrow(search, schema)
-
-
-def items_digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()
+            first = Chunk([t.translate(LOWER) for t in texts]).words(ALNUM_WORD)[2]
+            found = [x or [] for x in batch.column(batch.schema.get_field_index("matches")).to_pylist()]
+            yield result(batch, np.diff(first), found)
+
+    return renamed(rows.select(*base.columns, "matches").mapInArrow(counted, out), keep)

@@ -4,8 +4,9 @@ Documents are handled as UTF-8 bytes in chunks: one flat ``uint8`` buffer that h
 by one separator byte.  Word boundaries, word hashes and window hashes are then array operations over the whole chunk,
 so no Python statement runs per word or per byte.
 
-Hashes are polynomial prefix hashes modulo 2**64 over a fixed random table, so the hash of any byte range costs one
-subtraction and one multiplication.
+Two kinds of hash serve two ends.  ``RangeHash`` is a polynomial prefix hash modulo 2**64: the hash of any byte range costs
+one subtraction and one multiplication, but texts can be made that collide, so it only orders, samples and deals.
+``strong_hashes`` mixes eight bytes at a time; where equality is decided, two of its lanes are compared, 128 bits.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 _rng = np.random.default_rng(20240229)
@@ -74,6 +76,40 @@ class RangeHash:
         return mix((self.prefix[end] - self.prefix[start]) * self.inv[start])
 
 
+#: Seeds of the lanes of ``strong_hashes``.
+_SEEDS = _rng.integers(1, 2**63, (4, 3), dtype=np.uint64)
+#: Ranges of more bytes than this are hashed one by one.
+_LONG = 256
+
+
+def strong_hashes(raw: bytes, start: np.ndarray, end: np.ndarray, lanes: int = 1) -> list[np.ndarray]:
+    """Hashes of byte ranges, one array for each lane; every step is a non-linear mix of the next eight bytes."""
+    size = end - start
+    padded = raw + bytes(8)
+    words = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))  # eight bytes from any place
+    out = []
+    for lane in range(lanes):
+        a, b, c = _SEEDS[lane]
+        h = mix(size.astype(np.uint64) * U64(_R) + a)
+        at, left, open_ = start, size, np.arange(len(size))
+        if (size > _LONG).any():
+            open_ = np.flatnonzero(size <= _LONG)
+            at, left = at[open_], left[open_]
+        while len(open_):
+            x = words[at]
+            short = left < 8
+            x[short] &= (U64(1) << (left[short] * 8).astype(np.uint64)) - U64(1)
+            h[open_] = mix((h[open_] ^ mix(x + b)) + c)
+            more = np.flatnonzero(left > 8)
+            open_, at, left = open_[more], at[more] + 8, left[more] - 8
+        out.append(h)
+    for k in np.flatnonzero(size > _LONG).tolist():
+        digest = xxhash.xxh3_128_intdigest(raw[start[k] : end[k]])
+        for lane in range(lanes):
+            out[lane][k] = (digest >> 64 * (lane % 2)) & _MASK64
+    return out
+
+
 class Chunk:
     """Some documents as one buffer. ``off[i]`` is where document i starts; one separator byte follows each document."""
 
@@ -95,8 +131,8 @@ class Chunk:
         start, end = edge[0::2], edge[1::2]  # the buffer ends outside a word
         return start, end, np.searchsorted(start, self.off)
 
-    def word_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return RangeHash(self.buf)(start, end)
+    def word_hashes(self, start: np.ndarray, end: np.ndarray, lanes: int = 1) -> list[np.ndarray]:
+        return strong_hashes(self.raw, start, end, lanes)
 
 
 def window_hash(word_hash: np.ndarray, width: int, lane: int = 0) -> np.ndarray:
@@ -123,45 +159,95 @@ def cover(mask_starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(delta[:n]) > 0
 
 
+class _Known:
+    """Pieces and their ids, sorted by the first hash of a piece: about 36 bytes a piece and its ids."""
+
+    def __init__(self, dtype):
+        self.hashes, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids = np.zeros(0, dtype)
+
+    def find(self, hashes: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The slot of each piece, -1 for one that is not there."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        slot = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where((self.hashes[slot] == hashes) & (self.check[slot] == check), slot, -1)
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether a piece with this first hash is there."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), bool)
+        return self.hashes[np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)] == hashes
+
+    def add(self, hashes: np.ndarray, check: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        at = np.searchsorted(self.hashes, hashes)
+        begin = len(self.ids) + np.cumsum(size) - size
+        self.hashes, self.check = np.insert(self.hashes, at, hashes), np.insert(self.check, at, check)
+        self.begin, self.size = np.insert(self.begin, at, begin), np.insert(self.size, at, size.astype(np.int32))
+        self.ids = np.concatenate([self.ids, ids])
+
+    @property
+    def nbytes(self) -> int:
+        return 28 * len(self.hashes) + self.ids.nbytes
+
+
 class IdCache:
-    """The ids of pieces of text under 64-bit hashes, as arrays: about 30 bytes a piece. Full, it starts anew."""
+    """The ids of pieces of text, in at most about ``most`` bytes: two halves, the older of which goes when the newer is full.
+
+    A piece is known by two hashes of 64 bits; one that shares the first with another piece only is encoded each time.
+    """
 
     def __init__(self, dtype, most: int):
         self.dtype, self.most = np.dtype(dtype), most
-        self._forget()
-
-    def _forget(self) -> None:
-        self.hashes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.begin, self.size, self.ids, self.n_ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 16, self.dtype), 0
-
-    def _learn(self, hashes: np.ndarray, got: list[list[int]]) -> None:
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        total = self.n_ids + int(size.sum())
-        if total > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.n_ids], np.zeros(total, self.dtype)])
-        self.ids[self.n_ids : total] = [i for ids in got for i in ids]
-        slots = len(self.begin) + np.arange(len(got))
-        self.begin = np.concatenate([self.begin, self.n_ids + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.n_ids = total
-        at = np.searchsorted(self.hashes, hashes)
-        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
+        self.new, self.old = _Known(self.dtype), _Known(self.dtype)
 
-    def __call__(self, hashed: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, hashed: np.ndarray, check: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each piece's ids begin (one more entry). ``encode`` gets the numbers of pieces to encode."""
         distinct, where, which = np.unique(hashed, return_index=True, return_inverse=True)
-        new = np.arange(len(distinct))
-        if len(self.hashes):
-            new = new[self.hashes[np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)] != distinct]
-        if len(new):
-            if len(self.hashes) + len(new) > self.most and len(self.hashes):
-                self._forget()
-                new = np.arange(len(distinct))
-            self._learn(distinct[new], encode(where[new]))
-        slot = self.slots[np.searchsorted(self.hashes, distinct)][which]
-        size = self.size[slot]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        return self.ids[np.repeat(self.begin[slot] - upto[:-1], size) + np.arange(int(upto[-1]))], upto
+        odd = np.flatnonzero(check != check[where][which])
+        if len(odd):  # two pieces with one first hash: the later ones stand for themselves
+            which = which.copy()
+            which[odd] = len(where) + np.arange(len(odd))
+            where = np.concatenate([where, odd])
+        single = np.arange(len(where)) >= len(distinct)
+        slot = self.new.find(hashed[where], check[where])
+        got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # pieces, sizes, ids
+        have = np.flatnonzero(slot >= 0)
+        got.append(self._take(self.new, slot[have], have))
+        rest = np.flatnonzero(slot < 0)
+        older = self.old.find(hashed[where[rest]], check[where[rest]])
+        got.append(self._take(self.old, older[older >= 0], rest[older >= 0]))
+        fresh = rest[older < 0]
+        made = encode(where[fresh]) if len(fresh) else []
+        size = np.fromiter(map(len, made), np.int64, len(made))
+        got.append((fresh, size, np.fromiter((i for ids in made for i in ids), self.dtype, int(size.sum()))))
+        for pieces, sizes, ids in got[1:]:
+            if len(pieces):
+                order = np.flatnonzero(~single[pieces] & ~self.new.holds(hashed[where[pieces]]))
+                begin = np.cumsum(sizes) - sizes
+                self.new.add(hashed[where[pieces[order]]], check[where[pieces[order]]], sizes[order], _ranges(ids, begin[order], sizes[order]))
+        if 2 * self.new.nbytes > self.most:
+            self.old, self.new = self.new, _Known(self.dtype)
+        sizes, begins = np.zeros(len(where), np.int64), np.zeros(len(where), np.int64)
+        flat, at = np.concatenate([ids for _, _, ids in got]), 0
+        for pieces, n, ids in got:
+            sizes[pieces], begins[pieces] = n, at + np.cumsum(n) - n
+            at += len(ids)
+        size = sizes[which]
+        return _ranges(flat, begins[which], size), np.concatenate([[0], np.cumsum(size)])
+
+    @staticmethod
+    def _take(known: _Known, slot: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = known.size[slot].astype(np.int64)
+        return pieces, size, _ranges(known.ids, known.begin[slot], size)
+
+
+def _ranges(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs of an array, one after the other."""
+    upto = np.cumsum(size)
+    total = int(upto[-1]) if len(upto) else 0
+    return values[np.repeat(begin - (upto - size), size) + np.arange(total)]
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

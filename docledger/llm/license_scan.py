@@ -2,22 +2,27 @@
 
 Method: one Aho-Corasick automaton over notice phrases and identifier tags runs once over each text's words.  What follows
 an identifier tag is read as a licence expression, which a shunting-yard parser turns into postfix form and evaluates:
-``with`` binds closest, then ``and``, then ``or``.
+``with`` binds closest and joins two identifiers, then ``and``, then ``or``.
 
 Definition.  A-Z is lower-cased; words are runs of ASCII letters, digits and non-ASCII bytes; null text is empty.  A place
-is where the words of a phrase stand consecutively; overlapping places all count.  ``labels`` are those of all phrases and
-of all identifiers in well-formed expressions.  ``permissive`` is true if every notice and expression found allows use
-under permissive terms, false if one does not, null if nothing was found.  ``score`` is the confidence that the text
-carries a licence: 1 - 0.5 ** (places of distinct phrases + 2 * well-formed expressions).
+is where the words of a phrase stand consecutively; overlapping places of base phrases all count, of the phrases that this
+method adds only those that lie in no longer place.  ``labels`` are those of all phrases that count and of all identifiers in
+well-formed expressions.  ``permissive`` is true if every notice and expression found allows use under permissive terms, false
+if one does not, null if nothing was found; an identifier that is not listed allows nothing.  ``score`` is the confidence that
+the text carries a licence: 1 - 0.5 ** (distinct phrases + 2 * well-formed expressions).  Texts of any length are
+read whole, in time that grows with the length; equal rows give equal rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .kernel import LOWER, batches
 
@@ -43,14 +48,28 @@ MORE_PHRASES = {
     "all rights reserved": "proprietary",
 }
 TAG = "spdx license identifier"
-#: Labels, or starts of identifiers, whose terms are permissive.
-PERMISSIVE = ("mit", "apache", "bsd", "isc", "cc0", "unlicense", "zlib", "0bsd", "boost", "bsl-1.0")
+# Labels and identifiers whose terms are permissive, lower-cased, without -only, -or-later or +.
+PERMISSIVE = frozenset(
+    """
+    mit apache-2 bsd isc cc-by
+    0bsd aal adsl afl-1.1 afl-1.2 afl-2.0 afl-2.1 afl-3.0 apache-1.0 apache-1.1 apache-2.0 artistic-2.0 beerware blessing
+    blueoak-1.0.0 bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-2-clause-views bsd-3-clause bsd-3-clause-attribution
+    bsd-3-clause-clear bsd-3-clause-lbnl bsd-4-clause bsd-4-clause-uc bsd-source-code bsl-1.0 bzip2-1.0.6 cc-by-1.0 cc-by-2.0
+    cc-by-2.5 cc-by-3.0 cc-by-4.0 cc-pddc cc0-1.0 cnri-python curl ecl-1.0 ecl-2.0 efl-1.0 efl-2.0 entessa fair ftl hpnd icu
+    ijg intel libpng libpng-2.0 libtiff linux-openib mit-0 mit-advertising mit-cmu mit-modern-variant mulanpsl-2.0 naumen ncsa
+    ntp odc-by-1.0 ogc-1.0 openssl pddl-1.0 php-3.0 php-3.01 plexus postgresql psf-2.0 python-2.0 ruby sgi-b-2.0 smlnj ssh-openssh
+    tcl tcp-wrappers unicode-3.0 unicode-dfs-2015 unicode-dfs-2016 unlicense upl-1.0 w3c w3c-19980720 w3c-20150513 wtfpl x11 xnet
+    zend-2.0 zlib zlib-acknowledgement zpl-2.0 zpl-2.1
+    """.split()
+)
+_LATER = re.compile(r"(-only|-or-later|\+)\Z")
 
 _TO_WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
 _COLON = re.compile(rb"\s*:?")
 _BINDS = {"or": 1, "and": 2, "with": 3}
+_TAG_WORD = "spdx-license-identifier"
 
 
 def to_postfix(expression: str, at: int = 0) -> list[str] | None:
@@ -61,49 +80,58 @@ def to_postfix(expression: str, at: int = 0) -> list[str] | None:
     output: list[str] = []
     stack: list[str] = []
     best: tuple[int, list[str]] | None = None  # how much of the output, and what follows it
-    operand = True  # an operand is due next
+    depth, last = 0, ""
     while m := _TOKEN.match(expression, at):
         token = m[1].lower().rstrip(".:") or "."
         at = m.end()
+        operand = last in ("", "(", *_BINDS)  # an operand is due
+        if token == _TAG_WORD:
+            break
         if token == "(":
-            if not operand:
+            if not operand or last == "with":
                 break
             stack.append(token)
+            depth += 1
         elif token == ")":
-            if operand or "(" not in stack:
+            if operand or not depth:
                 break
             while (top := stack.pop()) != "(":
                 output.append(top)
+            depth -= 1
         elif token in _BINDS:
-            if operand:
+            if operand or token == "with" and (last == ")" or stack[-1:] == ["with"]):
                 break
             while stack and stack[-1] != "(" and _BINDS[stack[-1]] >= _BINDS[token]:
                 output.append(stack.pop())
             stack.append(token)
-            operand = True
         else:
             if not operand:
                 break
             output.append(token)
-            operand = False
-        if not operand and "(" not in stack:
+        last = token
+        if not depth and token not in _BINDS:
             best = len(output), stack[::-1]
     return None if best is None else output[: best[0]] + best[1]
 
 
+def is_permissive(name: str) -> bool:
+    return _LATER.sub("", name) in PERMISSIVE
+
+
 def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
     """The licences an expression names, and whether it can be used under permissive terms."""
     stack: list[tuple[set[str], bool]] = []
     for token in postfix:
-        if token in _BINDS:
-            right, left = stack.pop(), stack.pop()
-            if token == "with":
-                stack.append(({f"{x} with {y}" for x in left[0] for y in right[0]}, left[1]))
-            else:
-                allowed = (left[1] and right[1]) if token == "and" else (left[1] or right[1])
-                stack.append((left[0] | right[0], allowed))
-        else:
-            stack.append(({token}, token.startswith(PERMISSIVE)))
+        if token not in _BINDS:
+            stack.append(({token}, is_permissive(token)))
+            continue
+        (right, right_ok), (left, left_ok) = stack.pop(), stack.pop()
+        if token == "with":
+            stack.append(({f"{x} with {y}" for x in left for y in right}, left_ok))
+            continue
+        small, large = sorted((left, right), key=len)
+        large |= small
+        stack.append((large, left_ok and right_ok if token == "and" else left_ok or right_ok))
     return stack[0]
 
 
@@ -121,21 +149,30 @@ class Scanner:
     def __call__(self, text: bytes) -> dict:
         words = text.translate(_TO_WORDS).split()
         flat = f" {b' '.join(words).decode('latin-1')} "
-        places, base, labels, phrases, verdicts, expressions, tags = [], [], set(), set(), [], [], []
+        found, tags, starts = [], [], None
         for end, (phrase, label, is_base) in self.automaton.iter(flat):
-            word = flat.count(" ", 0, end - len(phrase) - 1)
+            if starts is None:
+                starts = list(accumulate((len(w) + 1 for w in words), initial=1))
+            word = bisect_left(starts, end - len(phrase))
+            size = phrase.count(" ") + 1
             if label is None:
-                tags.append(word + phrase.count(" ") + 1)
-                continue
+                tags.append(word + size)
+            else:
+                found.append((word, -size, phrase, label, is_base))
+        places, labels, phrases, verdicts, expressions, upto = [], set(), set(), [], [], 0
+        for word, size, phrase, label, is_base in sorted(found):
+            if not is_base and word - size <= upto:
+                continue  # inside a longer place
+            upto = max(upto, word - size)
             places.append((label, word, is_base))
             labels.add(label)
             phrases.add(phrase)
-            verdicts.append(label.startswith(PERMISSIVE))
+            verdicts.append(is_permissive(label))
         if tags:
-            spans = [m.span() for m in _WORD.finditer(text.translate(LOWER))]
+            spans = [m.end() for m in _WORD.finditer(text.translate(LOWER))]
             whole = text.decode("latin-1")
             for w in tags:
-                postfix = to_postfix(whole, _COLON.match(text, spans[w - 1][1]).end())
+                postfix = to_postfix(whole, _COLON.match(text, spans[w - 1]).end())
                 if postfix:
                     named, allowed = evaluate(postfix)
                     labels |= named
@@ -171,6 +208,4 @@ def license_scan(docs: DataFrame, base: dict[str, str] | None = None, more: dict
             yield pa.record_batch([batch.column(0), *columns], names=["doc_id", *_RESULT.names])
 
     schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, expressions array<string>, permissive boolean, score double"
-    from pyspark.sql import functions as F
-
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

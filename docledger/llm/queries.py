@@ -58,6 +58,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.array_max(F.transform("matches", lambda m: m["words"])).cast("long").alias("longest_match"),
     )
 
 
@@ -132,14 +133,16 @@ kept AS (SELECT words.doc_id, count(gone.j) AS n_removed, string_agg(word, ' ' O
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
     "op6_decontaminate": f"""
-WITH w AS ({_words_sql("documents", "doc_id")}), b AS ({_words_sql("benchmark", "item_id")}),
-bp AS (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0),
-win AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(len(ws), 10) AS n, md5(array_to_string(ws[i:i + 9], ' ')) AS h FROM bp),
+WITH w AS ({_words_sql("documents", "doc_id")}), b AS ({_words_sql("benchmark", "row_number() OVER () AS nth, item_id")}),
+bp AS (SELECT nth, item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS p FROM b WHERE len(ws) > 0),
+win AS (SELECT nth, CAST(item_id AS VARCHAR) AS item, p, least(len(ws), 10) AS n, md5(array_to_string(ws[p:p + 9], ' ')) AS h FROM bp),
 dp AS (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, (SELECT DISTINCT n FROM win) WHERE len(ws) >= n),
 dh AS (SELECT doc_id, n, i, md5(array_to_string(ws[i:i + n - 1], ' ')) AS h FROM dp),
-hit AS (SELECT doc_id, dh.n, i, item FROM dh JOIN win ON dh.h = win.h AND dh.n = win.n),
+hit AS (SELECT doc_id, nth, dh.n, i, i - p AS shift, item FROM dh JOIN win ON dh.h = win.h AND dh.n = win.n),
 covered AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, i + t.k AS j FROM hit, (SELECT unnest(range(10)) AS k) t WHERE t.k < hit.n) GROUP BY doc_id),
-named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
-SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM w LEFT JOIN covered ON w.doc_id = covered.doc_id LEFT JOIN named ON w.doc_id = named.doc_id""",
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id),
+islands AS (SELECT doc_id, nth, shift, n, i - row_number() OVER (PARTITION BY doc_id, nth, shift ORDER BY i) AS island FROM hit),
+longest AS (SELECT doc_id, max(words) AS longest_match FROM (SELECT doc_id, count(*) + n - 1 AS words FROM islands GROUP BY doc_id, nth, shift, n, island) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, longest_match
+FROM w LEFT JOIN covered ON w.doc_id = covered.doc_id LEFT JOIN named ON w.doc_id = named.doc_id LEFT JOIN longest ON w.doc_id = longest.doc_id""",
 }

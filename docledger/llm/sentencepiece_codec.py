@@ -1,17 +1,20 @@
 """SentencePiece encoding and decoding by an automaton and a single Viterbi pass.
 
 Method: an Aho-Corasick automaton over the pieces of a vocabulary runs once over the text.  At each position its output
-links give every piece that ends there; each relaxes the best score at its end from the best score at its start.  A
-character that no piece covers is taken as its UTF-8 bytes where the vocabulary has byte pieces, else as unknown.
+links give every piece that ends there; each relaxes the best way to its end from the best way to its start.  A character
+that no piece covers is taken as its UTF-8 bytes where the vocabulary has byte pieces, else as unknown.
 
-The vocabulary file's own scores are summed and the highest sum wins.  A file of merge ranks is used the same way: its
-scores are minus the rank, so the segmentation is the one of the least total rank, which need not be what merging yields.
-Ties go to the longer last piece.  White space is marked by U+2581; with ``lossless`` each space becomes one mark, so
-decoding gives the text back exactly unless it holds U+2581 itself, which decodes as a space.
+* A unigram vocabulary: the way with the highest sum of scores wins.  Ties go to the longer last piece.
+* A merge vocabulary: scores are ranks of merges, and only one way to each position is what merging yields.  Merging the text
+  of two neighbouring pieces must give these two again; of the pieces that end at a position, the one that fits the last piece
+  before it is taken.  The ids are those that merging gives.
+
+White space is marked by U+2581: each space becomes one mark, and one more stands before the text if the vocabulary says so.
+Decoding gives the text back exactly unless it holds U+2581 itself, which decodes as a space.  Nothing else is normalised.
 
 A text falls into stretches wherever two neighbouring characters stand side by side in no piece, since no piece can span
 that place.  Which neighbours do is read from the vocabulary when it is loaded.  Each worker keeps the ids of stretches it
-has seen.
+has seen, in at most ``CACHE_BYTES``; a stretch is known by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -22,17 +25,48 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .kernel import Chunk, IdCache, RangeHash, batches
+from .columns import numbered, renamed
+from .kernel import Chunk, IdCache, _ranges, batches, strong_hashes
 
 MARK = "▁"
-#: Stretches whose ids a worker keeps.
-CACHE = 1_500_000
+#: Bytes of stretches and ids that a worker keeps.
+CACHE_BYTES = 24 << 20
+#: Pairs of pieces of which a worker remembers whether they can stand together.
+PAIRS = 200_000
+#: Bytes of text that are encoded at once.
+CHUNK_BYTES = 512 << 10
+_MARK_BYTES = MARK.encode("utf-8")
 #: What an unknown character costs, below the lowest score.
 UNKNOWN_PENALTY = 10.0
 
 
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of the fields of a protocol buffer message."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            b = data[at]
+            at += 1
+            value |= (b & 127) << shift
+            shift += 7
+            if b < 128:
+                return value
+
+    while at < len(data):
+        key = varint()
+        kind = key & 7
+        if kind == 0:
+            yield key >> 3, varint()
+        else:
+            size = varint() if kind == 2 else 8 if kind == 1 else 4
+            yield key >> 3, data[at : at + size]
+            at += size
+
+
 class Vocabulary:
     """Pieces, scores and kinds of a model file; the automaton over the pieces that stand for text."""
 
@@ -41,26 +75,31 @@ class Vocabulary:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        with open(path, "rb") as f:
+            parts = dict(x for x in _fields(f.read()) if x[0] in (2, 3))
+        # The kind of model is field 3 of the trainer's part, 1 unigram or 2 merges; the space in front is field 3
+        # of the normaliser's part.
+        self.merges = dict(_fields(parts.get(2, b""))).get(3, 1) == 2
+        self.prefix_space = bool(dict(_fields(parts.get(3, b""))).get(3, 1))
         n = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(n)]
-        scores = [model.get_score(i) for i in range(n)]
         self.unknown = model.unk_id()
         self.byte_id: dict[int, int] = {}
         self.automaton = ahocorasick.Automaton()
         self.size = n
-        usable = []
+        #: Id and score of each piece that stands for text.
+        self.of: dict[str, tuple[int, float]] = {}
         for i, piece in enumerate(self.pieces):
             if model.is_byte(i):
                 self.byte_id[int(piece[1:-1], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and piece:
-                # Scores far below all others mark pieces for exact runs of white space; these cost as much as their rank.
-                usable.append((piece, i, scores[i] if scores[i] > -1e8 else -float(n)))
-        for piece, i, score in usable:
-            self.automaton.add_word(piece, (len(piece), i, score))
+                self.of[piece] = i, model.get_score(i)
+                self.automaton.add_word(piece, (len(piece), i, model.get_score(i)))
         self.automaton.make_automaton()
-        self.floor = min((s for *_, s in usable), default=0.0) - UNKNOWN_PENALTY
-        self.alone = self._alone([p for p, *_ in usable])
+        self.floor = min((s for _, s in self.of.values()), default=0.0) - UNKNOWN_PENALTY
+        self.alone = self._alone(list(self.of))
         self.is_byte = {i: b for b, i in self.byte_id.items()}
+        self._fits: dict[tuple[str, str], bool] = {}
 
     def _alone(self, pieces: list[str]) -> np.ndarray | None:
         """Which ASCII bytes stand beside no other character in any piece; None if pieces go on across marks."""
@@ -69,49 +108,115 @@ class Vocabulary:
         inside = {c for p in pieces if len(p) > 1 for c in p}
         return np.array([b < 0x80 and b != 0x20 and chr(b) not in inside for b in range(256)])
 
+    def merged(self, text: str) -> list[str]:
+        """What merging makes of a text, by definition: the pair of the best score first, of equals the leftmost."""
+        parts = list(text)
+        while True:
+            found = [(-self.of[x + y][1], k) for k, (x, y) in enumerate(zip(parts, parts[1:], strict=False)) if x + y in self.of]
+            if not found:
+                return parts
+            k = min(found)[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+    def fits(self, before: str, piece: str) -> bool:
+        """Whether merging leaves these two side by side; an empty ``before`` is the start of a stretch."""
+        key = before, piece
+        got = self._fits.get(key)
+        if got is None:
+            if len(self._fits) >= PAIRS:
+                self._fits.clear()
+            got = self._fits[key] = self.merged(before + piece) == [x for x in key if x]
+        return got
+
+    def segment(self, text: str) -> list[int]:
+        """Ids of a text in which spaces are marks already."""
+        return self.merge_path(text) if self.merges else self.viterbi(text)
+
+    def merge_path(self, text: str) -> list[int]:
+        """Of a merge vocabulary: to each position, the one piece that fits what leads to its start."""
+        n = len(text)
+        last: list[str | None] = [None] * (n + 1)
+        last[0] = ""
+        done = 0  # positions up to here are final
+
+        def bridge(upto: int) -> None:
+            nonlocal done
+            while done < upto:
+                done += 1  # a character without a piece of its own never merges with a neighbour
+                if last[done] is None and last[done - 1] is not None and text[done - 1] not in self.of:
+                    last[done] = text[done - 1]
+
+        for at, (size, _, _) in self.automaton.iter(text):
+            bridge(at)
+            before = last[at + 1 - size]
+            if last[at + 1] is None and before is not None and self.fits(before, text[at + 1 - size : at + 1]):
+                last[at + 1] = text[at + 1 - size : at + 1]
+        bridge(n)
+        parts: list[str] = []
+        at = n
+        while at:
+            if last[at] is None:  # equal ranks may leave a position without a way; by definition then
+                return self._ids(self.merged(text))
+            parts.append(last[at])
+            at -= len(last[at])
+        return self._ids(parts[::-1])
+
+    def _ids(self, parts: list[str]) -> list[int]:
+        """Pieces by their ids, other characters by their bytes or as unknown, once for a run of them."""
+        out: list[int] = []
+        unknown = False
+        for part in parts:
+            known = self.of.get(part)
+            if known is not None:
+                out.append(known[0])
+            elif self.byte_id:
+                out += [self.byte_id[b] for b in part.encode("utf-8")]
+            elif not unknown:
+                out.append(self.unknown)
+            unknown = known is None
+        return out
+
     def viterbi(self, text: str) -> list[int]:
-        """Ids of the best segmentation of a text in which spaces are marks already."""
+        """Of a unigram vocabulary: ids of the best segmentation of a text in which spaces are marks already."""
         n, floor = len(text), self.floor
         best = [float("-inf")] * (n + 1)
         best[0] = 0.0
-        back: list[tuple[int, int] | None] = [None] * (n + 1)
+        back = [0] * (n + 1)
         done = 0  # the best scores up to here are final
-        for last, (size, i, score) in self.automaton.iter(text):
+        for last, (size, _, score) in self.automaton.iter(text):
             while done < last:  # a character at which no piece ends is bridged by an unknown one
                 bridged = best[done] + floor
                 done += 1
                 if bridged > best[done]:
-                    best[done], back[done] = bridged, (done - 1, -1)
+                    best[done], back[done] = bridged, done - 1
             start = last + 1 - size
             got = best[start] + score
             if got > best[last + 1]:
-                best[last + 1], back[last + 1] = got, (start, i)
+                best[last + 1], back[last + 1] = got, start
         while done < n:
             bridged = best[done] + floor
             done += 1
             if bridged > best[done]:
-                best[done], back[done] = bridged, (done - 1, -1)
-        out: list[list[int]] = []
+                best[done], back[done] = bridged, done - 1
+        parts: list[str] = []
         at = n
         while at:
-            start, i = back[at]
-            if i >= 0:
-                out.append([i])
-            elif self.byte_id:
-                out.append([self.byte_id[b] for b in text[start:at].encode("utf-8")])
-            elif not (out and out[-1] == [self.unknown]):
-                out.append([self.unknown])
+            start = back[at]
+            parts.append(text[start:at])
             at = start
-        return [i for ids in reversed(out) for i in ids]
+        return self._ids(parts[::-1])
 
 
 class Codec:
-    def __init__(self, path: str, prefix_space: bool = True):
+    def __init__(self, path: str):
         self.vocabulary = v = Vocabulary(path)
-        self.prefix = b" " if prefix_space else b""
+        self.prefix = b" " if v.prefix_space else b""
         self.dtype = np.dtype(np.uint16 if v.size <= 1 << 16 else np.uint32)
-        self.cache = IdCache(self.dtype, CACHE)
-        self.shown = [bytes([v.is_byte[i]]) if i in v.is_byte else (" \u2047 " if i == v.unknown else p).encode("utf-8") for i, p in enumerate(v.pieces)]
+        self.cache = IdCache(self.dtype, CACHE_BYTES)
+        shown = [bytes([v.is_byte[i]]) if i in v.is_byte else (" \u2047 " if i == v.unknown else p).encode("utf-8") for i, p in enumerate(v.pieces)]
+        self._shown = np.frombuffer(b"".join(shown), np.uint8)
+        self._size = np.fromiter(map(len, shown), np.int64, len(shown))
+        self._begin = np.cumsum(self._size) - self._size
 
     def _starts(self, chunk: Chunk) -> np.ndarray:
         """Where stretches begin: at each text, at runs of spaces, at and after characters that stand alone."""
@@ -135,22 +240,29 @@ class Codec:
         start = self._starts(chunk)
         first = np.searchsorted(start, chunk.off)
         end = np.minimum(np.append(start[1:], len(chunk.buf)), (chunk.off[1:] - 1)[np.repeat(np.arange(chunk.n), np.diff(first))])
-        viterbi = self.vocabulary.viterbi
+        segment = self.vocabulary.segment
 
         def encode(which: np.ndarray) -> list[list[int]]:
-            return [viterbi(chunk.raw[a:b].decode("utf-8", "replace").replace(" ", MARK)) for a, b in zip(start[which].tolist(), end[which].tolist(), strict=True)]
+            return [segment(chunk.raw[a:b].decode("utf-8", "replace").replace(" ", MARK)) for a, b in zip(start[which].tolist(), end[which].tolist(), strict=True)]
 
-        ids, upto = self.cache(RangeHash(chunk.buf)(start, end), encode)
+        ids, upto = self.cache(*strong_hashes(chunk.raw, start, end, 2), encode)
         return ids, upto[first]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text.encode("utf-8")])[0]
 
+    def decode_all(self, ids: np.ndarray, upto: np.ndarray) -> Iterator[bytes]:
+        """The text (UTF-8) of each run of ids; ``upto`` has where each begins and one more entry."""
+        ids = ids.astype(np.int64)
+        raw = _ranges(self._shown, self._begin[ids], self._size[ids]).tobytes()
+        cut = np.concatenate([[0], np.cumsum(self._size[ids])])[upto].tolist()
+        for a, b in zip(cut, cut[1:], strict=False):
+            text = raw[a:b].replace(_MARK_BYTES, b" ")
+            yield text[1:] if self.prefix and text.startswith(b" ") else text
+
     def decode(self, ids) -> str:
-        table = self.shown
-        raw = b"".join([table[i] for i in (ids.tolist() if hasattr(ids, "tolist") else ids)])
-        text = raw.decode("utf-8", "replace").replace(MARK, " ")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        ids = np.asarray(ids, np.int64)
+        return next(self.decode_all(ids, np.array([0, len(ids)]))).decode("utf-8", "replace")
 
 
 _codecs: dict[str, Codec] = {}
@@ -167,48 +279,40 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = (), wit
     """Columns of ``keep``, then ids (array<int>, if asked for), n_tokens, ids_crc32 and, with ``check``, round_trip.
 
     ids_crc32 is the CRC-32 of the ids as little-endian unsigned 32-bit integers; round_trip tells whether decoding gives
-    the text back (marks count as spaces). A null or empty text has no ids.
+    the text back (marks count as spaces). A null or empty text has no ids. Texts of any length are encoded whole; equal rows
+    give equal rows. A column of ``keep`` may have the name of a result; both are then in the table.
     """
-    base = docs.select(*keep, "text")
-    kept = base.select(*keep).schema
+    base = numbered(docs, keep, "text")
+    kept = base.drop("text").schema
+    names = [*kept.names, *["ids"] * with_ids, "n_tokens", "ids_crc32", *["round_trip"] * check]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["ids array<int>"] * with_ids + ["n_tokens long", "ids_crc32 long"] + ["round_trip boolean"] * check)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path)
-        for batch, texts in batches(stream, 1 << 20):
+        for batch, texts in batches(stream, CHUNK_BYTES):
             ids, at = codec.encode_all(texts)
-            cut = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
             columns = [batch.column(k) for k in range(len(kept))]
-            names = list(kept.names)
             if with_ids:
                 columns.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32))))
-                names.append("ids")
             wide = ids.astype("<u4")
-            columns += [pa.array(np.diff(at)), pa.array([zlib.crc32(wide[a:b].data) for a, b in cut], pa.int64())]
-            names += ["n_tokens", "ids_crc32"]
+            columns += [pa.array(np.diff(at)), pa.array([zlib.crc32(wide[a:b].data) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.int64())]
             if check:
-                columns.append(pa.array([codec.decode(ids[a:b]) == t.decode("utf-8", "replace").replace(MARK, " ") for (a, b), t in zip(cut, texts, strict=True)]))
-                names.append("round_trip")
-            yield pa.record_batch(columns, names=names)
+                columns.append(pa.array([back == t.replace(_MARK_BYTES, b" ") for back, t in zip(codec.decode_all(ids, at), texts, strict=True)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return base.mapInArrow(run, schema)
+    return renamed(base.mapInArrow(run, schema), keep)
 
 
 def decode_documents(tokens: DataFrame, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns of ``keep`` and text, from a table with ids (array<int>); null ids give an empty text."""
-    base = tokens.select(*keep, "ids")
-    kept = base.select(*keep).schema
+    """Columns of ``keep`` and text, from a table with ids (array<int>); null ids give an empty text, a null id none."""
+    base = numbered(tokens, keep, "ids")
+    kept = base.drop("ids").schema
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["text string"])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path)
         for batch in stream:
             texts = [codec.decode([i for i in ids if i is not None]) if ids else "" for ids in batch.column(len(kept)).to_pylist()]
-            yield pa.record_batch([*(batch.column(k) for k in range(len(kept))), pa.array(texts, pa.string())], names=[*kept.names, "text"])
-
-    return base.mapInArrow(run, schema)
-
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(kept))), pa.array(texts, pa.string())], names=[*kept.names, "text"])
 
-def round_trips(docs: DataFrame) -> DataFrame:
-    """The documents whose text is not given back; for tests and audits."""
-    return docs.where(~F.col("round_trip"))
+    return renamed(base.mapInArrow(run, schema), keep)

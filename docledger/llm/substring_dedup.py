@@ -9,13 +9,12 @@ its kind, and the smallest doc_id that starts it is found.
 Definition.  Words are runs of bytes other than space and the controls 0x09-0x0D, unchanged.  A window is ``WINDOW``
 consecutive words of one document.  A word is removed if a window covers it whose word sequence also starts in a document
 with a smaller doc_id; windows are judged on the input.  Null text has no words.  Rows that share a doc_id are neither
-smaller nor larger than each other.  A null doc_id is smaller than every other.  Windows are equal if 96 bits of hash are.
+smaller nor larger than each other.  A null doc_id is smaller than every other.  Windows are equal if two independent hashes of
+their words, one of 64 bits and one of 32, are.  An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,14 +38,16 @@ class _Words:
         table, self.ids = B.by_doc_id(table)
         self.texts = texts_of(table.column("text"))
         self.doc_ids = table.column("doc_id")
-        hashes, firsts, n = [], [], 0
+        hashes, others, firsts, n = [], [], [], 0
         for a, b in slices(self.texts, B.CHUNK_BYTES):
             chunk = Chunk(self.texts[a:b])
             start, end, first = chunk.words(PLAIN_WORD)
-            hashes.append(chunk.word_hashes(start, end))
+            one, two = chunk.word_hashes(start, end, 2)
+            hashes.append(one)
+            others.append(two)
             firsts.append(first[:-1] + n)
             n += len(start)
-        self.hash = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        self.hash, self.other = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (hashes, others))
         self.first = np.concatenate([*firsts, [n]]).astype(np.int64)
         self.n = n
         self.doc = segment_ids(self.first, n)
@@ -71,7 +72,7 @@ class _Words:
 
     def windows(self, where: np.ndarray, n_buckets: int):
         """Distinct windows in bucket order: their two hashes, the first document of each, and the number of each window."""
-        a, b = window_hash(self.hash, WINDOW, 0)[where], window_hash(self.hash, WINDOW, 1)[where] >> np.uint64(32)
+        a, b = window_hash(self.hash, WINDOW, 0)[where], window_hash(self.other, WINDOW, 1)[where] >> np.uint64(32)
         bucket = (a >> np.uint64(40)) % np.uint64(n_buckets)
         order = np.lexsort((b, a, bucket))
         heads = B.group_starts(a[order], b[order])
@@ -168,7 +169,3 @@ def substring_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES) -> DataFr
     shared = blocks.groupBy("block").applyInArrow(anchor_keys, _KEYS).groupBy("bucket").applyInArrow(meet_anchors, _FLAGS).repartition(n_blocks, "block")
     late = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(window_keys, _KEYS).groupBy("bucket").applyInArrow(meet_windows, _FLAGS).repartition(n_blocks, "block")
     return blocks.groupBy("block").cogroup(shared.unionByName(late).groupBy("block")).applyInArrow(cut, out)
-
-
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

@@ -4,18 +4,18 @@ The suffixes of a text are classified into S (smaller than the next suffix) and
 cut the text into substrings; these are sorted by one induction pass and named.  If names repeat, the string of names, at
 most half as long, is sorted in turn.  A second induction pass over the sorted leftmost-S suffixes gives the array.
 
-An induction pass goes through the 256 buckets of first bytes.  All members of a bucket induce their predecessors at once:
-the predecessors are dealt to their buckets by a stable sort on one byte.  A bucket's own members that induce members of
-the same bucket are taken in waves, one for each step of a run of equal bytes.  The string of names has as many letters
-as names, so bucket-wise passes would not be array operations there; its suffixes are ranked by doubling prefixes, each
-round only over the ranks that are still shared.
+An induction pass goes through the buckets of first letters.  All members of a large bucket induce their predecessors at
+once: the predecessors are dealt to their buckets by a stable sort on their letters, and a bucket's own members that induce
+members of the same bucket are taken in waves, one for each step of a run of equal letters.  The members of a bucket of fewer
+than ``BUCKET`` are taken one by one; a string of names has ever more of those.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-from .kernel import RangeHash
+#: Members from which on a bucket is handled as an array.
+BUCKET = 64
 
 
 def _types(text: np.ndarray) -> np.ndarray:
@@ -30,117 +30,137 @@ def _types(text: np.ndarray) -> np.ndarray:
 
 
 def _deal(pred: np.ndarray, char: np.ndarray, out: np.ndarray, at: np.ndarray, sign: int) -> None:
-    """Appends each of ``pred`` to the bucket of its byte, in order; ``at`` has the next free place of each bucket."""
+    """Appends each of ``pred`` to the bucket of its letter, in order; ``at`` has the next free place of each bucket."""
     order = np.argsort(char, kind="stable")
     chars, pred = char[order], pred[order]
-    count = np.bincount(chars, minlength=256)
-    begin = np.concatenate([[0], np.cumsum(count)[:-1]])
-    rank = np.arange(len(pred)) - begin[chars]
+    heads = np.flatnonzero(np.concatenate([[True], chars[1:] != chars[:-1]]))
+    size = np.diff(np.append(heads, len(chars)))
+    rank = np.arange(len(pred)) - np.repeat(heads, size)
     out[at[chars] + sign * rank] = pred
-    at += sign * count
+    at[chars[heads]] += sign * size
 
 
-def _induce(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray) -> np.ndarray:
+def _induce(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, letters: int) -> np.ndarray:
     """The array that the leftmost-S suffixes, in this order, induce."""
     n = len(text)
-    size = np.bincount(text, minlength=256)
+    size = np.bincount(text, minlength=letters)
     begin = np.concatenate([[0], np.cumsum(size)])
     head, tail = begin[:-1].copy(), begin[1:] - 1
     out = np.full(n, -1, np.int32)
     lms_char = text[lms]
     by_char = np.argsort(lms_char, kind="stable")
-    lms_sorted, lms_begin = lms[by_char], np.concatenate([[0], np.cumsum(np.bincount(lms_char, minlength=256))])
+    lms_sorted, lms_begin = lms[by_char], np.concatenate([[0], np.cumsum(np.bincount(lms_char, minlength=letters))])
+    # The same arrays for single items, which views read and write faster.
+    text1, is_s1, out1, head1, tail1, lms1, lms_begin1 = (memoryview(x) for x in (text, is_s, out, head, tail, lms_sorted, lms_begin))
 
-    def wave(members: np.ndarray, want_s: bool) -> tuple[np.ndarray, np.ndarray]:
+    def from_many(members: np.ndarray, want_s: bool, at: np.ndarray, sign: int) -> None:
         pred = members[members > 0] - 1
         pred = pred[is_s[pred] == want_s]
-        return pred, text[pred]
+        if len(pred):
+            _deal(pred, text[pred], out, at, sign)
 
     # L suffixes, bucket by bucket upwards. The end of the text induces the last suffix first.
     last = int(text[n - 1])
     out[head[last]] = n - 1
     head[last] += 1
-    for c in np.flatnonzero(size).tolist():
-        done = int(begin[c])
-        while done < head[c]:
-            members = out[done : head[c]]
-            done = int(head[c])
-            pred, char = wave(members, False)
-            if len(pred):
-                _deal(pred, char, out, head, 1)
-        members = lms_sorted[lms_begin[c] : lms_begin[c + 1]]
-        if len(members):
-            pred, char = wave(members, False)
-            if len(pred):
-                _deal(pred, char, out, head, 1)
-    # S suffixes, bucket by bucket downwards.
-    for c in np.flatnonzero(size)[::-1].tolist():
-        done = int(begin[c + 1]) - 1
-        while done > tail[c]:
-            members = out[tail[c] + 1 : done + 1][::-1]
-            done = int(tail[c])
-            pred, char = wave(members, True)
-            if len(pred):
-                _deal(pred, char, out, tail, -1)
-        members = out[begin[c] : head[c]][::-1]  # its L suffixes
-        pred, char = wave(members, True)
-        if len(pred):
-            _deal(pred, char, out, tail, -1)
+    used = np.flatnonzero(size).tolist()
+    for c in used:
+        done = begin_c = int(begin[c])
+        while done < head1[c]:
+            upto = head1[c]
+            if upto - done >= BUCKET:
+                from_many(out[done:upto], False, head, 1)
+                done = upto
+                continue
+            i = out1[done]
+            done += 1
+            if i > 0 and not is_s1[i - 1]:
+                d = text1[i - 1]
+                out1[head1[d]] = i - 1
+                head1[d] += 1
+        a, b = lms_begin1[c], lms_begin1[c + 1]
+        if b - a >= BUCKET:
+            from_many(lms_sorted[a:b], False, head, 1)
+        else:
+            for k in range(a, b):
+                i = lms1[k]
+                if i > 0 and not is_s1[i - 1]:
+                    d = text1[i - 1]
+                    out1[head1[d]] = i - 1
+                    head1[d] += 1
+    # S suffixes, bucket by bucket downwards; then the bucket's L suffixes.
+    for c in reversed(used):
+        done, begin_c, upto = int(begin[c + 1]) - 1, int(begin[c]), head1[c]
+        while done > tail1[c]:
+            low = tail1[c]
+            if done - low >= BUCKET:
+                from_many(out[low + 1 : done + 1][::-1], True, tail, -1)
+                done = low
+                continue
+            i = out1[done]
+            done -= 1
+            if i > 0 and is_s1[i - 1]:
+                d = text1[i - 1]
+                out1[tail1[d]] = i - 1
+                tail1[d] -= 1
+        if upto - begin_c >= BUCKET:
+            from_many(out[begin_c:upto][::-1], True, tail, -1)
+        else:
+            for k in range(upto - 1, begin_c - 1, -1):
+                i = out1[k]
+                if i > 0 and is_s1[i - 1]:
+                    d = text1[i - 1]
+                    out1[tail1[d]] = i - 1
+                    tail1[d] -= 1
     return out
 
 
-def _rank_names(names: np.ndarray) -> np.ndarray:
-    """The order of the suffixes of a string of names, by doubling; only shared ranks are looked at again."""
-    m = len(names)
-    order = np.argsort(names, kind="stable")
-    rank = np.empty(m, np.int64)
-    heads = np.flatnonzero(np.concatenate([[True], names[order][1:] != names[order][:-1]]))
-    group = np.repeat(heads, np.diff(np.append(heads, m)))
-    rank[order] = group
-    width = 1
-    size = np.diff(np.append(heads, m))
-    open_ = np.flatnonzero(np.repeat(size > 1, size))
-    while len(open_):
-        items = order[open_]
-        after = items + width
-        second = np.where(after < m, rank[np.minimum(after, m - 1)] + 1, 0)
-        first = rank[items]
-        by = np.lexsort((second, first))
-        items, first, second = items[by], first[by], second[by]
-        order[open_] = items
-        new = np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
-        heads = np.flatnonzero(new)
-        size = np.diff(np.append(heads, len(items)))
-        rank[items] = np.repeat(open_[heads], size)
-        open_ = open_[np.repeat(size > 1, size)]
-        width *= 2
-    return order
+def _differ(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For each substring, whether it is another than the one before it in the list; the first is."""
+    out = np.ones(len(begin), bool)
+    if len(begin) < 2:
+        return out
+    size = end - begin
+    open_ = np.flatnonzero(size[1:] == size[:-1]) + 1
+    out[open_] = False
+    for step in range(32):
+        if not len(open_):
+            return out
+        open_ = open_[size[open_] > step]
+        other = text[begin[open_] + step] != text[begin[open_ - 1] + step]
+        out[open_[other]] = True
+        open_ = open_[~other]
+    for k in open_[size[open_] > 32].tolist():
+        out[k] = not np.array_equal(text[begin[k] + 32 : end[k]], text[begin[k - 1] + 32 : end[k - 1]])
+    return out
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Start positions of the suffixes of a byte array in ascending order (int32; under 2**31 bytes)."""
+def _sorted_suffixes(text: np.ndarray, letters: int) -> np.ndarray:
     n = len(text)
     if n < 2:
         return np.arange(n, dtype=np.int32)
     is_s = _types(text)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]).astype(np.int32) + np.int32(1)
     if len(lms) > 1:
-        order = _induce(text, is_s, lms)
+        order = _induce(text, is_s, lms, letters)
         is_lms = np.zeros(n, bool)
         is_lms[lms] = True
         by = order[is_lms[order]]  # the substrings in order
         number = np.empty(n, np.int32)
         number[lms] = np.arange(len(lms), dtype=np.int32)
         end = np.append(lms[1:] + 1, n)[number[by]]
-        hashed = RangeHash(text)(by, end)
-        new = np.concatenate([[True], (hashed[1:] != hashed[:-1]) | (np.diff(end - by) != 0)])
-        name = np.cumsum(new) - 1
+        name = np.cumsum(_differ(text, by, end)) - 1
         if name[-1] + 1 < len(lms):
-            names = np.empty(len(lms), np.int64)
+            names = np.empty(len(lms), np.int32)
             names[number[by]] = name
-            by = lms[_rank_names(names)]
+            by = lms[_sorted_suffixes(names, int(name[-1]) + 1)]
         lms = by
-    return _induce(text, is_s, lms)
+    return _induce(text, is_s, lms, letters)
+
+
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Start positions of the suffixes of a byte array in ascending order (int32; under 2**31 bytes)."""
+    return _sorted_suffixes(text, 256)
 
 
 def permuted_common_prefixes(text: np.ndarray, order: np.ndarray, most: int, stride: int = 16) -> np.ndarray:

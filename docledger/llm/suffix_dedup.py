@@ -9,12 +9,15 @@ the distinct ones with one suffix array.  Neighbours in the array with a common
 windows, and the earliest stays.
 
 A minimiser that stands in more than ``HOT`` distinct segments, such as a line that very many documents hold amid text of
-their own, would gather a shard that grows with the corpus.  The windows of its segments are dealt by their own hashes
-instead, one window at a time, after equal windows of a block have become one; equal means 96 bits of hash.
+their own, would gather a shard that grows with the corpus.  Its segments are cut into their windows, and each window, equal
+ones of a block once, goes to the shard that its own hash names.  These shards sort and compare them like any others.
+
+Hashes only choose shards; bytes decide what is equal.
 
 Definition.  Texts are UTF-8 bytes, null is empty, matches never cross documents.  A byte is removed if a string of
 ``WINDOW`` bytes covers it that also starts earlier: in a row with a smaller doc_id, or in one with the same doc_id at an
-earlier start.  Strings are judged on the input.  A null doc_id is smaller than every other.
+earlier start.  Strings are judged on the input.  A null doc_id is smaller than every other.  Rows with one doc_id and the same
+string at the same start both keep it.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import blocks as B
+from .columns import renamed
 from .kernel import Chunk, RangeHash, slices, texts_of
 from .substring_dedup import _FLAGS, _flags, _rows
 from .suffix_array import permuted_common_prefixes, suffix_array
@@ -34,10 +38,8 @@ _SPAN = WINDOW - KMER + 1
 #: Distinct segments that one minimiser may bring to a shard: about 3 MB of text.
 HOT = 20_000
 _LOW40 = np.uint64((1 << 40) - 1)
-_OTHER = np.random.default_rng(7).permutation(256).astype(np.uint8)
-
 _MINIMISERS = "bucket int, block int, n int, keys binary, counts binary"
-#: Kind 2: segments with their lengths and bytes; kind 3: single windows with their hashes in place of the bytes.
+#: Kind 2: segments; kind 3: single windows of segments with hot minimisers.
 _PIECES = "kind int, bucket int, block int, n int, lens binary, docs binary, starts binary, bytes binary"
 
 
@@ -93,8 +95,16 @@ class _Block:
         heads = B.group_starts(content[order], self.len[order])
         self.rep = np.empty(n, np.int64)
         self.rep[order] = np.repeat(order[heads], np.diff(np.append(heads, n)))
+        # Of segments with one hash the bytes decide.
+        texts, doc, start, length = self.texts, self.doc.tolist(), self.start.tolist(), self.len.tolist()
+        others: dict[bytes, int] = {}
+        for i in order[self.rep[order] != order].tolist():
+            r = int(self.rep[i])
+            own = texts[doc[i]][start[i] : start[i] + length[i]]
+            if not texts[doc[r]].startswith(own, start[r]):
+                self.rep[i] = others.setdefault(own, i)
         self.later = (ids != ids[self.rep]) | (self.start != self.start[self.rep])
-        own = order[heads]
+        own = order[self.rep[order] == order]
         key = ((minimiser[own] >> np.uint64(40)) % np.uint64(n_buckets)) << np.uint64(40) | (minimiser[own] & _LOW40)
         by = np.argsort(key, kind="stable")
         #: Distinct segments in the order of their keys.
@@ -120,8 +130,8 @@ class _Block:
     def hot_windows(self, answers: pa.Table, n_buckets: int):
         """The windows of segments with hot minimisers.
 
-        Of each: its segment and its place there. Of distinct ones in bucket order: the bucket, two hashes and the first
-        window with them; and the number of each window's distinct one.
+        Of each: its segment, its place there and the number of its distinct window. Of distinct ones in bucket order: the
+        bucket, the first window with these bytes, and the bytes.
         """
         shared, hot = self._pick(answers)
         own = self.own[shared & hot]
@@ -130,16 +140,13 @@ class _Block:
         inside = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         chunk = Chunk([self.texts[d][a : a + n] for d, a, n in zip(self.doc[own].tolist(), self.start[own].tolist(), self.len[own].tolist(), strict=True)])
         at = np.repeat(chunk.off[:-1], count) + inside
-        a = RangeHash(chunk.buf)(at, at + WINDOW) if len(at) else np.zeros(0, np.uint64)
-        # A second hash, of the same bytes through another table.
-        b = RangeHash(_OTHER[chunk.buf])(at, at + WINDOW) >> np.uint64(32) if len(at) else np.zeros(0, np.uint64)
-        bucket = (a >> np.uint64(40)) % np.uint64(n_buckets)
-        order = np.lexsort((self.start[seg] + inside, self.ids[self.doc[seg]], b, a, bucket))
-        heads = B.group_starts(a[order], b[order])
+        bucket = ((RangeHash(chunk.buf)(at, at + WINDOW) if len(at) else np.zeros(0, np.uint64)) % np.uint64(n_buckets)).astype(np.int64)
+        order = np.lexsort((self.start[seg] + inside, self.ids[self.doc[seg]], bucket))
+        number: dict[bytes, int] = {}
         which = np.empty(len(order), np.int64)
-        which[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(order))))
-        first = order[heads]
-        return seg, inside, bucket[first].astype(np.int64), a[first], b[first].astype(np.uint32), first, which
+        which[order] = [number.setdefault(chunk.raw[a : a + WINDOW], len(number)) for a in at[order].tolist()]
+        first = order[np.unique(which[order], return_index=True)[1]]
+        return seg, inside, which, bucket[first], first, list(number)
 
 
 def _later_windows(lens: np.ndarray, docs: np.ndarray, starts: np.ndarray, pieces: list[bytes]) -> np.ndarray:
@@ -213,15 +220,13 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
             s = own[f:t]
             text = b"".join([b.texts[d][a : a + n] for d, a, n in zip(b.doc[s].tolist(), b.start[s].tolist(), b.len[s].tolist(), strict=True)])
             rows.append((2, k, block, t - f, b.len[s].astype(np.uint8).tobytes(), B.planes(b.ids[b.doc[s]]), B.planes(b.start[s]), text))
-        seg, inside, bucket, x, y, first, _ = b.hot_windows(answers, n_buckets)
+        seg, inside, _, bucket, first, windows = b.hot_windows(answers, n_buckets)
         docs_of, starts = b.ids[b.doc[seg[first]]], b.start[seg[first]] + inside[first]
-        rows += [(3, k, block, t - f, b"", B.planes(docs_of[f:t]), B.planes(starts[f:t]), x[f:t].tobytes() + y[f:t].tobytes()) for k, f, t in B.bucket_runs(bucket)]
+        rows += [(3, k, block, t - f, bytes([WINDOW]) * (t - f), B.planes(docs_of[f:t]), B.planes(starts[f:t]), b"".join(windows[f:t])) for k, f, t in B.bucket_runs(bucket)]
         return _rows(_PIECES, rows)
 
     def meet_pieces(table: pa.Table) -> pa.Table:
-        return meet_segments(table) if table.column("kind")[0].as_py() == 2 else meet_windows(table)
-
-    def meet_segments(table: pa.Table) -> pa.Table:
+        kind = table.column("kind")[0].as_py()
         bucket, ns = table.column("bucket")[0].as_py(), table.column("n").to_pylist()
         col = {c: table.column(c).to_pylist() for c in ("block", "lens", "docs", "starts", "bytes")}
         lens = np.concatenate([np.frombuffer(x, np.uint8) for x in col["lens"]]).astype(np.int64)
@@ -230,26 +235,17 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
         end = np.cumsum(lens).tolist()
         later = _later_windows(lens, ids, starts, [text[a:b] for a, b in zip([0, *end], end, strict=False)])
         upto = np.concatenate([[0], np.cumsum(lens - WINDOW + 1)])[np.concatenate([[0], np.cumsum(ns)])]
-        return _rows(_FLAGS, [(k, 2, bucket, int(b - a), B.pack_bits(later[a:b])) for k, a, b in zip(col["block"], upto[:-1], upto[1:], strict=True)])
-
-    def meet_windows(table: pa.Table) -> pa.Table:
-        bucket, ns, keys = table.column("bucket")[0].as_py(), table.column("n").to_pylist(), table.column("bytes").to_pylist()
-        x = np.concatenate([np.frombuffer(k, np.uint64, n) for k, n in zip(keys, ns, strict=True)])
-        y = np.concatenate([np.frombuffer(k, np.uint32, n, 8 * n) for k, n in zip(keys, ns, strict=True)])
-        ids, starts = (np.concatenate([B.unplanes(k, np.int64) for k in table.column(c).to_pylist()]) for c in ("docs", "starts"))
-        order = np.lexsort((starts, ids, y, x))
-        heads = B.group_starts(x[order], y[order])
-        least = np.repeat(order[heads], np.diff(np.append(heads, len(order))))
-        later = np.empty(len(x), bool)
-        later[order] = (ids[order] != ids[least]) | (starts[order] != starts[least])
-        return _rows(_FLAGS, [(k, 3, bucket, n, B.pack_bits(f)) for k, n, f in zip(table.column("block").to_pylist(), ns, np.split(later, np.cumsum(ns)[:-1]), strict=True)])
+        return _rows(_FLAGS, [(k, kind, bucket, int(b - a), B.pack_bits(later[a:b])) for k, a, b in zip(col["block"], upto[:-1], upto[1:], strict=True)])
 
-    out = ", ".join(["doc_id long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), "n_bytes long, n_removed long, n_spans long", "kept string" if as_text else "kept binary"])
+    kept_type, results = ("string" if as_text else "binary"), ["n_bytes", "n_removed", "n_spans", "kept"]
+    passed = [f for f in blocks.schema if f.name.startswith("__keep")]
+    out = ", ".join(["doc_id long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in passed), "n_bytes long, n_removed long, n_spans long", f"kept {kept_type}"])
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
+        through = [n for n in table.column_names if n.startswith("__keep")]
         if not table.num_rows:
-            fields = {"doc_id": pa.int64(), **{c: table.schema.field(c).type for c in keep}, **dict.fromkeys(("n_bytes", "n_removed", "n_spans"), pa.int64()), "kept": pa.string() if as_text else pa.binary()}
-            return pa.schema(list(fields.items())).empty_table()
+            fields = [("doc_id", pa.int64()), *((n, table.schema.field(n).type) for n in through), *((n, pa.int64()) for n in results[:3]), ("kept", pa.string() if as_text else pa.binary())]
+            return pa.schema(fields).empty_table()
         b = _Block(table, n_buckets)
         own, _ = b.sent(answers)
         n_windows = b.len[own] - WINDOW + 1
@@ -270,11 +266,11 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
         at = (np.repeat(place[told], count) + inside)[hit]
         np.add.at(delta, at, 1)
         np.add.at(delta, at + WINDOW, -1)
-        seg, inside, _, x, _, first, which = b.hot_windows(answers, n_buckets)
+        seg, inside, which, _, first, windows = b.hot_windows(answers, n_buckets)
         if len(seg):
             # A window is late if its first like in the block is, or if it stands later than that one.
             start, doc = b.start[seg] + inside, b.ids[b.doc[seg]]
-            late = _flags(answers, 3, len(x))[which] | (doc != doc[first[which]]) | (start != start[first[which]])
+            late = _flags(answers, 3, len(windows))[which] | (doc != doc[first[which]]) | (start != start[first[which]])
             back = np.full(len(b.doc), -1, np.int64)
             heads = np.flatnonzero(inside == 0)
             back[seg[heads]] = heads
@@ -293,8 +289,8 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
         n_gone, n_rises = np.diff(n_gone).astype(np.int64), np.diff(n_rises).astype(np.int64)
         kept = [np.frombuffer(t, np.uint8)[~gone[a : a + len(t)]].tobytes() if g else t for t, a, g in zip(b.texts, off[:-1].tolist(), n_gone.tolist(), strict=True)]
         last = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
-        return pa.table([b.doc_ids, *(b.table.column(c) for c in keep), pa.array(size), pa.array(n_gone), pa.array(n_rises), last], names=["doc_id", *keep, "n_bytes", "n_removed", "n_spans", "kept"])
+        return pa.table([b.doc_ids, *(b.table.column(n) for n in through), pa.array(size), pa.array(n_gone), pa.array(n_rises), last], names=["doc_id", *through, *results])
 
     shared = blocks.groupBy("block").applyInArrow(minimisers, _MINIMISERS).groupBy("bucket").applyInArrow(meet_minimisers, _FLAGS).repartition(n_blocks, "block")
     late = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(pieces, _PIECES).groupBy("kind", "bucket").applyInArrow(meet_pieces, _FLAGS).repartition(n_blocks, "block")
-    return blocks.groupBy("block").cogroup(shared.unionByName(late).groupBy("block")).applyInArrow(cut, out)
+    return renamed(blocks.groupBy("block").cogroup(shared.unionByName(late).groupBy("block")).applyInArrow(cut, out), keep)

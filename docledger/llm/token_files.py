@@ -6,21 +6,25 @@ the padding of a file's last sequence.  Documents run through the sequences back
 so a reader that maps the file reaches sequence i of a batch at a fixed offset without copying.  Beside each file stands a
 second one with doc_id, start (within the file) and n_tokens of each document.
 
-A task writes under a name of its own and renames when done, so a task that runs twice leaves one whole file.  Files go
-to a folder that all executors share, through a file system found from its URI.
-
-Encoding: the vocabulary's pre-tokenizer splits a text at white space and between letters, single digits and other
-characters, and lower-cases it, so pieces of a text never change their ids with their neighbours.  Pieces of ASCII and of
-Latin-1 letters are found as array operations; the library's model encodes each distinct one.  A word with any other
-character, with an apostrophe (contractions) or with ``<|`` (special tokens) goes through the whole library.  Each worker
-keeps the ids of pieces under a 64-bit hash, as arrays.  ``PieceEncoder`` checks the vocabulary's description and refuses
-one with other rules.
+A task writes files with names of its own and returns them; the table of files, which Spark commits, lists those of the
+attempts that count, so a task that runs twice or dies leaves at most files that nothing names.  Files go to a folder that
+all executors share, through a file system found from its URI.
+
+Encoding: a vocabulary whose rules are ``NORMALIZER`` and ``PRE_TOKENIZER`` splits a text at white space and between letters,
+single digits and other characters, and lower-cases it, so pieces of a text never change their ids with their neighbours.
+Pieces of ASCII and of Latin-1 letters are found as array operations; the library's model encodes each distinct one.  A word
+with any other character, with an apostrophe (contractions) or with ``<|`` (special tokens) goes through the whole library.
+Each worker keeps the ids of pieces it has seen, in at most ``CACHE_BYTES``; a piece is known by 128 bits of hash.  With a
+vocabulary of other rules, whole texts go through the library.
 """
 
 from __future__ import annotations
 
+import atexit
 import json
 import os
+import shutil
+import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -28,22 +32,34 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .kernel import LOWER, Chunk, IdCache, RangeHash, batches
+from .blocks import parts, text_bytes
+from .kernel import LOWER, Chunk, IdCache, batches, strong_hashes
 
 LENGTH = 2048
 BATCH = 256
-#: Pieces whose ids a worker keeps: about 30 bytes each.
-CACHE_PIECES = 1_500_000
+#: Bytes of pieces and ids that a worker keeps.
+CACHE_BYTES = 32 << 20
+#: Bytes of text whose ids go to one file, about.
+FILE_BYTES = 128 << 20
 #: Bytes of text that are encoded at once.
 CHUNK_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; a folder in /tmp where none is set, as in tests on one machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/docledger-checkpoints"
+    """A new folder below spark.checkpoint.dir.
+
+    Where that is not set, a session on one machine gets a temporary folder; a cluster is refused, since its machines share none.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        base = f"file://{tempfile.gettempdir()}/docledger-{spark.sparkContext.applicationId}"
+        spark.conf.set("spark.checkpoint.dir", base)
+        atexit.register(shutil.rmtree, base.removeprefix("file://"), ignore_errors=True)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -67,6 +83,17 @@ _shown = {b: b for b in [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x
 _BYTE = [chr(_shown.get(b, 0x100 + sum(x not in _shown for x in range(b)))) for b in range(256)]
 
 
+# The rules for which pieces can be found without the library.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 class PieceEncoder:
     """Encodes texts piece by piece. A piece is bytes ``start`` .. ``end`` of the lower-cased text."""
 
@@ -76,13 +103,12 @@ class PieceEncoder:
         with _files(path)[0].open_input_stream(_files(path)[1]) as f:
             text = f.read().decode("utf-8")
         rules = json.loads(text)
-        kinds = [x["type"] for x in rules["normalizer"]["normalizers"]], [x["type"] for x in rules["pre_tokenizer"]["pretokenizers"]]
-        if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) or not rules["pre_tokenizer"]["pretokenizers"][0]["invert"]:
-            raise ValueError(f"{path}: a vocabulary with other rules")
+        added = [x["content"] for x in rules.get("added_tokens") or []]
+        self.by_piece = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER and all(x.startswith("<|") and not (set(x) & set(" \t\n")) for x in added)
         self.tokenizer = Tokenizer.from_str(text)
         self.model = self.tokenizer.model
         self.dtype, self.end_id = np.dtype(dtype), end_id
-        self.cache = IdCache(self.dtype, CACHE_PIECES)
+        self.cache = IdCache(self.dtype, CACHE_BYTES)
 
     @staticmethod
     def _pieces(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -126,17 +152,27 @@ class PieceEncoder:
         chunk = Chunk(texts)
         if not len(chunk.buf):
             return np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
-        lower, start, end, odd = self._pieces(chunk.buf)
-        hashed = RangeHash(lower)(start, end) ^ np.where(odd, np.uint64(0xA5A5A5A55A5A5A5A), np.uint64(0))
-        raw = lower.tobytes()
-        ids, upto = self.cache(hashed, lambda w: [self._encode(raw[a:b], o) for a, b, o in zip(start[w].tolist(), end[w].tolist(), odd[w].tolist(), strict=True)])
-        first = np.searchsorted(start, chunk.off)
-        count = np.diff(upto[first])
+        if self.by_piece:
+            ids, upto = self._by_piece(chunk)
+        else:
+            got = [self.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in texts]
+            upto = np.concatenate([[0], np.cumsum([len(x) for x in got], dtype=np.int64)])
+            ids = np.fromiter((i for x in got for i in x), self.dtype, int(upto[-1]))
+        count = np.diff(upto)
         if self.end_id is not None:
-            ids = np.insert(ids, upto[first[1:]], self.end_id)
+            ids = np.insert(ids, upto[1:], self.end_id)
             count = count + 1
         return ids, count
 
+    def _by_piece(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        lower, start, end, odd = self._pieces(chunk.buf)
+        raw = lower.tobytes()
+        hashed, check = strong_hashes(raw, start, end, 2)
+        # The same bytes through the whole library are another piece.
+        hashed ^= np.where(odd, np.uint64(0xA5A5A5A55A5A5A5A), np.uint64(0))
+        ids, upto = self.cache(hashed, check, lambda w: [self._encode(raw[a:b], o) for a, b, o in zip(start[w].tolist(), end[w].tolist(), odd[w].tolist(), strict=True)])
+        return ids, upto[np.searchsorted(start, chunk.off)]
+
 
 _encoders: dict[tuple, PieceEncoder] = {}
 
@@ -153,12 +189,12 @@ def _id_type(vocabulary: int):
     return np.uint16 if vocabulary <= 1 << 16 else np.uint32
 
 
-def _write_file(fs, path: str, documents: Iterator[tuple[list, np.ndarray, np.ndarray]], dtype, index_path: str) -> tuple[int, int]:
+def _write_file(fs, path: str, documents: Iterator[tuple[pa.Array, np.ndarray, np.ndarray]], dtype, index_path: str) -> tuple[int, int]:
     """From batches of doc_ids, ids and counts. Returns the numbers of documents and ids."""
     kind = pa.from_numpy_dtype(dtype)
     schema = pa.schema([("ids", pa.list_(kind, LENGTH)), ("mask", pa.list_(pa.bool_(), LENGTH))])
     most = LENGTH * BATCH
-    doc_ids: list[int | None] = []
+    doc_ids: list[pa.Array] = []
     counts: list[np.ndarray] = [np.zeros(0, np.int64)]
     with fs.open_output_stream(path) as sink, pa.ipc.new_file(sink, schema) as writer:
 
@@ -171,7 +207,7 @@ def _write_file(fs, path: str, documents: Iterator[tuple[list, np.ndarray, np.nd
 
         held = np.zeros(0, dtype)
         for names, ids, count in documents:
-            doc_ids += names
+            doc_ids.append(names)
             counts.append(count)
             held = np.concatenate([held, ids])
             whole = len(held) // most * most
@@ -181,7 +217,7 @@ def _write_file(fs, path: str, documents: Iterator[tuple[list, np.ndarray, np.nd
         if len(held):
             write(held)
     n = np.concatenate(counts)
-    index = pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "start": np.cumsum(n) - n, "n_tokens": n})
+    index = pa.table({"doc_id": pa.chunked_array(doc_ids, pa.int64()).combine_chunks(), "start": np.cumsum(n) - n, "n_tokens": n})
     with fs.open_output_stream(index_path) as sink, pa.ipc.new_file(sink, index.schema) as writer:
         writer.write_table(index)
     return len(n), int(n.sum())
@@ -190,14 +226,15 @@ def _write_file(fs, path: str, documents: Iterator[tuple[list, np.ndarray, np.nd
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int | None, n_files: int | None = None) -> DataFrame:
     """Writes the files in ascending doc_id order and returns a small table: part, file, index, n_docs, n_tokens.
 
-    A null text is empty. A null doc_id comes first. Rows with one doc_id stay side by side in no fixed order among them.
+    A null text is empty; texts of any length are whole. A null doc_id comes first. Rows of one doc_id follow each other by a
+    hash of their text, so a doc_id that very many rows have, null too, is spread over files. Other columns are not read.
     """
-    spark = docs.sparkSession
-    n_files = n_files or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_files = n_files or parts(docs, text_bytes(docs), FILE_BYTES)
     from tokenizers import Tokenizer
 
     dtype = np.dtype(_id_type(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True))).name
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n_files, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
+    ranged = rows.repartitionByRange(n_files, "doc_id", "digest").sortWithinPartitions("doc_id", "digest", "text").select("doc_id", "text")
 
     def write(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -207,14 +244,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
         def documents():
             for rows, texts in batches(stream, CHUNK_BYTES):
-                yield rows.column(0).to_pylist(), *encode(texts)
+                yield rows.column(0), *encode(texts)
 
-        name, own = f"part-{part:06d}", uuid.uuid4().hex
-        paths = [(f"{base}/.{own}-{k}", f"{base}/{name}.{k}") for k in ("ids.arrow", "index.arrow")]
-        n_docs, n_tokens = _write_file(fs, paths[0][0], documents(), dtype, paths[1][0])
-        for a, b in paths:
-            fs.move(a, b)
-        yield pa.record_batch({"part": [part], "file": [f"{name}.ids.arrow"], "index": [f"{name}.index.arrow"], "n_docs": [n_docs], "n_tokens": [n_tokens]})
+        name = f"part-{part:06d}-{uuid.uuid4().hex}"
+        file, index = f"{name}.ids.arrow", f"{name}.index.arrow"
+        n_docs, n_tokens = _write_file(fs, f"{base}/{file}", documents(), dtype, f"{base}/{index}")
+        yield pa.record_batch({"part": [part], "file": [file], "index": [index], "n_docs": [n_docs], "n_tokens": [n_tokens]})
 
     return ranged.mapInArrow(write, "part long, file string, index string, n_docs long, n_tokens long")
 
@@ -248,15 +283,9 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
 
     ``files`` is what ``write_token_files`` returned, once it has been written: a row for each file.
     """
-    spark = files.sparkSession
-    rows = files.orderBy("part").collect()  # one small row for each file
-    before, at = [], 0
-    for r in rows:
-        before.append((r["file"], r["index"], at))
-        at += r["n_tokens"]
-    if not before:
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    listed = spark.createDataFrame(before, "file string, index string, before long").repartition(len(before))
+    # One narrow row for each file.
+    before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    listed = files.select("file", "index", before.alias("before")).repartition(max(1, files.count()))
 
     def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
