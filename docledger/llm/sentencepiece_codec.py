@@ -31,9 +31,9 @@ from .kernel import Chunk, IdCache, _ranges, batches, strong_hashes
 
 MARK = "▁"
 #: Bytes of stretches and ids that a worker keeps.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 64 << 20
 #: Pairs of pieces of which a worker remembers whether they can stand together.
-PAIRS = 200_000
+PAIRS = 500_000
 #: Bytes of text that are encoded at once.
 CHUNK_BYTES = 512 << 10
 _MARK_BYTES = MARK.encode("utf-8")
@@ -99,7 +99,8 @@ class Vocabulary:
         self.floor = min((s for _, s in self.of.values()), default=0.0) - UNKNOWN_PENALTY
         self.alone = self._alone(list(self.of))
         self.is_byte = {i: b for b, i in self.byte_id.items()}
-        self._fits: dict[tuple[str, str], bool] = {}
+        self._fits: dict[int, bool] = {}
+        self._chars = frozenset(x for x in self.of if len(x) == 1)
 
     def _alone(self, pieces: list[str]) -> np.ndarray | None:
         """Which ASCII bytes stand beside no other character in any piece; None if pieces go on across marks."""
@@ -118,14 +119,13 @@ class Vocabulary:
             k = min(found)[1]
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
 
-    def fits(self, before: str, piece: str) -> bool:
-        """Whether merging leaves these two side by side; an empty ``before`` is the start of a stretch."""
-        key = before, piece
-        got = self._fits.get(key)
-        if got is None:
-            if len(self._fits) >= PAIRS:
-                self._fits.clear()
-            got = self._fits[key] = self.merged(before + piece) == [x for x in key if x]
+    def fits(self, before: int, piece: int) -> bool:
+        """Whether merging leaves these two side by side; the start of a stretch, as ``before``, has the id behind the last."""
+        key = before * (self.size + 1) + piece
+        if len(self._fits) >= PAIRS:
+            self._fits.clear()
+        both = [self.pieces[k] for k in (before, piece) if k < self.size]
+        got = self._fits[key] = self.merged("".join(both)) == both
         return got
 
     def segment(self, text: str) -> list[int]:
@@ -134,32 +134,42 @@ class Vocabulary:
 
     def merge_path(self, text: str) -> list[int]:
         """Of a merge vocabulary: to each position, the one piece that fits what leads to its start."""
-        n = len(text)
-        last: list[str | None] = [None] * (n + 1)
-        last[0] = ""
-        done = 0  # positions up to here are final
-
-        def bridge(upto: int) -> None:
-            nonlocal done
-            while done < upto:
-                done += 1  # a character without a piece of its own never merges with a neighbour
-                if last[done] is None and last[done - 1] is not None and text[done - 1] not in self.of:
-                    last[done] = text[done - 1]
-
-        for at, (size, _, _) in self.automaton.iter(text):
-            bridge(at)
-            before = last[at + 1 - size]
-            if last[at + 1] is None and before is not None and self.fits(before, text[at + 1 - size : at + 1]):
-                last[at + 1] = text[at + 1 - size : at + 1]
-        bridge(n)
-        parts: list[str] = []
+        if not self._chars.issuperset(text):
+            return self._with_unknown(text)
+        n, m = len(text), self.size + 1
+        known, fits = self._fits.get, self.fits
+        last = [-1] * (n + 1)
+        last[0] = self.size
+        for at, (size, i, _) in self.automaton.iter(text):
+            if last[at + 1] < 0 and (before := last[at + 1 - size]) >= 0:
+                fit = known(before * m + i)
+                if fit is None:
+                    fit = fits(before, i)
+                if fit:
+                    last[at + 1] = i
+        ids: list[int] = []
         at = n
         while at:
-            if last[at] is None:  # equal ranks may leave a position without a way; by definition then
+            i = last[at]
+            if i < 0:  # equal ranks may leave a position without a way; by definition then
                 return self._ids(self.merged(text))
-            parts.append(last[at])
-            at -= len(last[at])
-        return self._ids(parts[::-1])
+            ids.append(i)
+            at -= len(self.pieces[i])
+        return ids[::-1]
+
+    def _with_unknown(self, text: str) -> list[int]:
+        """A character without a piece of its own merges with no neighbour; what lies between is segmented apart."""
+        out: list[int] = []
+        unknown, begin = False, 0
+        for k in [*(k for k, c in enumerate(text) if c not in self._chars), len(text)]:
+            if k > begin:
+                out += self.merge_path(text[begin:k])
+                unknown = False
+            if k < len(text):
+                own = self._ids([text[k]])
+                out += own if self.byte_id or not unknown else []
+                unknown, begin = True, k + 1
+        return out
 
     def _ids(self, parts: list[str]) -> list[int]:
         """Pieces by their ids, other characters by their bytes or as unknown, once for a run of them."""
