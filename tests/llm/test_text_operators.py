@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
 import struct
@@ -14,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from docledger.llm import quality_rules as Q
 from docledger.llm import url_filter as U
@@ -287,27 +289,63 @@ def _measures(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), dups, len(cover), len(w) < 50 or 100 * len(cover) > 50 * len(w)
 
 
-@pytest.mark.parametrize("packed", [1 << 17, 20])
-def test_quality_rules(spark, docs, no_docs, texts, packed, monkeypatch):
-    monkeypatch.setattr(Q, "_PACKED_WORDS", packed)
-    trusted = spark.createDataFrame([(k,) for k in range(50, 75)] + [(None,), (50,)], "doc_id long")
-    rows = Q.quality_rules(docs, trusted, keep=("doc_id", "label"), buckets=1 << 10)
-    got = sorted((rank(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows.collect())
+def _shape(text):
+    text = re.sub("[a-z\x80-\U0010ffff]+", "a", text)
+    return re.sub("[0-9]+", "0", re.sub("[A-Z]+", "A", text))
+
+
+def _places(spark, texts, buckets):
+    """The places of each text's n-grams, hashed by the engine one n-gram at a time."""
+    rows = []
+    for d, t in enumerate(texts):
+        w, s = (re.findall(r"[^\x20\x09-\x0D]+", x) for x in (t or "", _shape(t or "")))
+        rows += [(d, "b", x, y) for x, y in zip(w, w[1:])] + [(d, "s", x, y) for x, y in zip(s, s[1:])]
+    frame = spark.createDataFrame(rows, "d int, kind string, x string, y string")
+    hashed = F.when(F.col("kind") == "b", F.xxhash64("x", "y")).otherwise(F.xxhash64(F.lit(0), "x", "y"))
+    out = [[] for _ in texts]
+    for d, p in frame.select("d", F.pmod(hashed, F.lit(buckets))).collect():
+        out[d].append(p)
+    return out
+
+
+def test_quality_rules(spark, docs, no_docs, texts):
+    good, buckets = set(range(50, 75)), 1 << 10
+    trusted = spark.createDataFrame([(k,) for k in good] + [(None,), (50,)], "doc_id long")
+    rows = Q.quality_rules(docs, trusted, keep=("doc_id", "text", "label"), buckets=buckets).collect()
+    got = sorted((rank(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows)
     assert got == sorted((rank(i), *_measures(t)) for i, t in texts)
-    kept = {r.doc_id for r in rows.where("kept").collect()}
-    assert set(range(50, 75)) <= kept and 46 not in kept and not kept & {5, 6, 7, 40}
-    assert Q.quality_rules(no_docs, trusted, buckets=1 << 10).count() == 0
-    assert {r.score for r in Q.quality_rules(docs, trusted.limit(0), buckets=1 << 10).collect()} == {0.0}
-
-
-def test_log_ratios(spark):
-    rows = spark.createDataFrame([(1, "a a b"), (2, "c")], "doc_id long, text string")
-    model = Q.log_ratios(rows, spark.createDataFrame([(1,)], "doc_id long"), 64).head().model
-    grams = {r.doc_id: r.places for r in Q._tokens(rows, "doc_id").select("doc_id", Q._buckets(64).alias("places")).collect()}
-    raw, target = Counter(grams[1] + grams[2]), Counter(grams[1])
-    for p in range(64):
-        r = (raw[p] + 1) / (raw.total() + 64)
-        assert model[p] == pytest.approx(log((target[p] + r) / (target.total() + 1) / r), abs=1e-5)
+    # Scores, threshold and verdicts by definition.
+    half = {(r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", Q._half().alias("h")).collect()}
+    places = _places(spark, [t for _, t in texts], buckets)
+    raw, target = Counter(), (Counter(), Counter())
+    for (i, t), p in zip(texts, places, strict=True):
+        raw.update(p)
+        if i in good:
+            target[1 - half[i, t]].update(p)
+    score = {}
+    for (i, t), p in zip(texts, places, strict=True):
+        own = target[half[i, t]]
+        score[i, t] = sum(log((own[x] + Q.K) / (own.total() * raw[x] / raw.total() + Q.K)) for x in p) / max(1, len(p))
+    known = [score[i, t] for i, t in texts if i in good and not _measures(t)[5]]
+    threshold = np.mean(known) - Q.DEVIATIONS * np.std(known)
+    for r in rows:
+        assert r.score == pytest.approx(score[r.doc_id, r.text], abs=1e-5) and r.threshold == pytest.approx(threshold, abs=1e-5)
+        assert r.kept == (not r.base_failed and r.score >= r.threshold)
+    kept = {r.doc_id for r in rows if r.kept}
+    assert good & kept and not kept & {5, 6, 7, 40, 46}
+    assert Q.quality_rules(no_docs, trusted, buckets=buckets).count() == 0
+    assert {r.score for r in Q.quality_rules(docs, trusted.limit(0), buckets=buckets).collect()} == {0.0}
+
+
+def test_verdicts_do_not_depend_on_who_is_trusted(spark):
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("needs the tables")
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    good = labels.where("quality = 1").select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("half"))
+    rows = Q.quality_rules(docs, good.where("half"), keep=("doc_id",)).where("not base_failed").join(labels, "doc_id").join(good.select("doc_id", "half"), "doc_id", "left")
+    share = {(r.quality, r.half): r.share for r in rows.groupBy("quality", "half").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert share[1, True] > 0.95 and share[1, False] > 0.95 and abs(share[1, True] - share[1, False]) < 0.05 and share[0, None] < 0.1
 
 
 # URL filter
