@@ -1,8 +1,8 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, as array operations.
 
 The suffixes of a text are classified into S (smaller than the next suffix) and L.  The leftmost S suffixes of each run
-cut the text into substrings; these are sorted by one induction pass and named.  If names repeat, the string of names, at
-most half as long, is sorted in turn.  A second induction pass over the sorted leftmost-S suffixes gives the array.
+cut the text into substrings; these are sorted, several letters as one number at a time, and named.  If names repeat, the string
+of names, at most half as long, is sorted in turn.  An induction pass over the sorted leftmost-S suffixes gives the array.
 
 An induction pass goes through the buckets of first letters.  All members of a large bucket induce their predecessors at
 once: the predecessors are dealt to their buckets by a stable sort on their letters, and a bucket's own members that induce
@@ -115,24 +115,50 @@ def _induce(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, letters: int) -
     return out
 
 
-def _differ(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """For each substring, whether it is another than the one before it in the list; the first is."""
-    out = np.ones(len(begin), bool)
-    if len(begin) < 2:
+def _sort_substrings(text: np.ndarray, begin: np.ndarray, end: np.ndarray, letters: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the leftmost-S substrings, and for each in order whether it is another than the one before it.
+
+    A substring that goes on where another ends is the smaller one, since the other ends with an S suffix and it does not.  The
+    end of the text is smaller than any letter.
+    """
+    bits = (letters + 1).bit_length()
+    width = 62 // bits
+    m, n = len(begin), len(text)
+
+    def key(which: np.ndarray, done: int) -> np.ndarray:
+        out = np.zeros(len(which), np.int64)
+        at, stop = begin[which] + np.int64(done), end[which]
+        for _ in range(width):
+            letter = text[np.minimum(at, n - 1)].astype(np.int64) + 1
+            out = (out << bits) | np.where(at < stop, letter, np.where(stop == n, 0, letters + 1))
+            at += 1
         return out
+
     size = end - begin
-    open_ = np.flatnonzero(size[1:] == size[:-1]) + 1
-    out[open_] = False
-    for step in range(32):
+    first = key(np.arange(m), 0)
+    order = np.argsort(first, kind="stable")
+    new = np.concatenate([[True], first[order][1:] != first[order][:-1]])
+    done = width
+    while True:
+        # Runs of equal substrings of which the end has not been compared.
+        heads = np.flatnonzero(new)
+        run = np.diff(np.append(heads, m))
+        open_ = np.flatnonzero(np.repeat(run > 1, run))
+        open_ = open_[size[order[open_]] >= done]
         if not len(open_):
-            return out
-        open_ = open_[size[open_] > step]
-        other = text[begin[open_] + step] != text[begin[open_ - 1] + step]
-        out[open_[other]] = True
-        open_ = open_[~other]
-    for k in open_[size[open_] > 32].tolist():
-        out[k] = not np.array_equal(text[begin[k] + 32 : end[k]], text[begin[k - 1] + 32 : end[k - 1]])
-    return out
+            return order, new
+        group = np.cumsum(new)[open_]
+        if done > 64 * width:  # a few very long ones
+            items = sorted(zip(group.tolist(), ((text[begin[k] : end[k]].astype(">i4").tobytes() + (b"" if end[k] == n else b"\xff" * 4), k) for k in order[open_].tolist()), strict=True))
+            order[open_] = [k for _, (_, k) in items]
+            new[open_[1:]] |= np.array([x[1][0] != y[1][0] for x, y in zip(items, items[1:], strict=False)], bool)
+            return order, new
+        more = key(order[open_], done)
+        by = np.lexsort((more, group))
+        order[open_] = order[open_][by]
+        more, group = more[by], group[by]
+        new[open_[1:]] |= (more[1:] != more[:-1]) & (group[1:] == group[:-1])
+        done += width
 
 
 def _sorted_suffixes(text: np.ndarray, letters: int) -> np.ndarray:
@@ -142,19 +168,13 @@ def _sorted_suffixes(text: np.ndarray, letters: int) -> np.ndarray:
     is_s = _types(text)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]).astype(np.int32) + np.int32(1)
     if len(lms) > 1:
-        order = _induce(text, is_s, lms, letters)
-        is_lms = np.zeros(n, bool)
-        is_lms[lms] = True
-        by = order[is_lms[order]]  # the substrings in order
-        number = np.empty(n, np.int32)
-        number[lms] = np.arange(len(lms), dtype=np.int32)
-        end = np.append(lms[1:] + 1, n)[number[by]]
-        name = np.cumsum(_differ(text, by, end)) - 1
+        order, new = _sort_substrings(text, lms, np.append(lms[1:] + 1, n), letters)
+        name = np.cumsum(new) - 1
         if name[-1] + 1 < len(lms):
             names = np.empty(len(lms), np.int32)
-            names[number[by]] = name
-            by = lms[_sorted_suffixes(names, int(name[-1]) + 1)]
-        lms = by
+            names[order] = name
+            order = _sorted_suffixes(names, int(name[-1]) + 1)
+        lms = lms[order]
     return _induce(text, is_s, lms, letters)
 
 

@@ -90,6 +90,22 @@ def test_suffix_array(data, letters):
         assert common[b] == n
 
 
+def test_suffix_array_of_copies_and_runs():
+    rng = np.random.default_rng(4)
+    for letters in (1, 2, 3, 26, 256):
+        for _ in range(40):
+            parts = [rng.integers(0, letters, rng.integers(1, 30)).astype(np.uint8).tobytes() for _ in range(4)]
+            parts.append(bytes([int(rng.integers(letters))]) * int(rng.integers(1, 500)))
+            data = b"".join(parts[k] for k in rng.integers(0, 5, rng.integers(0, 25)))
+            order = suffix_array(np.frombuffer(data, np.uint8))
+            assert order.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
+    # Substrings of leftmost-S suffixes that are prefixes of one another, and of more letters than one number holds.
+    for size in range(2, 24):
+        up = bytes(range(100, 100 + size))
+        data = (up + b"\x01" + up + b"\xf0\x01" + up + b"\xf0" * 400 + b"\x01" + up[:-1] + b"\x01") * 3
+        assert suffix_array(np.frombuffer(data, np.uint8)).tolist() == sorted(range(len(data)), key=lambda i: data[i:])
+
+
 def _fingerprint(text: str | None) -> int:
     w = WORD.findall((text or "").encode().translate(LOWER))
     shingles = [b" ".join(w[k : k + 4]) for k in range(max(1, len(w) - 3))] if w else []
