@@ -2,20 +2,23 @@
 
 Only DataFrame functions are used.
 
-Method.  URLs that an allow rule or a block rule decides are the accepted and rejected examples.  For each of the two, a
-Markov model of variable order over ``SYMBOLS`` symbols (letters, one for a run of digits, ``./-_``, one for all others) is
-estimated with contexts of up to ``ORDER`` symbols: the probability after a context is the count there, smoothed by the
+Method.  URLs that an allow rule or a block rule decides are the accepted and rejected examples.  From three quarters of them,
+by a hash of host and path, a Markov model of variable order over ``SYMBOLS`` symbols (letters, one for a run of digits, ``./-_``, one for all others) is
+estimated for each of the two with contexts of up to ``ORDER`` symbols: the probability after a context is the count there, smoothed by the
 number of different symbols seen there (Witten-Bell) with the probability after the next shorter context; a context never
 seen passes to the shorter one.  A URL's score is the mean over its symbols of the log ratio of the two.  The threshold is
-calibrated on the examples: the point as many standard deviations below the accepted mean as above the rejected mean.
+calibrated on the quarter that is held out (on all examples, if it lacks one kind): the point as many standard deviations below
+the accepted mean as above the rejected mean.
 
 The model is one array with an entry for each of SYMBOLS ** (ORDER + 1) strings, a fixed size, and is read as a scalar
-subquery; scoring is one pass over the URLs without a shuffle.
+subquery.  Host, path, rule and n-grams of each URL are made once and written to the shared folder; counting, calibration and
+scoring read them, the last two without a shuffle.
 
 Definition.  Host: what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased.  Path: what then
 follows up to ``?``, ``#`` or the end.  Null, or no ``://``: both are empty.  A rule fits its host and all its subdomains if
 the path starts with the rule's; of several the longest wins, of equally long ones the first given.  A URL without a
-host is blocked.  If there are no examples of one kind, the method allows.
+host is blocked.  If there are no examples of one kind, the method allows.  URLs of any length are read whole; equal rows give
+equal rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,6 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import numbered, renamed
+from .components import saved
+
 SYMBOLS = 32
 ORDER = 3
 # Verdict, host and path of each rule.
@@ -79,11 +85,16 @@ def _with_grams(rows: DataFrame) -> DataFrame:
     return rows.withColumn("grams", F.when(F.size("symbols") > ORDER, _grams()).otherwise(F.array().cast("array<int>"))).drop("symbols")
 
 
+def held_out(host: Column, path: Column) -> Column:
+    return F.pmod(F.xxhash64(host, path), F.lit(4)) == 0
+
+
 def log_ratios(examples: DataFrame) -> DataFrame:
     """One row with one column, model: array<float>, from rows with grams and accepted (boolean)."""
     spark = examples.sparkSession
     grams = examples.select("accepted", F.explode("grams").alias("code"))
-    counts = grams.groupBy("code").agg(F.count_if("accepted").alias("n_a"), F.count_if(~F.col("accepted")).alias("n_r"))
+    # Counted once; the counts of shorter strings are sums of these.
+    counts = saved(grams.groupBy("code").agg(F.count_if("accepted").alias("n_a"), F.count_if(~F.col("accepted")).alias("n_r")), "counts")
     # From here on the number of rows is fixed: all strings of k symbols, for k from 1 to ORDER + 1.
     shorter = None
     for k in range(1, ORDER + 2):
@@ -120,20 +131,27 @@ def _scored(rows: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def url_filter(pages: DataFrame, rules=RULES, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """The columns in ``keep``, host, path, rule, score, threshold and verdict, one row for each page."""
-    rows = pages.select(*keep, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    """The columns in ``keep``, host, path, rule, score, threshold and verdict, one row for each page.
+
+    A column of ``keep`` may have the name of a result; both are then in the table.
+    """
+    names = [f"__keep{k}" for k in range(len(keep))]
+    rows = numbered(pages, keep, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rows = rows.withColumn("chosen", rule_of(F.col("host"), F.col("path"), rules))
-    examples = _with_grams(rows.where("chosen is not null").select("host", "path", (F.col("chosen.verdict") == "allow").alias("accepted")))
-    model = log_ratios(examples)
-    spread = _scored(examples, model).groupBy().agg(
-        F.avg(F.when(F.col("accepted"), F.col("score"))).alias("mean_a"),
-        F.avg(F.when(~F.col("accepted"), F.col("score"))).alias("mean_r"),
-        F.coalesce(F.stddev_pop(F.when(F.col("accepted"), F.col("score"))), F.lit(0.0)).alias("dev_a"),
-        F.coalesce(F.stddev_pop(F.when(~F.col("accepted"), F.col("score"))), F.lit(0.0)).alias("dev_r"),
-    )
-    devs = F.col("dev_a") + F.col("dev_r")
-    between = F.when(devs > 0, (F.col("mean_a") * F.col("dev_r") + F.col("mean_r") * F.col("dev_a")) / devs).otherwise((F.col("mean_a") + F.col("mean_r")) / 2)
-    threshold = spread.select(F.coalesce(between, F.lit(float("-inf"))).alias("threshold"))
-    rows = _scored(_with_grams(rows), model).withColumn("threshold", threshold.scalar())
+    rows = saved(_with_grams(rows).withColumn("held_out", held_out(F.col("host"), F.col("path"))), "urls")
+    examples = rows.where("chosen is not null").select("grams", "held_out", (F.col("chosen.verdict") == "allow").alias("accepted"))
+    model = saved(log_ratios(examples.where("not held_out")), "model")
+
+    def measured(x: str, accepted: bool, only_held: bool) -> list[Column]:
+        value = F.when((F.col("accepted") == accepted) & (F.col("held_out") | F.lit(not only_held)), F.col("score"))
+        end = f"{x}{'_held' if only_held else ''}"
+        return [F.avg(value).alias(f"mean_{end}"), F.stddev_pop(value).alias(f"dev_{end}")]
+
+    spread = _scored(examples, model).agg(*(c for held in (True, False) for x, kind in (("a", True), ("r", False)) for c in measured(x, kind, held)))
+    both = F.col("mean_a_held").isNotNull() & F.col("mean_r_held").isNotNull()
+    mean_a, mean_r, dev_a, dev_r = (F.when(both, F.col(f"{m}_{x}_held")).otherwise(F.col(f"{m}_{x}")) for m in ("mean", "dev") for x in "ar")
+    between = F.when(dev_a + dev_r > 0, (mean_a * dev_r + mean_r * dev_a) / (dev_a + dev_r)).otherwise((mean_a + mean_r) / 2)
+    threshold = saved(spread.select(F.coalesce(between, F.lit(float("-inf"))).alias("threshold")), "threshold")
+    rows = _scored(rows, model).withColumn("threshold", threshold.scalar())
     method = F.when((F.col("host") != "") & (F.col("score") >= F.col("threshold")), "allow").otherwise("block")
-    return rows.select(*keep, "host", "path", F.col("chosen.rule").alias("rule"), "score", "threshold", F.coalesce("chosen.verdict", method).alias("verdict"))
+    return renamed(rows.select(*names, "host", "path", F.col("chosen.rule").alias("rule"), "score", "threshold", F.coalesce("chosen.verdict", method).alias("verdict")), keep)
