@@ -15,6 +15,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 U64 = np.uint64
@@ -273,8 +274,15 @@ def slices(texts: list[bytes], most: int) -> Iterator[tuple[int, int]]:
 
 
 def batches(stream: Iterable[pa.RecordBatch], most: int, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Arrow batches cut so that each holds about ``most`` bytes of text, with the texts as bytes."""
+    """Arrow batches cut so that each holds about ``most`` bytes of text, with the texts as bytes; only one cut's are made at a time."""
     for batch in stream:
-        texts = texts_of(batch.column(batch.schema.get_field_index(text)))
-        for a, b in slices(texts, most):
-            yield batch.slice(a, b - a), texts[a:b]
+        at = batch.schema.get_field_index(text)
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+        begin, size = 0, 0
+        for i, n in enumerate(sizes.tolist()):
+            if size and size + n > most:
+                yield batch.slice(begin, i - begin), texts_of(batch.column(at).slice(begin, i - begin))
+                begin, size = i, 0
+            size += n + 1
+        if begin < batch.num_rows:
+            yield batch.slice(begin), texts_of(batch.column(at).slice(begin))

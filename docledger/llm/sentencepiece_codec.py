@@ -31,9 +31,9 @@ from .kernel import Chunk, IdCache, _ranges, batches, strong_hashes
 
 MARK = "▁"
 #: Bytes of stretches and ids that a worker keeps.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 32 << 20
 #: Pairs of pieces of which a worker remembers whether they can stand together.
-PAIRS = 500_000
+PAIRS = 300_000
 #: Bytes of text that are encoded at once.
 CHUNK_BYTES = 512 << 10
 _MARK_BYTES = MARK.encode("utf-8")
