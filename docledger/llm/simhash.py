@@ -6,21 +6,23 @@ bit is 1 if over half of the hashes have it.  A text without words, and a null o
 
 Join.  Two documents are linked if their fingerprints differ in at most ``BUDGET`` bits.  Documents with one fingerprint
 are linked at once, so the join runs over distinct fingerprints, each standing for its smallest doc_id.  Of BUDGET + 1
-blocks of bits, two linked fingerprints agree in one at least; each fingerprint goes to one trie for each block, with that
-block as its leading bits.  A trie is the sorted array of its fingerprints; a node is a range of it.  The join goes down
+blocks of bits, two linked fingerprints agree in one at least; each fingerprint goes to one trie for each block, made of the
+other bits.  A trie is the sorted array of its fingerprints; a node is a range of it.  The join goes down
 pairs of nodes together, level by level, adds up the bits in which their paths differ and drops a pair over the budget.
 Pairs of nodes whose remaining bits cannot exceed the budget, and pairs already in one component, are not opened.
 
 Each trie reports a spanning forest of the links in it, never all pairs; components of the whole graph follow from those.
-A trie that would hold more than ``TRIE_ROWS`` fingerprints is split again: members agree in the leading block, so the
-budget applies to the other bits, which are cut into BUDGET + 1 blocks in turn.
+A trie that would hold more than ``TRIE_ROWS`` fingerprints is split again, up to ``LEVELS`` times: members agree in their
+block, so the budget applies to the other bits, which are cut into BUDGET + 1 blocks in turn.
 
-Null doc_ids: such rows are fingerprinted; their component_id is the smallest other doc_id reachable, null if none.
+Null doc_ids: such rows are fingerprinted; their component_id is the smallest other doc_id reachable, null if none.  Equal rows
+give equal rows; texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import numbered, renamed
 from .components import components, saved
 from .kernel import LOWER, PLAIN_WORD, Chunk, batches
 
@@ -37,6 +40,10 @@ BUDGET = 4
 BITS = 64
 #: Fingerprints in one trie before it is split again.
 TRIE_ROWS = 1 << 15
+#: How often the bits are cut into blocks.
+LEVELS = 4
+#: Rows of fingerprints in one task, about.
+TASK_ROWS = 1 << 19
 _LANES = np.uint64(0x0101010101010101)
 
 
@@ -166,12 +173,24 @@ def _split(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int, bits:
     return np.clip(np.searchsorted(values, base << shift), lo, hi)
 
 
-def _rotate(v: np.ndarray, by: int) -> np.ndarray:
-    return v if by == 0 else (v << np.uint64(by)) | (v >> np.uint64(BITS - by))
+def _split_by_blocks(rows: DataFrame, budget: int) -> DataFrame:
+    """Each row once for each block of its remaining bits: key grows by the block's number and value, rest loses the block.
+
+    ``rest`` has the remaining bits in front; ``bits`` tells how many there are.
+    """
+    wide = rows.select("*", F.explode(F.array(*(F.lit(j) for j in range(budget + 1)))).alias("j"))
+    wide = wide.withColumn("at", F.expr(f"cast(floor(bits * j / {budget + 1}) as int)"))
+    wide = wide.withColumn("size", F.expr(f"cast(floor(bits * (j + 1) / {budget + 1}) as int) - at"))
+    value = "shiftrightunsigned(shiftleft(rest, at), 64 - size)"
+    before = "case when at = 0 then 0L else shiftleft(shiftrightunsigned(rest, 64 - at), 64 - at) end"
+    behind = "case when at + size >= 64 then 0L else shiftrightunsigned(shiftleft(rest, at + size), at) end"
+    width = max(1, -(-BITS // (budget + 1)))
+    key = f"shiftleft(key, {_key_bits(budget)}) | shiftleft(cast(j as bigint), {width}) | {value}"
+    return wide.select("fp", F.expr(key).alias("key"), F.expr(f"{before} | {behind}").alias("rest"), (F.col("bits") - F.col("size")).alias("bits"))
 
 
-def _cuts(bits: int, budget: int) -> list[int]:
-    return [round(k * bits / (budget + 1)) for k in range(budget + 2)]
+def _key_bits(budget: int) -> int:
+    return -(-BITS // (budget + 1)) + budget.bit_length()
 
 
 def links(fps: DataFrame, budget: int = BUDGET, trie_rows: int = TRIE_ROWS) -> DataFrame:
@@ -179,76 +198,71 @@ def links(fps: DataFrame, budget: int = BUDGET, trie_rows: int = TRIE_ROWS) -> D
 
     ``fps`` has distinct fingerprints in the column fp (long).
     """
-    cuts = _cuts(BITS, budget)
-    width = max(b - a for a, b in zip(cuts, cuts[1:], strict=False))
-
-    def block(value, start: int, size: int):
-        return F.shiftrightunsigned(value, BITS - start - size).bitwiseAND(F.lit((1 << size) - 1))
-
-    fp = F.col("fp")
-    keyed = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), block(fp, a, b - a).alias("v")) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))])).alias("x")).select("fp", "x.k", "x.v", F.lit(-1).alias("k2"), F.lit(0).cast("long").alias("v2"))
-    # At most (budget + 1) * 2**width counts, whatever the input.
-    hot = keyed.groupBy("k", "v").count().where(F.col("count") > trie_rows).select("k", "v").collect()
-    if hot:
-        assert len(hot) <= (budget + 1) << width
-        by_k: dict[int, list[int]] = {}
-        for k, v in hot:
-            by_k.setdefault(k, []).append(v)
-        is_hot = F.lit(False)
-        for k, vs in by_k.items():
-            is_hot = is_hot | ((F.col("k") == k) & F.col("v").isin(vs))
-        # The other bits, rotated to the front, cut again.
-        start, size = F.lit(0), F.lit(0)
-        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            start, size = F.when(F.col("k") == k, b).otherwise(start), F.when(F.col("k") == k, b - a).otherwise(size)
-        turned = F.lit(0).cast("long")
-        for k, b in enumerate(cuts[1:]):
-            turned = F.when(F.col("k") == k, F.shiftleft(fp, b % BITS).bitwiseOR(F.shiftrightunsigned(fp, (BITS - b) % BITS)) if b % BITS else fp).otherwise(turned)
-        sub = _cuts(BITS - width, budget)
-        again = keyed.where(is_hot).withColumn("t", turned).select("fp", "k", "v", F.explode(F.array(*[F.struct(F.lit(j).alias("k2"), block(F.col("t"), a, b - a).alias("v2")) for j, (a, b) in enumerate(zip(sub, sub[1:], strict=False))])).alias("x")).select("fp", "k", "v", "x.k2", "x.v2")
-        keyed = keyed.where(~is_hot).unionByName(again)
-    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = keyed.repartition(n, "k", "v", "k2", "v2")
+    spark = fps.sparkSession
+    keyed = _split_by_blocks(fps.select("fp", F.lit(0).cast("long").alias("key"), F.col("fp").alias("rest"), F.lit(BITS).alias("bits")), budget)
+    done = []
+    for level in range(1, LEVELS + 1):
+        if level == LEVELS or level * _key_bits(budget) > BITS - _key_bits(budget):
+            break
+        hot = saved(keyed.groupBy("key").count().where(F.col("count") > trie_rows).select("key"), "hot")
+        if hot.isEmpty():
+            break
+        # Spark knows the size of the written table and broadcasts it only if it is small.
+        done.append(keyed.join(hot, "key", "left_anti").select("fp", "key", "rest", F.lit(level).alias("level")))
+        keyed = _split_by_blocks(keyed.join(hot, "key", "left_semi"), budget)
+    parts = [*done, keyed.select("fp", "key", "rest", F.lit(len(done) + 1).alias("level"))]
+    rows = reduce(DataFrame.unionByName, parts)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(budget + 1) * fps.count() // TASK_ROWS))
+    dealt = rows.repartition(n, "level", "key").sortWithinPartitions("level", "key", "rest")
 
     def join(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in stream if b.num_rows]
-        if not got:
-            return
-        table = pa.Table.from_batches(got)
-        fp, k, v, k2, v2 = (table.column(c).to_numpy() for c in ("fp", "k", "v", "k2", "v2"))
-        fp = fp.astype(np.int64).view(np.uint64)
-        for kind in np.unique(k).tolist():
-            size = cuts[kind + 1] - cuts[kind]
-            plain = np.flatnonzero((k == kind) & (k2 < 0))
-            groups = [plain] if len(plain) else []  # the leading block keeps its tries apart
-            split = np.flatnonzero((k == kind) & (k2 >= 0))
-            if len(split):
-                split = split[np.lexsort((v2[split], k2[split], v[split]))]
-                cut = np.flatnonzero((np.diff(v[split]) != 0) | (np.diff(k2[split]) != 0) | (np.diff(v2[split]) != 0)) + 1
-                groups += np.split(split, cut)
-            for at in groups:
-                rotated = _rotate(fp[at], cuts[kind])
-                by = np.argsort(rotated)
-                pairs = trie_links(rotated[by], size, budget)
-                if len(pairs):
-                    got = fp[at[by[pairs]]].view(np.int64)
-                    yield pa.record_batch([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], names=["a", "b"])
+        for fp, rest in _tries(stream):
+            pairs = trie_links(rest.view(np.uint64), 0, budget)
+            if len(pairs):
+                got = fp[pairs]
+                yield pa.record_batch([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], names=["a", "b"])
 
     return dealt.mapInArrow(join, "a long, b long").distinct()
 
 
+def _tries(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The fingerprints and remaining bits of each trie of two or more, from rows sorted by level and key."""
+    held: list[list[np.ndarray]] = []
+
+    def whole() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if held:
+            fp, rest = (np.concatenate([x[k] for x in held]) for k in (0, 1))
+            if len(fp) > 1:
+                by = np.argsort(rest.view(np.uint64))
+                yield fp[by], rest[by]
+            held.clear()
+
+    last = None
+    for batch in stream:
+        fp, key, rest, level = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("fp", "key", "rest", "level"))
+        if not len(fp):
+            continue
+        cut = np.flatnonzero((key[1:] != key[:-1]) | (level[1:] != level[:-1])) + 1
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(fp)], strict=True):
+            if last != (level[a], key[a]):
+                yield from whole()
+                last = (level[a], key[a])
+            held.append([fp[a:b], rest[a:b]])
+    yield from whole()
+
+
 def simhash(docs: DataFrame, width: int = SHINGLE, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns doc_id, fp (long) and those in ``keep``."""
-    base = docs.select("doc_id", "text", *keep)
-    names = ["doc_id", *keep]
+    """Columns doc_id, those in ``keep`` and fp (long). A column of ``keep`` may have the name of another; both are in the table."""
+    base = numbered(docs, keep, "doc_id", "text")
+    names = ["doc_id", *(f"__keep{k}" for k in range(len(keep)))]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.select(*names).schema) + ", fp long"
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(stream, 1 << 21):
             columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            yield pa.record_batch([*columns, pa.array(fingerprints(texts, width).view(np.int64))], names=[*names, "fp"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(fingerprints(texts, width).view(np.int64))], names=[*names, "fp"])
 
-    return base.mapInArrow(run, schema)
+    return renamed(base.mapInArrow(run, schema), keep)
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
