@@ -37,7 +37,7 @@ DEVIATIONS = 4.0
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 #: Trusted doc_ids that are broadcast; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 400_000
 _SPACE = r"[ \x09-\x0D]+"
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline as P
 from docledger.llm.sentencepiece_codec import Codec
-from docledger.llm.simhash import near_duplicates
 
 from .conftest import rank
+from .test_shingle_join import _groups
 
 
 def test_stages(spark, docs, texts, tmp_path):
@@ -28,8 +28,11 @@ def test_stages(spark, docs, texts, tmp_path):
     ids = [{r.doc_id for r in x.select("doc_id").collect()} for x in seen]
     assert 46 not in ids[0] and 5 not in ids[0] and set(range(50, 75)) <= ids[0]
     # One document of each group, the one with the smallest id; no two rows of one id.
-    first = {r.doc_id for r in near_duplicates(seen[0]).collect() if r.doc_id is not None and r.doc_id == r.component_id}
-    assert {i for i in ids[1] if i is not None} == first
+    rows = [(r.doc_id, r.text) for r in seen[0].collect()]
+    least: dict = {}
+    for (i, _), g in zip(rows, _groups([t for _, t in rows]), strict=True):
+        least[g] = min(least.get(g, (True, 0)), (i is None, i or 0))
+    assert {i for i in ids[1] if i is not None} == {i for none, i in least.values() if not none}
     assert seen[1].where("doc_id is not null").count() == len({i for i in ids[1] if i is not None})
     # Repeats of a passage are cut after the first; the documents stay.
     assert ids[2] == ids[1] and seen[2].count() == seen[1].count()

@@ -357,8 +357,10 @@ def test_url_filter(spark):
     rows = spark.createDataFrame([(k, u, "r") for k, u in enumerate(URLS)], "page_id long, url string, rule string")
     got = {r.page_id: r for r in U.url_filter(rows).collect()}
     counts = {"allow": Counter(), "block": Counter()}
+    out = {r.page_id for r in rows.where(U.held_out(U.host_of(F.col("url")), U.path_of(F.col("url")))).collect()}
+    assert out and len(out) < len(URLS)
     parsed = []
-    for u in URLS:
+    for k, u in enumerate(URLS):
         rest = u.split("://", 1)[1] if u and "://" in u else ""
         cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
         host = rest[:cut].translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
@@ -367,9 +369,9 @@ def test_url_filter(spark):
         best = max(fits, key=lambda x: len(x[0]), default=None)
         symbols = [0] * 3 + [U._ALPHABET.find(c) + 1 for c in re.sub("[0-9]+", "0", (host + path).lower())]
         parsed.append((host, path, best, symbols))
-        if best:
-            for k in range(3, len(symbols)):
-                counts[best[1]].update(tuple(symbols[k - o : k + 1]) for o in range(4))
+        if best and k not in out:
+            for j in range(3, len(symbols)):
+                counts[best[1]].update(tuple(symbols[j - o : j + 1]) for o in range(4))
 
     def p(kind, gram):
         if not gram:
@@ -378,8 +380,15 @@ def test_url_filter(spark):
         total = sum(same.values()) + len(same)
         return (same.get(gram, 0) + len(same) * p(kind, gram[1:])) / total if total else p(kind, gram[1:])
 
+    def spread(only):
+        return [[got[k].score for k, x in enumerate(parsed) if x[2] and x[2][1] == kind and (k in out or not only)] for kind in ("allow", "block")]
+
+    a, r = spread(True) if all(spread(True)) else spread(False)
+    devs = np.std(a) + np.std(r)
+    threshold = (np.mean(a) * np.std(r) + np.mean(r) * np.std(a)) / devs if devs else (np.mean(a) + np.mean(r)) / 2
     for k, (host, path, best, symbols) in enumerate(parsed):
         r = got[k]
+        assert r.threshold == pytest.approx(threshold, abs=1e-6)
         assert (r.host, r.path, r.rule) == (host, path, best[0] if best else None), URLS[k]
         expected = sum(log(p("allow", tuple(symbols[j - 3 : j + 1])) / p("block", tuple(symbols[j - 3 : j + 1]))) for j in range(3, len(symbols))) / max(1, len(symbols) - 3)
         assert r.score == pytest.approx(expected, abs=1e-4)
