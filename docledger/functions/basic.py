@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The zone of the clock in the names of text files.
+OCR_ZONE = "Asia/Kolkata"
 #: (?U): Unicode classes, (?i): any case, (?d): only \n ends a line, (?m): ^ and $ at lines.
 FLAGS = "(?Uid)"
 LINE_FLAGS = "(?Umd)"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it; the optimiser would copy it to each place."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Removes all white space at both ends, not only spaces."""
     return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
@@ -21,7 +30,7 @@ def blank_to_null(c: Column) -> Column:
 
 def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     """The group of the first match, null without a match or where the group is empty."""
-    return blank_to_null(F.regexp_extract(text, pattern, group))
+    return bound(F.regexp_extract(text, pattern, group), blank_to_null)
 
 
 def to_number(c: Column) -> Column:
@@ -60,6 +69,16 @@ def relative_path(path: Column, root: str) -> Column:
     return F.when(path.startswith(prefix), F.substring(path, len(prefix) + 1, 1 << 30)).otherwise(path)
 
 
+def in_zone(time: Column, zone: str) -> Column:
+    """A time as its wall clock in a zone, whatever the session's own zone is."""
+    return F.convert_timezone(None, F.lit(zone), time.cast("timestamp_ntz"))
+
+
+def ocr_text_path(file_name: Column, time: Column) -> Column:
+    """Where the text of a file is kept, relative to the store."""
+    return F.concat(F.lit("ocr_output/"), stem(file_name), F.lit("_"), F.date_format(in_zone(time, OCR_ZONE), "yyyyMMdd_HHmmss"), F.lit(".txt"))
+
+
 def clean_file_name(name: Column) -> Column:
     """A name that is safe as a file name on any system."""
     out = F.regexp_replace(name, r"[/\\]", "_")

@@ -10,11 +10,14 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .basic import FLAGS, LINE_FLAGS, first_match, money_to_number, safe_date, strip, to_number
+from .basic import FLAGS, LINE_FLAGS, bound, first_match, money_to_number, safe_date, strip, to_number
 
 # What introduces a number, a date, a vendor and a total, and how rows of items look.
-NUMBER_WORDS = ("(?:invoice|inv)", "(?:reference|ref)", "(?:bill)")
-NUMBER_REST = r"[\s.]*(?:no\.?|number|#|:)[\s.#:]*([A-Z0-9][\w\-/]{1,30})"
+NUMBERS = (
+    r"(?:invoice|inv)[\s.]*(?:no\.?|number|#|:)[\s.#:]*([A-Z0-9][\w\-/]{1,30})",
+    r"(?:reference|ref)[\s.]*(?:no\.?|number|#|:)[\s.#:]*([A-Z0-9][\w\-/]{1,30})",
+    r"(?:bill)[\s.]*(?:no\.?|number|#|:)[\s.#:]*([A-Z0-9][\w\-/]{1,30})",
+)
 DATE_ANCHOR = r"(?:invoice\s+date|date|dated|billing\s+date|bill\s+date)[\s:]*(\d{1,4}[\s/\-][A-Za-z0-9]{1,12}[\s/\-,]*\d{2,4})"
 DATE_SHAPES = (
     r"(\d{4}[-/]\d{1,2}[-/]\d{1,2})",
@@ -43,7 +46,7 @@ _LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 
 def invoice_number(text: Column) -> Column:
     """The first kind of label that has a number wins: invoice, then reference, then bill."""
-    return F.coalesce(*(first_match(text, FLAGS + word + NUMBER_REST) for word in NUMBER_WORDS))
+    return F.coalesce(*(first_match(text, FLAGS + pattern) for pattern in NUMBERS))
 
 
 def _month_number(name: Column) -> Column:
@@ -87,7 +90,7 @@ def vendor_name(text: Column) -> Column:
     labelled = F.regexp_replace(strip(first_match(text, FLAGS + VENDOR_ANCHOR)), r"[:;,.]+\z", "")
     lines = F.transform(F.split(text, _LINE_END), strip)
     fit = F.filter(lines, lambda x: (F.length(x) >= 3) & ~x.rlike(FLAGS + VENDOR_SKIP) & ~x.rlike(VENDOR_DATE))
-    return F.coalesce(F.when(F.length(labelled) >= 2, labelled), F.get(fit, F.lit(0)))
+    return F.coalesce(bound(labelled, lambda x: F.when(F.length(x) >= 2, x)), F.get(fit, F.lit(0)))
 
 
 def last_total(text: Column) -> Column:
@@ -97,15 +100,23 @@ def last_total(text: Column) -> Column:
     """
     start, sep, end = "\x01", "\x03", "\x02"
     clean = F.translate(text, start + end + sep, "")
-    marked = F.regexp_replace(clean, FLAGS + TOTAL, f"{start}$0{sep}$1{sep}$2{sep}$3{end}")
-    tail = F.substring_index(marked, start, -1)
-    fields = F.split(F.substring_index(tail, end, 1), sep)
-    before = F.left(marked, F.length(marked) - F.length(tail) - 1)
-    before = F.regexp_replace(before, f"{sep}[^{end}]*{end}|{start}", "")
-    after = F.regexp_replace(tail, f"(?s)\\A[^{end}]*{end}", "")
-    near = F.concat(F.right(before, F.lit(NEAR)), F.get(fields, F.lit(0)), F.left(after, F.lit(NEAR)))
-    found = F.struct(F.get(fields, F.lit(1)).alias("iso"), F.get(fields, F.lit(2)).alias("sign"), F.get(fields, F.lit(3)).alias("amount"), near.alias("near"))
-    return F.when(F.contains(marked, F.lit(start)), found)
+
+    def last(marked: Column) -> Column:
+        return bound(F.substring_index(marked, start, -1), lambda tail: F.when(F.contains(marked, F.lit(start)), found(marked, tail)))
+
+    def found(marked: Column, tail: Column) -> Column:
+        before = F.left(marked, F.length(marked) - F.length(tail) - 1)
+        # Marks of earlier matches take room in the text before; what is close is cut after they are gone.
+        before = F.right(F.regexp_replace(before, f"{sep}[^{end}]*{end}|{start}", ""), F.lit(NEAR))
+        after = F.left(F.regexp_replace(tail, f"(?s)\\A[^{end}]*{end}", ""), F.lit(NEAR))
+
+        def fields(x: Column) -> Column:
+            near = F.concat(before, F.get(x, F.lit(0)), after)
+            return F.struct(F.get(x, F.lit(1)).alias("iso"), F.get(x, F.lit(2)).alias("sign"), F.get(x, F.lit(3)).alias("amount"), near.alias("near"))
+
+        return bound(F.split(F.substring_index(tail, end, 1), sep), fields)
+
+    return bound(F.regexp_replace(clean, FLAGS + TOTAL, f"{start}$0{sep}$1{sep}$2{sep}$3{end}"), last)
 
 
 def total_amount(total: Column) -> Column:
@@ -154,7 +165,7 @@ def line_items(text: Column) -> Column:
     """The rows of the first layout that has any."""
     layouts = [items_qty_first(text), items_desc_first(text), items_two_columns(text)]
     empty = F.array().cast(f"array<{ITEM_TYPE}>")
-    return F.coalesce(*(F.when(F.size(x) > 0, x) for x in layouts), empty)
+    return F.coalesce(*(bound(x, lambda rows: F.when(F.size(rows) > 0, rows)) for x in layouts), empty)
 
 
 def confidence(*fields: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .basic import blank_to_null, strip, to_number
+from .basic import blank_to_null, bound, strip, to_number
 from .extract import ITEM_TYPE
 
 NUMBER_CHARS, VENDOR_CHARS, DESCRIPTION_CHARS = 50, 200, 200
@@ -104,7 +104,32 @@ def broken_rules(number: Column, date: Column, vendor: Column, total: Column, fi
     return F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items())))
 
 
-def model_record(number: Column, date: Column, vendor: Column, total: Column, file_name: Column, file_hash: Column) -> Column:
-    """A struct is_valid, error, status: a valid record waits for review, as does a broken one with its error."""
+def model_record(number: Column, date: Column, vendor: Column, total: Column, file_name: Column, file_hash: Column, currency: Column | None = None, line_items: Column | None = None) -> Column:
+    """A struct is_valid, error, status and model: a valid record waits for review, as does a broken one with its error.
+
+    The model is the record with its types, a missing currency as USD and missing line totals filled in; null if it is broken.
+    """
     broken = broken_rules(number, date, vendor, total, file_name, file_hash)
-    return F.struct((F.size(broken) == 0).alias("is_valid"), blank_to_null(F.array_join(broken, ", ")).alias("error"), F.lit("needs_review").alias("status"))
+    currency = F.lit(None).cast("string") if currency is None else currency
+    items = F.array().cast(f"array<{ITEM_TYPE}>") if line_items is None else F.coalesce(line_items, F.array().cast(f"array<{ITEM_TYPE}>"))
+    filled = F.transform(
+        items,
+        lambda x: F.struct(x["description"].alias("description"), x["quantity"].alias("quantity"), x["unit_price"].alias("unit_price"), item_total(x["quantity"], x["unit_price"], x["line_total"]).alias("line_total")),
+    )
+    model = F.struct(
+        number.alias("invoice_number"),
+        date.try_cast("date").alias("invoice_date"),
+        vendor.alias("vendor_name"),
+        F.coalesce(currency, F.lit("USD")).alias("currency"),
+        total.cast("double").alias("total_amount"),
+        filled.alias("line_items"),
+        file_name.alias("file_name"),
+        file_hash.alias("file_hash"),
+        F.lit("needs_review").alias("status"),
+    )
+
+    def record(missing: Column) -> Column:
+        ok = F.size(missing) == 0
+        return F.struct(ok.alias("is_valid"), blank_to_null(F.array_join(missing, ", ")).alias("error"), F.lit("needs_review").alias("status"), F.when(ok, model).alias("model"))
+
+    return bound(broken, record)

@@ -109,14 +109,21 @@ def last_of_name(decided: DataFrame) -> DataFrame:
     return decided.withColumn("nth", F.row_number().over(w)).where("nth = 1").drop("nth")
 
 
-def run_logs(decided: DataFrame, started: Column, ended: Column) -> DataFrame:
-    """One finished log row for each file."""
-    return decided.select(
+def run_logs(decided: DataFrame, results: DataFrame, started: Column, ended: Column) -> DataFrame:
+    """One finished log row for each file: what intake decided, for a ready file what became of it.
+
+    ``results`` has target_name, success and error of the files that were processed.
+    """
+    done = results.groupBy("target_name").agg(F.max(F.struct(~F.col("success"), "error")).alias("r"))
+    failed, error = F.col("r.col1"), F.col("r.error")
+    rows = decided.join(done, "target_name", "left")
+    ready = F.col("status") == "ready"
+    return rows.select(
         "file_name",
         started.alias("start_time"),
         ended.alias("end_time"),
-        F.when(F.col("status") == "ready", "success").otherwise(F.col("status")).alias("status"),
-        F.col("reason").alias("error_message"),
+        F.when(ready & F.coalesce(failed, F.lit(True)), "failed").when(ready, "success").otherwise(F.col("status")).alias("status"),
+        F.when(ready, F.when(F.col("r").isNull(), "File was not processed").otherwise(F.when(failed, error))).otherwise(F.col("reason")).alias("error_message"),
     )
 
 
@@ -126,11 +133,32 @@ def duplicate_audit(files: DataFrame) -> DataFrame:
 
 
 def free_names(names: DataFrame, taken: DataFrame | None = None) -> DataFrame:
-    """Gives every path a name nobody has: the base name, else ``stem_1``, ``stem_2`` and so on, in path order."""
+    """Gives every path a name nobody has: path, file_name, free_name.
+
+    In path order the first file of a name keeps it, unless the name is in ``taken``. The others get ``stem_1``, ``stem_2`` and so
+    on; a number is left out if that name is taken or is a name of the batch itself. The j-th file in need gets the j-th free
+    number: with the numbers in use in order, u1 < u2 < ..., there are u_i - i free ones before u_i, so one running count over
+    both kinds of rows finds it.
+    """
     w = Window.partitionBy("file_name").orderBy("path")
-    rows = names.withColumn("k", F.row_number().over(w) - 1)
+    rows = names.select("path", "file_name", (F.row_number().over(w)).alias("nth"))
+    used = names.select("file_name")
     if taken is not None:
-        used = taken.select("file_name").distinct().withColumn("used", F.lit(1))
-        rows = rows.join(used, "file_name", "left").withColumn("k", F.col("k") + F.coalesce("used", F.lit(0))).drop("used")
+        mark = taken.select("file_name").distinct().withColumn("used", F.lit(1))
+        rows = rows.join(mark, "file_name", "left").withColumn("nth", F.col("nth") + F.coalesce("used", F.lit(0))).drop("used")
+        used = used.unionByName(taken.select("file_name"))
+    waiting = rows.where("nth > 1").select("path", "file_name", (F.col("nth") - 1).cast("long").alias("j"))
+    # Names in use that end in a number, by the name they would be made of.
+    shape = r"(?s)\A(.*)_([1-9][0-9]{0,17})\z"
+    root, number = F.regexp_extract(stem(F.col("file_name")), shape, 1), F.regexp_extract(stem(F.col("file_name")), shape, 2)
+    numbers = used.distinct().where(stem(F.col("file_name")).rlike(shape)).select(F.concat(root, suffix(F.col("file_name"))).alias("file_name"), number.cast("long").alias("u"))
+    numbers = numbers.join(waiting.select("file_name").distinct(), "file_name", "left_semi")
+    before = numbers.select("file_name", (F.col("u") - F.row_number().over(Window.partitionBy("file_name").orderBy("u"))).alias("j"), F.lit(1).alias("in_use"), F.lit(None).cast("string").alias("path"))
+    both = waiting.select("file_name", "j", F.lit(0).alias("in_use"), "path").unionByName(before)
+    # A number in use counts for the files with a larger j only.
+    count = F.coalesce(F.sum("in_use").over(Window.partitionBy("file_name").orderBy("j").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = both.withColumn("k", F.col("j") + count).where("in_use = 0").select("path", "file_name", "k")
     name = F.col("file_name")
-    return rows.select("path", "file_name", F.when(F.col("k") == 0, name).otherwise(F.concat(stem(name), F.lit("_"), F.col("k").cast("string"), suffix(name))).alias("free_name"))
+    made = F.concat(stem(name), F.lit("_"), F.col("k").cast("string"), suffix(name))
+    first = rows.where("nth = 1").select("path", "file_name", name.alias("free_name"))
+    return first.unionByName(found.select("path", "file_name", made.alias("free_name")))

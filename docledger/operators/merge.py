@@ -14,6 +14,8 @@ from .. import schemas
 #: What a success sets on a stored document; file_hash, file_name and processed_at stay.
 SUCCESS_FIELDS = ("invoice_number", "invoice_date", "vendor_name", "total_amount", "currency", "status", "ocr_text_path", "review_reason", "original_file")
 FAILED_FIELDS = ("status", "failure_reason", "file_hash")
+#: Folders of a table before added rows are written together with the others.
+PARTS = 64
 
 
 def matches(stored: DataFrame, new: DataFrame) -> DataFrame:
@@ -76,11 +78,15 @@ def upsert_failed(stored: DataFrame, new: DataFrame, now: Column) -> DataFrame:
     return upsert(stored, new, FAILED_FIELDS, now)
 
 
+def new_items(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """New line items with their ids, ready to be added to those stored."""
+    return numbered(new, stored, "line_item_id", *(c for c in new.columns if c != "line_item_id")).select(stored.columns)
+
+
 def append_items(stored: DataFrame, new: DataFrame, replace: bool = False) -> DataFrame:
     """Line items after a merge: new ones are added to those there, or take their place."""
     keep = stored.join(new.select("document_id").distinct(), "document_id", "left_anti").select(stored.columns) if replace else stored
-    fresh = numbered(new, stored, "line_item_id", *(c for c in new.columns if c != "line_item_id"))
-    return keep.unionByName(fresh.select(stored.columns))
+    return keep.unionByName(new_items(stored, new))
 
 
 def delete_documents(documents: DataFrame, items: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -99,8 +105,13 @@ def move_legacy_duplicates(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return documents.where("status <> 'duplicate_skipped'"), moved
 
 
+def current_version(versions: DataFrame) -> DataFrame:
+    """The largest version that was applied, 0 without any."""
+    return versions.agg(F.coalesce(F.max("version"), F.lit(0)).alias("version"))
+
+
 class Store:
-    """The five tables as snapshots below one folder.
+    """The tables as snapshots below one folder.
 
     A commit writes new snapshots of the changed tables and then one row that names them all, so readers see all changes
     of a batch or none, and a batch that runs twice counts once.
@@ -111,7 +122,7 @@ class Store:
 
     def _commits(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema("commit long, batch string, tables map<string,string>, at timestamp").json(f"{self.root}/_commits")
+            return self.spark.read.schema("commit long, batch string, tables map<string,string>, at timestamp").option("recursiveFileLookup", True).json(f"{self.root}/_commits")
         except Exception as e:  # no commit yet
             if "PATH_NOT_FOUND" in str(e):
                 return None
@@ -129,26 +140,37 @@ class Store:
         return commits is not None and not commits.where(F.col("batch") == batch).limit(1).isEmpty()
 
     def table(self, name: str) -> DataFrame:
-        path = self.head()[1].get(name)
+        paths = self.head()[1].get(name)
         schema = schemas.TABLES[name]
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{path}") if path else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.root}/{p}" for p in paths.split(","))) if paths else self.spark.createDataFrame([], schema)
+
+    def commit(self, batch: str, add: dict[str, DataFrame] | None = None, **tables: DataFrame) -> bool:
+        """Writes the tables, and the rows in ``add`` beside those there; false, and nothing changes, if the batch is there already.
 
-    def commit(self, batch: str, **tables: DataFrame) -> bool:
-        """Writes the tables; false, and nothing changes, if the batch is there already."""
+        A table is a list of folders. Added rows make one folder more; a table of ``PARTS`` folders is then written anew as one.
+        The commit's row has a name of its own number, so of two writers at once the second fails instead of undoing the first.
+        """
         if self.has_batch(batch):
             return False
         number, paths, _ = self.head()
         number += 1
+        for name, rows in (add or {}).items():
+            there = paths[name].split(",") if paths.get(name) else []
+            if len(there) + 1 >= PARTS:
+                tables[name] = self.table(name).unionByName(rows)
+                continue
+            paths[name] = ",".join([*there, f"{name}/v{number:08d}"])
+            rows.write.mode("overwrite").parquet(f"{self.root}/{name}/v{number:08d}")
         for name, frame in tables.items():
             paths[name] = f"{name}/v{number:08d}"
             frame.write.mode("overwrite").parquet(f"{self.root}/{paths[name]}")
         row = self.spark.range(1).select(F.lit(number).cast("long").alias("commit"), F.lit(batch).alias("batch"), F.create_map(*(x for k, v in paths.items() for x in (F.lit(k), F.lit(v)))).alias("tables"), F.current_timestamp().alias("at"))
-        row.coalesce(1).write.mode("append").json(f"{self.root}/_commits")
+        row.coalesce(1).write.mode("error").json(f"{self.root}/_commits/{number:08d}")
         return True
 
     def migrate(self, steps=None) -> int:
         """Brings the store to the current version; each step is a function of the store. Runs of it change nothing more."""
-        version = self.table("schema_version").agg(F.coalesce(F.max("version"), F.lit(0))).head()[0]
+        version = current_version(self.table("schema_version")).head()[0]
         for k in range(version + 1, schemas.SCHEMA_VERSION + 1):
             changed = (steps or MIGRATIONS)[k](self)
             versions = self.table("schema_version").unionByName(self.spark.range(1).select(F.lit(k).alias("version"), F.current_timestamp().alias("applied_at")))

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import extract as X
 from ..functions import validate as V
+from ..functions.basic import ocr_text_path
 from ..operators import intake, merge, report
 from ..sources.files import examined
 from ..sources.ocr import Backend, ocr
+from ..sources.sinks import move_files
 
 PARSED_FIELDS = ("invoice_number", "invoice_date", "vendor_name", "total_amount", "currency", "line_items", "confidence")
 
@@ -41,6 +43,20 @@ def validate(rows: DataFrame) -> DataFrame:
     return rows.withColumn("status", V.document_status(F.col("confidence"), failure))
 
 
+def process_and_validate(texts: DataFrame, extract: Callable[[DataFrame], DataFrame] = parse) -> DataFrame:
+    """file_name, file_hash, is_valid, error, status and record, from file_name, file_hash and text.
+
+    The record is the validated model; of a broken record it has the fields as they were extracted. Both wait for review.
+    """
+    rows = extract(texts)
+    fields = [F.col(c) for c in ("invoice_number", "invoice_date", "vendor_name", "total_amount")]
+    rows = rows.withColumn("m", V.model_record(*fields, F.col("file_name"), F.col("file_hash"), F.col("currency"), F.col("line_items")))
+    raw = F.struct(
+        "invoice_number", F.col("invoice_date").try_cast("date").alias("invoice_date"), "vendor_name", "currency", F.col("total_amount").cast("double").alias("total_amount"), "line_items", "file_name", "file_hash", F.lit("needs_review").alias("status")
+    )
+    return rows.select("file_name", "file_hash", "m.is_valid", "m.error", "m.status", F.coalesce("m.model", raw).alias("record"))
+
+
 def to_documents(rows: DataFrame, parity: bool = False) -> DataFrame:
     """Validated rows as new documents. A review reason is derived unless ``parity`` asks for none."""
     fields = [F.col(c) for c in ("invoice_number", "invoice_date", "vendor_name", "total_amount")]
@@ -54,7 +70,7 @@ def to_documents(rows: DataFrame, parity: bool = False) -> DataFrame:
         F.col("total_amount").try_cast("decimal(10,2)").alias("total_amount"),
         "currency",
         "status",
-        F.lit(None).cast("string").alias("ocr_text_path"),
+        F.col("ocr_text_path") if "ocr_text_path" in rows.columns else F.lit(None).cast("string").alias("ocr_text_path"),
         reason.alias("review_reason"),
         F.lit(None).cast("string").alias("failure_reason"),
         F.lit(None).cast("string").alias("original_file"),
@@ -62,28 +78,41 @@ def to_documents(rows: DataFrame, parity: bool = False) -> DataFrame:
     )
 
 
-def run(files: DataFrame, store: merge.Store, batch: str, now: Column | None = None, backend: Backend | None = None, extract: Callable[[DataFrame], DataFrame] = parse, parity: bool = False) -> bool:
+def run(
+    files: DataFrame,
+    store: merge.Store,
+    batch: str,
+    now: Column | None = None,
+    backend: Backend | None = None,
+    extract: Callable[[DataFrame], DataFrame] = parse,
+    parity: bool = False,
+    processed_dir: str | None = None,
+    failed_dir: str | None = None,
+) -> bool:
     """Takes one batch of files (path, file_name, length, content) into the store; false if it is there already.
 
     Hashing and checks run next to the content; only names, hashes and reasons are shuffled.  Texts are recognised for the
-    files that are ready, after that decision.
+    files that are ready, after that decision, and kept in the table ocr_texts under the path their document names.  Files are
+    moved after the commit, to the folders that are given; moving is taken up again if the batch runs again.
     """
+    work = f"{store.root}/_work/{batch}"
     if store.has_batch(batch):
+        _move(store.spark, work, processed_dir, failed_dir)
         return False
-    now = F.current_timestamp() if now is None else now
+    now = F.lit(store.spark.range(1).select(F.current_timestamp()).head()[0]) if now is None else now
     documents = store.table("invoice_documents")
 
     def once(rows: DataFrame, name: str) -> DataFrame:
         """Written and read back: used several times below, recognised and parsed once."""
-        path = f"{store.root}/_work/{batch}/{name}"
-        rows.write.mode("overwrite").parquet(path)
-        return store.spark.read.schema(rows.schema).parquet(path)
+        rows.write.mode("overwrite").parquet(f"{work}/{name}")
+        return store.spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
     decided = once(intake.decide(examined(files), documents), "decided")
     ready = intake.last_of_name(intake.ready(decided)).select("path", F.col("target_name").alias("file_name"), "file_hash")
     texts = ocr(files.select("path", "content").join(ready, "path"), backend)
-    read = once(texts.select("file_name", "file_hash", "ocr.success", "ocr.text", "ocr.error"), "texts")
-    new = once(to_documents(validate(extract(read.where("success").select("file_name", "file_hash", "text"))), parity), "new")
+    texts = texts.withColumn("ocr_text_path", F.when(F.col("ocr.success"), ocr_text_path(F.col("file_name"), now)))
+    read = once(texts.select("file_name", "file_hash", "ocr.success", "ocr.text", "ocr.error", "ocr_text_path"), "texts")
+    new = once(to_documents(validate(extract(read.where("success").select("file_name", "file_hash", "text", "ocr_text_path"))), parity), "new")
     unread = read.where("not success").select("file_name", "file_hash", F.lit("failed").alias("status"), F.col("error").alias("failure_reason"))
     refused = decided.where("status = 'failed'").groupBy("file_name").agg(F.max_by(F.struct("file_hash", "reason"), "path").alias("r"))
     refused = refused.select("file_name", F.col("r.file_hash").alias("file_hash"), F.lit("failed").alias("status"), F.col("r.reason").alias("failure_reason"))
@@ -94,12 +123,29 @@ def run(files: DataFrame, store: merge.Store, batch: str, now: Column | None = N
     items = new.select("file_name", F.explode("line_items").alias("x")).join(found, F.col("file_name") == F.col("new_name"))
     items = items.select("document_id", "x.description", F.col("x.quantity").try_cast("decimal(18,4)").alias("quantity"), *(F.col(f"x.{c}").try_cast("decimal(10,2)").alias(c) for c in ("unit_price", "line_total")))
     dups = decided.where("status = 'duplicate_skipped'").select("file_name", "file_hash", F.coalesce("original_file", F.lit("unknown")).alias("original_file"), now.alias("skipped_at"))
-    logs = intake.run_logs(decided, now, now)
+    logs = intake.run_logs(decided, read.select(F.col("file_name").alias("target_name"), "success", "error"), now, F.current_timestamp())
     old = {n: store.table(n) for n in ("invoice_line_items", "duplicate_files", "processing_logs")}
-    return store.commit(
+    done = store.commit(
         batch,
+        add={
+            "invoice_line_items": merge.new_items(old["invoice_line_items"], items),
+            "duplicate_files": merge.numbered(dups, old["duplicate_files"], "duplicate_id", "file_name").select(old["duplicate_files"].columns),
+            "processing_logs": merge.numbered(logs, old["processing_logs"], "log_id", "file_name").select(old["processing_logs"].columns),
+            "ocr_texts": read.where("success").select("ocr_text_path", "file_name", "text"),
+        },
         invoice_documents=merged,
-        invoice_line_items=merge.append_items(old["invoice_line_items"], items),
-        duplicate_files=old["duplicate_files"].unionByName(merge.numbered(dups, old["duplicate_files"], "duplicate_id", "file_name").select(old["duplicate_files"].columns)),
-        processing_logs=old["processing_logs"].unionByName(merge.numbered(logs, old["processing_logs"], "log_id", "file_name").select(old["processing_logs"].columns)),
     )
+    _move(store.spark, work, processed_dir, failed_dir)
+    return done
+
+
+def _move(spark: SparkSession, work: str, processed_dir: str | None, failed_dir: str | None) -> None:
+    """Moves the files of a batch by what became of them; duplicates stay where they are."""
+    if not (processed_dir or failed_dir):
+        return
+    decided, read = spark.read.parquet(f"{work}/decided"), spark.read.parquet(f"{work}/texts")
+    ok = read.where("success").select(F.col("file_name").alias("target_name"), F.lit(True).alias("ok"))
+    ended = decided.where("status in ('ready', 'failed')").join(ok, "target_name", "left").select("path", F.coalesce("ok", F.lit(False)).alias("ok"))
+    for folder, rows in ((processed_dir, ended.where("ok")), (failed_dir, ended.where("not ok"))):
+        if folder:
+            move_files(rows.select("path"), folder)

@@ -183,6 +183,68 @@ def intake_free_names(spark, sf_dir):
     return intake.free_names(rows).select(F.col("path").cast("long").alias("doc_id"), "free_name")
 
 
+#: Names that clash in every way, and names that are taken.
+_BATCH_NAMES = "SELECT doc_id, source || CASE doc_id % 5 WHEN 0 THEN '_' || CAST(doc_id % 7 + 1 AS STRING) ELSE '' END || '.txt' AS file_name FROM {documents}"
+_TAKEN_NAMES = "SELECT DISTINCT source || CASE doc_id % 2 WHEN 0 THEN '_' || CAST(doc_id % 13 AS STRING) ELSE '' END || '.txt' AS file_name FROM {documents} WHERE doc_id % 3 = 0"
+
+
+@_query(
+    f"""WITH b AS ({_BATCH_NAMES}), t AS ({_TAKEN_NAMES}), r AS (SELECT b.*, row_number() OVER (PARTITION BY b.file_name ORDER BY doc_id) + CASE WHEN t.file_name IS NULL THEN 0 ELSE 1 END AS nth FROM b LEFT JOIN t ON b.file_name = t.file_name),
+need AS (SELECT file_name, max(nth) AS n FROM r WHERE nth > 1 GROUP BY file_name), used AS (SELECT file_name FROM b UNION SELECT file_name FROM t),
+tries AS (SELECT file_name, unnest(range(1, n + (SELECT count(*) FROM used) + 1)) AS k FROM need),
+free AS (SELECT file_name, k, row_number() OVER (PARTITION BY file_name ORDER BY k) AS j FROM tries WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.file_name = substr(tries.file_name, 1, length(tries.file_name) - 4) || '_' || CAST(k AS STRING) || '.txt'))
+SELECT r.doc_id, CASE WHEN nth = 1 THEN r.file_name ELSE substr(r.file_name, 1, length(r.file_name) - 4) || '_' || CAST(k AS STRING) || '.txt' END AS free_name FROM r LEFT JOIN free ON r.file_name = free.file_name AND free.j = r.nth - 1"""
+)
+def free_names_taken(spark, sf_dir):
+    names = _rows(spark, sf_dir, f"SELECT lpad(CAST(doc_id AS STRING), 12, '0') AS path, file_name FROM ({_BATCH_NAMES})")
+    return intake.free_names(names, _rows(spark, sf_dir, _TAKEN_NAMES)).select(F.col("path").cast("long").alias("doc_id"), "free_name")
+
+
+_DECIDED_SQL = f"""WITH f AS ({_FILES_SQL}), v AS (SELECT *, row_number() OVER w AS nth, first_value(file_name) OVER w AS winner FROM f WHERE invalid_reason IS NULL WINDOW w AS (PARTITION BY file_hash ORDER BY path)),
+d AS (SELECT f.doc_id, f.file_name, f.file_hash, f.invalid_reason, CASE WHEN f.invalid_reason IS NOT NULL THEN 'failed' WHEN nth > 1 THEN 'duplicate_skipped' ELSE 'ready' END AS status, CASE WHEN nth > 1 THEN winner END AS original_file FROM f LEFT JOIN v ON f.path = v.path)
+"""
+
+
+@_query(
+    _DECIDED_SQL
+    + f"""SELECT file_name, CASE WHEN status = 'ready' THEN CASE WHEN doc_id % 10 = 3 OR doc_id % 4 = 1 THEN 'failed' ELSE 'success' END ELSE status END AS status,
+CASE status WHEN 'ready' THEN CASE WHEN doc_id % 10 = 3 THEN 'File was not processed' WHEN doc_id % 4 = 1 THEN 'no text was found' END WHEN 'failed' THEN invalid_reason ELSE '{intake.SAME_BATCH}' END AS error_message,
+2030 AS started, 2031 AS ended FROM d"""
+)
+def log_final_status(spark, sf_dir):
+    decided = intake.decide(_files(spark, sf_dir))
+    key = F.regexp_extract("target_name", r"-(\d+)", 1).cast("long")
+    results = intake.ready(decided).where(key % 10 != 3).select("target_name", (key % 4 != 1).alias("success"), F.when(key % 4 == 1, "no text was found").alias("error"))
+    logs = intake.run_logs(decided, results, _now(), F.lit("2031-01-01 00:00:00").cast("timestamp"))
+    return logs.select("file_name", "status", "error_message", F.year("start_time").alias("started"), F.year("end_time").alias("ended"))
+
+
+@_query(_DECIDED_SQL + "SELECT file_name, file_hash, original_file FROM d WHERE status = 'duplicate_skipped'")
+def store_duplicates(spark, sf_dir):
+    return intake.decide(_files(spark, sf_dir)).where("status = 'duplicate_skipped'").select("file_name", "file_hash", "original_file")
+
+
+_MAGIC = "SELECT doc_id, CASE doc_id % 2 WHEN 0 THEN 'x.pdf' ELSE 'x.PDF' END AS file_name, CASE doc_id % 3 WHEN 0 THEN '%PDF-1.4 ' || text WHEN 1 THEN 'a' || text ELSE '' END AS body FROM {documents}"
+
+
+@_query(f"SELECT doc_id, CASE WHEN body = '' THEN 'File is empty' WHEN NOT starts_with(body, '%PDF-') THEN 'File is not a readable PDF' END AS reason FROM ({_MAGIC})")
+def intake_magic(spark, sf_dir):
+    body = F.col("body").cast("binary")
+    return _rows(spark, sf_dir, _MAGIC).select("doc_id", intake.invalid_reason(F.col("file_name"), F.length(body), body).alias("reason"))
+
+
+@_query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang || '/' || source ELSE '/other/' || source END AS below FROM {documents}")
+def relative_paths(spark, sf_dir):
+    rows = _rows(spark, sf_dir, "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '/data/store/' || lang ELSE '/other' END || '/' || source AS path FROM {documents}")
+    return rows.select("doc_id", basic.relative_path(F.col("path"), "/data/store/").alias("below"))
+
+
+@_query("SELECT doc_id, 'ocr_output/' || source || '.v1_' || CASE WHEN doc_id % 2 = 0 THEN '20240115_053000' ELSE '20240116_001500' END || '.txt' AS ocr_text_path FROM {documents}")
+def ocr_paths(spark, sf_dir):
+    rows = _rows(spark, sf_dir, "SELECT doc_id, source || '.v1.pdf' AS file_name, CASE WHEN doc_id % 2 = 0 THEN '2024-01-15T00:00:00Z' ELSE '2024-01-15T18:45:00Z' END AS at FROM {documents}")
+    return rows.select("doc_id", basic.ocr_text_path(F.col("file_name"), F.col("at").cast("timestamp")).alias("ocr_text_path"))
+
+
 @_query("SELECT doc_id, 'a_b_' || source || '.x_y.png' AS clean FROM {documents}")
 def clean_names(spark, sf_dir):
     rows = _rows(spark, sf_dir, "SELECT doc_id, '..a/b|' || source || '...x?y.png' AS raw FROM {documents}")
@@ -233,6 +295,16 @@ def parse_status(spark, sf_dir):
     return _parsed(spark, sf_dir).groupBy("status", "confidence").agg(F.count(F.lit(1)).alias("n"), amount.alias("total_amount"))
 
 
+_BROKEN_SQL = f"concat_ws(', ', CASE WHEN {_NUMBER_SQL} IS NULL THEN 'invoice_number' END, CASE WHEN {_DATE_SQL} IS NULL THEN 'invoice_date' END, CASE WHEN {_TOTAL_SQL} IS NULL THEN 'total_amount' END)"
+
+
+@_query(f"SELECT doc_key, {_BROKEN_SQL} = '' AS is_valid, nullif({_BROKEN_SQL}, '') AS error, 'needs_review' AS status, {_NUMBER_SQL} AS invoice_number, {_DATE_SQL} AS invoice_date, {_CURRENCY_SQL} AS currency, {_TOTAL_SQL} AS total_amount FROM ({RENDERED})")
+def process_and_validate(spark, sf_dir):
+    rows = _texts(spark, sf_dir).select(F.col("doc_key").cast("string").alias("file_name"), F.lit("h").alias("file_hash"), "text")
+    out = batch.process_and_validate(rows)
+    return out.select(F.col("file_name").cast("long").alias("doc_key"), "is_valid", "error", "record.status", "record.invoice_number", F.col("record.invoice_date").cast("string").alias("invoice_date"), "record.currency", "record.total_amount")
+
+
 def _item_texts(spark, sf_dir, line: str):
     rows = _rows(spark, sf_dir, ITEM_TEXT)
     return rows.groupBy("doc_key").agg(F.concat(F.lit("Item list\n"), F.array_join(F.array_sort(F.collect_list(F.expr(line))), "\n"), F.lit("\nTax   $1.00\nTotal   $9.99\n")).alias("text"))
@@ -374,15 +446,33 @@ def upsert_docs(spark, sf_dir):
     return out.select("document_id", "file_name", "file_hash", "invoice_number", "status", "failure_reason", F.year("processed_at").cast("long").alias("processed_year"))
 
 
+_COPY_SQL = "document_id % 10 = 4 AND file_hash IS NOT NULL"
+
+
 @_query(
     _MERGE_SQL
-    + """SELECT document_id, file_name, CASE WHEN document_id % 2 = 0 THEN 'x' || file_hash ELSE file_hash END AS file_hash, invoice_number, CASE WHEN document_id % 2 = 0 THEN 'failed' ELSE status END AS status, CASE WHEN document_id % 2 = 0 THEN 'gone' ELSE failure_reason END AS failure_reason FROM i WHERE document_id % 3 <> 0 AND NOT (document_id % 10 = 4 AND file_hash IS NOT NULL)"""
+    + f"""SELECT document_id, file_name, CASE WHEN hit THEN 'x' || file_hash ELSE file_hash END AS file_hash, invoice_number, CASE WHEN hit THEN 'failed' ELSE status END AS status, CASE WHEN hit THEN 'gone' ELSE failure_reason END AS failure_reason, year(processed_at) AS processed_year
+FROM (SELECT *, document_id % 2 = 0 AND NOT coalesce({_COPY_SQL}, FALSE) AS hit FROM i WHERE document_id % 3 <> 0)
+UNION ALL SELECT t + row_number() OVER (ORDER BY md5(new_name), new_name), new_name, 'x' || file_hash, NULL, 'failed', 'gone', 2030 FROM n, top WHERE document_id % 3 = 0 OR ({_COPY_SQL})"""
 )
 def upsert_failed(spark, sf_dir):
     stored, new = _merge_inputs(spark, sf_dir)
     new = new.select("file_name", F.concat(F.lit("x"), "file_hash").alias("file_hash"), F.lit("failed").alias("status"), F.lit("gone").alias("failure_reason"))
-    out = merge.upsert_failed(stored, new, _now()).where("processed_at < '2030-01-01' and not (document_id % 10 = 4 and file_hash is not null)")
-    return out.select("document_id", "file_name", "file_hash", "invoice_number", "status", "failure_reason")
+    out = merge.upsert_failed(stored, new, _now())
+    return out.select("document_id", "file_name", "file_hash", "invoice_number", "status", "failure_reason", F.year("processed_at").cast("long").alias("processed_year"))
+
+
+@_query("SELECT 'documents' AS kind, count(*) AS n FROM {orders} WHERE o_orderkey % 5 <> 0 UNION ALL SELECT 'items', count(*) FROM {lineitem} WHERE l_orderkey % 5 <> 0")
+def cascade_delete(spark, sf_dir):
+    documents, items = _invoices(spark, sf_dir), _rows(spark, sf_dir, ITEMS)
+    documents, items = merge.delete_documents(documents, items, documents.where("document_id % 5 = 0").select("document_id"))
+    counts = [x.agg(F.lit(k).alias("kind"), F.count(F.lit(1)).alias("n")) for k, x in (("documents", documents), ("items", items))]
+    return counts[0].unionByName(counts[1])
+
+
+@_query("SELECT CAST(coalesce(max(o_orderkey), 0) AS BIGINT) AS version FROM {orders}")
+def schema_version(spark, sf_dir):
+    return merge.current_version(_rows(spark, sf_dir, "SELECT o_orderkey AS version FROM {orders}")).select(F.col("version").cast("long").alias("version"))
 
 
 @_query("WITH i AS (SELECT l_orderkey AS document_id, count(*) AS n FROM {lineitem} GROUP BY 1) SELECT document_id, CASE WHEN document_id % 2 = 0 THEN 2 * n ELSE n END AS n_items FROM i")

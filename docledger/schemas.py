@@ -13,6 +13,7 @@ DOCUMENTS = (
 LINE_ITEMS = "line_item_id long, document_id long, description string, quantity decimal(18,4), unit_price decimal(10,2), line_total decimal(10,2)"
 LOGS = "log_id long, file_name string, start_time timestamp, end_time timestamp, status string, error_message string"
 DUPLICATES = "duplicate_id long, file_name string, file_hash string, original_file string, skipped_at timestamp"
+OCR_TEXTS = "ocr_text_path string, file_name string, text string"
 VERSIONS = "version int, applied_at timestamp"
 
 TABLES = {
@@ -20,6 +21,18 @@ TABLES = {
     "invoice_line_items": LINE_ITEMS,
     "processing_logs": LOGS,
     "duplicate_files": DUPLICATES,
+    "ocr_texts": OCR_TEXTS,
     "schema_version": VERSIONS,
 }
 SCHEMA_VERSION = 4
+
+#: The key of each table, and what its columns refer to.
+KEYS = {
+    "invoice_documents": ("document_id",),
+    "invoice_line_items": ("line_item_id",),
+    "processing_logs": ("log_id",),
+    "duplicate_files": ("duplicate_id",),
+    "ocr_texts": ("ocr_text_path", "file_name"),
+    "schema_version": ("version",),
+}
+REFERENCES = {("invoice_line_items", "document_id"): ("invoice_documents", "document_id")}

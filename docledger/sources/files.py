@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.basic import base_name
-from ..operators.intake import file_hash, invalid_reason
+from ..functions.basic import base_name, suffix
+from ..operators.intake import EXTENSIONS, file_hash, invalid_reason
+from .images import verify
 
 SKIP = ".gitkeep"
 
@@ -30,6 +32,23 @@ def list_files(spark: SparkSession, folder: str, with_content: bool = True) -> D
     return rows if with_content else rows.drop("content")
 
 
-def examined(files: DataFrame) -> DataFrame:
-    """Adds file_hash and invalid_reason, and drops the content, so that only narrow rows move on."""
-    return files.select("path", "file_name", "length", file_hash(F.col("content"), F.col("length")).alias("file_hash"), invalid_reason(F.col("file_name"), F.col("length"), F.col("content")).alias("invalid_reason"))
+def whole_image(content: Column, name: Column) -> Column:
+    """Whether an image can be read to its end; null for other files and for those without content."""
+
+    @F.pandas_udf("boolean")
+    def check(data: pd.Series, extension: pd.Series) -> pd.Series:
+        return pd.Series([verify(d, e) for d, e in zip(data, extension, strict=True)])
+
+    extension = F.lower(suffix(name))
+    return F.when(extension.isin(*EXTENSIONS) & (extension != ".pdf") & content.isNotNull(), check(content, extension))
+
+
+def examined(files: DataFrame, decode: bool = True) -> DataFrame:
+    """Adds file_hash and invalid_reason, and drops the content, so that only narrow rows move on.
+
+    With ``decode`` an image must be whole; else its first bytes decide.
+    """
+    rows = files.withColumn("whole", whole_image(F.col("content"), F.col("file_name")) if decode else F.lit(None).cast("boolean"))
+    reason = invalid_reason(F.col("file_name"), F.col("length"), F.col("content"))
+    damaged = F.when(~F.coalesce("whole", F.lit(True)), "File is not a readable image")
+    return rows.select("path", "file_name", "length", file_hash(F.col("content"), F.col("length")).alias("file_hash"), F.coalesce(reason, damaged).alias("invalid_reason"))

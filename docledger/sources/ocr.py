@@ -1,23 +1,26 @@
 """Text recognition and image preparation behind an interface.
 
-No image library is bundled.  A backend is any object with ``pages(content, extension)`` and ``read(page)``; an image backend
-may also have the preparation steps of ``PREPARATION``, which run in this order where it has them.  ``SidecarBackend``
-takes the content itself as text, which is what tests and text-only batches use.
+A backend is any object with ``pages(content, extension)`` and ``read(page)``.  ``ImageBackend`` reads images, prepares them by
+``sources.images`` and hands each to a recogniser; with pytesseract installed that is the default.  PDFs need pdf2image.
+``SidecarBackend`` takes the content itself as text, which is what tests and text-only batches use.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.basic import suffix
+from . import images
 
-PREPARATION = ("to_grayscale", "denoise", "enhance_contrast", "deskew", "threshold")
 RESULT = "struct<success:boolean,text:string,error:string>"
+#: Resolution of the pages of a PDF.
+DPI = 300
 
 
 class Backend(Protocol):
@@ -26,6 +29,40 @@ class Backend(Protocol):
     def read(self, page) -> str: ...
 
 
+def _tesseract(image: np.ndarray) -> str:
+    import pytesseract
+    from PIL import Image
+
+    return pytesseract.image_to_string(Image.fromarray(image), lang="eng")
+
+
+class ImageBackend:
+    """Images as arrays; each is prepared and recognised."""
+
+    def __init__(self, recognise: Callable[[np.ndarray], str] = _tesseract, prepare: Callable[[np.ndarray], np.ndarray] = images.prepare):
+        self.recognise, self.prepare = recognise, prepare
+
+    def pages(self, content: bytes, extension: str) -> list[np.ndarray]:
+        if extension == ".pdf":
+            try:
+                from pdf2image import convert_from_bytes
+            except ImportError:
+                return []
+            return [np.array(page) for page in convert_from_bytes(content, dpi=DPI)]
+        if extension == ".png":
+            return [images.read_png(content)]
+        if content[:2] in (b"P5", b"P6"):
+            return [images.read_pnm(content)]
+        import io
+
+        from PIL import Image
+
+        return [np.array(Image.open(io.BytesIO(content)).convert("RGB"))]
+
+    def read(self, page: np.ndarray) -> str:
+        return self.recognise(self.prepare(page)).strip()
+
+
 class SidecarBackend:
     """Form feeds separate pages."""
 
@@ -44,8 +81,6 @@ def recognise(backend: Backend, content: bytes | None, extension: str) -> tuple[
             return False, None, "no page could be read"
         texts = []
         for page in pages:
-            for step in PREPARATION:
-                page = getattr(backend, step, lambda x: x)(page)
             texts.append(backend.read(page))
         if extension == ".pdf":
             texts = [f"--- Page {k} ---\n{t}" for k, t in enumerate(texts, 1)]

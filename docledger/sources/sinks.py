@@ -6,26 +6,69 @@ import os
 import shutil
 import smtplib
 import zipfile
+from collections.abc import Iterator
 from email.message import EmailMessage
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import dashboard
+from ..functions.basic import base_name
+from ..operators import dashboard, intake
 
 
 def write_json(documents: DataFrame, items: DataFrame, folder: str) -> None:
-    """One line for each document, below a folder for each file name ``invoice_001``."""
+    """One JSON line for each document, named ``invoice_001`` and so on in its key ``name``; as many files as Spark has tasks.
+
+    ``write_json_files`` makes a file for each document.
+    """
     rows = dashboard.as_json(dashboard.nested(documents, items))
-    rows.select(F.format_string("invoice_%03d", "document_id").alias("name"), F.col("json").alias("value")).write.mode("overwrite").partitionBy("name").text(folder)
+    named = F.concat(F.lit('{"name":"'), F.format_string("invoice_%03d", "document_id"), F.lit('","document":'), "json", F.lit("}"))
+    rows.select(named.alias("value")).write.mode("overwrite").text(folder)
+
+
+def write_json_files(documents: DataFrame, items: DataFrame, folder: str) -> int:
+    """A file ``invoice_001.json`` for each document, written by the executors. Returns how many."""
+    rows = dashboard.as_json(dashboard.nested(documents, items)).select(F.format_string("invoice_%03d.json", "document_id").alias("name"), F.col("json").alias("text"))
+    return write_text_files(rows, folder)
+
+
+def write_text_files(rows: DataFrame, folder: str) -> int:
+    """A file for each row of name and text, names relative to the folder. A file that is there is replaced. Returns how many."""
+
+    def write(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(folder)
+        n = 0
+        for batch in stream:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                path = f"{base}/{name}"
+                fs.create_dir(os.path.dirname(path), recursive=True)
+                with fs.open_output_stream(path) as f:
+                    f.write((text or "").encode("utf-8"))
+                n += 1
+        yield pa.record_batch({"n": pa.array([n], pa.int64())})
+
+    return rows.select("name", "text").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
 
 
 def write_dashboard(documents: DataFrame, items: DataFrame, folder: str) -> None:
-    """The dashboard's single file: all documents, newest first. Meant for what one page can show."""
+    """The dashboard's single file: all documents, newest first. Rows are sorted over the cluster and written by one task as they come."""
     rows = dashboard.as_json(dashboard.nested(documents, items)).join(documents.select("document_id", "processed_at"), "document_id")
-    whole = rows.agg(F.transform(F.sort_array(F.collect_list(F.struct("processed_at", "document_id", "json")), asc=False), lambda x: x["json"]).alias("all"))
-    whole.select(F.concat(F.lit('{"documents":['), F.array_join("all", ","), F.lit("]}")).alias("value")).coalesce(1).write.mode("overwrite").text(folder)
+    order = [F.desc_nulls_last("processed_at"), F.desc("document_id")]
+    lines = rows.select(F.lit(1).alias("part"), "processed_at", "document_id", "json").repartitionByRange(*order).sortWithinPartitions(*order).select("json")
+
+    def joined(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = '{"documents":['
+        for batch in stream:
+            for text in batch.column(0).to_pylist():
+                yield pa.record_batch({"value": pa.array([lead + text])})
+                lead = ","
+        yield pa.record_batch({"value": pa.array([("" if lead == "," else lead) + "]}"])})
+
+    # Ranges are read in order by the one task that writes the file.
+    lines.coalesce(1).mapInArrow(joined, "value string").write.mode("overwrite").option("lineSep", "\n").text(folder)
 
 
 def write_workbook(sheets: dict[str, DataFrame], path: str) -> None:
@@ -111,3 +154,45 @@ def move_file(path: str, folder: str) -> str:
         k += 1
         target = os.path.join(folder, f"{name}_{k}{ext}")
     return shutil.move(path, target)
+
+
+def file_system(uri: str):
+    """The file system of a path or URI, and the path in it; names may hold any character."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    if "://" not in uri:
+        return fs.LocalFileSystem(), os.path.abspath(uri)
+    scheme, _, rest = uri.partition("://")
+    authority, _, path = rest.partition("/")
+    system, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system, f"{root.rstrip('/')}/{path}"
+
+
+def move_files(files: DataFrame, folder: str) -> int:
+    """Moves the files named in ``path`` into a folder, under names that are free there; the executors move them.
+
+    A file that is gone already is left out, so the call can be repeated. Returns how many were moved.
+    """
+    spark = files.sparkSession
+    system, base = file_system(folder)
+    system.create_dir(base, recursive=True)
+    there = spark.createDataFrame([(x.base_name,) for x in system.get_file_info(fs.FileSelector(base))], "file_name string")
+    names = intake.free_names(files.select("path", base_name(F.col("path")).alias("file_name")), there).select("path", "free_name")
+
+    def move(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to, target = file_system(folder)
+        n = 0
+        for batch in stream:
+            for path, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                source, at = file_system(path)
+                if source.get_file_info(at).type == fs.FileType.NotFound:
+                    continue
+                if source.type_name == to.type_name:
+                    to.move(at, f"{target}/{name}")
+                else:
+                    fs.copy_files(at, f"{target}/{name}", source_filesystem=source, destination_filesystem=to)
+                    source.delete_file(at)
+                n += 1
+        yield pa.record_batch({"n": pa.array([n], pa.int64())})
+
+    return names.mapInArrow(move, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]

@@ -33,6 +33,19 @@ def missing_columns(tables: dict[str, DataFrame]) -> dict[str, set[str]]:
     return {n: gap for n, want in expected.items() if (gap := want - (columns_of(tables[n]) if n in tables else set()))}
 
 
+def broken_keys(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """How many key values a table has more than once, and how many references of each kind lead nowhere; sound ones are left out."""
+    found = {}
+    for name, key in schemas.KEYS.items():
+        if name in tables:
+            found[name] = tables[name].groupBy(*key).count().where("count > 1").count()
+    for (name, column), (target, key) in schemas.REFERENCES.items():
+        if name in tables and target in tables:
+            there = tables[target].select(F.col(key).alias(column))
+            found[f"{name}.{column}"] = tables[name].where(F.col(column).isNotNull()).join(there, column, "left_anti").count()
+    return {k: n for k, n in found.items() if n}
+
+
 def sample_invoices(spark: SparkSession, n: int = 500) -> DataFrame:
     """file_name and text of n made-up invoices."""
     k = F.col("id").cast("string")

@@ -3,39 +3,51 @@
 from __future__ import annotations
 
 import json
+import re
+import struct
 import sys
 import zipfile
+import zlib
 
+import numpy as np
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from docledger.operators import dashboard, intake, merge, report
 from docledger.plans import batch
-from docledger.sources import extractors, sinks
+from docledger.sources import extractors, images, sinks
 from docledger.sources.config import Config
 from docledger.sources.files import examined, list_files
 from docledger.sources.ocr import recognise
-from docledger.sources.tables import missing_columns, query, sample_invoices
+from docledger.sources.tables import broken_keys, missing_columns, query, sample_invoices
 from docledger.streaming.ingest import file_stream, ingest, log_rates
 
 # Workers cannot import this module, so what it defines is sent whole.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
-PNG = b"\x89PNG\r\n\x1a\n"
 
 
 class Plain:
-    """Takes what follows the first line of a file as its text."""
+    """Takes what an image says about itself as its text."""
 
     def pages(self, content, extension):
-        return [content.split(b"\n", 3)[-1].decode()]
+        at = content.index(b"tEXt") + 4
+        (size,) = struct.unpack(">I", content[at - 8 : at - 4])
+        return [content[at : at + size].split(b"\0", 1)[1].decode()]
 
     def read(self, page):
         return page
 
 
+def png(text: bytes) -> bytes:
+    """A small image that carries a text."""
+    plain, body = images.write_png(np.zeros((2, 2), np.uint8)), b"Text\0" + text
+    chunk = struct.pack(">I", len(body)) + b"tEXt" + body + struct.pack(">I", zlib.crc32(b"tEXt" + body))
+    return plain[:33] + chunk + plain[33:]
+
+
 def invoice(number: int, total: str = "10.00") -> bytes:
-    return PNG + f"\nFrom: Acme {number}\nInvoice No: INV-{number}\nDate: 2024-01-15\n2   Widget   $5.00   ${total}\nTotal: ${total}".encode()
+    return png(f"From: Acme {number}\nInvoice No: INV-{number}\nDate: 2024-01-15\n2   Widget   $5.00   ${total}\nTotal: ${total}".encode())
 
 
 @pytest.fixture
@@ -78,7 +90,14 @@ def test_batch_and_rerun(spark, folder, tmp_path):
     assert len({r.document_id for r in docs.values()}) == 5
     dup = store.table("duplicate_files").collect()
     assert [(d.file_name, d.original_file) for d in dup] == [("b.png", "a.png")]
-    assert store.table("processing_logs").count() == 6
+    logs = {r.file_name: r for r in store.table("processing_logs").collect()}
+    assert len(logs) == 6 and {n: r.status for n, r in logs.items()} == {"a.png": "success", "b.png": "duplicate_skipped", "c.png": "success", "broken.png": "failed", "empty one.png": "failed", "empty.txt": "failed"}
+    assert all(r.start_time <= r.end_time for r in logs.values())
+    paths = {r.ocr_text_path: r for r in store.table("ocr_texts").collect()}
+    assert docs["c.png"].ocr_text_path in paths and "INV-2" in paths[docs["c.png"].ocr_text_path].text
+    assert re.fullmatch(r"ocr_output/c_\d{8}_\d{6}\.txt", docs["c.png"].ocr_text_path) and docs["broken.png"].ocr_text_path is None
+    tables = {n: store.table(n) for n in ("invoice_documents", "invoice_line_items", "processing_logs", "duplicate_files", "ocr_texts")}
+    assert broken_keys(tables) == {} and broken_keys({**tables, "invoice_documents": tables["invoice_documents"].where("file_name <> 'c.png'")}) == {"invoice_line_items.document_id": 1}
     assert merge.orphans(store.table("invoice_line_items"), store.table("invoice_documents")).isEmpty()
     # The same files again are duplicates of what is stored; failed ones are tried again.
     assert batch.run(files, store, "two", backend=Plain())
@@ -122,7 +141,63 @@ def test_exports(spark, folder, tmp_path):
     whole = json.loads("".join(p.read_text() for p in (tmp_path / "dash").glob("part-*")))
     assert len(whole["documents"]) == 5 and any(x["line_items"] for x in whole["documents"])
     sinks.write_json(docs, items, f"file://{tmp_path}/json")
-    assert (tmp_path / "json" / "name=invoice_001").is_dir()
+    lines = [json.loads(x) for p in (tmp_path / "json").glob("part-*") for x in p.read_text().splitlines()]
+    assert sorted(x["name"] for x in lines) == [f"invoice_{k:03d}" for k in range(1, 6)]
+    assert sinks.write_json_files(docs, items, f"file://{tmp_path}/files") == 5
+    assert json.loads((tmp_path / "files" / "invoice_001.json").read_text())["document_id"] == 1
+    at = [x["processed_at"] for x in whole["documents"]]
+    assert at == sorted(at, reverse=True)
+
+
+class Blind(Plain):
+    """Reads nothing in some files."""
+
+    def read(self, page):
+        return "" if "INV-2" in page else page
+
+
+def test_logs_tell_what_became_of_a_file(spark, folder, tmp_path):
+    store = _store(spark, tmp_path)
+    assert batch.run(list_files(spark, str(folder)), store, "one", backend=Blind(), processed_dir=f"{tmp_path}/done", failed_dir=f"{tmp_path}/bad")
+    logs = {r.file_name: (r.status, r.error_message) for r in store.table("processing_logs").collect()}
+    assert logs["a.png"] == ("success", None) and logs["c.png"] == ("failed", "no text was found")
+    docs = {r.file_name: r.status for r in store.table("invoice_documents").collect()}
+    assert docs["c.png"] == "failed"
+    # Files move by what became of them; duplicates and files that are no part of the batch stay.
+    assert {p.name for p in (tmp_path / "done").iterdir()} == {"a.png"}
+    assert {p.name for p in (tmp_path / "bad").iterdir()} == {"c.png", "broken.png", "empty one.png", "empty.txt"}
+    assert {p.name for p in folder.iterdir()} == {"b.png", "sub", ".gitkeep"}
+    assert not batch.run(list_files(spark, str(folder)), store, "one", backend=Blind(), processed_dir=f"{tmp_path}/done")
+
+
+def test_moved_files_get_free_names(spark, tmp_path):
+    (tmp_path / "in" / "x").mkdir(parents=True)
+    (tmp_path / "to").mkdir()
+    for p in ("in/f.a", "in/x/f.a", "in/f_1.a", "to/f.a", "to/f_2.a"):
+        (tmp_path / p).write_text(p)
+    rows = spark.createDataFrame([(f"file://{tmp_path}/{p}",) for p in ("in/f.a", "in/x/f.a", "in/f_1.a", "in/gone.a")], "path string")
+    assert sinks.move_files(rows, f"file://{tmp_path}/to") == 3
+    assert {p.name: p.read_text() for p in (tmp_path / "to").iterdir()} == {"f.a": "to/f.a", "f_2.a": "to/f_2.a", "f_1.a": "in/f_1.a", "f_3.a": "in/f.a", "f_4.a": "in/x/f.a"}
+    assert sinks.move_files(rows, f"file://{tmp_path}/to") == 0
+
+
+def test_added_rows_stay_in_folders_of_their_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "PARTS", 3)
+    store = _store(spark, tmp_path)
+    for k in range(5):
+        rows = spark.createDataFrame([(f"p{k}", f"f{k}", "t")], "ocr_text_path string, file_name string, text string")
+        assert store.commit(f"b{k}", add={"ocr_texts": rows}) and not store.commit(f"b{k}", add={"ocr_texts": rows})
+        assert {r.file_name for r in store.table("ocr_texts").collect()} == {f"f{j}" for j in range(k + 1)}
+        assert len(store.head()[1]["ocr_texts"].split(",")) <= 2
+
+
+def test_process_and_validate(spark):
+    text = "From: Acme\nInvoice No: INV-1\nDate: 2024-01-15\nTotal: $5.00"
+    rows = spark.createDataFrame([("a.png", "h", text), ("b.png", "h", "Total: 3.00"), ("c.png", None, text)], "file_name string, file_hash string, text string")
+    got = {r.file_name: r for r in batch.process_and_validate(rows).collect()}
+    assert got["a.png"].is_valid and got["a.png"].record.total_amount == 5.0 and got["a.png"].status == "needs_review"
+    assert got["b.png"].error == "invoice_number, invoice_date" and got["b.png"].record.total_amount == 3.0 and got["b.png"].record.status == "needs_review"
+    assert got["c.png"].error == "file_hash"
 
 
 def test_empty_window(spark):
@@ -167,6 +242,9 @@ def test_small_parts(spark, tmp_path):
     assert sinks.move_file(str(tmp_path / "f.txt"), str(tmp_path / "to")).endswith("f_1.txt")
     names = spark.createDataFrame([("p1", "a.x"), ("p2", "a.x")], "path string, file_name string")
     assert sorted(r.free_name for r in intake.free_names(names).collect()) == ["a.x", "a_1.x"]
+    names = spark.createDataFrame([("p1", "b.x"), ("p2", "b.x"), ("p3", "b_1.x"), ("p4", "a.x"), ("p5", "b_1.x")], "path string, file_name string")
+    taken = spark.createDataFrame([("a.x",), ("a_1.x",), ("a_01.x",)], "file_name string")
+    assert {r.path: r.free_name for r in intake.free_names(names, taken).collect()} == {"p1": "b.x", "p2": "b_2.x", "p3": "b_1.x", "p4": "a_2.x", "p5": "b_1_1.x"}
 
 
 def test_mail(tmp_path):
