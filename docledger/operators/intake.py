@@ -154,9 +154,11 @@ def free_names(names: DataFrame, taken: DataFrame | None = None) -> DataFrame:
     numbers = used.distinct().where(stem(F.col("file_name")).rlike(shape)).select(F.concat(root, suffix(F.col("file_name"))).alias("file_name"), number.cast("long").alias("u"))
     numbers = numbers.join(waiting.select("file_name").distinct(), "file_name", "left_semi")
     before = numbers.select("file_name", (F.col("u") - F.row_number().over(Window.partitionBy("file_name").orderBy("u"))).alias("j"), F.lit(1).alias("in_use"), F.lit(None).cast("string").alias("path"))
-    both = waiting.select("file_name", "j", F.lit(0).alias("in_use"), "path").unionByName(before)
+    # A key of its own makes the engine deal the rows anew: both sides are dealt by name, and taken together part by part,
+    # after adaptive execution has joined parts of one side, names would be torn apart.
+    both = waiting.select("file_name", "j", F.lit(0).alias("in_use"), "path").unionByName(before).withColumn("key", F.concat("file_name", F.lit("")))
     # A number in use counts for the files with a larger j only.
-    count = F.coalesce(F.sum("in_use").over(Window.partitionBy("file_name").orderBy("j").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    count = F.coalesce(F.sum("in_use").over(Window.partitionBy("key").orderBy("j").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
     found = both.withColumn("k", F.col("j") + count).where("in_use = 0").select("path", "file_name", "k")
     name = F.col("file_name")
     made = F.concat(stem(name), F.lit("_"), F.col("k").cast("string"), suffix(name))
