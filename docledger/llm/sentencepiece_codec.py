@@ -13,8 +13,8 @@ White space is marked by U+2581: each space becomes one mark, and one more stand
 Decoding gives the text back exactly unless it holds U+2581 itself, which decodes as a space.  Nothing else is normalised.
 
 A text falls into stretches wherever two neighbouring characters stand side by side in no piece, since no piece can span
-that place.  Which neighbours do is read from the vocabulary when it is loaded.  Each worker keeps the ids of stretches it
-has seen, in at most ``CACHE_BYTES``; a stretch is known by 128 bits of hash.
+that place.  Which neighbours do is read from the vocabulary when it is loaded.  Each task keeps the ids of stretches it has
+seen, in at most ``CACHE_BYTES``; a stretch is known by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -228,6 +228,11 @@ class Codec:
         self._size = np.fromiter(map(len, shown), np.int64, len(shown))
         self._begin = np.cumsum(self._size) - self._size
 
+    def rest(self) -> None:
+        """Frees what a waiting worker does not need. What it knows of pairs of pieces stays; stretches are learned again soon."""
+        self.cache = IdCache(self.dtype, CACHE_BYTES)
+        pa.default_memory_pool().release_unused()
+
     def _starts(self, chunk: Chunk) -> np.ndarray:
         """Where stretches begin: at each text, at runs of spaces, at and after characters that stand alone."""
         first = np.zeros(len(chunk.buf), bool)
@@ -309,6 +314,7 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = (), wit
             if check:
                 columns.append(pa.array([back == t.replace(_MARK_BYTES, b" ") for back, t in zip(codec.decode_all(ids, at), texts, strict=True)], pa.bool_()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        codec.rest()
 
     return renamed(base.mapInArrow(run, schema), keep)
 
