@@ -40,7 +40,7 @@ HOT = 20_000
 _LOW40 = np.uint64((1 << 40) - 1)
 _MINIMISERS = "bucket int, block int, n int, keys binary, counts binary"
 #: Kind 2: segments; kind 3: single windows of segments with hot minimisers.
-_PIECES = "kind int, bucket int, block int, n int, lens binary, docs binary, starts binary, bytes binary"
+_PIECES = "kind int, bucket int, block int, n int, lens binary, docs binary, starts binary, keys binary, bytes binary"
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -121,11 +121,12 @@ class _Block:
         told = _flags(answers, 1, 2 * len(self.keys), 2).reshape(-1, 2)
         return (told[:, 0] | (self.count > 1))[self.which], told[:, 1][self.which]
 
-    def sent(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        """The segments that go to shards, and their buckets."""
+    def sent(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The segments that go to shards, their buckets, and the other bits of their minimisers' keys."""
         shared, hot = self._pick(answers)
         pick = np.flatnonzero(shared & ~hot)
-        return self.own[pick], (self.keys[self.which[pick]] >> np.uint64(40)).astype(np.int64)
+        keys = self.keys[self.which[pick]]
+        return self.own[pick], (keys >> np.uint64(40)).astype(np.int64), keys & _LOW40
 
     def hot_windows(self, answers: pa.Table, n_buckets: int):
         """The windows of segments with hot minimisers.
@@ -149,8 +150,22 @@ class _Block:
         return seg, inside, which, bucket[first], first, list(number)
 
 
-def _later_windows(lens: np.ndarray, docs: np.ndarray, starts: np.ndarray, pieces: list[bytes]) -> np.ndarray:
-    """For all windows of these segments one after the other: does the window also start earlier?"""
+def _five(keys: np.ndarray) -> bytes:
+    """Numbers of 40 bits, byte by byte."""
+    return np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes()
+
+
+def _from_five(data: bytes) -> np.ndarray:
+    n = len(data) // 5
+    return np.ascontiguousarray(np.vstack([np.frombuffer(data, np.uint8).reshape(5, n), np.zeros((3, n), np.uint8)]).T).view(np.uint64).ravel()
+
+
+def _later_windows(lens: np.ndarray, docs: np.ndarray, starts: np.ndarray, keys: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+    """For all windows of these segments one after the other: does the window also start earlier?
+
+    Segments with different keys have no window in common, nor has a segment two equal windows: both would have their
+    minimiser at the same place. So of distinct segments only those that share a key go into the array.
+    """
     n_windows = lens - WINDOW + 1
     offset = np.concatenate([[0], np.cumsum(n_windows)])
     out = np.zeros(offset[-1], bool)
@@ -162,7 +177,9 @@ def _later_windows(lens: np.ndarray, docs: np.ndarray, starts: np.ndarray, piece
     if (lens == WINDOW).all():  # single windows are equal where their bytes are; there is nothing inside them to sort
         return (docs != docs[rep]) | (starts != starts[rep])
     own = np.fromiter(earliest.values(), np.int64, len(earliest))
-    text = np.frombuffer(b"".join(earliest), np.uint8)
+    _, key, count = np.unique(keys[own], return_inverse=True, return_counts=True)
+    own = own[(count > 1)[key]]
+    text = np.frombuffer(b"".join([pieces[i] for i in own.tolist()]), np.uint8)
     array = suffix_array(text)
     same = permuted_common_prefixes(text, array, WINDOW) >= WINDOW
     seg_len = lens[own]
@@ -200,12 +217,12 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
 
     def minimisers(table: pa.Table) -> pa.Table:
         block, b = table.column("block")[0].as_py(), _Block(table, n_buckets)
-        low = (b.keys & _LOW40).view(np.uint8).reshape(-1, 8)[:, :5]
-        return _rows(_MINIMISERS, [(k, block, t - f, np.ascontiguousarray(low[f:t].T).tobytes(), B.planes(b.count[f:t].astype(np.uint32))) for k, f, t in B.bucket_runs((b.keys >> np.uint64(40)).astype(np.int64))])
+        low = b.keys & _LOW40
+        return _rows(_MINIMISERS, [(k, block, t - f, _five(low[f:t]), B.planes(b.count[f:t].astype(np.uint32))) for k, f, t in B.bucket_runs((b.keys >> np.uint64(40)).astype(np.int64))])
 
     def meet_minimisers(table: pa.Table) -> pa.Table:
         bucket, ns = table.column("bucket")[0].as_py(), table.column("n").to_pylist()
-        parts = [np.ascontiguousarray(np.vstack([np.frombuffer(x, np.uint8).reshape(5, -1), np.zeros((3, n), np.uint8)]).T).view(np.uint64).ravel() for x, n in zip(table.column("keys").to_pylist(), ns, strict=True)]
+        parts = [_from_five(x) for x in table.column("keys").to_pylist()]
         own = np.concatenate([B.unplanes(x, np.uint32) for x in table.column("counts").to_pylist()])
         keys, which, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         hot = np.bincount(which, own, len(keys)) > hot_segments
@@ -216,26 +233,27 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
         if not table.num_rows:
             return _rows(_PIECES, [])
         block, b = table.column("block")[0].as_py(), _Block(table, n_buckets)
-        own, bucket = b.sent(answers)
+        own, bucket, keys = b.sent(answers)
         rows = []
         for k, f, t in B.bucket_runs(bucket):
             s = own[f:t]
             text = b"".join([b.texts[d][a : a + n] for d, a, n in zip(b.doc[s].tolist(), b.start[s].tolist(), b.len[s].tolist(), strict=True)])
-            rows.append((2, k, block, t - f, b.len[s].astype(np.uint8).tobytes(), B.planes(b.ids[b.doc[s]]), B.planes(b.start[s]), text))
+            rows.append((2, k, block, t - f, b.len[s].astype(np.uint8).tobytes(), B.planes(b.ids[b.doc[s]]), B.planes(b.start[s]), _five(keys[f:t]), text))
         seg, inside, _, bucket, first, windows = b.hot_windows(answers, n_buckets)
         docs_of, starts = b.ids[b.doc[seg[first]]], b.start[seg[first]] + inside[first]
-        rows += [(3, k, block, t - f, bytes([WINDOW]) * (t - f), B.planes(docs_of[f:t]), B.planes(starts[f:t]), b"".join(windows[f:t])) for k, f, t in B.bucket_runs(bucket)]
+        rows += [(3, k, block, t - f, bytes([WINDOW]) * (t - f), B.planes(docs_of[f:t]), B.planes(starts[f:t]), b"", b"".join(windows[f:t])) for k, f, t in B.bucket_runs(bucket)]
         return _rows(_PIECES, rows)
 
     def meet_pieces(table: pa.Table) -> pa.Table:
         kind = table.column("kind")[0].as_py()
         bucket, ns = table.column("bucket")[0].as_py(), table.column("n").to_pylist()
-        col = {c: table.column(c).to_pylist() for c in ("block", "lens", "docs", "starts", "bytes")}
+        col = {c: table.column(c).to_pylist() for c in ("block", "lens", "docs", "starts", "keys", "bytes")}
         lens = np.concatenate([np.frombuffer(x, np.uint8) for x in col["lens"]]).astype(np.int64)
         ids, starts = (np.concatenate([B.unplanes(x, np.int64) for x in col[c]]) for c in ("docs", "starts"))
+        keys = np.concatenate([_from_five(x) for x in col["keys"]])
         text = b"".join(col.pop("bytes"))
         end = np.cumsum(lens).tolist()
-        later = _later_windows(lens, ids, starts, [text[a:b] for a, b in zip([0, *end], end, strict=False)])
+        later = _later_windows(lens, ids, starts, keys, [text[a:b] for a, b in zip([0, *end], end, strict=False)])
         upto = np.concatenate([[0], np.cumsum(lens - WINDOW + 1)])[np.concatenate([[0], np.cumsum(ns)])]
         return _rows(_FLAGS, [(k, kind, bucket, int(b - a), B.pack_bits(later[a:b])) for k, a, b in zip(col["block"], upto[:-1], upto[1:], strict=True)])
 
@@ -249,7 +267,7 @@ def suffix_dedup(docs: DataFrame, block_bytes: int = B.BLOCK_BYTES, keep: tuple[
             fields = [("doc_id", pa.int64()), *((n, table.schema.field(n).type) for n in through), *((n, pa.int64()) for n in results[:3]), ("kept", pa.string() if as_text else pa.binary())]
             return pa.schema(fields).empty_table()
         b = _Block(table, n_buckets)
-        own, _ = b.sent(answers)
+        own, _, _ = b.sent(answers)
         n_windows = b.len[own] - WINDOW + 1
         later = _flags(answers, 2, int(n_windows.sum()))
         size = np.fromiter(map(len, b.texts), np.int64, len(b.texts))
