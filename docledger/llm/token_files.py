@@ -43,7 +43,7 @@ BATCH = 256
 #: Bytes of pieces and ids that a worker keeps.
 CACHE_BYTES = 32 << 20
 #: Bytes of text whose ids go to one file, about.
-FILE_BYTES = 128 << 20
+FILE_BYTES = 32 << 20
 #: Bytes of text that are encoded at once.
 CHUNK_BYTES = 1 << 20
 
