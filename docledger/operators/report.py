@@ -96,16 +96,16 @@ def to_html(r: Report, mock: bool = False, at: str = "") -> str:
 
     review = listed(first_rows(r.invoices, "needs_review").collect(), lambda x: f"{safe(x.file_name)}: {safe(x.review_reason)}")
     failed = listed(first_rows(r.invoices, "failed").collect(), lambda x: f"{safe(x.file_name)}: {safe(x.failure_reason)}")
-    dups = listed(r.duplicates.limit(TOP).collect(), lambda x: f"{safe(x.file_name)} (same as: {safe(x.original_file)})")
+    dups = listed(r.duplicates.limit(TOP).collect(), lambda x: f"{safe(x.file_name)} (a copy of {safe(x.original_file)})")
     sign, colour = ("✔", "green") if c["adds_up"] else ("✘", "red")
     banner = "<p class='mock'>[MOCK MODE ACTIVE]</p>" if mock else ""
-    check = f"Check: {c['success']} + {c['needs_review']} + {c['failed']} + {c['duplicates']} = {c['total']} {sign}"
+    check = f"Sum: {c['success']} + {c['needs_review']} + {c['failed']} + {c['duplicates']} = {c['total']} {sign}"
     sections = {
-        "Run Overview": f"<p>Total: {c['total']}</p><p style='color:{colour}'>{check}</p>",
-        "Financial Summary": f"<p>Total Invoiced Amount: {amount:,.2f} USD</p>",
-        "Needs Review": review,
-        "Failed Files": failed,
-        "Duplicates Skipped": dups,
-        "Run Details": f"<p>Run mode: {'Mock' if mock else 'Real'}</p><p>Processed at: {safe(at)}</p>",
+        "This run": f"<p>Total: {c['total']}</p><p style='color:{colour}'>{check}</p>",
+        "Amounts": f"<p>All invoices together: {amount:,.2f} USD</p>",
+        "Waiting for a person": review,
+        "Could not be processed": failed,
+        "Copies left out": dups,
+        "How it ran": f"<p>Mode: {'Mock' if mock else 'Real'}</p><p>Time: {safe(at)}</p>",
     }
     return f"<html><body>{banner}<h2>Invoice Processing Report</h2>" + "".join(f"<h3>{k}</h3>{v}" for k, v in sections.items()) + "</body></html>"

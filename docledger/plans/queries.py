@@ -547,10 +547,10 @@ def reason_audit(spark, sf_dir):
     return report.missing_reasons(_invoices(spark, sf_dir))
 
 
-@_query("SELECT event_type AS kind, count(*) AS n, count(*) FILTER (WHERE user_id % 2 = 0) AS n_even FROM {events} WHERE ts BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2035-01-01' GROUP BY event_type")
+@_query("SELECT event_type AS kind, count(*) AS n, count(*) FILTER (WHERE user_id % 2 = 0) AS n_even FROM {events} WHERE ts BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-20' GROUP BY event_type")
 def log_window(spark, sf_dir):
     rows = _rows(spark, sf_dir, "SELECT event_type AS kind, user_id, CAST(ts AS TIMESTAMP) AS start_time FROM {events}")
-    rows = rows.where(report.in_window("start_time", F.lit("1990-01-01").cast("timestamp"), F.lit("2035-01-01").cast("timestamp")))
+    rows = rows.where(report.in_window("start_time", F.lit("2024-01-08").cast("timestamp"), F.lit("2024-01-20").cast("timestamp")))
     return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("user_id") % 2 == 0).alias("n_even"))
 
 

@@ -51,6 +51,7 @@ def extract(texts: DataFrame, client: Callable[[str, str], str], key: str = "fil
 
 def mock(key: Column) -> Column:
     """One of three fixed records by the last two digits of a whole number: 90, 5 and 5 of a hundred."""
+    # Shares, names and amounts of the three records.
     draw = F.pmod(key, F.lit(100))
     full, partial = draw < 90, draw < 95
 

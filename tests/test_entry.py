@@ -37,7 +37,7 @@ def _plain(value) -> str:
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the small tables")
-@pytest.mark.parametrize("name", ["intake_hash_dedup", "intake_crossbatch", "parse_invoice", "parse_items_desc_first", "validate_fields", "upsert_docs", "report_invoices", "nested_json"])
+@pytest.mark.parametrize("name", ["intake_hash_dedup", "intake_crossbatch", "parse_invoice", "parse_items_desc_first", "validate_fields", "upsert_docs", "upsert_failed", "report_invoices", "nested_json", "free_names_taken", "log_final_status", "process_and_validate", "ocr_paths", "log_window"])
 def test_agrees_with_sql(spark, name):
     import duckdb
 
