@@ -99,6 +99,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), end_id=1)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import vector_codes
+
+    return vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_classifier": op2_quality_classifier,
@@ -110,6 +128,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
+    "op11_packing": op11_packing,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_whitening": op13_whitening,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -119,6 +140,30 @@ def _words_sql(table: str, key: str) -> str:
     return rf"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM {table}"
 
 
+def _lloyd_sql(rounds: int = 6) -> str:
+    """Plain Lloyd's rounds, one pair of tables for each, over integers."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(
+            f"""d{r} AS MATERIALIZED (SELECT x.vec_id, x.part, c.entry, list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i]))) AS distance FROM x JOIN c{r} c ON x.part = c.part),
+a{r} AS MATERIALIZED (SELECT vec_id, part, arg_min(entry, distance * 16 + entry) AS entry, min(distance) AS distance FROM d{r} GROUP BY vec_id, part)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""s{r} AS (SELECT part, entry, i, sum(value) AS total, count(*) AS n FROM (SELECT a.part, a.entry, unnest(range(1, len(x.v) + 1)) AS i, unnest(x.v) AS value FROM a{r} a JOIN x ON a.vec_id = x.vec_id AND a.part = x.part) GROUP BY part, entry, i),
+c{r + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(u.v, c.v) AS v FROM c{r} c LEFT JOIN (SELECT part, entry, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM s{r} GROUP BY part, entry) u ON c.part = u.part AND c.entry = u.entry)"""
+            )
+    return f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (SELECT vec_id, p AS part, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS v FROM kept, (SELECT unnest(range(8)) AS p)),
+c0 AS MATERIALIZED (SELECT part, nth - 1 AS entry, v FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS nth FROM kept ORDER BY vec_id LIMIT 16) USING (vec_id)),
+{", ".join(steps)},
+coded AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(distance) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(CAST(value AS VARCHAR), ',' ORDER BY part, entry, i)) AS h FROM (SELECT part, entry, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS value FROM c{rounds}))
+SELECT coded.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM coded JOIN kept ON coded.vec_id = kept.vec_id, books"""
+
+
 #: SQL for the operators whose whole result SQL can state. The others hold models, fingerprints or tokenizers.
 ORACLES: dict[str, str] = {
     "op3_substring_dedup": r"""
@@ -145,4 +190,5 @@ islands AS (SELECT doc_id, nth, shift, n, i - row_number() OVER (PARTITION BY do
 longest AS (SELECT doc_id, max(words) AS longest_match FROM (SELECT doc_id, count(*) + n - 1 AS words FROM islands GROUP BY doc_id, nth, shift, n, island) GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, longest_match
 FROM w LEFT JOIN covered ON w.doc_id = covered.doc_id LEFT JOIN named ON w.doc_id = named.doc_id LEFT JOIN longest ON w.doc_id = longest.doc_id""",
+    "op12_vector_codes": _lloyd_sql(),
 }
