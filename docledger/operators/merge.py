@@ -1,12 +1,12 @@
-"""Keyed merges over Parquet snapshots.
+"""Keyed merges: rows that no new row meets, rows that are updated, and new rows.
 
-A merge makes a new snapshot: rows that no new row meets, rows that are updated, and new rows.  A document meets a new one
-by file name or by hash.  Snapshots are written beside each other, and one small table says which one counts.
+A document meets a new one by file name or by hash.  The functions take whole tables or any part of one that holds every row
+that can be met; ``operators.store`` keeps tables in parts and hands over those that a batch touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -14,8 +14,6 @@ from .. import schemas
 #: What a success sets on a stored document; file_hash, file_name and processed_at stay.
 SUCCESS_FIELDS = ("invoice_number", "invoice_date", "vendor_name", "total_amount", "currency", "status", "ocr_text_path", "review_reason", "original_file")
 FAILED_FIELDS = ("status", "failure_reason", "file_hash")
-#: Folders of a table before added rows are written together with the others.
-PARTS = 64
 
 
 def matches(stored: DataFrame, new: DataFrame) -> DataFrame:
@@ -27,23 +25,23 @@ def matches(stored: DataFrame, new: DataFrame) -> DataFrame:
     return both.groupBy("new_name").agg(F.min(F.struct("how", "document_id"))["document_id"].alias("document_id"))
 
 
-def numbered(rows: DataFrame, stored: DataFrame, key: str, *by: str) -> DataFrame:
-    """Gives new rows the ids after the largest stored one, in the order of a digest of the columns ``by``.
+def numbered(rows: DataFrame, stored: DataFrame, key: str, *by: str, top: int = 0) -> DataFrame:
+    """Gives new rows the ids after the largest stored one, and after ``top``, in the order of a digest of the columns ``by``.
 
     The first digits of the digest deal rows evenly over 4096 parts; a row's id is its place in its part after the sizes
     of the parts before, so no task sees all rows, and a run that is repeated gives the same ids.
     """
     digest = F.md5(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by)).cast("binary"))
-    top = stored.agg(F.coalesce(F.max(key), F.lit(0)).alias("top"))
+    largest = stored.agg(F.greatest(F.lit(top), F.max(key)).alias("top"))
     dealt = rows.withColumn("__digest", digest).withColumn("__part", F.left("__digest", F.lit(3)))
     sizes = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select("__part", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     place = F.row_number().over(Window.partitionBy("__part").orderBy("__digest", *by))
     # At most 4096 rows are broadcast.
-    return dealt.withColumn("__at", place).join(F.broadcast(before), "__part").withColumn(key, top.scalar() + F.col("__before") + F.col("__at")).drop("__part", "__at", "__before", "__digest")
+    return dealt.withColumn("__at", place).join(F.broadcast(before), "__part").withColumn(key, largest.scalar() + F.col("__before") + F.col("__at")).drop("__part", "__at", "__before", "__digest")
 
 
-def upsert(stored: DataFrame, new: DataFrame, fields: tuple[str, ...], now: Column, clear: tuple[str, ...] = ()) -> DataFrame:
+def upsert(stored: DataFrame, new: DataFrame, fields: tuple[str, ...], now: Column, clear: tuple[str, ...] = (), top: int = 0) -> DataFrame:
     """Stored documents after a merge. ``new`` has file_name, file_hash, status and the fields, one row for each name.
 
     An update sets ``fields`` and clears ``clear``; several new rows that meet one document fold into the last by name.
@@ -64,18 +62,18 @@ def upsert(stored: DataFrame, new: DataFrame, fields: tuple[str, ...], now: Colu
     # New rows may meet each other by hash; the first by name makes the document.
     w = Window.partitionBy(F.coalesce("file_hash", F.concat(F.lit("name:"), F.col("file_name")))).orderBy("file_name")
     fresh = fresh.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth")
-    fresh = numbered(fresh, stored, "document_id", "file_name")
+    fresh = numbered(fresh, stored, "document_id", "file_name", top=top)
     stamps = {"processed_at": now, "updated_at": now}
     return out.unionByName(fresh.select(*((stamps[c] if c in stamps else F.col(c) if c in fresh.columns else F.lit(None).cast(stored.schema[c].dataType)).alias(c) for c in kept)))
 
 
-def upsert_success(stored: DataFrame, new: DataFrame, now: Column) -> DataFrame:
-    return upsert(stored, new, SUCCESS_FIELDS, now, clear=("failure_reason",))
+def upsert_success(stored: DataFrame, new: DataFrame, now: Column, top: int = 0) -> DataFrame:
+    return upsert(stored, new, SUCCESS_FIELDS, now, clear=("failure_reason",), top=top)
 
 
-def upsert_failed(stored: DataFrame, new: DataFrame, now: Column) -> DataFrame:
+def upsert_failed(stored: DataFrame, new: DataFrame, now: Column, top: int = 0) -> DataFrame:
     """Extracted fields stay; status, reason and hash are those of the failure."""
-    return upsert(stored, new, FAILED_FIELDS, now)
+    return upsert(stored, new, FAILED_FIELDS, now, top=top)
 
 
 def new_items(stored: DataFrame, new: DataFrame) -> DataFrame:
@@ -108,89 +106,3 @@ def move_legacy_duplicates(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 def current_version(versions: DataFrame) -> DataFrame:
     """The largest version that was applied, 0 without any."""
     return versions.agg(F.coalesce(F.max("version"), F.lit(0)).alias("version"))
-
-
-class Store:
-    """The tables as snapshots below one folder.
-
-    A commit writes new snapshots of the changed tables and then one row that names them all, so readers see all changes
-    of a batch or none, and a batch that runs twice counts once.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("commit long, batch string, tables map<string,string>, at timestamp").option("recursiveFileLookup", True).json(f"{self.root}/_commits")
-        except Exception as e:  # no commit yet
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
-
-    def head(self) -> tuple[int, dict[str, str], set[str]]:
-        commits = self._commits()
-        rows = commits.orderBy(F.desc("commit")).limit(1).collect() if commits is not None else []
-        if not rows:
-            return 0, {}, set()
-        return rows[0]["commit"], dict(rows[0]["tables"]), set()
-
-    def has_batch(self, batch: str) -> bool:
-        commits = self._commits()
-        return commits is not None and not commits.where(F.col("batch") == batch).limit(1).isEmpty()
-
-    def table(self, name: str) -> DataFrame:
-        paths = self.head()[1].get(name)
-        schema = schemas.TABLES[name]
-        return self.spark.read.schema(schema).parquet(*(f"{self.root}/{p}" for p in paths.split(","))) if paths else self.spark.createDataFrame([], schema)
-
-    def commit(self, batch: str, add: dict[str, DataFrame] | None = None, **tables: DataFrame) -> bool:
-        """Writes the tables, and the rows in ``add`` beside those there; false, and nothing changes, if the batch is there already.
-
-        A table is a list of folders. Added rows make one folder more; a table of ``PARTS`` folders is then written anew as one.
-        The commit's row has a name of its own number, so of two writers at once the second fails instead of undoing the first.
-        """
-        if self.has_batch(batch):
-            return False
-        number, paths, _ = self.head()
-        number += 1
-        for name, rows in (add or {}).items():
-            there = paths[name].split(",") if paths.get(name) else []
-            if len(there) + 1 >= PARTS:
-                tables[name] = self.table(name).unionByName(rows)
-                continue
-            paths[name] = ",".join([*there, f"{name}/v{number:08d}"])
-            rows.write.mode("overwrite").parquet(f"{self.root}/{name}/v{number:08d}")
-        for name, frame in tables.items():
-            paths[name] = f"{name}/v{number:08d}"
-            frame.write.mode("overwrite").parquet(f"{self.root}/{paths[name]}")
-        row = self.spark.range(1).select(F.lit(number).cast("long").alias("commit"), F.lit(batch).alias("batch"), F.create_map(*(x for k, v in paths.items() for x in (F.lit(k), F.lit(v)))).alias("tables"), F.current_timestamp().alias("at"))
-        row.coalesce(1).write.mode("error").json(f"{self.root}/_commits/{number:08d}")
-        return True
-
-    def migrate(self, steps=None) -> int:
-        """Brings the store to the current version; each step is a function of the store. Runs of it change nothing more."""
-        version = current_version(self.table("schema_version")).head()[0]
-        for k in range(version + 1, schemas.SCHEMA_VERSION + 1):
-            changed = (steps or MIGRATIONS)[k](self)
-            versions = self.table("schema_version").unionByName(self.spark.range(1).select(F.lit(k).alias("version"), F.current_timestamp().alias("applied_at")))
-            self.commit(f"migration-{k}", schema_version=versions, **changed)
-        return schemas.SCHEMA_VERSION
-
-
-def _create(store: Store) -> dict[str, DataFrame]:
-    return {n: store.table(n) for n in ("invoice_documents", "invoice_line_items", "processing_logs")}
-
-
-def _widen(store: Store) -> dict[str, DataFrame]:
-    """New columns come from the schema; rows that are there have nulls in them."""
-    return {"invoice_documents": store.table("invoice_documents")}
-
-
-def _legacy(store: Store) -> dict[str, DataFrame]:
-    documents, moved = move_legacy_duplicates(store.table("invoice_documents"))
-    there = store.table("duplicate_files")
-    return {"invoice_documents": documents, "duplicate_files": there.unionByName(numbered(moved, there, "duplicate_id", "file_name").select(there.columns))}
-
-
-MIGRATIONS = {1: _create, 2: _widen, 3: _widen, 4: _legacy}

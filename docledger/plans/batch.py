@@ -11,6 +11,7 @@ from ..functions import extract as X
 from ..functions import validate as V
 from ..functions.basic import ocr_text_path
 from ..operators import intake, merge, report
+from ..operators.store import Store, period_of
 from ..sources.files import examined
 from ..sources.ocr import Backend, ocr
 from ..sources.sinks import move_files
@@ -80,7 +81,7 @@ def to_documents(rows: DataFrame, parity: bool = False) -> DataFrame:
 
 def run(
     files: DataFrame,
-    store: merge.Store,
+    store: Store,
     batch: str,
     now: Column | None = None,
     backend: Backend | None = None,
@@ -93,21 +94,22 @@ def run(
 
     Hashing and checks run next to the content; only names, hashes and reasons are shuffled.  Texts are recognised for the
     files that are ready, after that decision, and kept in the table ocr_texts under the path their document names.  Files are
-    moved after the commit, to the folders that are given; moving is taken up again if the batch runs again.
+    moved after the commit, to the folders that are given; moving is taken up again if the batch runs again.  Names and hashes are
+    looked up in the store's key table; of the documents only parts that the batch changes are read and written.
     """
     work = f"{store.root}/_work/{batch}"
     if store.has_batch(batch):
         _move(store.spark, work, processed_dir, failed_dir)
         return False
     now = F.lit(store.spark.range(1).select(F.current_timestamp()).head()[0]) if now is None else now
-    documents = store.table("invoice_documents")
 
     def once(rows: DataFrame, name: str) -> DataFrame:
-        """Written and read back: used several times below, recognised and parsed once."""
+        """Written and read back: used several times below, hashed, recognised and parsed once."""
         rows.write.mode("overwrite").parquet(f"{work}/{name}")
         return store.spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
-    decided = once(intake.decide(examined(files), documents), "decided")
+    seen = once(examined(files), "examined")
+    decided = once(intake.decide(seen, store.candidates(seen)), "decided")
     ready = intake.last_of_name(intake.ready(decided)).select("path", F.col("target_name").alias("file_name"), "file_hash")
     texts = ocr(files.select("path", "content").join(ready, "path"), backend)
     texts = texts.withColumn("ocr_text_path", F.when(F.col("ocr.success"), ocr_text_path(F.col("file_name"), now)))
@@ -116,32 +118,40 @@ def run(
     unread = read.where("not success").select("file_name", "file_hash", F.lit("failed").alias("status"), F.col("error").alias("failure_reason"))
     refused = decided.where("status = 'failed'").groupBy("file_name").agg(F.max_by(F.struct("file_hash", "reason"), "path").alias("r"))
     refused = refused.select("file_name", F.col("r.file_hash").alias("file_hash"), F.lit("failed").alias("status"), F.col("r.reason").alias("failure_reason"))
-    merged = once(merge.upsert_success(documents, new.drop("line_items"), now), "succeeded")
     failed = unread.unionByName(refused).groupBy("file_name").agg(F.max(F.struct("file_hash", "status", "failure_reason")).alias("r")).select("file_name", "r.*")
-    merged = once(merge.upsert_failed(merged, failed, now), "merged")
-    found = merge.matches(merged, new.select("file_name", "file_hash"))
+    # Only parts with a document that a new one can meet are read and written.
+    before, merged, touched = store.merged(new.drop("line_items"), failed, now, once)
+    found = merge.matches(merged, new.select("file_name", "file_hash")).join(merged.select("document_id", period_of(F.col("processed_at"), store.period).alias("period")), "document_id")
     items = new.select("file_name", F.explode("line_items").alias("x")).join(found, F.col("file_name") == F.col("new_name"))
-    items = items.select("document_id", "x.description", F.col("x.quantity").try_cast("decimal(18,4)").alias("quantity"), *(F.col(f"x.{c}").try_cast("decimal(10,2)").alias(c) for c in ("unit_price", "line_total")))
+    items = items.select("document_id", "period", "x.description", F.col("x.quantity").try_cast("decimal(18,4)").alias("quantity"), *(F.col(f"x.{c}").try_cast("decimal(10,2)").alias(c) for c in ("unit_price", "line_total")))
     dups = decided.where("status = 'duplicate_skipped'").select("file_name", "file_hash", F.coalesce("original_file", F.lit("unknown")).alias("original_file"), now.alias("skipped_at"))
     logs = intake.run_logs(decided, read.select(F.col("file_name").alias("target_name"), "success", "error"), now, F.current_timestamp())
-    old = {n: store.table(n) for n in ("invoice_line_items", "duplicate_files", "processing_logs")}
-    done = store.commit(
+
+    def numbered(name: str, rows: DataFrame, key: str, *by: str) -> DataFrame:
+        """The largest id is in the commit, so no stored row is read."""
+        return merge.numbered(rows, rows.select(F.lit(0).cast("long").alias(key)).limit(0), key, *by, top=store.top(name))
+
+    done = store.put_documents(
         batch,
+        before,
+        merged,
+        touched,
         add={
-            "invoice_line_items": merge.new_items(old["invoice_line_items"], items),
-            "duplicate_files": merge.numbered(dups, old["duplicate_files"], "duplicate_id", "file_name").select(old["duplicate_files"].columns),
-            "processing_logs": merge.numbered(logs, old["processing_logs"], "log_id", "file_name").select(old["processing_logs"].columns),
+            "invoice_line_items": numbered("invoice_line_items", items, "line_item_id", *(c for c in items.columns if c != "period")),
+            "duplicate_files": numbered("duplicate_files", dups, "duplicate_id", "file_name"),
+            "processing_logs": numbered("processing_logs", logs, "log_id", "file_name"),
             "ocr_texts": read.where("success").select("ocr_text_path", "file_name", "text"),
         },
-        invoice_documents=merged,
     )
     _move(store.spark, work, processed_dir, failed_dir)
     return done
 
 
 def _move(spark: SparkSession, work: str, processed_dir: str | None, failed_dir: str | None) -> None:
-    """Moves the files of a batch by what became of them; duplicates stay where they are."""
-    if not (processed_dir or failed_dir):
+    """Moves the files of a batch by what became of them, duplicates stay where they are; then the batch's own folder goes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
         return
     decided, read = spark.read.parquet(f"{work}/decided"), spark.read.parquet(f"{work}/texts")
     ok = read.where("success").select(F.col("file_name").alias("target_name"), F.lit(True).alias("ok"))
@@ -149,3 +159,4 @@ def _move(spark: SparkSession, work: str, processed_dir: str | None, failed_dir:
     for folder, rows in ((processed_dir, ended.where("ok")), (failed_dir, ended.where("not ok"))):
         if folder:
             move_files(rows.select("path"), folder)
+    files.delete(path, True)

@@ -11,11 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import basic
 from ..functions import extract as X
 from ..functions import validate as V
 from ..operators import dashboard, intake, merge, report
+from ..operators.store import Store
 from ..sources.extractors import mock
+from ..sources.tables import shared_folder
 from . import batch
 
 _AMOUNT = "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING)"
@@ -423,8 +426,6 @@ def _merge_inputs(spark, sf_dir):
     return stored, new.withColumn("file_name", name).drop("document_id", "processed_at")
 
 
-
-
 def _now():
     return F.lit("2030-01-01 00:00:00").cast("timestamp")
 
@@ -462,6 +463,78 @@ def upsert_failed(spark, sf_dir):
     return out.select("document_id", "file_name", "file_hash", "invoice_number", "status", "failure_reason", F.year("processed_at").cast("long").alias("processed_year"))
 
 
+# The store in parts
+
+
+def _as(rows: DataFrame, name: str) -> DataFrame:
+    """Rows with all columns of a stored table; those that are absent are null."""
+    fields = rows.sparkSession.createDataFrame([], schemas.TABLES[name]).schema
+    return rows.select(*((F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields))
+
+
+def _store(documents: DataFrame, **add: DataFrame) -> Store:
+    """A new store with documents and other rows."""
+    store = Store(documents.sparkSession, shared_folder(documents.sparkSession, "store"), period="year", buckets=4, digits=1)
+    rows = _as(documents, "invoice_documents")
+    store.put_documents("first", rows.where(F.lit(False)), rows, set(), add)
+    return store
+
+
+@_query(ORACLES["upsert_docs"])
+def merge_parts(spark, sf_dir):
+    """The same merge as upsert_docs, read from and written to the parts it touches."""
+    stored, new = _merge_inputs(spark, sf_dir)
+    store = _store(stored)
+    store.put_documents("second", *store.merged(new.withColumn("invoice_number", F.lit("merged")), None, _now()))
+    out = store.table("invoice_documents")
+    return out.select("document_id", "file_name", "file_hash", "invoice_number", "status", "failure_reason", F.year("processed_at").cast("long").alias("processed_year"))
+
+
+@_query(ORACLES["intake_crossbatch"])
+def key_probe(spark, sf_dir):
+    """The same decisions as intake_crossbatch, from the key table."""
+    store = _store(_stored_files(spark, sf_dir))
+    new = _files(spark, sf_dir).where("doc_id % 2 = 1")
+    return intake.decide(new, store.candidates(new)).select("path", "status", "reason", "original_file")
+
+
+def _window_store(spark, sf_dir):
+    """Documents and items; an item lies in the period of its document."""
+    documents = _invoices(spark, sf_dir)
+    items = _rows(spark, sf_dir, ITEMS).select(F.col("line").cast("long").alias("line_item_id"), "document_id", "description", "line_total")
+    periods = documents.select("document_id", F.trunc("processed_at", "year").alias("period"))
+    items = items.join(periods, "document_id").withColumns({"quantity": F.lit(None).cast("decimal(18,4)"), "unit_price": F.lit(None).cast("decimal(10,2)")})
+    return _store(documents, invoice_line_items=items)
+
+
+@_query(f"SELECT i.document_id, i.status, CAST(i.total_amount AS DOUBLE) AS total_amount, CAST((SELECT sum(t.line_total) FROM ({ITEMS}) t WHERE t.document_id = i.document_id) AS DOUBLE) AS items_total FROM ({INVOICES}) i WHERE processed_at BETWEEN TIMESTAMP '{SINCE}' AND TIMESTAMP '{UNTIL}'")
+def window_parts(spark, sf_dir):
+    """The report's documents and their sums, from the folders of the window's months only."""
+    store, (since, until) = _window_store(spark, sf_dir), _window()
+    out = report.invoices(store.window("invoice_documents", since, until), store.window_items(since, until), since, until)
+    return out.select("document_id", "status", F.col("total_amount").cast("double").alias("total_amount"), F.col("items_total").cast("double").alias("items_total"))
+
+
+#: Documents after a batch of successes that pay one more, and a batch of failures.
+_TWICE_SQL = f"""WITH i AS ({INVOICES}), f AS (SELECT *, document_id % 3 <> 0 AS stored, document_id % 2 = 0 AS good, document_id % 5 = 0 AS bad FROM i),
+d AS (SELECT CASE WHEN stored THEN year(processed_at) ELSE 2030 END AS year, CASE WHEN bad THEN 'failed' ELSE status END AS status, CASE WHEN stored OR good THEN currency END AS currency,
+  CASE WHEN good THEN total_amount + 1 WHEN stored THEN total_amount END AS total_amount FROM f WHERE stored OR good OR bad)
+"""
+
+
+@_query(_TWICE_SQL + "SELECT CAST(year AS BIGINT) AS year, status, currency, count(*) AS n, CAST(coalesce(sum(total_amount), 0) AS DOUBLE) AS total_amount FROM d GROUP BY 1, 2, 3")
+def kept_figures(spark, sf_dir):
+    """Counts and sums that two merges kept up, without a look at documents."""
+    rows = _invoices(spark, sf_dir)
+    store = _store(rows.where("document_id % 3 <> 0"))
+    new = rows.drop("document_id", "processed_at").withColumn("total_amount", (F.col("total_amount") + 1).cast("decimal(10,2)"))
+    store.put_documents("second", *store.merged(new.where(rows["document_id"] % 2 == 0), None, _now()))
+    failed = rows.where("document_id % 5 = 0").select("file_name", "file_hash", F.lit("failed").alias("status"), F.lit("gone").alias("failure_reason"))
+    store.put_documents("third", *store.merged(None, failed, _now()))
+    sums = store.cells().groupBy(F.year("day").cast("long").alias("year"), "status", "currency")
+    return sums.agg(F.sum("n").alias("n"), F.sum("total_amount").cast("double").alias("total_amount"))
+
+
 @_query("SELECT 'documents' AS kind, count(*) AS n FROM {orders} WHERE o_orderkey % 5 <> 0 UNION ALL SELECT 'items', count(*) FROM {lineitem} WHERE l_orderkey % 5 <> 0")
 def cascade_delete(spark, sf_dir):
     documents, items = _invoices(spark, sf_dir), _rows(spark, sf_dir, ITEMS)

@@ -24,6 +24,21 @@ TABLES = {
     "ocr_texts": OCR_TEXTS,
     "schema_version": VERSIONS,
 }
+#: Tables that a store derives from the others: where a name or a hash is, and sums by day, status and currency.
+DERIVED = {
+    "document_keys": "kind string, key string, document_id long, file_name string, file_hash string, status string, period date, bucket int, alive boolean",
+    "document_cells": "day date, status string, currency string, n long, total_amount decimal(38,2)",
+}
+#: How a table is cut into parts: by what, in the order of folders. ``period`` is the first day of the store's unit of time.
+LAYOUT = {
+    "invoice_documents": "period date, bucket int",
+    "invoice_line_items": "period date, bucket int",
+    "processing_logs": "period date",
+    "duplicate_files": "period date",
+    "document_keys": "prefix string",
+}
+#: The time that decides a row's period; an item has the period of its document.
+TIMES = {"invoice_documents": "processed_at", "processing_logs": "start_time", "duplicate_files": "skipped_at"}
 SCHEMA_VERSION = 4
 
 #: The key of each table, and what its columns refer to.

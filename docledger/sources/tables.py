@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir. Only a session on one machine may go without: it gets a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        base = f"file://{tempfile.mkdtemp(prefix='docledger-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def read_table(spark: SparkSession, path: str, kind: str = "parquet", **options) -> DataFrame:
     """A table from a folder, or from a database with kind jdbc and its options."""
     reader = spark.read.options(**options)

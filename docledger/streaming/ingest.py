@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.basic import base_name
-from ..operators.merge import Store
+from ..operators.store import Store
 from ..plans import batch
 
 
