@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.basic import blank_to_null, stem, suffix
+from .merge import collated
 
 # Accepted extensions, the first bytes of each kind, and the reasons.
 EXTENSIONS = (".pdf", ".png", ".jpg", ".jpeg", ".tiff", ".tif")
@@ -60,12 +61,12 @@ def stored_names(documents: DataFrame) -> DataFrame:
     return active(documents).where("file_hash is not null").groupBy("file_hash").agg(F.min_by("file_name", "document_id").alias("stored_name"))
 
 
-def decide(files: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+def decide(files: DataFrame, documents: DataFrame | None = None, collation: str | None = None) -> DataFrame:
     """Adds status, reason, original_file and target_name to path, file_name, file_hash and invalid_reason.
 
     Only valid files take part in duplicate search.  The first path of a hash wins; a hash that is stored already makes
     every file of the batch a duplicate of the stored one.  Rows of one hash meet in one task, so the rows dealt are only
-    the narrow ones of this table; contents stay behind.
+    the narrow ones of this table; contents stay behind.  Names are compared under ``collation``, byte for byte without one.
     """
     rows = files.withColumn("valid", F.col("invalid_reason").isNull() & F.col("file_hash").isNotNull())
     # The winner of each hash by aggregation, which combines before the shuffle, however many copies there are.
@@ -73,8 +74,8 @@ def decide(files: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     rows = rows.join(winners, "file_hash", "left")
     if documents is not None:
         rows = rows.join(stored_names(documents), "file_hash", "left")
-        taken = active(documents).select("file_name", F.lit(True).alias("name_taken")).distinct()
-        rows = rows.join(taken, "file_name", "left")
+        taken = active(documents).select(collated(F.col("file_name"), collation).alias("taken_name"), F.lit(True).alias("name_taken")).distinct()
+        rows = rows.join(taken, collated(F.col("file_name"), collation) == F.col("taken_name"), "left").drop("taken_name")
     else:
         rows = rows.withColumns({"stored_name": F.lit(None).cast("string"), "name_taken": F.lit(None).cast("boolean")})
     is_stored = F.col("valid") & F.col("stored_name").isNotNull()

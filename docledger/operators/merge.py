@@ -14,11 +14,19 @@ from .. import schemas
 #: What a success sets on a stored document; file_hash, file_name and processed_at stay.
 SUCCESS_FIELDS = ("invoice_number", "invoice_date", "vendor_name", "total_amount", "currency", "status", "ocr_text_path", "review_reason", "original_file")
 FAILED_FIELDS = ("status", "failure_reason", "file_hash")
+#: The collation under which names that differ in case only are one name.
+ANY_CASE = "UTF8_LCASE"
 
 
-def matches(stored: DataFrame, new: DataFrame) -> DataFrame:
+def collated(name: Column, collation: str | None) -> Column:
+    """A name to compare or group by; binary unless a collation is given."""
+    return F.collate(name, collation) if collation else name
+
+
+def matches(stored: DataFrame, new: DataFrame, collation: str | None = None) -> DataFrame:
     """document_id of the stored row each new file_name meets: by name if there is one, else by hash."""
-    by_name = new.select(F.col("file_name").alias("new_name")).join(stored.select("document_id", F.col("file_name").alias("new_name")), "new_name")
+    names = stored.select("document_id", collated(F.col("file_name"), collation).alias("stored_name"))
+    by_name = new.select(F.col("file_name").alias("new_name")).join(names, collated(F.col("new_name"), collation) == F.col("stored_name"))
     hashed = new.where("file_hash is not null").select(F.col("file_name").alias("new_name"), "file_hash")
     by_hash = hashed.join(stored.where("file_hash is not null").select("document_id", "file_hash"), "file_hash").drop("file_hash")
     both = by_name.select("new_name", "document_id", F.lit(0).alias("how")).unionByName(by_hash.select("new_name", "document_id", F.lit(1).alias("how")))
@@ -41,13 +49,14 @@ def numbered(rows: DataFrame, stored: DataFrame, key: str, *by: str, top: int =
     return dealt.withColumn("__at", place).join(F.broadcast(before), "__part").withColumn(key, largest.scalar() + F.col("__before") + F.col("__at")).drop("__part", "__at", "__before", "__digest")
 
 
-def upsert(stored: DataFrame, new: DataFrame, fields: tuple[str, ...], now: Column, clear: tuple[str, ...] = (), top: int = 0) -> DataFrame:
+def upsert(stored: DataFrame, new: DataFrame, fields: tuple[str, ...], now: Column, clear: tuple[str, ...] = (), top: int = 0, collation: str | None = None) -> DataFrame:
     """Stored documents after a merge. ``new`` has file_name, file_hash, status and the fields, one row for each name.
 
-    An update sets ``fields`` and clears ``clear``; several new rows that meet one document fold into the last by name.
+    An update sets ``fields`` and clears ``clear``; several new rows that meet one document fold into the last by name.  Names
+    are compared under ``collation``, byte for byte without one.
     """
     columns = [c.strip().split(" ")[0] for c in schemas.DOCUMENTS.replace("decimal(10,2)", "decimal").split(",")]
-    met = matches(stored, new)
+    met = matches(stored, new, collation)
     joined = new.join(met, new["file_name"] == met["new_name"], "left").drop("new_name")
     updates = joined.where("document_id is not null").groupBy("document_id").agg(F.max_by(F.struct(*new.columns), "file_name").alias("u"))
     updated = stored.join(updates, "document_id", "left")
@@ -59,21 +68,24 @@ def upsert(stored: DataFrame, new: DataFrame, fields: tuple[str, ...], now: Colu
         changes["updated_at"] = F.when(hit, now).otherwise(kept["updated_at"])
     out = updated.select(*((changes.get(c, kept[c])).alias(c) for c in kept))
     fresh = joined.where("document_id is null").drop("document_id")
-    # New rows may meet each other by hash; the first by name makes the document.
+    # New rows may meet each other by hash, or by names that a collation holds equal; the first by name makes the document.
     w = Window.partitionBy(F.coalesce("file_hash", F.concat(F.lit("name:"), F.col("file_name")))).orderBy("file_name")
     fresh = fresh.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth")
+    if collation:
+        w = Window.partitionBy(collated(F.col("file_name"), collation)).orderBy("file_name")
+        fresh = fresh.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth")
     fresh = numbered(fresh, stored, "document_id", "file_name", top=top)
     stamps = {"processed_at": now, "updated_at": now}
     return out.unionByName(fresh.select(*((stamps[c] if c in stamps else F.col(c) if c in fresh.columns else F.lit(None).cast(stored.schema[c].dataType)).alias(c) for c in kept)))
 
 
-def upsert_success(stored: DataFrame, new: DataFrame, now: Column, top: int = 0) -> DataFrame:
-    return upsert(stored, new, SUCCESS_FIELDS, now, clear=("failure_reason",), top=top)
+def upsert_success(stored: DataFrame, new: DataFrame, now: Column, top: int = 0, collation: str | None = None) -> DataFrame:
+    return upsert(stored, new, SUCCESS_FIELDS, now, clear=("failure_reason",), top=top, collation=collation)
 
 
-def upsert_failed(stored: DataFrame, new: DataFrame, now: Column, top: int = 0) -> DataFrame:
+def upsert_failed(stored: DataFrame, new: DataFrame, now: Column, top: int = 0, collation: str | None = None) -> DataFrame:
     """Extracted fields stay; status, reason and hash are those of the failure."""
-    return upsert(stored, new, FAILED_FIELDS, now, top=top)
+    return upsert(stored, new, FAILED_FIELDS, now, top=top, collation=collation)
 
 
 def new_items(stored: DataFrame, new: DataFrame) -> DataFrame:

@@ -22,12 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from . import merge
+from . import merge, search
 
 #: Folders of a part before they are written together as one.
 FOLDERS = 64
 
-COMMIT = "commit long, batch string, changes array<struct<table:string,version:string,part:string,replaces:boolean,present:boolean>>, tops map<string,long>, period string, buckets int, digits int, at timestamp"
+COMMIT = "commit long, batch string, changes array<struct<table:string,version:string,part:string,replaces:boolean,present:boolean>>, tops map<string,long>, period string, buckets int, digits int, any_case boolean, at timestamp"
 
 
 def day_of(time: Column) -> Column:
@@ -49,14 +49,15 @@ def _names(schema: str) -> list[str]:
 
 
 class Store:
-    """Tables below one folder. ``period`` (day, month or year), ``buckets`` and ``digits`` are those of the first commit."""
+    """Tables below one folder. ``period`` (day, month or year), ``buckets``, ``digits`` and ``any_case`` (names that differ in
+    case only are one) are those of the first commit."""
 
-    def __init__(self, spark: SparkSession, root: str, period: str = "day", buckets: int = 16, digits: int = 2):
+    def __init__(self, spark: SparkSession, root: str, period: str = "day", buckets: int = 16, digits: int = 2, any_case: bool = False):
         self.spark, self.root = spark, root.rstrip("/")
-        self.period, self.buckets, self.digits = period, buckets, digits
+        self.period, self.buckets, self.digits, self.any_case = period, buckets, digits, any_case
         self._known: dict[int, dict] = {}
         for row in list(self._commits().values())[:1]:
-            self.period, self.buckets, self.digits = row["period"], row["buckets"], row["digits"]
+            self.period, self.buckets, self.digits, self.any_case = row["period"], row["buckets"], row["digits"], bool(row["any_case"])
 
     def _commits(self) -> dict[int, dict]:
         """All commits by number. They never change, so only those not seen yet are read; each has a row for a folder at most."""
@@ -65,7 +66,7 @@ class Store:
         there = [s.getPath() for s in files.listStatus(path)] if files.exists(path) else []
         fresh = [str(p) for p in there if int(p.getName()) not in self._known and files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
         if fresh:
-            for row in self.spark.read.schema(COMMIT).json(fresh).orderBy("commit").collect():
+            for row in sorted(self.spark.read.schema(COMMIT).json(fresh).collect(), key=lambda r: r["commit"]):
                 self._known[row["commit"]] = row.asDict()
         return self._known
 
@@ -128,6 +129,8 @@ class Store:
     def _parted(self, name: str, rows: DataFrame) -> DataFrame:
         """Adds the columns a table is cut by. Items come with the period of their document."""
         cut = self._cut(name)
+        if "slot" in cut:
+            return rows.withColumn("slot", search.slot(F.col("trigram")))
         if "prefix" in cut:
             return rows.withColumn("prefix", digest_prefix(F.col("kind"), F.col("key"), self.digits))
         if "period" in cut and name in schemas.TIMES:
@@ -146,10 +149,14 @@ class Store:
         # Rows of a part come together; what is too much for one task is split, what is little is joined.
         (kept.hint("rebalance", *cut).write.partitionBy(*cut) if cut else kept.write).mode("overwrite").parquet(path)
         written = self.spark.read.schema(self._schema(name)).option("recursiveFileLookup", True).parquet(path)
-        part = F.regexp_extract("_metadata.file_path", r"/v=[^/]+/(?:(.*)/)?[^/]*$", 1)
-        (key,) = schemas.KEYS[name] if len(schemas.KEYS.get(name, ())) == 1 else (None,)
-        found = written.select(part.alias("part"), (F.col(key).cast("long") if key else F.lit(0)).alias("id")).groupBy("part").agg(F.max("id").alias("top")).collect()
-        return {r["part"] for r in found}, max((r["top"] or 0 for r in found), default=0)
+        top = written.agg(F.max(schemas.IDS[name])).head()[0] if name in schemas.IDS else None
+        return self._folders(path, len(cut)), top or 0
+
+    def _folders(self, path: str, depth: int) -> set[str]:
+        """The folders of partitions below a version, which are as many as the version's parts; a version without cuts is one."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([path, *["*=*"] * depth, "part-*"]))
+        found = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(at)
+        return {"/".join(str(f.getPath().getParent()).split("/")[-depth:]) if depth else "" for f in found}
 
     def commit(
         self,
@@ -188,7 +195,7 @@ class Store:
         write_added(dict(add or {}))
         if then:
             write_added(then(written))
-        row = self.spark.createDataFrame([(number, batch, changes, tops, self.period, self.buckets, self.digits, None)], COMMIT).withColumn("at", F.current_timestamp())
+        row = self.spark.createDataFrame([(number, batch, changes, tops, self.period, self.buckets, self.digits, self.any_case, None)], COMMIT).withColumn("at", F.current_timestamp())
         row.coalesce(1).write.mode("error").json(f"{self.root}/_commits/{number:08d}")
         return True
 
@@ -206,9 +213,17 @@ class Store:
 
     # Names, hashes and figures of documents
 
+    @property
+    def collation(self) -> str | None:
+        return merge.ANY_CASE if self.any_case else None
+
+    def _name(self, name: Column) -> Column:
+        """The form in which names are looked up."""
+        return F.lower(name) if self.any_case else name
+
     def candidates(self, wanted: DataFrame) -> DataFrame:
         """document_id, file_name, file_hash, status, period of every document that has a wanted file_name or file_hash."""
-        asked = [wanted.select(F.lit(kind).alias("kind"), F.col(c).alias("key")) for kind, c in (("name", "file_name"), ("hash", "file_hash"))]
+        asked = [wanted.select(F.lit(kind).alias("kind"), c.alias("key")) for kind, c in (("name", self._name(F.col("file_name"))), ("hash", F.col("file_hash")))]
         asked = asked[0].unionByName(asked[1]).where("key > ''").distinct()
         # At most 16**digits prefixes.
         prefixes = asked.select(digest_prefix(F.col("kind"), F.col("key"), self.digits).alias("prefix")).distinct()
@@ -223,7 +238,7 @@ class Store:
         both = rows[0].join(rows[1], "document_id", "full_outer").where(~F.col("o").eqNullSafe(F.col("n")))
 
         def key(side: str, kind: str, column: str, alive: bool) -> Column:
-            fields = F.struct(F.lit(kind).alias("kind"), F.col(f"{side}.{column}").alias("key"), F.lit(alive).alias("alive"), F.col(side).alias("d"))
+            fields = F.struct(F.lit(kind).alias("kind"), (self._name(F.col(f"{side}.{column}")) if kind == "name" else F.col(f"{side}.{column}")).alias("key"), F.lit(alive).alias("alive"), F.col(side).alias("d"))
             # What is still so needs no row that says it has gone.
             return F.when(F.col(side).isNotNull() if alive else F.col("o").isNotNull() & ~F.col(f"o.{column}").eqNullSafe(F.col(f"n.{column}")), fields)
 
@@ -235,7 +250,10 @@ class Store:
             for d, sign in ((before, -1), (after, 1))
         ]
         sums = cells[0].unionByName(cells[1]).groupBy("day", "status", "currency").agg(F.sum("n").alias("n"), F.sum("total_amount").cast("decimal(38,2)").alias("total_amount"))
-        return {"document_keys": keys, "document_cells": sums.where("n <> 0 or total_amount <> 0")}
+        # Postings that hold no longer stay: what they name is looked at before it counts.
+        texts = [d.select("document_id", *search.COLUMNS, *self.part(period_of(F.col("processed_at"), self.period), F.col("document_id"))) for d in (before, after)]
+        unlike = texts[1].alias("n").join(texts[0].alias("o"), [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in ("document_id", *search.COLUMNS)], "left_anti")
+        return {"document_keys": keys, "document_trigrams": search.postings(unlike, "period", "bucket"), "document_cells": sums.where("n <> 0 or total_amount <> 0")}
 
     def cells(self) -> DataFrame:
         """day, status, currency, n, total_amount of all documents, from the differences of all commits."""
@@ -250,11 +268,16 @@ class Store:
         before, top = self.table("invoice_documents", touched), self.top("invoice_documents")
         after = before
         if new is not None:
-            after = once(merge.upsert_success(after, new, now, top), "succeeded")
+            after = once(merge.upsert_success(after, new, now, top, self.collation), "succeeded")
         if failed is not None:
-            after = once(merge.upsert_failed(after, failed, now, top), "merged")
+            after = once(merge.upsert_failed(after, failed, now, top, self.collation), "merged")
         return before, after, touched
 
+    def search(self, term: str) -> DataFrame:
+        """Documents that hold the term in a searched column, in any case; terms of three characters and more through their postings."""
+        columns = _names(self._schema("invoice_documents"))
+        return search.find(self.read("invoice_documents"), self.read("document_trigrams"), term).select(*columns)
+
     def put_documents(self, batch: str, before: DataFrame, after: DataFrame, touched: set[str], add: dict[str, DataFrame] | None = None) -> bool:
         """Commits documents whose ``touched`` parts held ``before`` and now are, with new rows, ``after``; and what follows from that."""
         return self.commit(batch, add, {"invoice_documents": (after, touched)}, lambda written: self.document_changes(before, written["invoice_documents"]))
@@ -262,10 +285,14 @@ class Store:
     def migrate(self, steps=None) -> int:
         """Brings the store to the current version; each step is a function of the store. Runs of it change nothing more."""
         version = merge.current_version(self.table("schema_version")).head()[0]
+        done = self.table("schema_version")
         for k in range(version + 1, schemas.SCHEMA_VERSION + 1):
+            done = done.unionByName(self.spark.range(1).select(F.lit(k).alias("version"), F.current_timestamp().alias("applied_at")))
             changed = (steps or MIGRATIONS)[k](self)
-            versions = self.table("schema_version").unionByName(self.spark.range(1).select(F.lit(k).alias("version"), F.current_timestamp().alias("applied_at")))
-            self.commit(f"migration-{k}", schema_version=versions, **changed)
+            # Steps that change no rows are committed with the next that does.
+            if changed or k == schemas.SCHEMA_VERSION:
+                self.commit(f"migration-{k}", schema_version=done, **changed)
+                done = self.table("schema_version")
         return schemas.SCHEMA_VERSION
 
 
@@ -276,6 +303,8 @@ def _nothing(store: Store) -> dict[str, DataFrame]:
 
 def _legacy(store: Store) -> dict[str, DataFrame]:
     before = store.table("invoice_documents")
+    if not store.live("invoice_documents"):
+        return {}
     documents, moved = merge.move_legacy_duplicates(before)
     there = store.table("duplicate_files")
     added = merge.numbered(moved, there, "duplicate_id", "file_name", top=store.top("duplicate_files")).select(there.columns)

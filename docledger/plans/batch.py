@@ -13,6 +13,7 @@ from ..functions.basic import ocr_text_path
 from ..operators import intake, merge, report
 from ..operators.store import Store, period_of
 from ..sources.files import examined
+from ..sources.listing import contents
 from ..sources.ocr import Backend, ocr
 from ..sources.sinks import move_files
 
@@ -109,9 +110,9 @@ def run(
         return store.spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
     seen = once(examined(files), "examined")
-    decided = once(intake.decide(seen, store.candidates(seen)), "decided")
+    decided = once(intake.decide(seen, store.candidates(seen), store.collation), "decided")
     ready = intake.last_of_name(intake.ready(decided)).select("path", F.col("target_name").alias("file_name"), "file_hash")
-    texts = ocr(files.select("path", "content").join(ready, "path"), backend)
+    texts = ocr(files.select("path", "content").join(ready, "path") if "content" in files.columns else contents(files.select("path", "length").join(ready, "path")), backend)
     texts = texts.withColumn("ocr_text_path", F.when(F.col("ocr.success"), ocr_text_path(F.col("file_name"), now)))
     read = once(texts.select("file_name", "file_hash", "ocr.success", "ocr.text", "ocr.error", "ocr_text_path"), "texts")
     new = once(to_documents(validate(extract(read.where("success").select("file_name", "file_hash", "text", "ocr_text_path"))), parity), "new")
@@ -121,7 +122,7 @@ def run(
     failed = unread.unionByName(refused).groupBy("file_name").agg(F.max(F.struct("file_hash", "status", "failure_reason")).alias("r")).select("file_name", "r.*")
     # Only parts with a document that a new one can meet are read and written.
     before, merged, touched = store.merged(new.drop("line_items"), failed, now, once)
-    found = merge.matches(merged, new.select("file_name", "file_hash")).join(merged.select("document_id", period_of(F.col("processed_at"), store.period).alias("period")), "document_id")
+    found = merge.matches(merged, new.select("file_name", "file_hash"), store.collation).join(merged.select("document_id", period_of(F.col("processed_at"), store.period).alias("period")), "document_id")
     items = new.select("file_name", F.explode("line_items").alias("x")).join(found, F.col("file_name") == F.col("new_name"))
     items = items.select("document_id", "period", "x.description", F.col("x.quantity").try_cast("decimal(18,4)").alias("quantity"), *(F.col(f"x.{c}").try_cast("decimal(10,2)").alias(c) for c in ("unit_price", "line_total")))
     dups = decided.where("status = 'duplicate_skipped'").select("file_name", "file_hash", F.coalesce("original_file", F.lit("unknown")).alias("original_file"), now.alias("skipped_at"))

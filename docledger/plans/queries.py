@@ -15,10 +15,11 @@ from .. import schemas
 from ..functions import basic
 from ..functions import extract as X
 from ..functions import validate as V
-from ..operators import dashboard, intake, merge, report
+from ..operators import dashboard, intake, merge, pages, report
 from ..operators.store import Store
 from ..sources.extractors import mock
 from ..sources.tables import shared_folder
+from ..streaming import runs
 from . import batch
 
 _AMOUNT = "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING)"
@@ -86,6 +87,7 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 ITEMS = "SELECT l_orderkey AS document_id, l_linenumber AS line, 'Part ' || CAST(l_partkey AS STRING) AS description, CAST(l_extendedprice AS DECIMAL(10,2)) AS line_total FROM {lineitem}"
 DUPLICATES = "SELECT event_id AS duplicate_id, event_type AS file_name, CAST(ts AS TIMESTAMP) AS skipped_at FROM {events}"
 SINCE, UNTIL = "1995-01-01", "1996-12-31"
+_SEARCH_SQL = f"SELECT document_id, invoice_number, vendor_name FROM ({INVOICES}) WHERE lower(invoice_number) LIKE '%inv-1%' OR lower(vendor_name) LIKE '%inv-1%' ORDER BY processed_at DESC, document_id LIMIT 10 OFFSET 10"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -535,6 +537,69 @@ def kept_figures(spark, sf_dir):
     return sums.agg(F.sum("n").alias("n"), F.sum("total_amount").cast("double").alias("total_amount"))
 
 
+@_query(_SEARCH_SQL)
+def search_indexed(spark, sf_dir):
+    """The same page as search_page, through the store's trigrams."""
+    found = _store(_invoices(spark, sf_dir)).search("INV-1")
+    return dashboard.page(found, 2, F.desc_nulls_last("processed_at"), F.col("document_id")).select("document_id", "invoice_number", "vendor_name")
+
+
+@_query(f"WITH i AS ({INVOICES}), n AS (SELECT count(*) AS n FROM i), o AS (SELECT *, row_number() OVER (ORDER BY processed_at DESC, document_id) AS nth FROM i) SELECT document_id, file_name FROM o, n WHERE nth > 10 * CAST(ceil(n / 10.0) - 1 AS BIGINT) OR nth <= 10")
+def deep_pages(spark, sf_dir):
+    """The first and the last page of all documents."""
+    folder, order = shared_folder(spark, "pages"), (F.desc_nulls_last("processed_at"), F.col("document_id"))
+    pages.write_pages(_invoices(spark, sf_dir).select("processed_at", "document_id", "file_name"), folder, *order, range_rows=1000)
+    first, last = (pages.read_page(spark, folder, k, *order).select("document_id", "file_name") for k in (1, 0))
+    return first.unionByName(last)
+
+
+_UPPER_SQL = f"WITH i AS ({INVOICES}), n AS (SELECT * FROM i WHERE document_id % 4 = 0), top AS (SELECT max(document_id) AS t FROM i WHERE document_id % 3 <> 0)"
+
+
+@_query(
+    _UPPER_SQL
+    + """SELECT document_id, file_name, CASE WHEN document_id % 4 = 0 THEN 'merged' ELSE invoice_number END AS invoice_number FROM i WHERE document_id % 3 <> 0
+UNION ALL SELECT t + row_number() OVER (ORDER BY md5(upper(file_name)), upper(file_name)), upper(file_name), 'merged' FROM n, top WHERE document_id % 3 = 0"""
+)
+def upsert_any_case(spark, sf_dir):
+    """New names in capitals meet stored ones in small letters."""
+    rows = _invoices(spark, sf_dir)
+    new = rows.where("document_id % 4 = 0").drop("document_id", "processed_at", "file_hash").withColumns({"file_name": F.upper("file_name"), "invoice_number": F.lit("merged"), "file_hash": F.lit(None).cast("string")})
+    out = merge.upsert_success(rows.where("document_id % 3 <> 0"), new, _now(), collation=merge.ANY_CASE)
+    return out.select("document_id", "file_name", "invoice_number")
+
+
+_RUNS = "SELECT CAST(user_id AS STRING) AS run, event_id AS id, event_id % 2 = 0 AS start, CASE WHEN event_type = 'error' THEN 'broken' END AS error, CAST(ts AS TIMESTAMP) AS moment FROM {events}"
+
+
+@_query(
+    f"""WITH e AS (SELECT *, lead(start) OVER w AS next_start, lead(error) OVER w AS next_error, lead(moment) OVER w AS next_at FROM ({_RUNS}) WINDOW w AS (PARTITION BY run ORDER BY moment, id)),
+s AS (SELECT run, moment, coalesce(next_at <= moment + INTERVAL 1 HOUR, FALSE) AS soon, next_start, next_error, next_at FROM e WHERE start)
+SELECT run, epoch_us(moment) AS start_us, epoch_us(CASE WHEN soon THEN next_at ELSE moment + INTERVAL 1 HOUR END) AS end_us, CASE WHEN soon AND NOT next_start AND next_error IS NULL THEN 'success' ELSE 'failed' END AS status,
+CASE WHEN NOT soon THEN '{runs.TIMED_OUT}' WHEN next_start THEN '{runs.NOT_ENDED}' ELSE next_error END AS error_message FROM s"""
+)
+def run_stream(spark, sf_dir):
+    """Starts and ends that come in three batches, and a last one that lets all time pass."""
+    events = _rows(spark, sf_dir, _RUNS).withColumnRenamed("moment", "at")
+    cut = [F.lit(t).cast("timestamp") for t in ("2024-01-10", "2024-01-20")]
+    last = events.agg((F.max("at") + F.expr("INTERVAL 2 HOURS")).alias("at")).select(F.lit("").alias("run"), F.lit(-1).cast("long").alias("id"), F.lit(False).alias("start"), F.lit(None).cast("string").alias("error"), "at")
+    batches = [events.where(F.col("at") < cut[0]), events.where((F.col("at") >= cut[0]) & (F.col("at") < cut[1])), events.where(F.col("at") >= cut[1]), last]
+    logs = runs.replay(events, batches, shared_folder(spark, "runs"), lambda s: runs.run_logs(s, 3600))
+    return logs.select("run", F.unix_micros("start_time").alias("start_us"), F.unix_micros("end_time").alias("end_us"), "status", "error_message")
+
+
+_STREAM_FILES = "SELECT CAST(ts AS TIMESTAMP) AS modified, {sha}(event_type || CAST(user_id % 40 AS STRING){bits}) AS file_hash FROM {events}"
+
+
+@_query("SELECT DISTINCT sha256(event_type || CAST(user_id % 40 AS STRING)) AS file_hash FROM {events}")
+def stream_distinct(spark, sf_dir):
+    """Files of three batches, each hash once."""
+    files = _rows(spark, sf_dir, _STREAM_FILES.replace("{sha}", "sha2").replace("{bits}", ", 256"))
+    days = F.dayofmonth("modified")
+    batches = [files.where(days <= 10), files.where((days > 10) & (days <= 20)), files.where(days > 20)]
+    return runs.replay(files, batches, shared_folder(spark, "distinct"), lambda s: runs.distinct_files(s, "90 days")).select("file_hash")
+
+
 @_query("SELECT 'documents' AS kind, count(*) AS n FROM {orders} WHERE o_orderkey % 5 <> 0 UNION ALL SELECT 'items', count(*) FROM {lineitem} WHERE l_orderkey % 5 <> 0")
 def cascade_delete(spark, sf_dir):
     documents, items = _invoices(spark, sf_dir), _rows(spark, sf_dir, ITEMS)
@@ -637,7 +702,7 @@ def nested_json(spark, sf_dir):
     return rows.select("document_id", F.array_join(cells, "|").alias("listed"))
 
 
-@_query(f"SELECT document_id, invoice_number, vendor_name FROM ({INVOICES}) WHERE lower(invoice_number) LIKE '%inv-1%' OR lower(vendor_name) LIKE '%inv-1%' ORDER BY processed_at DESC, document_id LIMIT 10 OFFSET 10")
+@_query(_SEARCH_SQL)
 def search_page(spark, sf_dir):
     found = dashboard.search(_invoices(spark, sf_dir), "INV-1")
     return dashboard.page(found, 2, F.desc_nulls_last("processed_at"), F.col("document_id")).select("document_id", "invoice_number", "vendor_name")

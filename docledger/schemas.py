@@ -24,9 +24,10 @@ TABLES = {
     "ocr_texts": OCR_TEXTS,
     "schema_version": VERSIONS,
 }
-#: Tables that a store derives from the others: where a name or a hash is, and sums by day, status and currency.
+#: Tables that a store derives from documents: where a name or a hash is, which documents hold three letters, and sums by day, status and currency.
 DERIVED = {
     "document_keys": "kind string, key string, document_id long, file_name string, file_hash string, status string, period date, bucket int, alive boolean",
+    "document_trigrams": "trigram string, document_id long, period date, bucket int",
     "document_cells": "day date, status string, currency string, n long, total_amount decimal(38,2)",
 }
 #: How a table is cut into parts: by what, in the order of folders. ``period`` is the first day of the store's unit of time.
@@ -36,6 +37,7 @@ LAYOUT = {
     "processing_logs": "period date",
     "duplicate_files": "period date",
     "document_keys": "prefix string",
+    "document_trigrams": "slot int",
 }
 #: The time that decides a row's period; an item has the period of its document.
 TIMES = {"invoice_documents": "processed_at", "processing_logs": "start_time", "duplicate_files": "skipped_at"}
@@ -50,4 +52,6 @@ KEYS = {
     "ocr_texts": ("ocr_text_path", "file_name"),
     "schema_version": ("version",),
 }
+#: Ids that a store numbers itself.
+IDS = {"invoice_documents": "document_id", "invoice_line_items": "line_item_id", "processing_logs": "log_id", "duplicate_files": "duplicate_id"}
 REFERENCES = {("invoice_line_items", "document_id"): ("invoice_documents", "document_id")}

@@ -6,30 +6,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.basic import base_name, suffix
+from ..functions.basic import suffix
 from ..operators.intake import EXTENSIONS, file_hash, invalid_reason
 from .images import verify
+from .listing import contents, digests, listing
 
 SKIP = ".gitkeep"
 
 
 def list_files(spark: SparkSession, folder: str, with_content: bool = True) -> DataFrame:
-    """path, file_name, length, modified and content of every file below a folder, at any depth.
+    """path, file_name, length, modified and content of every file below a folder, at any depth, empty ones too.
 
-    Spark's reader leaves empty files out; they are added from its listing, with length zero and no content.
+    Tasks list folders and read contents.  Without content, ``examined`` reads files in chunks, and a batch reads the content of
+    those files only that it recognises.
     """
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    rows = scan.select("path", F.col("modificationTime").alias("modified"), "length", "content")
-    listed = scan.inputFiles()
-    if listed:
-        paths = spark.createDataFrame([(p,) for p in listed], "listed string")
-        # Listed names are URIs, with or without an authority and with escapes; the reader's paths are plain.
-        name = F.regexp_replace(F.try_url_decode(F.regexp_replace("listed", r"\+", "%2B")), r"\A([a-z]+):/+", "$1:/")
-        seen = rows.select(F.regexp_replace("path", r"\A([a-z]+):/+", "$1:/").alias("plain"))
-        empty = paths.select(name.alias("plain")).join(seen, "plain", "left_anti")
-        rows = rows.unionByName(empty.select(F.col("plain").alias("path"), F.lit(None).cast("timestamp").alias("modified"), F.lit(0).cast("long").alias("length"), F.lit(None).cast("binary").alias("content")))
-    rows = rows.withColumn("file_name", base_name(F.col("path"))).where(F.col("file_name") != SKIP)
-    return rows if with_content else rows.drop("content")
+    rows = listing(spark, folder).where(F.col("file_name") != SKIP)
+    return contents(rows) if with_content else rows
 
 
 def whole_image(content: Column, name: Column) -> Column:
@@ -43,12 +35,23 @@ def whole_image(content: Column, name: Column) -> Column:
     return F.when(extension.isin(*EXTENSIONS) & (extension != ".pdf") & content.isNotNull(), check(content, extension))
 
 
+def _image(content: bytes | None, extension: str) -> bool | None:
+    """Whether an image is whole, null for other files; of no content only whether it would be looked at."""
+    if extension not in EXTENSIONS or extension == ".pdf":
+        return None
+    return True if content is None else verify(content, extension)
+
+
 def examined(files: DataFrame, decode: bool = True) -> DataFrame:
     """Adds file_hash and invalid_reason, and drops the content, so that only narrow rows move on.
 
-    With ``decode`` an image must be whole; else its first bytes decide.
+    With ``decode`` an image must be whole; else its first bytes decide.  Files without a content column are read here, in chunks.
     """
-    rows = files.withColumn("whole", whole_image(F.col("content"), F.col("file_name")) if decode else F.lit(None).cast("boolean"))
-    reason = invalid_reason(F.col("file_name"), F.col("length"), F.col("content"))
+    if "content" in files.columns:
+        rows = files.withColumn("whole", whole_image(F.col("content"), F.col("file_name")) if decode else F.lit(None).cast("boolean"))
+        rows = rows.withColumns({"file_hash": file_hash(F.col("content"), F.col("length")), "head": F.col("content")})
+    else:
+        rows = digests(files, _image if decode else None)
+    reason = invalid_reason(F.col("file_name"), F.col("length"), F.col("head"))
     damaged = F.when(~F.coalesce("whole", F.lit(True)), "File is not a readable image")
-    return rows.select("path", "file_name", "length", file_hash(F.col("content"), F.col("length")).alias("file_hash"), F.coalesce(reason, damaged).alias("invalid_reason"))
+    return rows.select("path", "file_name", "length", "file_hash", F.coalesce(reason, damaged).alias("invalid_reason"))
