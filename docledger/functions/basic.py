@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -33,8 +35,21 @@ def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     return bound(F.regexp_extract(text, pattern, group), blank_to_null)
 
 
+#: Decimal digits beyond ASCII, and what they stand for.
+_DIGITS = [(chr(k), str(unicodedata.decimal(chr(k)))) for k in range(128, sys.maxunicode + 1) if unicodedata.category(chr(k)) == "Nd"]
+
+
+def plain_digits(c: Column) -> Column:
+    """Decimal digits of any script as those of ASCII."""
+    return F.when(c.rlike(r"(?U)[\d&&[^0-9]]"), F.translate(c, "".join(a for a, _ in _DIGITS), "".join(b for _, b in _DIGITS))).otherwise(c)
+
+
 def to_number(c: Column) -> Column:
     """A string as a finite double; null for anything else. Digits may be grouped by single underscores."""
+    return bound(plain_digits(c), _ascii_number)
+
+
+def _ascii_number(c: Column) -> Column:
     shape = r"\A\s*[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*\z"
     return F.when(c.rlike(shape), F.regexp_replace(strip(c), "_", "").try_cast("double"))
 

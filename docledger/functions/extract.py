@@ -37,6 +37,8 @@ NEAR = 20
 ROW_QTY_FIRST = r"^\s*(\d+(?:\.\d+)?)\s+(.{3,60}?)\s+\$?([\d,]+\.\d{2})\s+\$?([\d,]+\.\d{2})\s*$"
 ROW_DESC_FIRST = r"^\s*(.{3,60}?)\s+(\d+(?:\.\d+)?)\s+\$?([\d,]+\.\d{2})\s+\$?([\d,]+\.\d{2})\s*$"
 ROW_TWO = r"^\s*(.{3,60}?)\s+\$?([\d,]+\.\d{2})\s*$"
+#: What every row ends in.
+ROW_END = r"\.\d{2}\s*$"
 ROW_SKIP = r"(?i)(?:total|subtotal|tax|shipping|discount|balance)"
 
 ITEM_TYPE = "struct<description:string,quantity:double,unit_price:double,line_total:double>"
@@ -132,7 +134,9 @@ def total_currency(total: Column) -> Column:
 
 
 def _groups(text: Column, pattern: str, n: int) -> Column:
-    return F.arrays_zip(*(F.regexp_extract_all(text, F.lit(LINE_FLAGS + pattern), F.lit(k)).alias(f"g{k}") for k in range(1, n + 1)))
+    """The groups of all matches. A text is gone through once; groups come out of each match, where the pattern matches as it did."""
+    whole = F.when(text.rlike(LINE_FLAGS + ROW_END), F.regexp_extract_all(text, F.lit(LINE_FLAGS + pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return F.transform(whole, lambda m: F.struct(*(F.regexp_extract(m, LINE_FLAGS + pattern, k).alias(f"g{k}") for k in range(1, n + 1))))
 
 
 def _item(description: Column, quantity: Column, unit_price: Column, line_total: Column) -> Column:

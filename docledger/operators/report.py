@@ -82,30 +82,38 @@ def report(documents: DataFrame, items: DataFrame, logs: DataFrame, duplicates:
     return Report(rows, window_items(documents, items, since, until), logs.where(in_window("start_time", since, until)), dups, counters(rows, dups))
 
 
-def to_html(r: Report, mock: bool = False, at: str = "") -> str:
-    """The summary page. Only counters and the first rows of each list come to the driver; values are escaped."""
-    c = r.counters.head().asDict()
-    amount = invoiced_amount(r.invoices).head()[0]
-
-    def listed(rows, line) -> str:
-        lines = [f"<li>{line(x)}</li>" for x in rows]
-        return f"<ul>{''.join(lines)}</ul>" if lines else "<p>None</p>"
-
-    def safe(x) -> str:
-        return html.escape(str(x))
-
-    review = listed(first_rows(r.invoices, "needs_review").collect(), lambda x: f"{safe(x.file_name)}: {safe(x.review_reason)}")
-    failed = listed(first_rows(r.invoices, "failed").collect(), lambda x: f"{safe(x.file_name)}: {safe(x.failure_reason)}")
-    dups = listed(r.duplicates.limit(TOP).collect(), lambda x: f"{safe(x.file_name)} (a copy of {safe(x.original_file)})")
-    sign, colour = ("✔", "green") if c["adds_up"] else ("✘", "red")
-    banner = "<p class='mock'>[MOCK MODE ACTIVE]</p>" if mock else ""
-    check = f"Sum: {c['success']} + {c['needs_review']} + {c['failed']} + {c['duplicates']} = {c['total']} {sign}"
-    sections = {
-        "This run": f"<p>Total: {c['total']}</p><p style='color:{colour}'>{check}</p>",
-        "Amounts": f"<p>All invoices together: {amount:,.2f} USD</p>",
-        "Waiting for a person": review,
-        "Could not be processed": failed,
-        "Copies left out": dups,
-        "How it ran": f"<p>Mode: {'Mock' if mock else 'Real'}</p><p>Time: {safe(at)}</p>",
-    }
-    return f"<html><body>{banner}<h2>Invoice Processing Report</h2>" + "".join(f"<h3>{k}</h3>{v}" for k, v in sections.items()) + "</body></html>"
+#: The lists of a page: what is listed, of which table, and the columns that are shown.
+LISTS = (
+    ("needs_review", "invoices", ("document_id", "file_name", "vendor_name", "total_amount", "currency", "review_reason")),
+    ("failed", "invoices", ("document_id", "file_name", "failure_reason")),
+    ("duplicates", "duplicates", ("file_name", "original_file", "skipped_at")),
+)
+
+
+def _table(columns: tuple[str, ...], rows: list) -> str:
+    """Values are escaped; a null is an empty cell."""
+
+    def cells(tag: str, values) -> str:
+        return "<tr>" + "".join(f"<{tag}>{'' if v is None else html.escape(str(v))}</{tag}>" for v in values) + "</tr>"
+
+    return f"<table>{cells('th', columns)}{''.join(cells('td', r) for r in rows)}</table>"
+
+
+def to_html(r: Report, since: str = "", until: str = "", mock: bool = False) -> str:
+    """A page about a window: its bounds, counts and amounts by status and currency, then the first rows of each list.
+
+    Only groups and first rows come to the driver.
+    """
+    counts = r.counters.head().asDict()
+    by_kind = r.invoices.groupBy("status", "currency").agg(F.count(F.lit(1)).alias("documents"), F.sum("total_amount").alias("amount")).orderBy("status", "currency").collect()
+    all_amounts = invoiced_amount(r.invoices).head()[0]
+    parts = [
+        f"<h2>Invoice Processing Report</h2><p>{html.escape(since)} to {html.escape(until)}{', made with the mock extractor' if mock else ''}</p>",
+        _table(("total", "success", "needs_review", "failed", "duplicates", "adds_up"), [[counts[c] for c in ("total", "success", "needs_review", "failed", "duplicates", "adds_up")]]),
+        _table(("status", "currency", "documents", "amount"), [*by_kind, (None, "all", sum(x["documents"] for x in by_kind), f"{all_amounts:,.2f}")]),
+    ]
+    for kind, source, columns in LISTS:
+        rows = r.duplicates.limit(TOP) if source == "duplicates" else first_rows(r.invoices, kind)
+        there = [c for c in columns if c in rows.columns]
+        parts.append(f"<h3>{kind}: {counts[kind]}, first {TOP}</h3>" + _table(tuple(there), rows.select(*there).collect()))
+    return f"<html><body>{''.join(parts)}</body></html>"

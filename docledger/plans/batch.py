@@ -23,8 +23,12 @@ PARSED_FIELDS = ("invoice_number", "invoice_date", "vendor_name", "total_amount"
 def parse(rows: DataFrame, text: str = "text") -> DataFrame:
     """Adds the extracted fields to rows with a text."""
     t = F.col(text)
-    rows = rows.withColumns({"invoice_number": X.invoice_number(t), "invoice_date": X.invoice_date(t), "vendor_name": X.vendor_name(t), "__total": X.last_total(t), "line_items": X.line_items(t)})
-    rows = rows.withColumns({"total_amount": X.total_amount(F.col("__total")), "currency": X.total_currency(F.col("__total"))}).drop("__total")
+    found = F.struct(X.invoice_number(t).alias("invoice_number"), X.invoice_date(t).alias("invoice_date"), X.vendor_name(t).alias("vendor_name"), X.last_total(t).alias("total"), X.line_items(t).alias("line_items"))
+    # Through a generator of one row, so that the fields are values to what comes after: else each use would search the text again.
+    rows = rows.select("*", F.explode(F.array(found)).alias("__found"))
+    rows = rows.withColumns({c: F.col(f"__found.{c}") for c in ("invoice_number", "invoice_date", "vendor_name", "line_items")})
+    total = F.col("__found.total")
+    rows = rows.withColumns({"total_amount": X.total_amount(total), "currency": X.total_currency(total)}).drop("__found")
     return rows.withColumn("confidence", X.confidence(*(F.col(c) for c in PARSED_FIELDS[:4])))
 
 

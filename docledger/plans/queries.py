@@ -259,8 +259,14 @@ def clean_names(spark, sf_dir):
 # Extraction
 
 
+def _spread(rows: DataFrame, sf_dir: str, name: str) -> DataFrame:
+    """Rows for work that is heavy beside the reading: dealt over all cores if the table comes in fewer splits than there are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.sparkSession.read.parquet(f"{sf_dir}/{name}.parquet").rdd.getNumPartitions() < cores else rows
+
+
 def _texts(spark, sf_dir):
-    return _rows(spark, sf_dir, RENDERED)
+    return _spread(_rows(spark, sf_dir, RENDERED), sf_dir, "orders")
 
 
 @_query(f"SELECT doc_key, {_NUMBER_SQL} AS invoice_number FROM ({RENDERED})")
@@ -385,6 +391,7 @@ _LINES = "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 6 =
 @_query(f"SELECT l_orderkey, 'Part ' || CAST(l_partkey AS STRING) AS description, CASE WHEN quantity >= 0 THEN quantity END AS quantity, price AS unit_price, CASE WHEN l_partkey % 9 <> 0 THEN price END AS line_total FROM ({_LINES}) WHERE l_partkey % 5 <> 0")
 def validate_items(spark, sf_dir):
     rows = _rows(spark, sf_dir, f"SELECT l_orderkey, array(named_struct('description', CASE WHEN l_partkey % 5 = 0 THEN '  ' ELSE ' Part ' || CAST(l_partkey AS STRING) END, 'quantity', quantity, 'unit_price', price, 'line_total', CASE WHEN l_partkey % 9 = 0 THEN -price ELSE price END)) AS items FROM ({_LINES})")
+    rows = _spread(rows, sf_dir, "lineitem")
     return rows.select("l_orderkey", F.explode(V.valid_items(F.col("items"))).alias("x")).select("l_orderkey", "x.*")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from urllib.parse import urlsplit
+from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +28,15 @@ CONTENT_BYTES = 1 << 28
 
 
 def _files(uri: str):
-    """The file system and path of a URI; also of Spark's short form file:/path and of a plain path."""
+    """The file system and path of a URI or a plain path. Names stand in it as they are, without escapes, as Spark writes them."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{os.path.abspath(uri.removeprefix('file:'))}")
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme or scheme == "file":
+        path = rest if scheme == "file" and colon else uri
+        return fs.LocalFileSystem(), os.path.abspath("/" + path.lstrip("/") if scheme == "file" and colon else path)
+    authority, slash, path = rest.removeprefix("//").partition("/")
+    return fs.FileSystem.from_uri(f"{scheme}://{authority}{slash}{quote(path)}")
 
 
 def _root(uri: str) -> str:

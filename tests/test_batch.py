@@ -133,8 +133,9 @@ def test_exports(spark, folder, tmp_path):
     docs, items = store.table("invoice_documents"), store.table("invoice_line_items")
     r = report.report(docs, items, store.table("processing_logs"), store.table("duplicate_files"), F.lit("2000-01-01").cast("timestamp"), F.lit("2100-01-01").cast("timestamp"))
     assert r.counters.head().asDict() == {"total": 6, "success": 2, "needs_review": 0, "failed": 3, "duplicates": 1, "adds_up": True}
-    page = report.to_html(r)
-    assert "Invoice Processing Report" in page and "Total: 6" in page and "30.00 USD" in page
+    page = report.to_html(r, "2000-01-01", "2100-01-01", mock=True)
+    assert "2000-01-01 to 2100-01-01, made with the mock extractor" in page and "<td>6</td><td>2</td>" in page and "<td>all</td><td>5</td><td>30.00</td>" in page
+    assert "<td>success</td><td>USD</td><td>2</td><td>30.00</td>" in page and "<td>b.png</td><td>a.png</td>" in page and "File is not a readable image" in page
     sinks.report_workbook(r, str(tmp_path / "r.xlsx"))
     with zipfile.ZipFile(tmp_path / "r.xlsx") as z:
         assert b"INV-2" in z.read("xl/worksheets/sheet1.xml") and z.testzip() is None

@@ -57,6 +57,8 @@ VENDORS = {
 TOTALS = {
     "Subtotal: $800.00\nTax: $64.00\nTotal: $864.00": (864.0, "USD"),
     "Grand Total: €1,250.00": (1250.0, "EUR"),
+    "Total: ١٢": (12.0, "USD"),
+    "Total: EUR ４２.５０": (42.5, "EUR"),
     "Amount Due: £350.50": (350.5, "GBP"),
     "Total: 999.99": (999.99, "USD"),
     "Total Amount CAD 1500.00": (1500.0, "CAD"),
