@@ -216,14 +216,14 @@ def _greedy(lengths: np.ndarray, counts: np.ndarray, size: int) -> tuple[dict[in
 
 
 def _best_pair(lengths: np.ndarray, left: np.ndarray, room: int, more_than: int) -> tuple[int, int] | None:
-    """The places of two waiting pieces with the largest sum in (more_than, room], if there are any."""
+    """The places of two waiting pieces with the largest sum in (more_than, room], if there are any; of equal sums the one with the longest piece."""
     there = np.flatnonzero(left > 0)
     a = lengths[there]
     other = np.searchsorted(a, np.minimum(room - a, a), side="right") - 1
     same = (other >= 0) & (there[np.maximum(other, 0)] == there) & (left[there] < 2)
     other = np.where(same, other - 1, other)
     total = np.where(other >= 0, a + a[np.maximum(other, 0)], -1)
-    best = int(total.argmax()) if len(total) else -1
+    best = len(total) - 1 - int(total[::-1].argmax()) if len(total) else -1
     if best < 0 or total[best] <= more_than:
         return None
     return int(there[best]), int(there[other[best]])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -93,7 +94,7 @@ def test_few_vectors_and_none(spark):
 def test_light_and_heavy_labels(spark, monkeypatch):
     monkeypatch.setattr(vector_codes, "HEAVY_BITS", 2)
     rows = [(k, None, 0 if k < 50 else None if k < 90 else k) for k in range(120)]
-    coded = spark.createDataFrame([(i, l, "c", i) for i, _, l in rows], "vec_id long, label long, code string, error decimal(38,0)")
+    coded = spark.createDataFrame([(i, l, "c", Decimal(i)) for i, _, l in rows], "vec_id long, label long, code string, error decimal(38,0)")
     got = {r.vec_id: int(r.label_error) for r in vector_codes.with_label_error(coded).collect()}
     assert got == {i: sum(j for j, _, m in rows if m == l) for i, _, l in rows}
 
