@@ -2,8 +2,9 @@
 
 Method: each shard of documents gets a suffix array over its words.  Every suffix of every benchmark item is looked up by
 binary search in each shard; its neighbours in the array give the longest verbatim match.  Where that is a window or more,
-the places of the window are read off the array and each is followed to the end of the match.  Documents with a match are
-contaminated and can be removed.
+the places of the window are read off the array, once for each distinct window, and cover the words that are hit.  Of each
+document and item the longest match is kept with one place, so that neither memory nor output grows with the product of an
+item's repeats and a document's.  Documents with a match are contaminated and can be removed.
 
 Words are numbered by the benchmark; a word that no item has ends every match, as does the end of a document or of an item,
 so the array holds the suffixes that start with a word of the benchmark.
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import group_starts
 from .columns import numbered, renamed
 from .components import saved
 from .kernel import ALNUM_WORD, LOWER, Chunk, batches, segment_ids
@@ -36,6 +38,8 @@ BLOCK_BYTES = 4 << 20
 #: Bytes of text in one shard.
 SHARD_BYTES = 2 << 20
 MATCHES = "array<struct<item_id:string,item_word:int,doc_word:int,words:int>>"
+RUNS = "array<struct<begin:int,end:int>>"
+_RUN = pa.struct([("begin", pa.int32()), ("end", pa.int32())])
 _MATCH = pa.struct([("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("words", pa.int32())])
 
 
@@ -66,10 +70,14 @@ class Benchmark:
         chunk = Chunk([t.translate(LOWER) for t in texts])
         start, end, first = chunk.words(ALNUM_WORD)
         hashed, check = chunk.word_hashes(start, end, 2)
-        self.vocabulary, at, number = np.unique(hashed, return_index=True, return_inverse=True)
-        self.check = check[at]
-        if (self.check[number] != check).any():
-            raise RuntimeError("two words of the benchmark have one hash")
+        # Words are told apart by both hashes; those that share the first stand side by side.
+        order = np.lexsort((check, hashed))
+        new = np.ones(len(order), bool)
+        new[1:] = (hashed[order[1:]] != hashed[order[:-1]]) | (check[order[1:]] != check[order[:-1]])
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(new) - 1
+        self.vocabulary, self.check = hashed[order[new]], check[order[new]]
+        self.alike = int(np.diff(np.append(group_starts(self.vocabulary), len(self.vocabulary))).max(initial=1))
         #: Word 0 is any word that no item has.
         self.text, self.place = _word_text((number + 1).astype(np.int32), first)
         n = len(start)
@@ -86,8 +94,11 @@ class Benchmark:
         """The numbers of words by their hashes."""
         if not len(self.vocabulary):
             return np.zeros(len(hashed), np.int32)
-        slot = np.minimum(np.searchsorted(self.vocabulary, hashed), len(self.vocabulary) - 1)
-        return np.where((self.vocabulary[slot] == hashed) & (self.check[slot] == check), slot + 1, 0).astype(np.int32)
+        out, first = np.zeros(len(hashed), np.int32), np.searchsorted(self.vocabulary, hashed)
+        for k in range(self.alike):
+            slot = np.minimum(first + k, len(self.vocabulary) - 1)
+            out = np.where((self.vocabulary[slot] == hashed) & (self.check[slot] == check), slot + 1, out)
+        return out.astype(np.int32)
 
 
 class Shard:
@@ -186,41 +197,88 @@ class Shard:
                 best[ok[better]], where[ok[better]] = got[better], at[better]
         return best, where
 
-    def matches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All maximal matches of a window or more: place in the shard, word of the benchmark, length in words."""
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct windows that occur: for each its interval in the array, its length, and the words of the benchmark where it
+        starts (all in one array, and where each window's begin). Equal windows have one interval and are looked at once."""
         bench = self.bench
         best, _ = self.longest_matches()
         hit = np.flatnonzero((bench.window_len > 0) & (best >= bench.window_len))
         length = bench.window_len[hit]
         lo, hi = self._search(hit, length, False), self._search(hit, length, True)
+        order = np.lexsort((hi, lo, length))
+        hit, lo, hi, length = hit[order], lo[order], hi[order], length[order]
+        heads = group_starts(length, lo, hi)
+        return lo[heads], hi[heads], length[heads], hit, np.append(heads, len(hit))
+
+    def by_document(self) -> dict[int, tuple[list[tuple[int, int]], list[dict]]]:
+        """For each document with a hit: the runs of words that are hit, and for each item its longest match and one place of it.
+
+        Windows of one length have intervals apart, so all places together are at most the words of the shard for each length
+        there is.  A pair of a window's word in the benchmark and a document is looked at once, however often the document has
+        the window: the document's places next to that suffix in the array are the ones it has most in common with.
+        """
+        lo, hi, length, words, begin = self.windows()
+        if not len(lo):
+            return {}
         count = hi - lo
-        item = np.repeat(hit, count)
-        at = self.array[np.repeat(lo, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)]
-        # The first window of each match; a word 0 stands before every document and item.
-        b = bench.place[item]
-        before, behind = self.text[np.maximum(at - 1, 0)], bench.text[np.maximum(b - 1, 0)]
-        starts = (at == 0) | (b == 0) | (before == 0) | (before != behind)
-        at, item = at[starts], item[starts]
-        return at, item, self._common(at, bench.place[item])
-
-    def by_document(self) -> list[list[dict]]:
-        """The matches of each document."""
-        found: list[list[dict]] = [[] for _ in range(len(self.first) - 1)]
-        at, item, words = self.matches()
-        doc = self.doc[at]
-        # Places count the zeros between documents, words of a document do not.
-        word = at - self.first[doc] - doc
-        for d, i, w, q, n in zip(doc.tolist(), self.bench.item[item].tolist(), self.bench.word[item].tolist(), word.tolist(), words.tolist(), strict=True):
-            found[d].append({"item_id": self.bench.ids[i], "item_word": w, "doc_word": q, "words": n})
-        for x in found:
-            x.sort(key=lambda m: (m["doc_word"], m["item_id"], m["item_word"]))
-        return found
-
-
-def hit_words(matches: list[dict] | None) -> int:
-    """How many words the matches cover."""
+        which = np.repeat(np.arange(len(lo)), count)
+        rank = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        place = self.array[rank]
+        doc = self.doc[place]
+        change = np.zeros(len(self.text) + 1, np.int32)
+        np.add.at(change, place, 1)
+        np.add.at(change, place + length[which], -1)
+        hit = np.cumsum(change[:-1]) > 0  # never at the zero between two documents
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]])))
+        runs: dict[int, list[tuple[int, int]]] = {}
+        for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True):
+            d = int(self.doc[a])
+            runs.setdefault(d, []).append((a - int(self.first[d]) - d, b - int(self.first[d]) - d))
+        # Ranks of each document's places, for the neighbours of a suffix among them.
+        mine = np.unique(doc.astype(np.int64) * len(self.array) + rank)
+        pairs = np.unique(doc.astype(np.int64) * len(lo) + which)
+        spot = self._search(words, None, False)
+        found: dict[int, list[dict]] = {d: [] for d in runs}
+        at = np.searchsorted(pairs, np.array(sorted(runs), np.int64) * len(lo))
+        for d, a, b in zip(sorted(runs), at.tolist(), [*at[1:].tolist(), len(pairs)], strict=True):
+            found[d] = self._longest_by_item(d, pairs[a:b] - d * len(lo), words, begin, spot, mine)
+        return {d: (runs[d], found[d]) for d in runs}
+
+    def _longest_by_item(self, doc: int, windows: np.ndarray, words: np.ndarray, begin: np.ndarray, spot: np.ndarray, mine: np.ndarray) -> list[dict]:
+        """Of one document; ``windows`` are those it has."""
+        bench, n = self.bench, len(self.array)
+        size = begin[windows + 1] - begin[windows]
+        at = np.repeat(begin[windows] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        suffix = words[at]
+        near = np.searchsorted(mine, doc * n + spot[at])
+        best, where = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        for k in (near - 1, near):
+            ok = np.flatnonzero((k >= 0) & (k < len(mine)))
+            ok = ok[mine[k[ok]] // n == doc]
+            here = self.array[mine[k[ok]] % n]
+            got = self._common(here, bench.place[suffix[ok]])
+            better = got > best[ok]
+            best[ok[better]], where[ok[better]] = got[better], here[better]
+        item = bench.item[suffix]
+        order = np.lexsort((where, suffix, -best, item))
+        first = order[group_starts(item[order])]
+        word = where[first] - self.first[doc] - doc
+        rows = [{"item_id": bench.ids[i], "item_word": w, "doc_word": q, "words": m} for i, w, q, m in zip(item[first].tolist(), bench.word[suffix[first]].tolist(), word.tolist(), best[first].tolist(), strict=True)]
+        return longest_by_id(rows)
+
+
+def longest_by_id(rows: list[dict]) -> list[dict]:
+    """Of the matches of each item id the longest, then the one first in the document and in the item; in order of item ids."""
+    kept: dict[str, dict] = {}
+    for m in sorted(rows, key=lambda m: (m["item_id"], -m["words"], m["doc_word"], m["item_word"])):
+        kept.setdefault(m["item_id"], m)
+    return list(kept.values())
+
+
+def hit_words(runs: list[tuple[int, int]]) -> int:
+    """How many words runs (from, to) cover together."""
     total, done = 0, 0
-    for a, b in sorted((m["doc_word"], m["doc_word"] + m["words"]) for m in matches or ()):
+    for a, b in sorted(runs):
         total += max(0, b - max(a, done))
         done = max(done, b)
     return total
@@ -244,7 +302,8 @@ def _blocks(benchmark: DataFrame, most: int) -> Iterator[tuple[list[str], list[b
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row for each document: doc_id, the columns in ``keep``, n_words, n_hit, item_ids (sorted strings) and matches.
 
-    ``matches`` has the maximal verbatim matches of a window or more: item_id, item_word, doc_word (both from 0) and words.
+    ``matches`` has for each of those items the longest verbatim match and one place of it: item_id, item_word, doc_word (both from
+    0) and words; the place first in the document, then in the item, of those next to the match in the array.
     A column of ``keep`` may have the name of a result; both are then in the table.
     """
     context = docs.sparkSession.sparkContext
@@ -261,19 +320,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
                 shard = Shard(texts, bench)
                 found = shard.by_document()
                 if every:
-                    yield result(batch, np.diff(shard.first), found)
-                elif rows := [k for k, x in enumerate(found) if x]:
-                    some = batch.take(pa.array(rows))
-                    yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([found[k] for k in rows], pa.list_(_MATCH))], names=["doc_id", "digest", "matches"])
+                    yield result(batch, np.diff(shard.first), [found.get(k, ([], [])) for k in range(batch.num_rows)])
+                elif found:
+                    some = batch.take(pa.array(list(found)))
+                    hit = pa.array([[{"begin": a, "end": b} for a, b in runs] for runs, _ in found.values()], pa.list_(_RUN))
+                    yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), hit, pa.array([m for _, m in found.values()], pa.list_(_MATCH))], names=["doc_id", "digest", "runs", "matches"])
 
         return run
 
-    def result(batch: pa.RecordBatch, n_words, found: list[list[dict]]) -> pa.RecordBatch:
+    def result(batch: pa.RecordBatch, n_words, found: list[tuple[list, list[dict]]]) -> pa.RecordBatch:
         own = [
             pa.array(n_words, pa.int64()),
-            pa.array([hit_words(x) for x in found], pa.int64()),
-            pa.array([sorted({m["item_id"] for m in x}) for x in found], pa.list_(pa.string())),
-            pa.array(found, pa.list_(_MATCH)),
+            pa.array([hit_words(runs) for runs, _ in found], pa.int64()),
+            pa.array([[m["item_id"] for m in x] for _, x in found], pa.list_(pa.string())),
+            pa.array([x for _, x in found], pa.list_(_MATCH)),
         ]
         passed = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
         return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), *passed, *own], names=["doc_id", *(f.name for f in kept), "n_words", "n_hit", "item_ids", "matches"])
@@ -289,20 +349,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     every = None
     while part is not None:
         sent = context.broadcast(part)
-        found = saved(keyed.mapInArrow(searched(sent, False), f"{doc_id}, digest string, matches {MATCHES}"), "matches")
+        found = saved(keyed.mapInArrow(searched(sent, False), f"{doc_id}, digest string, runs {RUNS}, matches {MATCHES}"), "matches")
         sent.destroy()
         every = found if every is None else every.unionByName(found)
         part, after = after, next(parts, None)
     # Rows with one doc_id and text found the same matches.
-    every = every.groupBy("doc_id", "digest").agg(F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"))
-    every = every.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "matches")
+    every = every.groupBy("doc_id", "digest").agg(*(F.array_distinct(F.flatten(F.collect_set(c))).alias(c) for c in ("runs", "matches")))
+    every = every.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "runs", "matches")
     rows = base.withColumn("digest", F.md5(F.col("text").cast("binary")))
     rows = rows.join(every, rows["doc_id"].eqNullSafe(every["__id"]) & (rows["digest"] == every["__digest"]), "left")
 
     def counted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(stream, SHARD_BYTES):
             first = Chunk([t.translate(LOWER) for t in texts]).words(ALNUM_WORD)[2]
-            found = [x or [] for x in batch.column(batch.schema.get_field_index("matches")).to_pylist()]
-            yield result(batch, np.diff(first), found)
+            runs, found = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("runs", "matches"))
+            yield result(batch, np.diff(first), [([(r["begin"], r["end"]) for r in a or []], longest_by_id(m or [])) for a, m in zip(runs, found, strict=True)])
 
-    return renamed(rows.select(*base.columns, "matches").mapInArrow(counted, out), keep)
+    return renamed(rows.select(*base.columns, "runs", "matches").mapInArrow(counted, out), keep)

@@ -6,6 +6,8 @@ import os
 import random
 import re
 import struct
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from docledger.llm import quality_rules as Q
 from docledger.llm import url_filter as U
-from docledger.llm.decontaminate import Benchmark, Shard, decontaminate
+from docledger.llm.decontaminate import Benchmark, Shard, decontaminate, hit_words
 from docledger.llm.license_scan import BASE_PHRASES, Scanner, evaluate, license_scan, to_postfix
 from docledger.llm.quality_classifier import score, train
 from docledger.llm.sentencepiece_codec import MARK, Codec, decode_documents, encode_documents
@@ -28,6 +30,7 @@ from docledger.llm.token_files import BATCH, LENGTH, TokenFile, _files, token_fi
 from .conftest import rank
 
 vocabularies = pytest.importorskip("public_tokenizers")
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 ALNUM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -84,16 +87,55 @@ def _maximal(doc: list, item: list, window: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def test_matches_are_maximal():
+def test_longest_match_of_each_item():
     rng = random.Random(2)
-    for _ in range(150):
-        letters, window = rng.choice([2, 3, 6]), rng.choice([1, 2, 3, 10])
+    for _ in range(200):
+        letters, window = rng.choice([1, 2, 3, 6]), rng.choice([1, 2, 3, 10])
         docs = [[rng.choice("abcdefgh"[: letters + 1]) for _ in range(rng.randint(0, 40))] for _ in range(rng.randint(0, 5))]
         items = [[rng.choice("abcdefgh"[:letters]) for _ in range(rng.randint(0, 25))] for _ in range(rng.randint(0, 4))]
         shard = Shard([" ".join(d).encode() for d in docs], Benchmark([str(k) for k in range(len(items))], [" ".join(x).encode() for x in items], window))
-        for doc, got in zip(docs, shard.by_document(), strict=True):
-            expected = sorted((i, str(k), j, n) for k, x in enumerate(items) for i, j, n in _maximal(doc, x, window))
-            assert [(m["doc_word"], m["item_id"], m["item_word"], m["words"]) for m in got] == expected
+        got = shard.by_document()
+        for d, doc in enumerate(docs):
+            every = [_maximal(doc, x, window) for x in items]
+            runs, found = got.get(d, ([], []))
+            assert {m["item_id"]: m["words"] for m in found} == {str(k): max(n for _, _, n in x) for k, x in enumerate(every) if x}
+            for m in found:
+                n = m["words"]
+                assert doc[m["doc_word"] : m["doc_word"] + n] == items[int(m["item_id"])][m["item_word"] : m["item_word"] + n]
+            covered = {i + t for x in every for i, _, n in x for t in range(n)}
+            assert sorted(t for a, b in runs for t in range(a, b)) == sorted(covered) and hit_words(runs) == len(covered)
+
+
+@pytest.mark.parametrize("case", ["prompt", "one word"])
+def test_repeats_take_little_memory(case):
+    """Items that share a passage a document repeats, and one word all through: not all pairs of their places."""
+    code = f"""
+import resource, time
+from docledger.llm.decontaminate import Benchmark, Shard
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+prompt = " ".join(f"p{{k}}" for k in range(12))
+if {case!r} == "prompt":
+    items, doc = [f"{{prompt}} own{{k}}" for k in range(1500)], f"{{prompt}} . " * 1500
+else:
+    items, doc = [" ".join(["a"] * 400)], " ".join(["a"] * 195_000)
+began = time.process_time()
+(runs, found), = Shard([doc.encode()], Benchmark([str(k) for k in range(len(items))], [x.encode() for x in items])).by_document().values()
+assert len(found) == len(items) and {{m["words"] for m in found}} == ({{12}} if len(items) > 1 else {{400}})
+assert sum(b - a for a, b in runs) == (18_000 if len(items) > 1 else 195_000)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024, time.process_time() - began)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=ROOT)
+    assert not done.returncode, done.stderr[-800:]
+    mb, seconds = done.stdout.split()
+    assert int(mb) < 300 and float(seconds) < 20
+
+
+def test_words_with_one_first_hash():
+    """Two words that share one of their hashes are still two words."""
+    bench = Benchmark(["x"], [b"a b c"], 1)
+    twice = np.array([7, 7, 9], np.uint64), np.array([2, 1, 1], np.uint64)
+    bench.vocabulary, bench.check, bench.alike = np.array([7, 7, 9], np.uint64), np.array([1, 2, 1], np.uint64), 2
+    assert bench.numbers(*twice).tolist() == [2, 1, 3] and bench.numbers(np.array([8, 7], np.uint64), np.array([1, 3], np.uint64)).tolist() == [0, 0]
 
 
 def test_longest_matches():
