@@ -97,10 +97,15 @@ class Forest:
         return True
 
 
-def trie_links(values: np.ndarray, root_bits: int, budget: int = BUDGET, bits: int = BITS, most_pairs: int = 1 << 21) -> np.ndarray:
+#: Pairs of nodes that are opened at once, and pairs of values that are compared at once.
+NODE_PAIRS, VALUE_PAIRS = 1 << 14, 1 << 18
+
+
+def trie_links(values: np.ndarray, root_bits: int, budget: int = BUDGET, bits: int = BITS, most_pairs: int = NODE_PAIRS) -> np.ndarray:
     """A spanning forest, as pairs of positions, of the links among sorted distinct values with equal leading bits.
 
-    Values with different leading ``root_bits`` bits are never compared.
+    Values with different leading ``root_bits`` bits are never compared.  The pairs of nodes that wait are at most four times
+    ``most_pairs`` for each level of the trie, and values are compared ``VALUE_PAIRS`` at a time, however many there are.
     """
     n = len(values)
     forest, found = Forest(n), []
@@ -111,6 +116,8 @@ def trie_links(values: np.ndarray, root_bits: int, budget: int = BUDGET, bits: i
     tails = np.append(heads[1:], n)
     some = tails - heads > 1
     zero = np.zeros(int(some.sum()), np.int64)
+    # Components as they were when ``known`` links had been found; they only grow.
+    label, change, known = None, None, 0
     # A pair of nodes: two ranges, the depth is common to all of a stack entry, the bits that differ so far.
     stack = [(root_bits, heads[some], tails[some], heads[some], tails[some], zero)]
     while stack:
@@ -123,13 +130,17 @@ def trie_links(values: np.ndarray, root_bits: int, budget: int = BUDGET, bits: i
                 stack.append((depth, a0[part], a1[part], b0[part], b1[part], diff[part]))
             continue
         # Small pairs of nodes are compared value by value, as are those that must fit.
-        small = ((a1 - a0) * (b1 - b0) <= 64) | (diff + bits - depth <= budget)
-        i, j = _products(a0[small], a1[small], b0[small], b1[small])
-        near = np.bitwise_count(values[i] ^ values[j]) <= budget
-        near &= i < j
-        for x, y in zip(i[near].tolist(), j[near].tolist(), strict=True):
-            if forest.join(x, y):
-                found.append((x, y))
+        size = (a1 - a0) * (b1 - b0)
+        small = (size <= 64) | (diff + bits - depth <= budget)
+        some, upto = np.flatnonzero(small), np.cumsum(size[small])
+        cuts = np.searchsorted(upto, np.arange(VALUE_PAIRS, int(upto[-1]) if len(upto) else 0, VALUE_PAIRS))
+        for part in np.split(some, np.unique(cuts)):
+            i, j = _products(a0[part], a1[part], b0[part], b1[part])
+            near = np.bitwise_count(values[i] ^ values[j]) <= budget
+            near &= i < j
+            for x, y in zip(i[near].tolist(), j[near].tolist(), strict=True):
+                if forest.join(x, y):
+                    found.append((x, y))
         a0, a1, b0, b1, diff = (x[~small] for x in (a0, a1, b0, b1, diff))
         if not len(a0) or depth >= bits:
             continue
@@ -147,9 +158,11 @@ def trie_links(values: np.ndarray, root_bits: int, budget: int = BUDGET, bits: i
         c0, c1, d0, d1, e = (np.concatenate(x) for x in zip(*parts, strict=True))
         if len(c0):
             # Nodes that lie wholly in one component already need no look.
-            label = np.fromiter((forest.root(k) for k in range(n)), np.int64, n) if len(found) > 1 and len(c0) > n else None
-            if label is not None:
+            if len(found) - known > n // 16 + 1:
+                known = len(found)
+                label = np.fromiter((forest.root(k) for k in range(n)), np.int64, n)
                 change = np.concatenate([[0], np.cumsum(label[1:] != label[:-1])])
+            if label is not None:
                 whole = (change[c1 - 1] == change[c0]) & (change[d1 - 1] == change[d0]) & (label[c0] == label[d0])
                 c0, c1, d0, d1, e = (x[~whole] for x in (c0, c1, d0, d1, e))
             stack.append((depth + 1, c0, c1, d0, d1, e))

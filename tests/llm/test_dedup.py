@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -172,3 +175,49 @@ def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[k] == 0 for k in range(41)) and got[200] == got[150] == 100 and all(got[k] == 500 for k in range(500, 560))
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_large_trie_takes_little_memory():
+    """32,768 random fingerprints with planted neighbours and a crowded one: every link is there, memory is bounded."""
+    code = """
+import resource
+import numpy as np
+from docledger.llm import simhash as S
+rng = np.random.default_rng(4)
+values = rng.integers(0, 2**64, 1 << 15, dtype=np.uint64)
+def changed(v, least, most):
+    v = v.copy()
+    for k in range(len(v)):
+        for b in rng.choice(64, rng.integers(least, most + 1), replace=False):
+            v[k] ^= np.uint64(1) << np.uint64(b)
+    return v
+near, crowd = changed(values[:300], 1, 4), changed(np.repeat(values[:1], 2000), 0, 2)
+whole = np.unique(np.concatenate([values, near, crowd]))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+forest = S.Forest(len(whole))
+for x, y in S.trie_links(whole, 0).tolist():
+    assert bin(int(whole[x]) ^ int(whole[y])).count("1") <= 4 and forest.join(x, y)
+root = lambda v: [forest.root(int(x)) for x in np.searchsorted(whole, v)]
+assert root(near) == root(values[:300]) and len(set(root(crowd))) == 1
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=root)
+    assert not done.returncode, done.stderr[-800:]
+    assert int(done.stdout) < 400
+
+
+@pytest.mark.parametrize("most_pairs", [2, 50])
+def test_links_do_not_depend_on_the_frontier(most_pairs, monkeypatch):
+    monkeypatch.setattr(S, "VALUE_PAIRS", 5)
+    rng = np.random.default_rng(6)
+    values = np.unique(np.concatenate([rng.integers(0, 2**12, 150, dtype=np.uint64), rng.integers(0, 2**64, 50, dtype=np.uint64)]))
+
+    def groups(pairs):
+        forest = S.Forest(len(values))
+        for x, y in pairs:
+            forest.join(x, y)
+        return [forest.root(k) for k in range(len(values))]
+
+    every = [(i, j) for i in range(len(values)) for j in range(i) if int(values[i] ^ values[j]).bit_count() <= 4]
+    assert groups(S.trie_links(values, 0, most_pairs=most_pairs).tolist()) == groups(every)
