@@ -302,14 +302,13 @@ def _nothing(store: Store) -> dict[str, DataFrame]:
 
 
 def _legacy(store: Store) -> dict[str, DataFrame]:
-    before = store.table("invoice_documents")
+    """Documents that were duplicates become duplicate files; keys, postings and figures are those of the documents that stay."""
     if not store.live("invoice_documents"):
         return {}
-    documents, moved = merge.move_legacy_duplicates(before)
+    documents, moved = merge.move_legacy_duplicates(store.table("invoice_documents"))
     there = store.table("duplicate_files")
     added = merge.numbered(moved, there, "duplicate_id", "file_name", top=store.top("duplicate_files")).select(there.columns)
-    none = before.where(F.lit(False))
-    return {"invoice_documents": documents, "duplicate_files": there.unionByName(added), **store.document_changes(none, documents)}
+    return {"invoice_documents": documents, "duplicate_files": there.unionByName(added), **store.document_changes(documents.where(F.lit(False)), documents)}
 
 
 MIGRATIONS = {1: _nothing, 2: _nothing, 3: _nothing, 4: _legacy}

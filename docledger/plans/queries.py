@@ -18,7 +18,7 @@ from ..functions import validate as V
 from ..operators import dashboard, intake, merge, pages, report
 from ..operators.store import Store
 from ..sources.extractors import mock
-from ..sources.tables import shared_folder
+from ..sources.tables import column_gaps, key_checks, shared_folder
 from ..streaming import runs
 from . import batch
 
@@ -635,6 +635,38 @@ def migrate_dups(spark, sf_dir):
     return kept.select("document_id", F.lit("kept").alias("place")).unionByName(moved.select(number.alias("document_id"), F.col("original_file").alias("place")))
 
 
+@_query(
+    """SELECT 'invoice_documents' AS name, (SELECT count(*) FROM (SELECT o_custkey FROM {orders} GROUP BY 1 HAVING count(*) > 1)) AS n
+UNION ALL SELECT 'invoice_line_items', (SELECT count(*) FROM (SELECT l_orderkey * 10 + l_linenumber FROM {lineitem} GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'invoice_line_items.document_id', (SELECT count(*) FROM {lineitem} WHERE l_orderkey NOT IN (SELECT o_custkey FROM {orders}))"""
+)
+def key_audit(spark, sf_dir):
+    """Keys that come twice and references that lead nowhere, with customers' ids for those of documents."""
+    documents = _rows(spark, sf_dir, "SELECT o_custkey AS document_id FROM {orders}")
+    items = _rows(spark, sf_dir, "SELECT l_orderkey * 10 + l_linenumber AS line_item_id, l_orderkey AS document_id FROM {lineitem}")
+    return key_checks({"invoice_documents": documents, "invoice_line_items": items})
+
+
+_GAPS = ("document_id", "file_name", "file_hash", "invoice_number", "invoice_date", "vendor_name", "total_amount", "currency", "status", "ocr_text_path", "processed_at", "review_reason", "failure_reason", "original_file", "updated_at")
+_ABSENT = ("ocr_text_path", "original_file", "updated_at")
+
+
+@_query(f"WITH i AS ({INVOICES}) " + " UNION ALL ".join(f"SELECT '{c}' AS column, {str(c in _ABSENT).upper()} AS missing, {'0' if c in _ABSENT else f'(SELECT count({c}) FROM i)'} AS n_values" for c in _GAPS))
+def column_audit(spark, sf_dir):
+    return column_gaps(_invoices(spark, sf_dir), "invoice_documents")
+
+
+@_query(ORACLES["migrate_dups"])
+def migrate_store(spark, sf_dir):
+    """The same as migrate_dups, by the migrations of a store that has such rows."""
+    rows = _invoices(spark, sf_dir).withColumn("status", F.when(F.col("document_id") % 4 == 0, "duplicate_skipped").otherwise(F.col("status"))).withColumn("original_file", F.when(F.col("document_id") % 8 == 0, "orig"))
+    store = _store(rows)
+    store.migrate()
+    number = F.regexp_extract("file_name", r"(\d+)", 1).cast("long")
+    moved = store.table("duplicate_files").select(number.alias("document_id"), F.col("original_file").alias("place"))
+    return store.table("invoice_documents").select("document_id", F.lit("kept").alias("place")).unionByName(moved)
+
+
 @_query("SELECT l_orderkey AS document_id, l_linenumber AS line, count(*) AS n FROM {lineitem} WHERE l_orderkey NOT IN (SELECT o_orderkey FROM {orders} WHERE o_orderkey % 9 <> 0) GROUP BY 1, 2")
 def orphan_items(spark, sf_dir):
     return merge.orphans(_rows(spark, sf_dir, ITEMS), _invoices(spark, sf_dir).where("document_id % 9 <> 0")).groupBy("document_id", "line").agg(F.count(F.lit(1)).alias("n"))

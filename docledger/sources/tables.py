@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,17 +48,33 @@ def missing_columns(tables: dict[str, DataFrame]) -> dict[str, set[str]]:
     return {n: gap for n, want in expected.items() if (gap := want - (columns_of(tables[n]) if n in tables else set()))}
 
 
-def broken_keys(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """How many key values a table has more than once, and how many references of each kind lead nowhere; sound ones are left out."""
-    found = {}
+def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """name and n for each key and reference of the tables that are there: how many key values come more than once, how many
+    references lead nowhere. One plan for all of them; a null key is a value, a null reference is none."""
+    checks = []
     for name, key in schemas.KEYS.items():
         if name in tables:
-            found[name] = tables[name].groupBy(*key).count().where("count > 1").count()
+            twice = tables[name].groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+            checks.append(twice.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")))
     for (name, column), (target, key) in schemas.REFERENCES.items():
         if name in tables and target in tables:
             there = tables[target].select(F.col(key).alias(column))
-            found[f"{name}.{column}"] = tables[name].where(F.col(column).isNotNull()).join(there, column, "left_anti").count()
-    return {k: n for k, n in found.items() if n}
+            lost = tables[name].where(F.col(column).isNotNull()).join(there, column, "left_anti")
+            checks.append(lost.agg(F.lit(f"{name}.{column}").alias("name"), F.count(F.lit(1)).alias("n")))
+    return reduce(DataFrame.unionByName, checks)
+
+
+def broken_keys(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """The checks that found something."""
+    return {r["name"]: r["n"] for r in key_checks(tables).where("n > 0").collect()}
+
+
+def column_gaps(rows: DataFrame, name: str) -> DataFrame:
+    """For each column that the table ``name`` should have: whether rows lack it, and in how many rows it has a value."""
+    wanted = [c.strip().split()[0] for c in schemas.TABLES[name].replace("(10,2)", "").replace("(18,4)", "").split(",")]
+    counts = rows.agg(*(F.count(f"`{c}`").alias(c) if c in rows.columns else F.lit(0).cast("long").alias(c) for c in wanted))
+    listed = F.array(*(F.struct(F.lit(c).alias("column"), F.lit(c not in rows.columns).alias("missing"), F.col(c).alias("n_values")) for c in wanted))
+    return counts.select(F.explode(listed).alias("x")).select("x.*")
 
 
 def sample_invoices(spark: SparkSession, n: int = 500) -> DataFrame:
