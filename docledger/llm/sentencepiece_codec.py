@@ -5,9 +5,9 @@ links give every piece that ends there; each relaxes the best way to its end fro
 that no piece covers is taken as its UTF-8 bytes where the vocabulary has byte pieces, else as unknown.
 
 * A unigram vocabulary: the way with the highest sum of scores wins.  Ties go to the longer last piece.
-* A merge vocabulary: scores are ranks of merges, and only one way to each position is what merging yields.  Merging the text
-  of two neighbouring pieces must give these two again; of the pieces that end at a position, the one that fits the last piece
-  before it is taken.  The ids are those that merging gives.
+* A merge vocabulary: scores are ranks of merges, and only one way to each position is what merging yields.  So a piece relaxes
+  its end only from a piece beside which it stays: merging the text of the two must give these two again.  The ids are those
+  that merging gives.
 
 White space is marked by U+2581: each space becomes one mark, and one more stands before the text if the vocabulary says so.
 Decoding gives the text back exactly unless it holds U+2581 itself, which decodes as a space.  Nothing else is normalised.
@@ -94,7 +94,8 @@ class Vocabulary:
                 self.byte_id[int(piece[1:-1], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and piece:
                 self.of[piece] = i, model.get_score(i)
-                self.automaton.add_word(piece, (len(piece), i, model.get_score(i)))
+                # Ranks of merges decide which pieces stay side by side; a way over such pieces is the better the fewer it has.
+                self.automaton.add_word(piece, (len(piece), i, -1.0 if self.merges else model.get_score(i)))
         self.automaton.make_automaton()
         self.floor = min((s for _, s in self.of.values()), default=0.0) - UNKNOWN_PENALTY
         self.alone = self._alone(list(self.of))
@@ -129,47 +130,49 @@ class Vocabulary:
         return got
 
     def segment(self, text: str) -> list[int]:
-        """Ids of a text in which spaces are marks already."""
-        return self.merge_path(text) if self.merges else self.viterbi(text)
-
-    def merge_path(self, text: str) -> list[int]:
-        """Of a merge vocabulary: to each position, the one piece that fits what leads to its start."""
-        if not self._chars.issuperset(text):
-            return self._with_unknown(text)
-        n, m = len(text), self.size + 1
-        known, fits = self._fits.get, self.fits
-        last = [-1] * (n + 1)
-        last[0] = self.size
-        for at, (size, i, _) in self.automaton.iter(text):
-            if last[at + 1] < 0 and (before := last[at + 1 - size]) >= 0:
-                fit = known(before * m + i)
-                if fit is None:
-                    fit = fits(before, i)
-                if fit:
+        """Ids of a text in which spaces are marks already: the best way over the pieces that end at each position.
+
+        Of a merge vocabulary a piece relaxes its end only from a piece that it fits, and a character without a piece of its own
+        fits nothing: what stands on either side of it is apart.
+        """
+        n, m, merges, floor, chars = len(text), self.size + 1, self.merges, self.floor, self._chars
+        nothing, known, fits = float("-inf"), self._fits.get, self.fits
+        best, back, last = [nothing] * (n + 1), [0] * (n + 1), [self.size] * (n + 1)
+        best[0] = 0.0
+        done, gaps = 0, not merges or not chars.issuperset(text)
+
+        def bridge(upto: int) -> None:
+            """Makes the best scores up to there final: a character at which no piece ends is bridged by an unknown one."""
+            nonlocal done
+            while done < upto:
+                bridged = best[done] + floor
+                done += 1
+                if bridged > best[done] and not (merges and text[done - 1] in chars):
+                    best[done], back[done] = bridged, done - 1
+
+        for at, (size, i, score) in self.automaton.iter(text):
+            if gaps:
+                bridge(at)
+            start = at + 1 - size
+            got = best[start] + score
+            if got > best[at + 1]:
+                if merges:
+                    before = last[start]
+                    fit = known(before * m + i)
+                    if not (fits(before, i) if fit is None else fit):
+                        continue
                     last[at + 1] = i
-        ids: list[int] = []
+                best[at + 1], back[at + 1] = got, start
+        if gaps:
+            bridge(n)
+        if best[n] == nothing:  # equal ranks of merges may leave a position without a way; by definition then
+            return self._ids(self.merged(text))
+        parts: list[str] = []
         at = n
         while at:
-            i = last[at]
-            if i < 0:  # equal ranks may leave a position without a way; by definition then
-                return self._ids(self.merged(text))
-            ids.append(i)
-            at -= len(self.pieces[i])
-        return ids[::-1]
-
-    def _with_unknown(self, text: str) -> list[int]:
-        """A character without a piece of its own merges with no neighbour; what lies between is segmented apart."""
-        out: list[int] = []
-        unknown, begin = False, 0
-        for k in [*(k for k, c in enumerate(text) if c not in self._chars), len(text)]:
-            if k > begin:
-                out += self.merge_path(text[begin:k])
-                unknown = False
-            if k < len(text):
-                own = self._ids([text[k]])
-                out += own if self.byte_id or not unknown else []
-                unknown, begin = True, k + 1
-        return out
+            parts.append(text[back[at] : at])
+            at = back[at]
+        return self._ids(parts[::-1])
 
     def _ids(self, parts: list[str]) -> list[int]:
         """Pieces by their ids, other characters by their bytes or as unknown, once for a run of them."""
@@ -186,36 +189,6 @@ class Vocabulary:
             unknown = known is None
         return out
 
-    def viterbi(self, text: str) -> list[int]:
-        """Of a unigram vocabulary: ids of the best segmentation of a text in which spaces are marks already."""
-        n, floor = len(text), self.floor
-        best = [float("-inf")] * (n + 1)
-        best[0] = 0.0
-        back = [0] * (n + 1)
-        done = 0  # the best scores up to here are final
-        for last, (size, _, score) in self.automaton.iter(text):
-            while done < last:  # a character at which no piece ends is bridged by an unknown one
-                bridged = best[done] + floor
-                done += 1
-                if bridged > best[done]:
-                    best[done], back[done] = bridged, done - 1
-            start = last + 1 - size
-            got = best[start] + score
-            if got > best[last + 1]:
-                best[last + 1], back[last + 1] = got, start
-        while done < n:
-            bridged = best[done] + floor
-            done += 1
-            if bridged > best[done]:
-                best[done], back[done] = bridged, done - 1
-        parts: list[str] = []
-        at = n
-        while at:
-            start = back[at]
-            parts.append(text[start:at])
-            at = start
-        return self._ids(parts[::-1])
-
 
 class Codec:
     def __init__(self, path: str):
