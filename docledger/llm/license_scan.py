@@ -7,10 +7,10 @@ an identifier tag is read as a licence expression, which a shunting-yard parser
 Definition.  A-Z is lower-cased; words are runs of ASCII letters, digits and non-ASCII bytes; null text is empty.  A place
 is where the words of a phrase stand consecutively; overlapping places of base phrases all count, of the phrases that this
 method adds only those that lie in no longer place.  ``labels`` are those of all phrases that count and of all identifiers in
-well-formed expressions.  ``permissive`` is true if every notice and expression found allows use under permissive terms, false
-if one does not, null if nothing was found; an identifier that is not listed allows nothing.  ``score`` is the confidence that
-the text carries a licence: 1 - 0.5 ** (distinct phrases + 2 * well-formed expressions).  Texts of any length are
-read whole, in time that grows with the length; equal rows give equal rows; an empty table gives an empty result.
+well-formed expressions of known identifiers; what follows a tag and names anything else ("see LICENSE file") is no expression.
+``permissive`` is true if every notice and expression found allows use under permissive terms, false if one does not, null if
+nothing was found.  ``score`` is how sure it is that the text carries a licence: names, sentences of notices and expressions each
+leave a part of the doubt, ``WEIGHTS``, distinct phrases and every expression counting once.  Texts of any length are read whole, in time that grows with the length; equal rows give equal rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
+from math import prod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,26 +33,68 @@ BASE_PHRASES = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-#: Phrases that this method adds.
-MORE_PHRASES = {
+_SHORT = {"noncommercial": "nc", "sharealike": "sa", "noderivatives": "nd"}
+#: Names of licences, which a text may mention without being under them.
+NAMES = {
+    "mit license": "mit",
     "gnu general public license": "gpl",
     "gnu general public license version 2": "gpl-2",
     "gnu general public license version 3": "gpl-3",
+    "gnu gpl": "gpl",
+    "gnu gpl v2": "gpl-2",
+    "gnu gpl v3": "gpl-3",
+    "gplv2": "gpl-2",
+    "gplv3": "gpl-3",
     "gnu lesser general public license": "lgpl",
+    "lgplv2": "lgpl-2",
+    "lgplv3": "lgpl-3",
     "gnu affero general public license": "agpl",
+    "agplv3": "agpl-3",
     "mozilla public license": "mpl",
+    "mozilla public license version 2": "mpl-2",
+    "mozilla public license v 2": "mpl-2",
+    "eclipse public license": "epl",
     "bsd license": "bsd",
     "isc license": "isc",
+    "apache license": "apache",
+    "boost software license": "bsl",
     "cc by": "cc-by",
     "cc by sa": "cc-by-sa",
     "cc by nd": "cc-by-nd",
-    "all rights reserved": "proprietary",
+    "cc by nc sa": "cc-by-nc-sa",
+    "cc by nc nd": "cc-by-nc-nd",
+    "cc0": "cc0",
+    **{
+        " ".join(("creative commons attribution", *words, *version)): "-".join(("cc-by", *(_SHORT[w] for w in words), *[".".join(version)][: len(version)]))
+        for words in ((), ("noncommercial",), ("sharealike",), ("noderivatives",), ("noncommercial", "sharealike"), ("noncommercial", "noderivatives"))
+        for version in ((), ("1", "0"), ("2", "0"), ("2", "5"), ("3", "0"), ("4", "0"))
+    },
+    "creative commons zero": "cc0",
 }
+#: Sentences of notices, which put a text under a licence.
+HEADERS = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files": "mit",
+    "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "isc",
+    "licensed under the apache license": "apache",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "subject to the terms of the mozilla public license v 2 0": "mpl-2",
+    **{
+        f"gnu {name}general public license{published}either version {version}": f"{label}-{version}-or-later"
+        for name, label in (("", "gpl"), ("lesser ", "lgpl"), ("library ", "lgpl"), ("affero ", "agpl"))
+        for published in (" ", " as published by the free software foundation ")
+        for version in ("2", "2 1", "3")
+        if version != "2 1" or label == "lgpl"
+    },
+}
+HEADERS = {phrase: label.replace("2 1", "2.1") for phrase, label in HEADERS.items()}
+#: What a text carries after evidence of a kind, if nothing else speaks for a licence.
+WEIGHTS = {"name": 0.4, "header": 0.9, "expression": 0.95}
 TAG = "spdx license identifier"
 # Labels and identifiers whose terms are permissive, lower-cased, without -only, -or-later or +.
 PERMISSIVE = frozenset(
     """
-    mit apache-2 bsd isc cc-by
+    mit apache apache-2 bsd bsl isc cc-by cc0
     0bsd aal adsl afl-1.1 afl-1.2 afl-2.0 afl-2.1 afl-3.0 apache-1.0 apache-1.1 apache-2.0 artistic-2.0 beerware blessing
     blueoak-1.0.0 bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-2-clause-views bsd-3-clause bsd-3-clause-attribution
     bsd-3-clause-clear bsd-3-clause-lbnl bsd-4-clause bsd-4-clause-uc bsd-source-code bsl-1.0 bzip2-1.0.6 cc-by-1.0 cc-by-2.0
@@ -63,6 +106,22 @@ PERMISSIVE = frozenset(
     """.split()
 )
 _LATER = re.compile(r"(-only|-or-later|\+)\Z")
+# Families of identifiers that are not permissive; a family may be followed by a version and what is said of later ones.
+FAMILIES = frozenset(
+    """
+    gpl lgpl agpl gfdl mpl epl cddl cpl ipl osl eupl cecill cc-by cc-by-sa cc-by-nd cc-by-nc cc-by-nc-sa cc-by-nc-nd odbl apsl rpl
+    nosl npl spl sleepycat qpl lppl ofl ms-pl ms-rl busl sspl elastic artistic ngpl parity polyform-noncommercial polyform-small-business
+    """.split()
+)
+_FAMILY = re.compile(rf"(?:{'|'.join(sorted(map(re.escape, FAMILIES), key=len, reverse=True))})(?:-v?\d+(?:\.\d+)*)?(?:-invariants|-no-invariants)?(?:-only|-or-later|\+)?")
+_EXCEPTION = re.compile(r"[a-z0-9][a-z0-9.+-]*(?:exception|foss|linking|link)[a-z0-9.+-]*|(?:linux-syscall-note|openjdk-assembly-exception-1\.0|mif-exception|gcc-exception-[\d.]+)")
+_REFERENCE = re.compile(r"(?:documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+")
+
+
+def is_known(name: str) -> bool:
+    """Whether this is an identifier: a listed one, one of a listed family, or a reference to a licence of the text's own."""
+    return is_permissive(name) or bool(_FAMILY.fullmatch(name) or _REFERENCE.fullmatch(name))
+
 
 _TO_WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -118,11 +177,13 @@ def is_permissive(name: str) -> bool:
     return _LATER.sub("", name) in PERMISSIVE
 
 
-def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
-    """The licences an expression names, and whether it can be used under permissive terms."""
+def evaluate(postfix: list[str]) -> tuple[set[str], bool] | None:
+    """The licences an expression names, and whether it can be used under permissive terms; None if it names anything unknown."""
     stack: list[tuple[set[str], bool]] = []
-    for token in postfix:
+    for k, token in enumerate(postfix):
         if token not in _BINDS:
+            if not is_known(token) and not (_EXCEPTION.fullmatch(token) and postfix[k + 1 : k + 2] == ["with"]):
+                return None
             stack.append(({token}, is_permissive(token)))
             continue
         (right, right_ok), (left, left_ok) = stack.pop(), stack.pop()
@@ -139,7 +200,7 @@ class Scanner:
     def __init__(self, base: dict[str, str] | None = None, more: dict[str, str] | None = None):
         import ahocorasick
 
-        base, more = BASE_PHRASES if base is None else base, MORE_PHRASES if more is None else more
+        base, more = BASE_PHRASES if base is None else base, {**NAMES, **HEADERS} if more is None else more
         self.automaton = ahocorasick.Automaton()
         for phrase, label in {**more, **base}.items():
             self.automaton.add_word(f" {phrase} ", (phrase, label, phrase in base))
@@ -173,8 +234,8 @@ class Scanner:
             whole = text.decode("latin-1")
             for w in tags:
                 postfix = to_postfix(whole, _COLON.match(text, spans[w - 1]).end())
-                if postfix:
-                    named, allowed = evaluate(postfix)
+                if postfix and (meaning := evaluate(postfix)):
+                    named, allowed = meaning
                     labels |= named
                     verdicts.append(allowed)
                     expressions.append(" ".join(postfix))
@@ -188,7 +249,7 @@ class Scanner:
             "labels": sorted(labels),
             "expressions": expressions,
             "permissive": all(verdicts) if verdicts else None,
-            "score": 1 - 0.5 ** (len(phrases) + 2 * len(expressions)),
+            "score": 1 - prod([1 - WEIGHTS["header" if p in HEADERS else "name"] for p in sorted(phrases)] + [1 - WEIGHTS["expression"]] * len(expressions)),
         }
 
 
