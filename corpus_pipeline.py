@@ -9,6 +9,7 @@ The documents' own columns travel as one struct, so their names never clash with
 
 from __future__ import annotations
 
+import threading
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,13 +42,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Near-duplicates have equal sets of 5-word shingles, or a Jaccard similarity of 0.8 or more.  SimHash names the close ones; a
     search by prefixes finds the pairs whose fingerprints differ in more bits than its budget.
-    A row is known by its doc_id and the hash of its text, so texts that share a doc_id, or have none, are rows of their own.
+    A row is known by its doc_id and the SHA-256 of its text, so texts that share a doc_id, or have none, are rows of their own.
     """
-    digest = F.xxhash64("text").alias("digest")
-    found = similar_documents(docs.select("doc_id", "text", digest), keep=("digest",))
+    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+    found = similar_documents(docs.select("doc_id", "text", digest.alias("digest")), keep=("digest",))
     least = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("least"))
     stay = least.select(F.col("least.doc_id").alias("stay_id"), F.col("least.digest").alias("stay_digest"))
-    rows = _packed(docs).withColumn("digest", F.xxhash64("text"))
+    rows = _packed(docs).withColumn("digest", digest)
     rows = rows.join(stay, F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("digest") == F.col("stay_digest")), "left_semi")
     # The same text may be there more than once under one doc_id.
     first = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("text"))
@@ -72,8 +73,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_documents(docs, _vocabulary("piece_bpe_32k.model"), keep=("doc_id", "lang", "source"), check=True)
 
 
-#: Folders that the stage before this one wrote for its own use, by application.
-_left: dict[str, list[str]] = {}
+#: Folders that the stage before this one wrote for its own use; of each thread, as a run stays in one.
+_left = threading.local()
 
 
 def _stage(work):
@@ -81,11 +82,11 @@ def _stage(work):
 
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        application = spark.sparkContext.applicationId
-        delete(spark, _left.pop(application, []))
+        delete(spark, getattr(_left, "folders", []))
+        _left.folders = []
         with recording() as made:
             out = work(spark, docs, sf_dir)
-        _left[application] = made
+        _left.folders = made
         return out
 
     return run_stage
