@@ -11,10 +11,10 @@ it is linked to; so the first t common shingles of two linked sets are among the
    a passage or line that is common in the corpus does not suffice.
 2. The sets that stay are ordered anew, shingles of few sets first, and their prefixes with t = 1 tie those that can be linked
    into candidate components.  A shingle that is common does not come into a prefix unless a set has little else.
-3. The sets of a candidate component are compared, rarest shingles first, in one task.
-4. A component of more than ``BLOCK`` shingles is a large group of close copies.  SimHash, the binary-trie join of ``simhash`` over
-   the fingerprints of the 5-word shingles, names the pairs within its budget of bits, and their sets are compared: sets so
-   linked share a label, and a pair under one label is not compared again.  The component is dealt in blocks: those of its most
+3. In the candidate components SimHash, the binary-trie join of ``simhash`` over the fingerprints of the 5-word shingles, names the
+   pairs within its budget of bits, and their sets are compared: sets so linked share a label.
+4. The sets of a component are compared, rarest shingles first; a pair under one label is not compared again.  A component of up to
+   ``BLOCK`` shingles is one task.  A larger one, a large group of close copies, is dealt in blocks: those of its most
    common label, and those of all other sets.  Each pair of blocks with sets to compare is a task, so none holds more than two.
 
 Null and empty texts have the empty set and are linked with each other. Equal rows get equal groups; texts of any length are read
@@ -344,15 +344,12 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, keep: tuple[str, ...]
     ranked = stay.join(levels, "sig", "left").select("sig", "shingles", "halves", "levels")
     ties = ranked.mapInArrow(short_prefixes, "key long, sig long").repartition(n, "key").mapInArrow(_tied, "a long, b long").distinct()
     placed = components(ties).withColumnRenamed("id", "sig")
-    large = saved(placed.join(sizes, "sig").groupBy("component").agg(F.sum(F.col("n") + 1).alias("size")).where(F.col("size") > block).select("component"), "large")
-    close = None if large.isEmpty() else saved(_close(placed.join(large, "component").join(sizes, "sig"), stay, budget), "close")
-    label = F.col("sig")
-    if close is not None:
-        placed, label = placed.join(components(close).withColumnsRenamed({"id": "sig", "component": "label"}), "sig", "left"), F.coalesce("label", "sig")
+    close = saved(_close(placed.join(sizes, "sig"), stay, budget), "close")
+    named = components(close).withColumnsRenamed({"id": "sig", "component": "label"})
+    placed, label = placed.join(named, "sig", "left"), F.coalesce("label", "sig")
     compared = placed.join(stay, "sig").select("component", label.alias("label"), "sig", "shingles")
     tasks = _in_tasks(compared, block).repartition(n, "component", "i", "j").sortWithinPartitions("component", "i", "j")
     edges = saved(tasks.mapInArrow(_linked, "a long, b long"), "linked")
-    edges = edges if close is None else edges.unionByName(close)
-    groups = components(edges).withColumnsRenamed({"id": "sig", "component": "group"})
+    groups = components(edges.unionByName(close)).withColumnsRenamed({"id": "sig", "component": "group"})
     out = marked.select(*names, "sig").join(groups, "sig", "left").select(*names, F.coalesce("group", "sig").alias("group"))
     return renamed(out, keep)
