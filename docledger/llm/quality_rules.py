@@ -2,7 +2,8 @@
 
 Only DataFrame functions are used.
 
-Method.  Pairs of neighbouring words and pairs of neighbouring word shapes are hashed into ``BUCKETS`` places.  over the places are estimated from all documents and from the trusted ones, and a document's score is the mean log ratio of the
+Method.  Pairs of neighbouring words and pairs of neighbouring word shapes are hashed into ``BUCKETS`` places.  Two multinomials
+over the places are estimated, from all documents and from the trusted ones, and a document's score is the mean log ratio of the
 two over its pairs.  A shape is a word with each run of A-Z, of digits and of other letters (a-z and all
 non-ASCII characters) reduced to one character.
 
