@@ -147,7 +147,10 @@ class Store:
         path, cut = f"{self.root}/{name}/v={version}", self._cut(name)
         kept = self._parted(name, rows).select(*dict.fromkeys([*_names(self._schema(name)), *cut]))
         # Rows of a part come together; what is too much for one task is split, what is little is joined.
-        (kept.hint("rebalance", *cut).write.partitionBy(*cut) if cut else kept.write).mode("overwrite").parquet(path)
+        rows = kept.hint("rebalance", *cut) if cut else kept
+        if name in schemas.SOUGHT:
+            rows = rows.sortWithinPartitions(*cut, schemas.SOUGHT[name])
+        (rows.write.partitionBy(*cut) if cut else rows.write).mode("overwrite").parquet(path)
         written = self.spark.read.schema(self._schema(name)).option("recursiveFileLookup", True).parquet(path)
         top = written.agg(F.max(schemas.IDS[name])).head()[0] if name in schemas.IDS else None
         return self._folders(path, len(cut)), top or 0

@@ -39,6 +39,8 @@ LAYOUT = {
     "document_keys": "prefix string",
     "document_trigrams": "slot int",
 }
+#: What rows are looked up by; files are sorted by it, so that their statistics keep others out.
+SOUGHT = {"document_keys": "key", "document_trigrams": "trigram"}
 #: The time that decides a row's period; an item has the period of its document.
 TIMES = {"invoice_documents": "processed_at", "processing_logs": "start_time", "duplicate_files": "skipped_at"}
 SCHEMA_VERSION = 4
