@@ -507,6 +507,36 @@ def key_probe(spark, sf_dir):
     return intake.decide(new, store.candidates(new)).select("path", "status", "reason", "original_file")
 
 
+#: Rendered texts as files: some are empty, some come a second time under another name.
+_BATCH = f"""
+SELECT doc_key, iso, c_name, amount, 'a/' || lpad(CAST(doc_key AS STRING), 10, '0') || '.pdf' AS path, lpad(CAST(doc_key AS STRING), 10, '0') || '.pdf' AS file_name,
+  CASE WHEN doc_key % 17 = 0 THEN '' ELSE '%PDF-' || chr(10) || text || chr(10) || 'k' || CAST(doc_key AS STRING) END AS body FROM ({RENDERED}) r
+UNION ALL SELECT doc_key, iso, c_name, amount, 'b/copy_' || CAST(doc_key AS STRING) || '.pdf', 'copy_' || CAST(doc_key AS STRING) || '.pdf', '%PDF-' || chr(10) || text || chr(10) || 'k' || CAST(doc_key AS STRING) FROM ({RENDERED}) r WHERE doc_key % 50 = 1 AND doc_key % 17 <> 0
+"""
+_PAPER_SQL = f"CASE WHEN {_CONFIDENCE_SQL} = 'high' THEN 'success' ELSE 'needs_review' END"
+
+
+@_query(
+    f"""WITH f AS (SELECT * FROM ({RENDERED})), e AS (SELECT *, doc_key % 17 = 0 AS empty, lpad(CAST(doc_key AS STRING), 10, '0') || '.pdf' AS file_name FROM f)
+SELECT 'document' AS kind, file_name, CASE WHEN empty THEN 'failed' ELSE {_PAPER_SQL} END AS status, CASE WHEN NOT empty THEN {_NUMBER_SQL} END AS invoice_number, CASE WHEN NOT empty THEN {_DATE_SQL} END AS invoice_date,
+  CASE WHEN NOT empty THEN CASE doc_key % 3 WHEN 1 THEN '--- Page 1 ---' ELSE c_name END END AS vendor_name, CASE WHEN NOT empty THEN {_TOTAL_SQL} END AS total_amount, CASE WHEN NOT empty THEN {_CURRENCY_SQL} END AS currency,
+  CASE WHEN empty THEN 'File is empty' END AS reason FROM e
+UNION ALL SELECT 'log', file_name, CASE WHEN empty THEN 'failed' ELSE 'success' END, NULL, NULL, NULL, NULL, NULL, CASE WHEN empty THEN 'File is empty' END FROM e
+UNION ALL SELECT 'log', 'copy_' || CAST(doc_key AS STRING) || '.pdf', 'duplicate_skipped', NULL, NULL, NULL, NULL, NULL, '{intake.SAME_BATCH}' FROM e WHERE doc_key % 50 = 1 AND NOT empty
+UNION ALL SELECT 'duplicate', 'copy_' || CAST(doc_key AS STRING) || '.pdf', NULL, NULL, NULL, NULL, NULL, NULL, file_name FROM e WHERE doc_key % 50 = 1 AND NOT empty"""
+)
+def daily_batch(spark, sf_dir):
+    """A whole batch over files in the plan: documents, run logs and duplicates as the store has them afterwards."""
+    files = _rows(spark, sf_dir, _BATCH).select("path", "file_name", F.encode("body", "UTF-8").alias("content"), F.octet_length("body").cast("long").alias("length"))
+    store = Store(spark, shared_folder(spark, "store"), period="year", buckets=4, digits=1)
+    batch.run(files, store, "one", now=_now())
+    empty = {c: F.lit(None).cast(t) for c, t in (("invoice_number", "string"), ("invoice_date", "string"), ("vendor_name", "string"), ("total_amount", "double"), ("currency", "string"))}
+    documents = store.table("invoice_documents").select(F.lit("document").alias("kind"), "file_name", "status", "invoice_number", F.col("invoice_date").cast("string").alias("invoice_date"), "vendor_name", F.col("total_amount").cast("double").alias("total_amount"), "currency", F.col("failure_reason").alias("reason"))
+    logs = store.table("processing_logs").select(F.lit("log").alias("kind"), "file_name", "status", F.col("error_message").alias("reason")).withColumns(empty)
+    copies = store.table("duplicate_files").select(F.lit("duplicate").alias("kind"), "file_name", F.lit(None).cast("string").alias("status"), F.col("original_file").alias("reason")).withColumns(empty)
+    return documents.unionByName(logs).unionByName(copies)
+
+
 def _window_store(spark, sf_dir):
     """Documents and items; an item lies in the period of its document."""
     documents = _invoices(spark, sf_dir)

@@ -141,7 +141,7 @@ def test_nothing_wanted_and_empty_store(spark, tmp_path):
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the small tables")
-@pytest.mark.parametrize("name", ["merge_parts", "key_probe", "window_parts", "kept_figures"])
+@pytest.mark.parametrize("name", ["merge_parts", "key_probe", "window_parts", "kept_figures", "migrate_store", "daily_batch", "key_audit", "column_audit"])
 def test_agrees_with_sql(spark, name):
     from .test_entry import test_agrees_with_sql as check
 
