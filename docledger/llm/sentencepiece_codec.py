@@ -39,6 +39,7 @@ CHUNK_BYTES = 512 << 10
 _MARK_BYTES = MARK.encode("utf-8")
 #: What an unknown character costs, below the lowest score.
 UNKNOWN_PENALTY = 10.0
+_NOTHING = float("-inf")
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -135,24 +136,14 @@ class Vocabulary:
         Of a merge vocabulary a piece relaxes its end only from a piece that it fits, and a character without a piece of its own
         fits nothing: what stands on either side of it is apart.
         """
-        n, m, merges, floor, chars = len(text), self.size + 1, self.merges, self.floor, self._chars
-        nothing, known, fits = float("-inf"), self._fits.get, self.fits
-        best, back, last = [nothing] * (n + 1), [0] * (n + 1), [self.size] * (n + 1)
+        n, m, merges = len(text), self.size + 1, self.merges
+        known, fits = self._fits.get, self.fits
+        best, back, last = [_NOTHING] * (n + 1), [0] * (n + 1), [self.size] * (n + 1)
         best[0] = 0.0
-        done, gaps = 0, not merges or not chars.issuperset(text)
-
-        def bridge(upto: int) -> None:
-            """Makes the best scores up to there final: a character at which no piece ends is bridged by an unknown one."""
-            nonlocal done
-            while done < upto:
-                bridged = best[done] + floor
-                done += 1
-                if bridged > best[done] and not (merges and text[done - 1] in chars):
-                    best[done], back[done] = bridged, done - 1
-
+        gaps, done = not merges or not self._chars.issuperset(text), 0
         for at, (size, i, score) in self.automaton.iter(text):
             if gaps:
-                bridge(at)
+                done = self._bridge(text, best, back, done, at)
             start = at + 1 - size
             got = best[start] + score
             if got > best[at + 1]:
@@ -161,18 +152,25 @@ class Vocabulary:
                     fit = known(before * m + i)
                     if not (fits(before, i) if fit is None else fit):
                         continue
-                    last[at + 1] = i
-                best[at + 1], back[at + 1] = got, start
+                best[at + 1], back[at + 1], last[at + 1] = got, start, i
         if gaps:
-            bridge(n)
-        if best[n] == nothing:  # equal ranks of merges may leave a position without a way; by definition then
+            self._bridge(text, best, back, done, n)
+        if best[n] == _NOTHING:  # equal ranks of merges may leave a position without a way; by definition then
             return self._ids(self.merged(text))
-        parts: list[str] = []
-        at = n
+        way, at = [], n
         while at:
-            parts.append(text[back[at] : at])
+            way.append(text[back[at] : at] if gaps else last[at])
             at = back[at]
-        return self._ids(parts[::-1])
+        return self._ids(way[::-1]) if gaps else way[::-1]
+
+    def _bridge(self, text: str, best: list[float], back: list[int], done: int, upto: int) -> int:
+        """Makes the best scores up to there final: a character at which no piece ends is bridged by an unknown one."""
+        while done < upto:
+            bridged = best[done] + self.floor
+            done += 1
+            if bridged > best[done] and not (self.merges and text[done - 1] in self._chars):
+                best[done], back[done] = bridged, done - 1
+        return done
 
     def _ids(self, parts: list[str]) -> list[int]:
         """Pieces by their ids, other characters by their bytes or as unknown, once for a run of them."""
