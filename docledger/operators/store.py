@@ -17,6 +17,7 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from . import merge, search
 
 #: Folders of a part before they are written together as one.
 FOLDERS = 64
+#: Tables that a commit writes at a time.
+WRITERS = 4
 
 COMMIT = "commit long, batch string, changes array<struct<table:string,version:string,part:string,replaces:boolean,present:boolean>>, tops map<string,long>, period string, buckets int, digits int, any_case boolean, at timestamp"
 
@@ -188,17 +191,20 @@ class Store:
             changes.extend((name, version, p, p in gone, p in found) for p in sorted(found | gone))
             return self.spark.read.schema(self._schema(name)).option("recursiveFileLookup", True).parquet(f"{self.root}/{name}/v={version}")
 
+        def write_beside(item: tuple[str, DataFrame]) -> None:
+            name, frame = item
+            crowded = {p for p, n in Counter(p for _, p in self.live(name)).items() if n + 1 >= FOLDERS}
+            write(name, self._joined(name, crowded, frame, version) if crowded else frame, crowded)
+
         def write_added(rows: dict[str, DataFrame]) -> None:
-            for name, frame in rows.items():
-                crowded = {p for p, n in Counter(p for _, p in self.live(name)).items() if n + 1 >= FOLDERS}
-                write(name, self._joined(name, crowded, frame, version) if crowded else frame, crowded)
+            """Tables do not depend on each other, so their jobs run side by side."""
+            with ThreadPoolExecutor(WRITERS) as pool:
+                list(pool.map(write_beside, rows.items()))
 
         whole = {n: (rows, {p for _, p in self.live(n)}) for n, rows in tables.items()}
         written = {n: write(n, rows, gone) for n, (rows, gone) in (whole | dict(replace or {})).items()}
-        write_added(dict(add or {}))
-        if then:
-            write_added(then(written))
-        row = self.spark.createDataFrame([(number, batch, changes, tops, self.period, self.buckets, self.digits, self.any_case, None)], COMMIT).withColumn("at", F.current_timestamp())
+        write_added({**(add or {}), **(then(written) if then else {})})
+        row = self.spark.createDataFrame([(number, batch, sorted(changes), tops, self.period, self.buckets, self.digits, self.any_case, None)], COMMIT).withColumn("at", F.current_timestamp())
         row.coalesce(1).write.mode("error").json(f"{self.root}/_commits/{number:08d}")
         return True
 

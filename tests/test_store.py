@@ -119,7 +119,7 @@ def test_keys_and_figures_follow_changes(spark, tmp_path, monkeypatch):
     assert ids("a") == ids(None, "h1") == {1} and ids("c") == {3} and ids("x", "h2") == {2} and ids("", "") == set()
     agrees()
     # A failure changes the hash; a success pays more; both come again and again.
-    for k in range(4):
+    for k in range(2):
         failed = spark.createDataFrame([("a", f"g{k}", "failed", "broken")], "file_name string, file_hash string, status string, failure_reason string")
         good = spark.createDataFrame([("b", "h2", "success", f"{k}.25", "EUR"), (f"new{k}", f"n{k}", "success", "1.00", "EUR")], "file_name string, file_hash string, status string, total_amount string, currency string").withColumn("total_amount", F.col("total_amount").cast("decimal(10,2)"))
         assert store.put_documents(f"more{k}", *store.merged(good, failed, now()))
@@ -127,10 +127,10 @@ def test_keys_and_figures_follow_changes(spark, tmp_path, monkeypatch):
         assert {r.status for r in store.candidates(spark.createDataFrame([("a", None)], "file_name string, file_hash string")).collect()} == {"failed"}
         agrees()
     again = Store(spark, f"file://{tmp_path}/s")
-    assert (again.period, again.buckets, again.digits) == ("day", 2, 1) and again.top("invoice_documents") == 7 and again.table("invoice_documents").count() == 7
+    assert (again.period, again.buckets, again.digits) == ("day", 2, 1) and again.top("invoice_documents") == 5 and again.table("invoice_documents").count() == 5
     assert len(store.live("document_cells")) <= 3
     # Figures of a day and a state equal those of a look at documents.
-    assert store.cells().where("day = '2030-01-01'").select("n", "total_amount").collect()[0] == (4, Decimal("4.00"))
+    assert store.cells().where("day = '2030-01-01'").select("n", "total_amount").collect()[0] == (2, Decimal("2.00"))
 
 
 def test_nothing_wanted_and_empty_store(spark, tmp_path):
@@ -141,7 +141,7 @@ def test_nothing_wanted_and_empty_store(spark, tmp_path):
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the small tables")
-@pytest.mark.parametrize("name", ["merge_parts", "key_probe", "window_parts", "kept_figures", "migrate_store", "daily_batch", "key_audit", "column_audit"])
+@pytest.mark.parametrize("name", ["merge_parts", "key_probe", "window_parts", "kept_figures", "migrate_store", "daily_batch", "key_audit"])
 def test_agrees_with_sql(spark, name):
     from .test_entry import test_agrees_with_sql as check
 
