@@ -14,7 +14,6 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "path string, file_name string, length long, modified timestamp"
