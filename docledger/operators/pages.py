@@ -1,7 +1,8 @@
 """Pages of an ordered table, however far down, without sorting it for each.
 
-The table is written once in ranges of its order, each in a folder, with the number of rows in it.  Running sums of those numbers tell
-which ranges hold a page; only these, one or two, are read and sorted.
+The table is written once in ranges of its order, each in a folder, with the number of rows in it.  In a range rows lie in
+order, numbered by their place.  Running sums of the ranges' numbers tell which ranges, and which places in them, hold a page; of one
+or two ranges only the pages of the file that have these places are read and sorted.
 """
 
 from __future__ import annotations
@@ -11,16 +12,20 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows of a range, about.
+#: Rows that a file's statistics tell apart, about: what is read for a page.
 RANGE_ROWS = 1 << 14
+#: Rows of a range, about. Each is a task, whose counters go to the driver, and a folder.
+TASK_ROWS = 1 << 18
 
 
-def write_pages(rows: DataFrame, folder: str, *order: Column | str, range_rows: int = RANGE_ROWS) -> None:
+def write_pages(rows: DataFrame, folder: str, *order: Column | str, range_rows: int = RANGE_ROWS, task_rows: int = TASK_ROWS) -> None:
     """Writes ``rows`` in ranges. ``order`` must tell all rows apart, or equal rows come in any order."""
-    n = max(1, math.ceil(rows.count() / range_rows))
-    ranged = rows.repartitionByRange(n, *order).withColumn("range", F.spark_partition_id())
-    ranged.write.partitionBy("range").parquet(f"{folder}/rows")
-    counted = rows.sparkSession.read.schema(ranged.schema).parquet(f"{folder}/rows").groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    n = max(1, math.ceil(rows.count() / max(range_rows, task_rows)))
+    ranged = rows.repartitionByRange(n, *order).withColumn("range", F.spark_partition_id()).sortWithinPartitions("range", *order)
+    # The low 33 bits of the id are the row's place in its task.
+    placed = ranged.withColumn("place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    placed.write.partitionBy("range").option("parquet.page.row.count.limit", range_rows).parquet(f"{folder}/rows")
+    counted = rows.sparkSession.read.schema(placed.schema).parquet(f"{folder}/rows").groupBy("range").agg(F.count(F.lit(1)).alias("n"))
     counted.write.parquet(f"{folder}/counts")
     rows.limit(0).write.parquet(f"{folder}/columns")
 
@@ -38,6 +43,11 @@ def read_page(spark: SparkSession, folder: str, number: int, *order: Column | st
     shape = spark.read.parquet(f"{folder}/columns")
     if not near:
         return shape
-    columns = shape.columns
-    rows = spark.read.schema(shape.withColumn("range", F.lit(0)).schema).parquet(f"{folder}/rows")
-    return rows.where(F.col("range").isin([r["range"] for r in near])).orderBy(*order).offset(low - near[0]["before"]).limit(size).select(columns)
+    rows = spark.read.schema(shape.withColumns({"place": F.lit(0).cast("long"), "range": F.lit(0)}).schema).parquet(f"{folder}/rows")
+    held = F.lit(False)
+    for r in near:
+        held = held | ((F.col("range") == r["range"]) & F.col("place").between(max(low - r["before"], 0), high - r["before"] - 1))
+    # Bounds over all ranges, for the statistics of files.
+    first, last = min(max(low - r["before"], 0) for r in near), max(min(high - r["before"], r["n"]) for r in near) - 1
+    held = held & F.col("range").isin([r["range"] for r in near]) & F.col("place").between(first, last)
+    return rows.where(held).orderBy(*order).limit(size).select(shape.columns)
