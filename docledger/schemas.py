@@ -27,7 +27,7 @@ TABLES = {
 #: Tables that a store derives from documents: where a name or a hash is, which documents hold three letters, and sums by day, status and currency.
 DERIVED = {
     "document_keys": "kind string, key string, document_id long, file_name string, file_hash string, status string, period date, bucket int, alive boolean",
-    "document_trigrams": "trigram string, document_id long, period date, bucket int",
+    "document_trigrams": "trigram string, high long, period date, bucket int, low array<int>",
     "document_cells": "day date, status string, currency string, n long, total_amount decimal(38,2)",
 }
 #: How a table is cut into parts: by what, in the order of folders. ``period`` is the first day of the store's unit of time.

@@ -69,6 +69,29 @@ def test_pages(spark, tmp_path):
     assert pages.read_page(spark, f"{folder}0", 1, *order).collect() == []
 
 
+def test_pages_of_few_rows_take_few_tasks(spark, tmp_path):
+    """Ranges are tasks and folders; how finely a page is read adds none of them."""
+    rows = spark.range(503).select(F.col("id").alias("document_id"))
+    for name, task_rows, n in (("one", pages.TASK_ROWS, 1), ("many", 100, 6)):
+        pages.write_pages(rows.repartition(3), f"file://{tmp_path}/{name}", "document_id", range_rows=5, task_rows=task_rows)
+        assert len([d for d in os.listdir(tmp_path / name / "rows") if d.startswith("range=")]) == n
+        for number, size in ((1, 10), (9, 10), (10, 10), (11, 10), (51, 10), (52, 10), (2, 150), (1, 1000)):
+            got = pages.read_page(spark, f"file://{tmp_path}/{name}", number, "document_id", size=size).collect()
+            assert [r.document_id for r in got] == list(range(503))[(number - 1) * size : number * size], (name, number)
+
+
+def test_search_lists_a_common_trigram_in_few_rows(spark, tmp_path):
+    """A row of the index is a list of documents, not one; ids of every size come back."""
+    ids = [*range(2000), -5, (1 << 31) - 1, 1 << 31, (1 << 40) + 7]
+    store = Store(spark, f"file://{tmp_path}/s", period="year", buckets=1)
+    documents = _named(spark, [(k, f"INV-{k}", "Same vendor", "2024-01-01 10:00:00") for k in ids]).coalesce(1)
+    store.put_documents("one", documents.where("1 = 0"), documents, set())
+    assert store.table("document_trigrams").where("trigram = 'ven'").count() < 20
+    for term in ("vendor", "inv--5", "2147483648", "1099511627783", "inv-12"):
+        expected = {r.document_id for r in dashboard.search(store.table("invoice_documents"), term).collect()}
+        assert expected and {r.document_id for r in store.search(term).collect()} == expected, term
+
+
 def test_listing_of_many_files(spark, tmp_path):
     """20,000 files at four depths; the driver makes partitions of folders only."""
     root = tmp_path / "many"
