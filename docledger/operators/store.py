@@ -27,6 +27,8 @@ from . import merge, search
 
 #: Folders of a part before they are written together as one.
 FOLDERS = 64
+#: The kinds of keys, and the column of documents that each is of.
+KINDS = (("name", "file_name"), ("hash", "file_hash"))
 #: Tables that a commit writes at a time.
 WRITERS = 4
 
@@ -107,7 +109,8 @@ class Store:
         schema = ", ".join([self._schema(name), *(c.strip() for c in layout.split(",") if c.strip().split(" ")[0] in extra), "v string"])
         paths = [f"{self.root}/{name}/v={v}/{part}".rstrip("/") for v, part in self.live(name) if parts is None or part in parts]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            # A frame that the optimizer knows to be empty, so that joins with it go.
+            return self.spark.createDataFrame([], schema).limit(0)
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*paths)
 
     def table(self, name: str, parts: set[str] | None = None) -> DataFrame:
@@ -153,7 +156,7 @@ class Store:
         rows = kept.hint("rebalance", *cut) if cut else kept
         if name in schemas.SOUGHT:
             rows = rows.sortWithinPartitions(*cut, schemas.SOUGHT[name])
-        (rows.write.partitionBy(*cut) if cut else rows.write).mode("overwrite").parquet(path)
+        (rows.write.partitionBy(*cut) if cut else rows.write).mode("overwrite").option("compression", "zstd").parquet(path)
         written = self.spark.read.schema(self._schema(name)).option("recursiveFileLookup", True).parquet(path)
         top = written.agg(F.max(schemas.IDS[name])).head()[0] if name in schemas.IDS else None
         return self._folders(path, len(cut)), top or 0
@@ -237,6 +240,7 @@ class Store:
         # At most 16**digits prefixes.
         prefixes = asked.select(digest_prefix(F.col("kind"), F.col("key"), self.digits).alias("prefix")).distinct()
         near = self.read("document_keys").join(F.broadcast(prefixes), "prefix", "left_semi").join(asked, ["kind", "key"], "left_semi")
+        near = near.withColumns({c: F.coalesce(c, F.when(F.col("kind") == kind, F.col("key"))) for kind, c in KINDS})
         last = near.groupBy("kind", "key", "document_id").agg(F.max_by(F.struct("file_name", "file_hash", "status", "period", "alive"), "v").alias("r"))
         return last.where("r.alive").select("document_id", "r.file_name", "r.file_hash", "r.status", "r.period").distinct()
 
@@ -251,9 +255,10 @@ class Store:
             # What is still so needs no row that says it has gone.
             return F.when(F.col(side).isNotNull() if alive else F.col("o").isNotNull() & ~F.col(f"o.{column}").eqNullSafe(F.col(f"n.{column}")), fields)
 
-        kinds = (("name", "file_name"), ("hash", "file_hash"))
-        made = F.array_compact(F.array(*(key(side, *k, alive) for side, alive in (("n", True), ("o", False)) for k in kinds)))
+        made = F.array_compact(F.array(*(key(side, *k, alive) for side, alive in (("n", True), ("o", False)) for k in KINDS)))
         keys = both.select("document_id", F.explode(made).alias("k")).select("document_id", "k.kind", "k.key", "k.alive", "k.d.*").where("key > ''")
+        # What the key says already is not written a second time.
+        keys = keys.withColumns({c: F.when(~((F.col("kind") == kind) & F.col(c).eqNullSafe(F.col("key"))), F.col(c)) for kind, c in KINDS})
         cells = [
             d.select(day_of(F.col("processed_at")).alias("day"), "status", "currency", F.lit(sign).cast("long").alias("n"), (F.coalesce("total_amount", F.lit(0)) * sign).cast("decimal(38,2)").alias("total_amount"))
             for d, sign in ((before, -1), (after, 1))
