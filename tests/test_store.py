@@ -153,3 +153,17 @@ def test_matches_of_a_part_are_those_of_the_whole(spark):
     new = spark.createDataFrame([("f3", "h9"), ("x", "h5"), ("y", None)], "file_name string, file_hash string")
     part = stored.where("document_id in (3, 5, 9)")
     assert sorted(merge.matches(stored, new).collect()) == sorted(merge.matches(part, new).collect())
+
+
+def test_an_empty_part_is_known_to_be_empty(spark, tmp_path):
+    """Joins with a table that has no folders go before anything runs; keys do not repeat the name or hash they are."""
+    store = Store(spark, f"file://{tmp_path}/s", period="year", buckets=1)
+    asked = spark.range(5).select(F.concat(F.lit("f"), "id").alias("file_name"), F.concat(F.lit("h"), "id").alias("file_hash"))
+    plan = asked.join(store.candidates(asked), ["file_name"], "left")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    rows = Q._as(asked.withColumns({"document_id": F.substring("file_name", 2, 1).cast("long"), "status": F.lit("success")}), "invoice_documents")
+    store.put_documents("one", rows.where(F.lit(False)), rows, set())
+    keys = store.table("document_keys")
+    assert keys.where("kind = 'name' and file_name is not null or kind = 'hash' and file_hash is not null").count() == 0 < keys.count()
+    wanted = asked.where("file_name = 'f1'").select("file_name", F.lit("h3").alias("file_hash"))
+    assert sorted((r.document_id, r.file_name, r.file_hash) for r in store.candidates(wanted).collect()) == [(1, "f1", "h1"), (3, "f3", "h3")]
