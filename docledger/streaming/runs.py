@@ -45,9 +45,10 @@ class Runs(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        events = sorted(tuple(e) for e in self.waiting.get()) if self.waiting.exists() else []
+        events = sorted(tuple(e) for e in self.waiting.get())
         due, later = [e for e in events if e[0] <= passed], [e for e in events if e[0] > passed]
-        start, out = (self.open.get()[0] if self.open.exists() else None), []
+        opened, out = self.open.get(), []
+        start = was = opened[0] if opened else None
 
         def close(end: int, status: str, error: str | None) -> None:
             out.append(Row(run=key[0], start_us=start, end_us=end, status=status, error_message=error))
@@ -69,9 +70,10 @@ class Runs(StatefulProcessor):
             self._wake(later[0][0])
         elif events:
             self.waiting.clear()
-        if start is None:
+        # Each call of the state is a message to the engine: none for what has not changed.
+        if start is None and was is not None:
             self.open.clear()
-        else:
+        elif start is not None and start != was:
             self.open.update((start,))
             self._wake(start + self.allowed)
         return iter(out)
@@ -106,15 +108,15 @@ def replay(rows: DataFrame, batches: list[DataFrame], folder: str, stream) -> Da
     ``stream`` turns the streaming table into its result.
     """
     spark = rows.sparkSession
-    for batch in batches:
-        batch.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     try:
-        result = stream(source)
-        query = result.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start(f"{folder}/out")
-        query.awaitTermination()
+        for batch in batches:
+            # As many files as the batch has parts; the query takes what is new as one micro-batch and goes on from its state.
+            batch.write.mode("append").parquet(f"{folder}/in")
+            result = stream(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
+            query = result.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start(f"{folder}/out")
+            query.awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     return spark.read.schema(result.schema).parquet(f"{folder}/out")

@@ -69,6 +69,15 @@ def test_copies_in_a_stream(spark, tmp_path):
     assert sorted(str(r.file_hash) for r in got) == ["None", "h1", "h2", "h3"]
 
 
+def test_a_batch_of_several_parts_is_one_micro_batch(spark, tmp_path):
+    """A batch is written by as many tasks as it has parts, and still comes at once."""
+    events = [("a", 1, True, None, 10.0), ("a", 2, False, None, 20.0), ("b", 3, True, None, 15.0)]
+    batches = [frame(spark, events).repartition(3, "id"), frame(spark, [("z", 9, False, None, 9000.0)])]
+    got = runs.replay(batches[0], batches, f"file://{tmp_path}/x", lambda s: runs.run_logs(s, HOUR, "1 second")).collect()
+    assert sorted((r.run, r.status) for r in got) == [("a", "success"), ("b", "failed")]
+    assert len([f for f in os.listdir(tmp_path / "x" / "in") if f.endswith(".parquet")]) > 2
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the small tables")
 @pytest.mark.parametrize("name", ["run_stream", "stream_distinct"])
 def test_agrees_with_sql(spark, name):
