@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.basic import blank_to_null, stem, suffix
-from .merge import collated
+from .merge import carried, collated, packed, unpacked
 
 # Accepted extensions, the first bytes of each kind, and the reasons.
 EXTENSIONS = (".pdf", ".png", ".jpg", ".jpeg", ".tiff", ".tif")
@@ -68,16 +68,18 @@ def decide(files: DataFrame, documents: DataFrame | None = None, collation: str
     every file of the batch a duplicate of the stored one.  Rows of one hash meet in one task, so the rows dealt are only
     the narrow ones of this table; contents stay behind.  Names are compared under ``collation``, byte for byte without one.
     """
-    rows = files.withColumn("valid", F.col("invalid_reason").isNull() & F.col("file_hash").isNotNull())
+    # Hashes go through every shuffle packed.
+    rows = files.select("path", "file_name", "invalid_reason", packed(F.col("file_hash")).alias("digest"), (F.col("invalid_reason").isNull() & F.col("file_hash").isNotNull()).alias("valid"))
     # The winner of each hash by aggregation, which combines before the shuffle, however many copies there are.
-    winners = rows.where("valid").groupBy("file_hash").agg(F.min(F.struct("path", "file_name")).alias("winner"))
-    rows = rows.join(winners, "file_hash", "left")
+    winners = rows.where("valid").groupBy("digest").agg(F.min(F.struct("path", "file_name")).alias("winner"))
+    rows = rows.join(winners, "digest", "left")
     if documents is not None:
-        rows = rows.join(stored_names(documents), "file_hash", "left")
+        rows = rows.join(stored_names(documents).select(packed(F.col("file_hash")).alias("digest"), "stored_name"), "digest", "left")
         taken = active(documents).select(collated(F.col("file_name"), collation).alias("taken_name"), F.lit(True).alias("name_taken")).distinct()
         rows = rows.join(taken, collated(F.col("file_name"), collation) == F.col("taken_name"), "left").drop("taken_name")
     else:
         rows = rows.withColumns({"stored_name": F.lit(None).cast("string"), "name_taken": F.lit(None).cast("boolean")})
+    rows = rows.withColumn("file_hash", unpacked(F.col("digest")))
     is_stored = F.col("valid") & F.col("stored_name").isNotNull()
     is_copy = F.col("valid") & (F.col("path") != F.col("winner.path"))
     status = F.when(~F.col("valid"), "failed").when(is_stored | is_copy, "duplicate_skipped").otherwise("ready")
@@ -107,7 +109,7 @@ def ready(decided: DataFrame) -> DataFrame:
 def last_of_name(decided: DataFrame) -> DataFrame:
     """Of ready files with one target name the one with the last path stays."""
     w = Window.partitionBy("target_name").orderBy(F.col("path").desc())
-    return decided.withColumn("nth", F.row_number().over(w)).where("nth = 1").drop("nth")
+    return carried(decided, lambda rows: rows.withColumn("nth", F.row_number().over(w)).where("nth = 1").drop("nth"))
 
 
 def run_logs(decided: DataFrame, results: DataFrame, started: Column, ended: Column) -> DataFrame:

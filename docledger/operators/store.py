@@ -153,7 +153,7 @@ class Store:
         path, cut = f"{self.root}/{name}/v={version}", self._cut(name)
         kept = self._parted(name, rows).select(*dict.fromkeys([*_names(self._schema(name)), *cut]))
         # Rows of a part come together; what is too much for one task is split, what is little is joined.
-        rows = kept.hint("rebalance", *cut) if cut else kept
+        rows = merge.carried(kept, lambda rows: rows.hint("rebalance", *cut)) if cut else kept
         if name in schemas.SOUGHT:
             rows = rows.sortWithinPartitions(*cut, schemas.SOUGHT[name])
         (rows.write.partitionBy(*cut) if cut else rows.write).mode("overwrite").option("compression", "zstd").parquet(path)
@@ -274,17 +274,20 @@ class Store:
         rows = self.table("document_cells").groupBy("day", "status", "currency")
         return rows.agg(F.sum("n").alias("n"), F.sum("total_amount").cast("decimal(38,2)").alias("total_amount")).where("n <> 0")
 
-    def merged(self, new: DataFrame | None, failed: DataFrame | None, now: Column, once: Callable[[DataFrame, str], DataFrame] = lambda rows, name: rows) -> tuple[DataFrame, DataFrame, set[str]]:
+    def merged(self, new: DataFrame | None, failed: DataFrame | None, now: Column, once: Callable[[DataFrame, str], DataFrame] | None = None, distinct: bool = False) -> tuple[DataFrame, DataFrame, set[str]]:
         """What successes (``new``) and failures make of the documents they meet: those documents' parts before and after, and
-        which parts these are. New documents are in ``after`` too. ``once`` may write a table that is used several times."""
+        which parts these are. New documents are in ``after`` too, which is to be used once. ``once`` may write a table that is used several
+        times; ``distinct``: each success is known to have a hash of its own."""
         both = [rows.select("file_name", "file_hash") for rows in (new, failed) if rows is not None]
         touched = self.parts_of(self.candidates(both[0].unionByName(both[-1])))
         before, top = self.table("invoice_documents", touched), self.top("invoice_documents")
         after = before
         if new is not None:
-            after = once(merge.upsert_success(after, new, now, top, self.collation), "succeeded")
+            hits = (lambda rows: once(rows, "succeeding")) if once and touched else None
+            after = merge.upsert_success(after, new, now, top, self.collation, hits, distinct)
+            after = once(after, "succeeded") if once and failed is not None else after
         if failed is not None:
-            after = once(merge.upsert_failed(after, failed, now, top, self.collation), "merged")
+            after = merge.upsert_failed(after, failed, now, top, self.collation, (lambda rows: once(rows, "failing")) if once else None)
         return before, after, touched
 
     def search(self, term: str) -> DataFrame:
@@ -292,9 +295,17 @@ class Store:
         columns = _names(self._schema("invoice_documents"))
         return search.find(self.read("invoice_documents"), self.read("document_trigrams"), term).select(*columns)
 
-    def put_documents(self, batch: str, before: DataFrame, after: DataFrame, touched: set[str], add: dict[str, DataFrame] | None = None) -> bool:
-        """Commits documents whose ``touched`` parts held ``before`` and now are, with new rows, ``after``; and what follows from that."""
-        return self.commit(batch, add, {"invoice_documents": (after, touched)}, lambda written: self.document_changes(before, written["invoice_documents"]))
+    def put_documents(
+        self, batch: str, before: DataFrame, after: DataFrame, touched: set[str], add: dict[str, DataFrame] | None = None, then: Callable[[DataFrame], dict[str, DataFrame]] | None = None
+    ) -> bool:
+        """Commits documents whose ``touched`` parts held ``before`` and now are, with new rows, ``after``; and what follows from
+        that. ``then`` makes more rows to add from those documents, read back."""
+
+        def follow(written: dict[str, DataFrame]) -> dict[str, DataFrame]:
+            documents = written["invoice_documents"]
+            return {**self.document_changes(before, documents), **(then(documents) if then else {})}
+
+        return self.commit(batch, add, {"invoice_documents": (after, touched)}, follow)
 
     def migrate(self, steps=None) -> int:
         """Brings the store to the current version; each step is a function of the store. Runs of it change nothing more."""

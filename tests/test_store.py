@@ -167,3 +167,31 @@ def test_an_empty_part_is_known_to_be_empty(spark, tmp_path):
     assert keys.where("kind = 'name' and file_name is not null or kind = 'hash' and file_hash is not null").count() == 0 < keys.count()
     wanted = asked.where("file_name = 'f1'").select("file_name", F.lit("h3").alias("file_hash"))
     assert sorted((r.document_id, r.file_name, r.file_hash) for r in store.candidates(wanted).collect()) == [(1, "f1", "h1"), (3, "f3", "h3")]
+
+
+def test_hashes_are_packed_on_their_way_and_come_back(spark):
+    values = [None, "", "h1", "é", "a" * 32, "0f" * 32, "0F" * 32, "0f" * 32 + "\n", "\1" + "0f" * 32, "0f" * 31]
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, file_hash string")
+    got = merge.carried(rows, lambda packed: packed.withColumn("size", F.length("file_hash")).repartition(3)).orderBy("k").collect()
+    assert [r.file_hash for r in got] == values and got[5]["size"] == 33
+    packed = rows.select(merge.packed(F.col("file_hash")).alias("p")).where("p is not null")
+    assert packed.distinct().count() == len(values) - 1
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the small tables")
+def test_a_batch_shuffles_few_bytes_of_a_file(spark):
+    """Joins by shuffles, as they are of large tables: hashes go as bytes, what nothing meets stays, and no step is taken twice."""
+    sf, kept = "/root/testdata/sf0.001", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def shuffled() -> int:
+        executors = spark._jsc.sc().statusStore().executorList(True)
+        return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffled()
+        Q.daily_batch(spark, sf)
+        n = Q._rows(spark, sf, "SELECT * FROM {orders}").count()
+        assert (shuffled() - before) / n < 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
